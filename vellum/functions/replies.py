@@ -7,9 +7,9 @@ and Python's per-type float conversion can both be followed exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from vellum.functions.text import _col, blank_to_null, py_strip, safe_float, strip_code_fences
+from vellum.functions.text import _col, blank_to_null, py_strip, safe_float, split_lines
 
 # Accepted document types and the aliases mapped onto them.
 DOCUMENT_TYPES = ("image", "text")
@@ -42,23 +42,48 @@ def _brace_slice(s: Column) -> Column:
     return F.when((start > 0) & (from_end > 0) & (end > start), F.substring(s, start, end - start + 1))
 
 
-def parse_reply(raw) -> Column:
+# The reply pipeline is applied as successive projections: each step reads
+# the previous step's columns, so a large subexpression (the cleaned text,
+# the parsed VARIANT) is computed once instead of being inlined into every
+# later expression that uses it.
+
+def with_fences_stripped(df: DataFrame, src: str, out: str) -> DataFrame:
+    """Add ``out``: ``src`` stripped, without a leading/trailing fence line (P25)."""
+    t = f"__{out}"
+    df = df.withColumn(f"{t}_s", py_strip(src))
+    df = df.withColumn(f"{t}_rest", F.slice(split_lines(F.col(f"{t}_s")), 2, 1 << 30))
+    rest = F.col(f"{t}_rest")
+    drop_last = (F.size(rest) > 0) & F.startswith(py_strip(F.element_at(rest, -1)), F.lit("```"))
+    body = F.when(drop_last, F.slice(rest, 1, F.greatest(F.size(rest) - 1, F.lit(0)))).otherwise(rest)
+    s = F.col(f"{t}_s")
+    df = df.withColumn(out, F.when(F.startswith(s, F.lit("```")), py_strip(F.array_join(body, "\n")))
+                       .otherwise(s))
+    return df.drop(f"{t}_s", f"{t}_rest")
+
+
+def with_parsed_reply(df: DataFrame, raw: str, prefix: str = "reply") -> DataFrame:
     """Recover the JSON object of a reply.
 
-    Returns struct(json_text, value VARIANT, error). Fences are stripped; if
-    the text is not JSON, the span from the first '{' to the last '}' is
-    tried; the result must be an object.
+    Adds ``{prefix}_json`` (the text that parsed), ``{prefix}_value``
+    (VARIANT, objects only) and ``{prefix}_error``. If the cleaned text is
+    not JSON, the span from the first '{' to the last '}' is tried.
     """
-    cleaned = strip_code_fences(py_strip(raw))
-    whole = F.try_parse_json(cleaned)
-    sliced = _brace_slice(cleaned)
-    value = F.coalesce(whole, F.try_parse_json(sliced))
-    text = F.when(whole.isNotNull(), cleaned).otherwise(F.when(value.isNotNull(), sliced))
-    is_object = F.startswith(F.schema_of_variant(value), F.lit("OBJECT"))
-    error = (F.when(value.isNull(), F.lit("reply was not valid JSON"))
-             .when(~is_object, F.lit("reply JSON must be an object")))
-    return F.struct(text.alias("json_text"), F.when(is_object, value).alias("value"),
-                    error.alias("error"))
+    clean, t = f"__{prefix}_clean", f"__{prefix}"
+    df = with_fences_stripped(df, raw, clean)
+    df = df.withColumn(f"{t}_whole", F.try_parse_json(F.col(clean)))
+    df = df.withColumn(f"{t}_slice", _brace_slice(F.col(clean)))
+    whole, sliced = F.col(f"{t}_whole"), F.col(f"{t}_slice")
+    df = df.withColumn(f"{t}_v", F.coalesce(whole, F.try_parse_json(sliced)))
+    v = F.col(f"{t}_v")
+    is_object = F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
+    df = df.select(
+        "*",
+        F.when(whole.isNotNull(), F.col(clean)).otherwise(F.when(v.isNotNull(), sliced)).alias(f"{prefix}_json"),
+        F.when(is_object, v).alias(f"{prefix}_value"),
+        F.when(v.isNull(), F.lit("reply was not valid JSON"))
+         .when(~is_object, F.lit("reply JSON must be an object")).alias(f"{prefix}_error"),
+    )
+    return df.drop(clean, f"{t}_whole", f"{t}_slice", f"{t}_v")
 
 
 def _member(value: Column, key: str) -> Column:
@@ -93,48 +118,46 @@ def normalise_label(label) -> Column:
             .otherwise(F.lit(ERROR_TYPE)))
 
 
-def reply_label(value) -> Column:
-    src = _first_present(_col(value), "asset_type", "document_type")
-    as_text = F.when(F.schema_of_variant(src) == "STRING", F.variant_get(src, "$", "string"))
-    return normalise_label(F.coalesce(as_text, F.lit("")))
-
-
 def clamp01(x: Column) -> Column:
     """max(0, min(1, x)); NaN ends at 1.0 as in Python's min/max order."""
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
 
 
-def reply_confidence(value) -> Column:
-    """``float(d.get('confidence', 0.0))`` or 0.0, clamped to [0, 1]."""
-    v = _member(_col(value), "confidence")
+def _confidence_of(v: Column) -> Column:
+    """``float(value)`` per JSON type, 0.0 when Python would raise."""
     t = F.schema_of_variant(v)
-    number = (F.when(t == "STRING", safe_float(F.variant_get(v, "$", "string")))
-              .when(t == "BOOLEAN", F.when(F.variant_get(v, "$", "boolean"), F.lit(1.0))
-                    .otherwise(F.lit(0.0)))
-              .when(t.isin(*_NUMERIC_TYPES) | F.startswith(t, F.lit("DECIMAL")),
-                    F.variant_get(v, "$", "double"))
-              .otherwise(F.lit(0.0)))
-    return clamp01(F.coalesce(number, F.lit(0.0)))
-
-
-def reply_reason(value) -> Column:
-    """``reasoning`` if present else ``reason``; stripped; default text."""
-    src = _first_present(_col(value), "reasoning", "reason")
-    return F.coalesce(blank_to_null(_python_str(src)), F.lit(NO_REASON))
-
-
-def normalise_reply(raw) -> Column:
-    """Whole reply -> struct(document_type, confidence, reason, raw_json, error)."""
-    parsed = parse_reply(raw)
-    value = parsed["value"]
-    ok = parsed["error"].isNull()
-    return F.struct(
-        F.when(ok, reply_label(value)).otherwise(F.lit(ERROR_TYPE)).alias("document_type"),
-        F.when(ok, reply_confidence(value)).otherwise(F.lit(0.0)).alias("confidence"),
-        F.when(ok, reply_reason(value)).otherwise(parsed["error"]).alias("reason"),
-        parsed["json_text"].alias("raw_json"),
-        parsed["error"].alias("error"),
+    return (F.when(t == "STRING", safe_float(F.variant_get(v, "$", "string")))
+            .when(t == "BOOLEAN", F.when(F.variant_get(v, "$", "boolean"), F.lit(1.0)).otherwise(F.lit(0.0)))
+            .when(t.isin(*_NUMERIC_TYPES) | F.startswith(t, F.lit("DECIMAL")), F.variant_get(v, "$", "double"))
+            .otherwise(F.lit(0.0)))
+
+
+def with_normalised_reply(df: DataFrame, raw: str, prefix: str = "reply") -> DataFrame:
+    """Reply text -> document_type, confidence, reason, raw_json, error
+    (P25-P30). An unusable reply is an error row, not a failed job."""
+    df = with_parsed_reply(df, raw, prefix)
+    value, err = F.col(f"{prefix}_value"), F.col(f"{prefix}_error")
+    t = f"__{prefix}"
+    df = df.select(
+        "*",
+        _first_present(value, "asset_type", "document_type").alias(f"{t}_label"),
+        _member(value, "confidence").alias(f"{t}_conf"),
+        _first_present(value, "reasoning", "reason").alias(f"{t}_reason"),
+    )
+    label, conf, reason = F.col(f"{t}_label"), F.col(f"{t}_conf"), F.col(f"{t}_reason")
+    label_text = F.coalesce(F.when(F.schema_of_variant(label) == "STRING", F.variant_get(label, "$", "string")),
+                            F.lit(""))
+    ok = err.isNull()
+    df = df.select(
+        "*",
+        F.when(ok, normalise_label(label_text)).otherwise(F.lit(ERROR_TYPE)).alias("document_type"),
+        F.when(ok, clamp01(F.coalesce(_confidence_of(conf), F.lit(0.0)))).otherwise(F.lit(0.0)).alias("confidence"),
+        F.when(ok, F.coalesce(blank_to_null(_python_str(reason)), F.lit(NO_REASON))).otherwise(err).alias("reason"),
+        F.col(f"{prefix}_json").alias("raw_json"),
+        err.alias("error"),
     )
+    return df.drop(f"{t}_label", f"{t}_conf", f"{t}_reason", f"{prefix}_json", f"{prefix}_value",
+                   f"{prefix}_error")
 
 
 def decode_stored_result(doc_type, confidence, reason, raw_json) -> Column:
@@ -149,4 +172,5 @@ def decode_stored_result(doc_type, confidence, reason, raw_json) -> Column:
 
 def format_confidence(c) -> Column:
     """Four decimals for CSV export (P31). Stored values stay DOUBLE."""
-    return F.format_string("%.4f", _col(c))
+    c = _col(c)
+    return F.when(c.isNotNull(), F.format_string("%.4f", c))

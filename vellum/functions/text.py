@@ -84,11 +84,14 @@ def html_escape(c) -> Column:
 
 
 def strip_code_fences(c) -> Column:
-    """Drop a leading fenced line and a trailing fenced line (P25)."""
-    s = py_strip(c)
-    lines = split_lines(s)
-    rest = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))
-    last = F.element_at(rest, -1)
-    drop_last = (F.size(rest) > 0) & F.startswith(py_strip(last), F.lit("```"))
-    body = F.when(drop_last, F.slice(rest, 1, F.greatest(F.size(rest) - 1, F.lit(0)))).otherwise(rest)
-    return F.when(F.startswith(s, F.lit("```")), py_strip(F.array_join(body, "\n"))).otherwise(s)
+    """Drop a leading fenced line and a trailing fenced line (P25).
+
+    Column form for one-off use; ``replies.with_fences_stripped`` is the
+    DataFrame form used in jobs.
+    """
+    def body(s: Column) -> Column:
+        rest = F.slice(split_lines(s), 2, 1 << 30)
+        drop_last = (F.size(rest) > 0) & F.startswith(py_strip(F.element_at(rest, -1)), F.lit("```"))
+        kept = F.when(drop_last, F.slice(rest, 1, F.greatest(F.size(rest) - 1, F.lit(0)))).otherwise(rest)
+        return F.when(F.startswith(s, F.lit("```")), py_strip(F.array_join(kept, "\n"))).otherwise(s)
+    return F.element_at(F.transform(F.array(py_strip(c)), body), 1)

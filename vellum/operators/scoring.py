@@ -7,8 +7,8 @@ from typing import Any, Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from vellum.functions.replies import normalise_reply, response_text
-from vellum.functions.text import blank_to_null, is_truthy
+from vellum.functions.replies import response_text, with_normalised_reply
+from vellum.functions.text import blank_to_null, is_truthy, py_strip
 
 # Default instruction sent with the page images. Callers may pass their own.
 DEFAULT_PROMPT = (
@@ -46,13 +46,18 @@ def score_candidates(inventory: DataFrame, results: DataFrame | None = None,
     flag = flag if dict(inventory.dtypes).get(latest) == "boolean" else is_truthy(flag)
     todo = inventory.filter(F.coalesce(flag, F.lit(False)))
     if "llm_document_type" in inventory.columns:
-        todo = todo.filter(blank_to_null("llm_document_type").isNull())
+        todo = todo.filter(~_has_type(F.col("llm_document_type")))
     if results is not None:
-        done = results.filter(blank_to_null("llm_document_type").isNotNull()).select(key)
+        done = results.filter(_has_type(F.col("llm_document_type"))).select(key)
         todo = todo.join(done, key, "left_anti")
     return todo
 
 
+def _has_type(c: Column) -> Column:
+    """Non-blank stored type (F4), referencing the column once."""
+    return F.coalesce(F.length(py_strip(c)) > 0, F.lit(False))
+
+
 def first_pages(pages: DataFrame, doc: str, page_no: str, max_pages: int = 2) -> DataFrame:
     """The first ``max_pages`` pages of every document.
 
@@ -137,18 +142,20 @@ def call_model(requests: DataFrame, client_factory: Callable[[], Callable[[list]
 
 
 def normalise_responses(responses: DataFrame, key: str) -> DataFrame:
-    """Reply -> result columns (P24-P31), natively; empty replies are errors."""
-    text = response_text(F.col("output_text"), F.col("output"))
-    norm = normalise_reply(text)
-    failed = F.coalesce(F.col("call_error"),
-                        F.when(text == "", F.lit("model returned an empty response")))
-    return responses.select(
+    """Reply -> result columns (P24-P31), natively; empty replies and
+    failed calls are error rows."""
+    df = responses.withColumn("reply_text", response_text(F.col("output_text"), F.col("output")))
+    df = df.withColumn("_failed", F.coalesce(F.col("call_error"), F.when(
+        F.col("reply_text") == "", F.lit("model returned an empty response"))))
+    df = with_normalised_reply(df, "reply_text")
+    failed = F.col("_failed")
+    return df.select(
         key,
-        F.when(failed.isNull(), norm["document_type"]).otherwise(F.lit("error")).alias("llm_document_type"),
-        F.when(failed.isNull(), norm["confidence"]).otherwise(F.lit(0.0)).alias("llm_confidence"),
-        F.when(failed.isNull(), norm["reason"]).otherwise(failed).alias("llm_reason"),
-        F.when(failed.isNull(), norm["raw_json"]).alias("llm_raw_json"),
-        F.coalesce(failed, norm["error"]).alias("error"),
+        F.when(failed.isNull(), F.col("document_type")).otherwise(F.lit("error")).alias("llm_document_type"),
+        F.when(failed.isNull(), F.col("confidence")).otherwise(F.lit(0.0)).alias("llm_confidence"),
+        F.when(failed.isNull(), F.col("reason")).otherwise(failed).alias("llm_reason"),
+        F.when(failed.isNull(), F.col("raw_json")).alias("llm_raw_json"),
+        F.coalesce(failed, F.col("error")).alias("error"),
     )
 
 

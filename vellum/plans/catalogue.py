@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vellum.functions.exact import html_to_text_exact
 from vellum.functions.html import html_to_text
 from vellum.functions.naming import explicit_upload_name, generated_upload_name, upload_name
-from vellum.functions.replies import normalise_reply, response_text
+from vellum.functions.replies import response_text, with_normalised_reply, with_parsed_reply
 from vellum.functions.revision import file_name, file_stem, format_epoch, revision_group_key, \
     revision_label, revision_number
 from vellum.functions.text import is_truthy, strip_code_fences
@@ -27,6 +27,7 @@ from vellum.operators.resolve import resolve_paths, unresolved
 from vellum.sources import fixtures as fx
 from vellum.sources.inventory import export_rows
 from vellum.schema import align
+from vellum.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -249,21 +250,16 @@ def fence_strip(spark, sf):
 
 
 def json_brace_slice(spark, sf):
-    from vellum.functions.replies import parse_reply
-    r = fx.prose_replies(spark, sf)
-    p = parse_reply(F.col("reply"))
-    v = p["value"]
-    return r.select("conv_id", "turn", p["error"].isNull().alias("json_ok"),
+    r = with_parsed_reply(fx.prose_replies(spark, sf), "reply", "r")
+    v = F.col("r_value")
+    return r.select("conv_id", "turn", F.col("r_error").isNull().alias("json_ok"),
                     F.try_variant_get(v, "$.reasoning", "string").alias("reasoning"),
                     F.try_variant_get(v, "$.turn", "bigint").alias("turn_value"))
 
 
 def _normalised_labels(spark, sf):
-    r = fx.label_replies(spark, sf)
-    n = normalise_reply(F.col("reply"))
-    return r.select("doc_id", n["document_type"].alias("document_type"),
-                    n["confidence"].alias("confidence"), n["reason"].alias("reason"),
-                    n["error"].alias("error"), n["raw_json"].alias("raw_json"))
+    r = with_normalised_reply(fx.label_replies(spark, sf), "reply")
+    return r.select("doc_id", "document_type", "confidence", "reason", "error", "raw_json")
 
 
 def reply_normalise(spark, sf):
@@ -288,8 +284,10 @@ def first_pages(spark, sf):
 
 
 def _stored_results(spark, sf):
-    """Earlier scoring results, keyed by the documents' paths."""
-    res = _normalised_labels(spark, sf)
+    """Earlier scoring results, keyed by the documents' paths. Results are a
+    stored table in a real run; here they are written once to the shared
+    checkpoint folder so later filters read plain columns."""
+    res = cut_lineage(_normalised_labels(spark, sf), spark)
     files = fx.doc_files(spark, sf).select("doc_id", "relative_path")
     return res.join(files, "doc_id").select(
         "relative_path", F.col("document_type").alias("llm_document_type"),

@@ -17,16 +17,21 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
 def get_session(master: str | None = None, app_name: str = "vellum",
-                shuffle_partitions: int | None = None,
+                shuffle_partitions: int | None = None, driver_memory: str | None = None,
                 extra_conf: dict[str, str] | None = None) -> SparkSession:
+    """Build (or reuse) a session with vellum's defaults. ``driver_memory``
+    matters in local mode only, where the driver JVM runs every task."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
