@@ -11,10 +11,17 @@ from vellum.functions.naming import upload_name as upload_name_expr
 
 
 def with_upload_name(rows: DataFrame, path: str = "relative_path",
-                     explicit: str | None = "upload_name") -> DataFrame:
-    """Fill ``upload_name``: the sanitised explicit name or the generated one."""
+                     explicit: str | None = "upload_name", sanitize_explicit: bool = False) -> DataFrame:
+    """Fill ``upload_name``. A stored name is used as it is (it was sanitised
+    when the row was written); a blank one is generated from the path. With
+    ``sanitize_explicit`` a user-given name is sanitised first (P12b)."""
     e = F.col(explicit) if explicit and explicit in rows.columns else None
-    return rows.withColumn("upload_name", upload_name_expr(F.col(path), e))
+    if e is None:
+        return rows.withColumn("upload_name", upload_name_expr(F.col(path)))
+    if sanitize_explicit:
+        return rows.withColumn("upload_name", upload_name_expr(F.col(path), e))
+    return rows.withColumn("upload_name", F.when(F.coalesce(e, F.lit("")) != "", e)
+                           .otherwise(upload_name_expr(F.col(path))))
 
 
 def name_winners(rows: DataFrame, name: str = "upload_name", path: str = "relative_path") -> DataFrame:

@@ -167,12 +167,27 @@ def latest_results(results: DataFrame, key: str, order: str = "scored_at") -> Da
 
 
 def writeback(inventory: DataFrame, results: DataFrame, key: str = "relative_path") -> DataFrame:
-    """Inventory with result columns joined on (J3); rows without a result
-    keep NULL result columns."""
-    keep = [c for c in inventory.columns if c not in ("llm_document_type", "llm_confidence",
-                                                       "llm_reason", "llm_raw_json")]
-    res = results.select(key, "llm_document_type", "llm_confidence", "llm_reason", "llm_raw_json")
-    return inventory.select(*keep).join(res, key, "left")
+    """Inventory with result columns joined on ``key`` (J3). A new result
+    wins; otherwise a result already stored on the row is kept, as is."""
+    from vellum.schema import RESULT_SCHEMA
+    from vellum.functions.text import safe_float
+    res = results.select(key, *[F.col(f.name).cast(f.dataType).alias(f"_new_{f.name}")
+                                for f in RESULT_SCHEMA.fields])
+    joined = inventory.join(res, key, "left")
+    cols = []
+    for c in inventory.columns:
+        field = next((f for f in RESULT_SCHEMA.fields if f.name == c), None)
+        if field is None:
+            cols.append(F.col(c))
+            continue
+        stored = F.col(c)
+        if field.name == "llm_confidence" and dict(inventory.dtypes)[c] == "string":
+            stored = safe_float(stored, default=None)
+        cols.append(F.coalesce(F.col(f"_new_{c}"), stored.cast(field.dataType)).alias(c))
+    for f in RESULT_SCHEMA.fields:
+        if f.name not in inventory.columns:
+            cols.append(F.col(f"_new_{f.name}").alias(f.name))
+    return joined.select(*cols)
 
 
 def display_name(filename: str = "filename", path: str = "relative_path") -> Column:
