@@ -27,8 +27,23 @@ INVENTORY_DIR = "/srv/inv"
 REDUCED_DIR = "/srv/reduced"
 
 
+# Unique key of each driver table: used to spread a table that arrives in
+# fewer splits than the cluster has cores (one key per row, so no hot key).
+TABLE_KEYS = {"documents": ("doc_id",), "pages": ("page_id",), "conversations": ("conv_id", "turn"),
+              "labels": ("doc_id",)}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read a driver table. Text tables that come as too few splits (one
+    parquet row group is one split) are hash-partitioned on their unique
+    key across the default parallelism, so per-row text work uses every
+    core; inputs that already have enough splits are left alone."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    keys = TABLE_KEYS.get(name)
+    if keys and name != "labels":
+        from vellum.sources.spread import spread
+        df = spread(df, keys)
+    return df
 
 
 def _s(c: Column) -> Column:
