@@ -278,9 +278,10 @@ def request_payload(spark, sf):
 
 
 def first_pages(spark, sf):
-    conv = fx.table(spark, sf, "conversations")
+    conv = fx.table(spark, sf, "conversations").select(
+        "conv_id", "turn", F.octet_length("text").cast("bigint").alias("n_bytes"))
     top = scoring.first_pages(conv, "conv_id", "turn", 2)
-    return top.select("conv_id", "turn", "page_rank", F.octet_length("text").cast("bigint").alias("n_bytes"))
+    return top.select("conv_id", "turn", "page_rank", "n_bytes")
 
 
 def _stored_results(spark, sf):
