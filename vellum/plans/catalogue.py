@@ -100,6 +100,18 @@ def latest_only(spark, sf):
                     format_epoch(F.col("creation_epoch")).alias("creation_time")))
 
 
+def duplicate_summary(spark, sf):
+    from vellum.operators.dedup import duplicate_summary as summary_op
+    return summary_op(scanned(spark, sf))
+
+
+def existing_paths(spark, sf):
+    """Distinct normalised keys of the stored inventory (A10)."""
+    from vellum.functions.naming import path_key
+    return (earlier_inventory(spark, sf).select(path_key(F.col("relative_path")).alias("path_key"))
+            .filter(F.col("path_key") != "").distinct())
+
+
 def group_summary(spark, sf):
     return group_summary_op(deduped(spark, sf))
 
@@ -296,6 +308,63 @@ def _stored_results(spark, sf):
         F.col("raw_json").alias("llm_raw_json"))
 
 
+def offline_scorer_factory():
+    """A deterministic stand-in for a model client (X1): it reads the page
+    images of the request and answers with a JSON object in one of the
+    shapes real replies take (fenced, with prose, plain)."""
+    import base64
+    import json
+
+    def client(parts):
+        images = [base64.b64decode(p["image_url"].split(",", 1)[1]) for p in parts
+                  if p["type"] == "input_image"]
+        total = sum(len(i) for i in images)
+        label = "text-based" if total >= 1000 else "Image Document"
+        body = json.dumps({"reasoning": f"{len(images)} pages, {total} bytes", "asset_type": label,
+                           "confidence": min(1.0, total / 4000.0)})
+        if total % 3 == 0:
+            return "```json\n" + body + "\n```"
+        if total % 3 == 1:
+            return "Here is my answer: " + body + " -- end"
+        return {"output_text": None, "output": [{"content": [{"text": body}]}]}
+    return client
+
+
+def score_run(spark, sf):
+    """Score every conversation (its turns are its pages) with the offline
+    scorer through the whole classify job: candidates, first two pages,
+    request, mapInPandas call, native normalisation, append-only results."""
+    from vellum.plans.classify import classify_latest
+    from vellum.session import shared_path
+    conv = fx.table(spark, sf, "conversations")
+    key = F.concat(F.lit("conversations/"), F.col("conv_id").cast("string"), F.lit(".pdf"))
+    inventory = conv.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns")).select(
+        key.alias("relative_path"), F.lit(True).alias("is_latest"))
+    pages = conv.select(key.alias("relative_path"), F.col("turn").alias("page_no"),
+                        F.encode(F.col("text"), "UTF-8").alias("image"))
+    res = classify_latest(spark, inventory, pages, offline_scorer_factory,
+                          shared_path(spark, "score_run", unique=True))
+    return res.scored.select("relative_path", "llm_document_type", "llm_confidence", "llm_reason")
+
+
+def cached_results(spark, sf):
+    """Stored results read back with their defaults (P34) and the status
+    line shown for a skipped row (P35)."""
+    from vellum.functions.replies import decode_stored_result
+    inv = flagged(spark, sf).filter(F.col("is_latest"))
+    res = _stored_results(spark, sf).select(
+        "relative_path", F.when(F.col("llm_document_type") != "error", F.col("llm_document_type"))
+        .alias("llm_document_type"), F.format_string("%.2f", "llm_confidence").alias("llm_confidence"),
+        "llm_reason", "llm_raw_json")
+    j = inv.join(res, "relative_path")
+    d = decode_stored_result(F.col("llm_document_type"), F.col("llm_confidence"), F.col("llm_reason"),
+                             F.col("llm_raw_json"))
+    name = scoring.display_name("filename", "relative_path")
+    return j.select("relative_path", d["document_type"].alias("document_type"),
+                    d["confidence"].alias("confidence"), d["reason"].alias("reason"),
+                    F.concat(name, F.lit(": skipped (already "), d["document_type"], F.lit(")")).alias("message"))
+
+
 def score_candidates(spark, sf):
     return scoring.score_candidates(flagged(spark, sf), _stored_results(spark, sf)).select("relative_path")
 
@@ -361,6 +430,24 @@ def reduction_accounting(spark, sf):
     return reduction.reduction_accounting(sized, by=["source"])
 
 
+def python_reducer(data: bytes) -> bytes:
+    """The reducer of ``native_reduce`` as an injected Python function."""
+    import re
+    lines = re.sub(r"[ \t]+", " ", data.decode("utf-8")).split("\n")
+    return "\n".join(dict.fromkeys(lines)).encode("utf-8")
+
+
+def reduction_run(spark, sf):
+    """The reduction plan executed with an injected Python reducer inside
+    mapInPandas (X2); accounted per source like ``reduction_accounting``."""
+    p = _plan(spark, sf).filter(F.col("action") == "reduce")
+    src = p.select(F.col("doc_id").cast("string").alias("doc_key"), "source",
+                   F.encode(F.col("text"), "UTF-8").alias("content"))
+    done = reduction.reduce_contents(src, "doc_key", "content", python_reducer)
+    sized = done.join(src.select("doc_key", "source"), "doc_key")
+    return reduction.reduction_accounting(sized, by=["source"])
+
+
 # ---- delivery ----------------------------------------------------------------------
 
 def _upload_rows(spark, sf):
@@ -402,6 +489,8 @@ QUERIES: dict[str, Query] = {
     "latest_revision": latest_revision,
     "latest_only": latest_only,
     "group_summary": group_summary,
+    "duplicate_summary": duplicate_summary,
+    "existing_paths": existing_paths,
     "new_files": new_files,
     "scan_summary": scan_summary,
     "stale_latest": stale_latest,
@@ -427,10 +516,13 @@ QUERIES: dict[str, Query] = {
     "request_payload": request_payload,
     "first_pages": first_pages,
     "score_candidates": score_candidates,
+    "score_run": score_run,
+    "cached_results": cached_results,
     "score_writeback": score_writeback,
     "score_summary": score_summary,
     "reduction_plan": reduction_plan,
     "reduction_accounting": reduction_accounting,
+    "reduction_run": reduction_run,
     "upload_manifest": upload_manifest,
     "upload_summary": upload_summary,
     "incremental_ingest": incremental_ingest,

@@ -281,7 +281,7 @@ def parsed_cte(name: str, source: str, keys: str) -> str:
 {name}_j AS (SELECT {keys}, cleaned,
     CASE WHEN json_valid(cleaned) THEN cleaned
          WHEN json_valid({brace_slice('cleaned')}) THEN {brace_slice('cleaned')} END AS jv FROM {name}_c),
-{name} AS (SELECT {keys}, CASE WHEN json_type(jv) = 'OBJECT' THEN jv END AS j,
+{name} AS (SELECT {keys}, jv, CASE WHEN json_type(jv) = 'OBJECT' THEN jv END AS j,
     CASE WHEN jv IS NULL THEN 'reply was not valid JSON'
          WHEN json_type(jv) <> 'OBJECT' THEN 'reply JSON must be an object' END AS err FROM {name}_j)"""
 
@@ -291,7 +291,7 @@ norm AS (SELECT doc_id,
     CASE WHEN err IS NULL THEN {_label('j')} ELSE 'error' END AS document_type,
     CASE WHEN err IS NULL THEN {_confidence('j')} ELSE 0.0 END AS confidence,
     CASE WHEN err IS NULL THEN {_reason('j')} ELSE err END AS reason,
-    err AS error
+    err AS error, jv AS raw_json
   FROM lp)"""
 
 RESULTS = f""",
@@ -332,6 +332,15 @@ REDUCE_TEXT = ("array_to_string(list_filter(l, lambda x, i: list_position(l, x)
 
 NEW_FILES_SQL = f"WITH {FLAGGED} SELECT relative_path, group_key, is_latest, md5_hash FROM new_rows"
 
+REDUCTION_ACCOUNTING_SQL = f"""WITH {REDUCTION},
+red AS (SELECT source, CAST(strlen(text) AS BIGINT) AS o, CAST(strlen({REDUCE_TEXT}) AS BIGINT) AS r
+        FROM (SELECT source, text, string_split(regexp_replace(text, '[ \t]+', ' ', 'g'), chr(10)) AS l
+              FROM plan WHERE action = 'reduce'))
+SELECT source, count(*) AS n_reduced, CAST(sum(o) AS BIGINT) AS original_bytes, CAST(sum(r) AS BIGINT) AS reduced_bytes,
+       CAST(sum(o) - sum(r) AS BIGINT) AS saved_bytes, round(CAST(sum(o) - sum(r) AS DOUBLE) / 1048576, 2) AS saved_mib,
+       round(CAST(sum(o) - sum(r) AS DOUBLE) / 1073741824, 2) AS saved_gib
+FROM red GROUP BY source"""
+
 ORACLE: dict[str, str] = {
     "inventory_scan": f"""WITH {SCAN}
 SELECT doc_id, filename, full_path, relative_path, file_size, reduced, group_key, revision, revision_number,
@@ -458,14 +467,31 @@ SELECT doc_id, action, CASE WHEN raw IS NOT NULL THEN src END AS source_path,
             WHEN action = 'already_reduced' THEN src END AS destination,
        CASE WHEN raw IS NOT NULL THEN true ELSE {truthy('reduced')} END AS reduced_after
 FROM plan""",
-    "reduction_accounting": f"""WITH {REDUCTION},
-red AS (SELECT source, CAST(strlen(text) AS BIGINT) AS o, CAST(strlen({REDUCE_TEXT}) AS BIGINT) AS r
-        FROM (SELECT source, text, string_split(regexp_replace(text, '[ \t]+', ' ', 'g'), chr(10)) AS l
-              FROM plan WHERE action = 'reduce'))
-SELECT source, count(*) AS n_reduced, CAST(sum(o) AS BIGINT) AS original_bytes, CAST(sum(r) AS BIGINT) AS reduced_bytes,
-       CAST(sum(o) - sum(r) AS BIGINT) AS saved_bytes, round(CAST(sum(o) - sum(r) AS DOUBLE) / 1048576, 2) AS saved_mib,
-       round(CAST(sum(o) - sum(r) AS DOUBLE) / 1073741824, 2) AS saved_gib
-FROM red GROUP BY source""",
+    "reduction_accounting": REDUCTION_ACCOUNTING_SQL,
+    "reduction_run": REDUCTION_ACCOUNTING_SQL,
+    "duplicate_summary": f"""WITH {SCAN}
+SELECT CAST(count(*) AS BIGINT) AS files_seen, CAST(count(DISTINCT md5_hash) AS BIGINT) AS distinct_contents,
+       CAST(count(*) - count(DISTINCT md5_hash) AS BIGINT) AS duplicates_skipped FROM scan""",
+    "existing_paths": f"""WITH {FLAGGED}
+SELECT DISTINCT replace(relative_path, '\\', '/') AS path_key FROM earlier WHERE replace(relative_path, '\\', '/') <> ''""",
+    "score_run": f"""WITH {PAGES},
+s AS (SELECT conv_id, count(*) AS n, sum(strlen(text)) AS total FROM pg WHERE rk <= 2 GROUP BY conv_id)
+SELECT 'conversations/' || CAST(conv_id AS VARCHAR) || '.pdf' AS relative_path,
+       CASE WHEN total >= 1000 THEN 'text' ELSE 'image' END AS llm_document_type,
+       least(1.0, CAST(total AS DOUBLE) / 4000.0) AS llm_confidence,
+       CAST(n AS VARCHAR) || ' pages, ' || CAST(total AS VARCHAR) || ' bytes' AS llm_reason
+FROM s""",
+    "cached_results": f"""WITH {FLAGGED}, {NORM},
+r2 AS (SELECT f.relative_path, CASE WHEN n.document_type <> 'error' THEN n.document_type END AS t,
+              printf('%.2f', n.confidence) AS c, n.reason AS r, n.raw_json AS j
+       FROM norm n JOIN files f USING (doc_id)),
+d AS (SELECT relative_path, filename, coalesce({blank_null('t')}, 'unclear') AS document_type,
+             {safe_float('c')} AS confidence, coalesce({blank_null('r')}, 'Existing classification.') AS reason
+      FROM flagged JOIN r2 USING (relative_path) WHERE is_latest)
+SELECT relative_path, document_type, confidence, reason,
+       coalesce({blank_null('filename')}, {blank_null('relative_path')}, '<unknown>') || ': skipped (already '
+         || document_type || ')' AS message
+FROM d""",
     "upload_manifest": f"WITH {UPLOAD} SELECT relative_path, upload_name, file_exists, first_for_name, status FROM manifest",
     "upload_summary": f"""WITH {UPLOAD}
 SELECT count(*) FILTER (WHERE file_exists) AS uploaded, count(*) FILTER (WHERE NOT file_exists) AS failed,
