@@ -34,8 +34,31 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ---- shared building blocks -------------------------------------------------
 
+_BUILD_CACHE: dict = {}
+
+
+def _once_per_query(fn: Query) -> Query:
+    """Let the building blocks of one query share materialised inputs; the
+    cache lives only while that query's DataFrame is being built."""
+    def run(spark, sf):
+        _BUILD_CACHE.clear()
+        try:
+            return fn(spark, sf)
+        finally:
+            _BUILD_CACHE.clear()
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def scanned(spark, sf) -> DataFrame:
-    return fx.scan_listing(spark, sf)
+    """The scan rows (names, revision parse, size, MD5). Like the scan job,
+    the stage that reads contents is materialised once in the shared
+    checkpoint folder; every later consumer reads metadata only."""
+    key = ("scan", id(spark), sf)
+    if key not in _BUILD_CACHE:
+        _BUILD_CACHE[key] = cut_lineage(fx.scan_listing(spark, sf), spark)
+    return _BUILD_CACHE[key]
 
 
 def deduped(spark, sf) -> DataFrame:
@@ -66,7 +89,7 @@ def appended_inventory(spark, sf) -> DataFrame:
 # ---- scan, dedup, latest -----------------------------------------------------
 
 def inventory_scan(spark, sf):
-    s = scanned(spark, sf)
+    s = fx.scan_listing(spark, sf)
     return s.select("doc_id", "filename", "full_path", "relative_path", "file_size", "reduced",
                     "group_key", "revision", "revision_number",
                     format_epoch(F.col("creation_epoch")).alias("creation_time"), "md5_hash",
@@ -82,11 +105,11 @@ def revision_parse(spark, sf):
 
 
 def dedup_exact(spark, sf):
-    return deduped(spark, sf).select("doc_id", "md5_hash", "relative_path")
+    return first_seen(fx.scan_listing(spark, sf)).select("doc_id", "md5_hash", "relative_path")
 
 
 def duplicate_groups_q(spark, sf):
-    return duplicate_groups(scanned(spark, sf))
+    return duplicate_groups(fx.scan_listing(spark, sf))
 
 
 def latest_revision(spark, sf):
@@ -102,7 +125,7 @@ def latest_only(spark, sf):
 
 def duplicate_summary(spark, sf):
     from vellum.operators.dedup import duplicate_summary as summary_op
-    return summary_op(scanned(spark, sf))
+    return summary_op(fx.scan_listing(spark, sf))
 
 
 def existing_paths(spark, sf):
@@ -481,7 +504,7 @@ def streaming_dedup(spark, sf):
     return dedup_documents_stream(spark, sf)
 
 
-QUERIES: dict[str, Query] = {
+_QUERY_FUNCTIONS: dict[str, Query] = {
     "inventory_scan": inventory_scan,
     "revision_parse": revision_parse,
     "dedup_exact": dedup_exact,
@@ -528,3 +551,6 @@ QUERIES: dict[str, Query] = {
     "incremental_ingest": incremental_ingest,
     "streaming_dedup": streaming_dedup,
 }
+
+
+QUERIES: dict[str, Query] = {name: _once_per_query(fn) for name, fn in _QUERY_FUNCTIONS.items()}

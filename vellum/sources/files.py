@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vellum.functions.revision import (file_name, file_stem, has_reduced_suffix,
-                                       revision_group_key, revision_label, revision_number)
+from vellum.functions.revision import (file_name, file_stem, revision_group_key, revision_label,
+                                       revision_number)
 
 # Case-insensitive glob for PDF files.
 PDF_GLOB = "*.[pP][dD][fF]"
@@ -55,14 +55,15 @@ def scan_rows(listing: DataFrame, root: str) -> DataFrame:
     parent, size, reduced-name flag, revision parse, time and MD5."""
     base = os.path.dirname(os.path.abspath(root).rstrip("/")) or "/"
     p = F.col("path")
-    stem = file_stem(p)
-    revision = revision_label(stem)
+    listing = listing.select("*", file_stem(p).alias("_stem"))
+    listing = listing.select("*", revision_label(F.col("_stem")).alias("_revision"))
+    stem, revision = F.col("_stem"), F.col("_revision")
     return listing.select(
         file_name(p).alias("filename"),
         p.alias("full_path"),
         relative_to(p, base).alias("relative_path"),
         F.col("length").cast("bigint").alias("file_size"),
-        has_reduced_suffix(p).alias("reduced"),
+        F.endswith(F.lower(stem), F.lit("-reduced")).alias("reduced"),
         F.lit(None).cast("string").alias("upload_name"),
         revision_group_key(stem).alias("group_key"),
         revision.alias("revision"),

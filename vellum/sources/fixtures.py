@@ -81,20 +81,21 @@ def scan_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_listing_of(f: DataFrame) -> DataFrame:
     """Inventory rows of every file (P1): the same projection a directory
-    scan produces, over the documents stand-in."""
+    scan produces, over the documents stand-in. The stem and the revision
+    label are computed once each and reused by the later columns."""
     rel = F.col("relative_path")
-    stem = file_stem(rel)
-    revision = revision_label(stem)
-    return f.select(
+    staged = f.select("*", file_stem(rel).alias("_stem"))
+    staged = staged.select("*", revision_label(F.col("_stem")).alias("revision"))
+    return staged.select(
         "doc_id", "lang", "source",
         file_name(rel).alias("filename"),
         F.concat(F.lit(SRV + "/"), rel).alias("full_path"),
         rel,
         "file_size",
-        has_reduced_suffix(rel).alias("reduced"),
-        revision_group_key(stem).alias("group_key"),
-        revision.alias("revision"),
-        revision_number(revision).alias("revision_number"),
+        F.endswith(F.lower(F.col("_stem")), F.lit("-reduced")).alias("reduced"),
+        revision_group_key(F.col("_stem")).alias("group_key"),
+        "revision",
+        revision_number(F.col("revision")).alias("revision_number"),
         F.timestamp_seconds("creation_epoch").alias("creation_time"),
         "creation_epoch",
         "md5_hash",
