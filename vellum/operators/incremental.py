@@ -24,6 +24,21 @@ def unseen(scanned: DataFrame, existing: DataFrame, key: str = "relative_path")
                    .join(_keys(existing, key), "_key", "left_anti").drop("_key"))
 
 
+def unseen_by_probe(batch: DataFrame, existing: DataFrame, key: str = "relative_path") -> DataFrame:
+    """``unseen`` for a small batch against a large store (streaming ingest).
+
+    The stored keys are probed with the batch's keys (a semi-join whose
+    build side is the batch, broadcast by AQE once measured small), so only
+    the stored keys that collide are materialised; the batch is then
+    anti-joined against those. Without the probe every micro-batch would
+    shuffle the whole store.
+    """
+    keyed = batch.withColumn("_key", path_key(F.col(key)))
+    batch_keys = keyed.select("_key").filter(F.col("_key").isNotNull() & (F.col("_key") != "")).distinct()
+    hits = _keys(existing, key).join(batch_keys, "_key", "left_semi")
+    return keyed.join(hits, "_key", "left_anti").drop("_key")
+
+
 def seen(scanned: DataFrame, existing: DataFrame, key: str = "relative_path") -> DataFrame:
     return (scanned.withColumn("_key", path_key(F.col(key)))
                    .join(_keys(existing, key), "_key", "left_semi").drop("_key"))

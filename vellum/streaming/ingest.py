@@ -2,7 +2,7 @@
 
 ``ingest_stream`` is the general form: any streaming DataFrame of scan rows
 is appended to an inventory table through ``foreachBatch`` -- dedup inside
-the batch, anti-join against what is stored, append. A replayed batch finds
+the batch, probe the stored keys with the batch's keys, append the rest. A replayed batch finds
 its rows already stored and appends nothing, so retries are idempotent.
 Progress lives in a checkpoint under the shared checkpoint folder;
 ``trigger(availableNow=True)`` processes what has arrived and stops.
@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vellum.operators.dedup import first_seen
-from vellum.operators.incremental import unseen
+from vellum.operators.incremental import unseen_by_probe
 from vellum.operators.latest import flag_latest
 from vellum.session import shared_path
 
@@ -31,7 +31,7 @@ def ingest_stream(rows: DataFrame, inventory_path: str, checkpoint: str,
         spark = batch.sparkSession
         scan = flag_latest(first_seen(to_scan_rows(batch)))
         stored = spark.read.parquet(inventory_path).select(key)
-        new = unseen(scan, stored, key).withColumn(BATCH_COL, F.lit(epoch_id).cast("bigint"))
+        new = unseen_by_probe(scan, stored, key).withColumn(BATCH_COL, F.lit(epoch_id).cast("bigint"))
         new.write.mode("append").parquet(inventory_path)
 
     writer = (rows.writeStream.foreachBatch(append_batch)
