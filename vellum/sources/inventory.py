@@ -48,8 +48,9 @@ def read_inventory_csv(spark: SparkSession, path: str, schema: T.StructType = FU
 
 def export_rows(df: DataFrame, with_results: bool = True) -> DataFrame:
     """The CSV dialect of inventory rows (P14, P31, T8): every value text,
-    booleans 'True'/'False', missing ''. ``upload_name`` is filled from the
-    explicit name when given, else generated from the path (P12b)."""
+    booleans 'True'/'False', missing ''. A stored ``upload_name`` is kept
+    as it is (it was sanitised when the row was first written); a missing
+    one is generated from the path (P11)."""
     aligned = align(df, FULL_SCHEMA if with_results else INVENTORY_SCHEMA)
 
     def text(c: str):
@@ -62,7 +63,7 @@ def export_rows(df: DataFrame, with_results: bool = True) -> DataFrame:
         elif c == "llm_confidence":
             out = format_confidence(col)
         elif c == "upload_name":
-            out = upload_name(F.col("relative_path"), col)
+            out = F.when(F.coalesce(col, F.lit("")) != "", col).otherwise(upload_name(F.col("relative_path")))
         else:
             out = col.cast("string")
         if c == "reduced":
