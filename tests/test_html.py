@@ -31,3 +31,24 @@ def test_exact_udf_keeps_script_text_and_finishes_tail(spark):
     assert got == [html_text_one(r[0]) for r in rows]
     assert got[0].startswith('var t="</p>";')
     assert html_text_one("trail <b", finish=False) == "trail"
+
+
+EDGE = [
+    "<p>a &#233; &#xE9; &#X1F600; &#0; &#128; &#x110000; &#xD800; &#1; &#65 b</p>",
+    "<SCRIPT type='x'>if (a<b && c>d) {x='</p>'}</SCRIPT><p>after</p>",
+    "<style>p>a{x:1}</style >text",
+    "a < b and c > d",
+    "x <!-- c <p> --> y",
+    "&lt;p&gt; stays &amp;amp; &unknown; &copy2024 &AMP; &nbsp;",
+    "<li>i1<li>i2</ul>",
+    "<a href='x>y'>link</a><p class=\"a>b\">para</p>",
+    "AT&T &ampx; &notin; &notit; &fjlig;",
+]
+
+
+def test_native_equals_parser_on_edge_cases_and_pages(spark):
+    from conftest import SF_SMALL
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("html")
+    df = spark.createDataFrame([(h,) for h in EDGE], "html string").unionByName(pages)
+    for r in df.select("html", html_to_text(F.col("html")).alias("t")).collect():
+        assert r.t == html_text_one(r.html), r.html[:80]

@@ -1,36 +1,163 @@
-"""HTML body -> plain text.
-
-``html_to_text`` is a native regex chain (whole-stage codegen, no Python):
-comments dropped, a newline for each line-breaking tag, every other tag
-dropped, the basic entities decoded, 3+ newlines collapsed, then stripped.
-Script and style text is kept, as a parser that only collects character data
-keeps it. ``vellum.functions.exact.html_to_text_exact`` runs Python's own
-HTML parser in Arrow batches for byte-exact results.
+"""HTML body -> plain text (P18), as native Spark expressions.
+
+The rules follow an HTML parser that only collects character data:
+
+* ``<script>`` and ``<style>`` contents are raw text: kept as they are,
+  tags and entities inside them included;
+* elsewhere comments and tags are dropped, a newline is written for each
+  line-breaking tag (start tags br p div li tr, end tags p div li tr), and
+  character references are decoded: every HTML5 named reference written
+  with ``;`` and decimal/hex numeric references;
+* runs of 3+ newlines become 2 and the result is stripped.
+
+The named-reference table and the invalid numeric reference rules are
+taken from Python's ``html`` module at import time, so they are the same
+tables Python's parser uses. ``vellum.functions.exact.html_to_text_exact``
+runs Python's parser itself (Arrow-batched) for byte-exact results, e.g.
+for references written without ``;`` and malformed markup.
 """
 
 from __future__ import annotations
 
+import html as _stdlib_html
+
 from pyspark.sql import Column, functions as F
 
 from vellum.functions.text import _col, py_strip
 
-# Tags that open a new line (br p div li tr, start tags) and
-# close one (p div li tr, end tags).
+# Raw-text elements (content up to their end tag is text).
+RAW_ELEMENT_RE = (r"(?is)<script\b[^>]*>(.*?)</script(?:[\t\n\r\f /][^>]*)?>"
+                  r"|<style\b[^>]*>(.*?)</style(?:[\t\n\r\f /][^>]*)?>")
 COMMENT_RE = "(?s)<!--.*?-->"
-BREAK_TAG_RE = r"(?i)<(/?(p|div|li|tr)|br)(\s[^>]*)?/?>"
-ANY_TAG_RE = "<[^>]*>"
+# Attribute text of a tag: quoted values may contain '>'. Possessive
+# quantifiers keep the regex from backtracking (or recursing) on long tags.
+_ATTRS = "(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
+# Start tags br p div li tr and end tags p div li tr break lines.
+BREAK_TAG_RE = "(?i)<(?:/(?:p|div|li|tr)|p|div|li|tr|br)(?:[\\s/]" + _ATTRS + ")?>"
+# A tag, declaration or processing instruction: '<' then a letter, '/', '!' or '?'.
+ANY_TAG_RE = "<[A-Za-z/!?]" + _ATTRS + ">"
 BLANK_RUN_RE = "\n{3,}"
-# Entity -> character, '&amp;' last so it is decoded once.
-BASIC_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                  ("&#x27;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&"))
+# A character reference as Python's unescape finds them: decimal or hex
+# (';' optional), or up to 32 name characters (';' optional).
+CHARREF_RE = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+# Names of references that may be written without ';' are at most this long.
+LEGACY_NAME_MAX = 6
+# Looked up first, ahead of the full table (the XML-predefined five and nbsp).
+FREQUENT_REFERENCES = ("amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;")
 
+# Tables of Python's html module (HTML5 named references; numeric references
+# that map to another character or to nothing).
+NAMED_REFERENCES = dict(_stdlib_html.entities.html5)
+INVALID_CHARREFS = dict(_stdlib_html._invalid_charrefs)
+INVALID_CODEPOINTS = sorted(_stdlib_html._invalid_codepoints)
+MAX_CODEPOINT = 0x10FFFF
+REPLACEMENT_CHAR = "�"
 
-def html_to_text(html) -> Column:
-    x = F.coalesce(_col(html), F.lit(""))
-    x = F.regexp_replace(x, COMMENT_RE, "")
+
+def _sql_string(value: str) -> str:
+    """A Spark SQL string literal written with \\u escapes only (UTF-16 code
+    units), so any character survives the parser unchanged."""
+    units = value.encode("utf-16-be")
+    return "'" + "".join("\\u%02x%02x" % (units[i], units[i + 1]) for i in range(0, len(units), 2)) + "'"
+
+
+# The tables are parsed once per session from one SQL expression each
+# (constant-folded into literals by the optimizer).
+_TABLES: dict = {}
+
+
+def _table(name: str) -> Column:
+    from pyspark import SparkContext
+    key = (name, SparkContext.getOrCreate().applicationId)
+    if key not in _TABLES:
+        if name == "named":
+            # names written with ';', indexed by their first character
+            by_initial: dict[str, list] = {}
+            for k, v in sorted(NAMED_REFERENCES.items()):
+                if k.endswith(";"):
+                    by_initial.setdefault(k[0], []).append((k, v))
+            sql = "map(" + ", ".join(
+                f"{_sql_string(i)}, map(" + ", ".join(f"{_sql_string(k)}, {_sql_string(v)}" for k, v in kv) + ")"
+                for i, kv in sorted(by_initial.items())) + ")"
+        elif name == "legacy":
+            # names that may be written without ';'
+            sql = "map(" + ", ".join(f"{_sql_string(k)}, {_sql_string(v)}"
+                                     for k, v in sorted(NAMED_REFERENCES.items()) if not k.endswith(";")) + ")"
+        elif name == "charrefs":
+            sql = "map(" + ", ".join(f"CAST({k} AS BIGINT), {_sql_string(v)}"
+                                     for k, v in sorted(INVALID_CHARREFS.items())) + ")"
+        else:
+            sql = "array(" + ", ".join(f"CAST({c} AS BIGINT)" for c in INVALID_CODEPOINTS) + ")"
+        _TABLES[key] = F.expr(sql)
+    return _TABLES[key]
+
+
+def _lookup(name: Column) -> Column:
+    """Value of a reference name (with or without its ';'), or NULL."""
+    with_semicolon = F.element_at(F.element_at(_table("named"), F.substring(name, 1, 1)), name)
+    return F.when(F.endswith(name, F.lit(";")), with_semicolon).otherwise(F.element_at(_table("legacy"), name))
+
+
+def _charref_map() -> Column:
+    return _table("charrefs")
+
+
+def decode_charref(tok: Column) -> Column:
+    """One character reference token -> its text, as Python's unescape
+    does for the forms matched by ``CHARREF_RE``; unknown names stay."""
+    is_hex = tok.rlike("^&#[xX]")
+    digits = F.ltrim(F.regexp_extract(tok, "^&#[xX]?([0-9a-fA-F]+)", 1), F.lit("0"))
+    too_long = F.length(digits) > 7
+    num = F.when(digits == "", F.lit(0).cast("bigint")).when(
+        is_hex, F.conv(digits, 16, 10).try_cast("bigint")).otherwise(digits.try_cast("bigint"))
+    num = F.when(too_long, F.lit(MAX_CODEPOINT + 1).cast("bigint")).otherwise(num)
+    as_char = F.decode(F.unhex(F.lpad(F.hex(num), 8, "0")), "UTF-32")
+    numeric = (F.when(F.element_at(_charref_map(), num).isNotNull(), F.element_at(_charref_map(), num))
+               .when((num > MAX_CODEPOINT) | num.between(0xD800, 0xDFFF), F.lit(REPLACEMENT_CHAR))
+               .when(F.array_contains(_table("codepoints"), num), F.lit(""))
+               .otherwise(as_char))
+    # Named: the whole name (with its ';' if any) is a key, else the longest
+    # shorter prefix that is a name allowed without ';', else unchanged.
+    legacy = _table("legacy")
+    s = F.substring(tok, 2, 1 << 20)
+    n = F.length(s)
+    # a shorter prefix has no ';', so only the names allowed without ';' can match it
+    prefixes = [F.when(n - 1 >= k, F.concat(F.element_at(legacy, F.substring(s, 1, k)), F.substring(s, k + 1, 1 << 20)))
+                for k in range(LEGACY_NAME_MAX, 1, -1)]
+    named = F.coalesce(_lookup(s), *prefixes, tok)
+    # The most frequent references are resolved before the table scan;
+    # their values come from the same table.
+    fast = None
+    for ref in FREQUENT_REFERENCES:
+        cond, val = tok == F.lit("&" + ref), F.lit(NAMED_REFERENCES[ref])
+        fast = F.when(cond, val) if fast is None else fast.when(cond, val)
+    return fast.when(F.startswith(tok, F.lit("&#")), numeric).otherwise(named)
+
+
+def decode_charrefs(text: Column) -> Column:
+    """Replace every character reference in ``text`` (text without '&' is
+    returned as it is)."""
+    parts = F.split(text, CHARREF_RE)
+    tokens = F.regexp_extract_all(text, F.lit("(" + CHARREF_RE + ")"), 1)
+    decoded = F.transform(tokens, decode_charref)
+    joined = F.array_join(F.zip_with(parts, decoded, lambda p, d: F.concat(p, F.coalesce(d, F.lit("")))), "")
+    return F.when(F.instr(text, "&") > 0, joined).otherwise(text)
+
+
+def _markup_text(segment: Column) -> Column:
+    """Text of a stretch of markup outside raw-text elements."""
+    x = F.regexp_replace(segment, COMMENT_RE, "")
     x = F.regexp_replace(x, BREAK_TAG_RE, "\n")
     x = F.regexp_replace(x, ANY_TAG_RE, "")
-    for entity, char in BASIC_ENTITIES:
-        x = F.replace(x, F.lit(entity), F.lit(char))
-    x = F.regexp_replace(x, BLANK_RUN_RE, "\n\n")
-    return py_strip(x)
+    return decode_charrefs(x)
+
+
+def html_to_text(html) -> Column:
+    x = F.coalesce(_col(html), F.lit(""))
+    outside = F.split(x, RAW_ELEMENT_RE)
+    raw1 = F.regexp_extract_all(x, F.lit(RAW_ELEMENT_RE), 1)
+    raw2 = F.regexp_extract_all(x, F.lit(RAW_ELEMENT_RE), 2)
+    raw = F.zip_with(raw1, raw2, lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))
+    joined = F.array_join(F.zip_with(F.transform(outside, _markup_text), raw,
+                                     lambda o, r: F.concat(o, F.coalesce(r, F.lit("")))), "")
+    return py_strip(F.regexp_replace(joined, BLANK_RUN_RE, "\n\n"))

@@ -7,7 +7,9 @@ the fixed values (whitespace set, patterns, labels) are shared.
 
 from __future__ import annotations
 
-from vellum.functions.html import BASIC_ENTITIES
+from vellum.functions.html import (CHARREF_RE, COMMENT_RE, INVALID_CHARREFS, INVALID_CODEPOINTS,
+                                   LEGACY_NAME_MAX, MAX_CODEPOINT, NAMED_REFERENCES, RAW_ELEMENT_RE,
+                                   REPLACEMENT_CHAR)
 from vellum.functions.naming import GERMAN_TRANSLITERATION
 from vellum.functions.replies import (DOCUMENT_TYPES, IMAGE_ALIASES, NO_REASON, TEXT_ALIASES)
 from vellum.functions.text import HTML_ESCAPES, PY_LINE_BREAK_RE, PY_WHITESPACE, TRUTHY
@@ -86,14 +88,54 @@ def epoch_text(e: str) -> str:
     return f"strftime(make_timestamp(CAST({e} AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S')"
 
 
+# RE2 forms of the tag patterns (RE2 has no possessive quantifiers).
+ATTRS_RE2 = """(?:[^>"']+|"[^"]*"|'[^']*')*"""
+BREAK_TAG_RE2 = "(?i)<(?:/(?:p|div|li|tr)|p|div|li|tr|br)(?:[\\s/]" + ATTRS_RE2 + ")?>"
+ANY_TAG_RE2 = "<[A-Za-z/!?]" + ATTRS_RE2 + ">"
+
+# The reference tables as one row; queries that convert HTML add these
+# columns with scalar subqueries so lambdas can use them.
+REFS = ("refs AS (SELECT MAP {" + ", ".join(f"{lit(k)}: {lit(v)}" for k, v in sorted(NAMED_REFERENCES.items()))
+        + "} AS refmap, MAP {" + ", ".join(f"{k}: {lit(v)}" for k, v in sorted(INVALID_CHARREFS.items()))
+        + "} AS badrefs, [" + ", ".join(str(c) for c in INVALID_CODEPOINTS) + "] AS badcps)")
+REF_COLS = ("(SELECT refmap FROM refs) AS refmap, (SELECT badrefs FROM refs) AS badrefs, "
+            "(SELECT badcps FROM refs) AS badcps")
+
+
+def _charref(tok: str) -> str:
+    digits = f"ltrim(regexp_extract({tok}, '^&#[xX]?([0-9a-fA-F]+)', 1), '0')"
+    num = (f"(CASE WHEN {digits} = '' THEN 0 WHEN length({digits}) > 7 THEN {MAX_CODEPOINT + 1} "
+           f"WHEN regexp_matches({tok}, '^&#[xX]') THEN TRY_CAST('0x' || {digits} AS BIGINT) "
+           f"ELSE TRY_CAST({digits} AS BIGINT) END)")
+    numeric = (f"(CASE WHEN map_extract_value(badrefs, {num}) IS NOT NULL THEN map_extract_value(badrefs, {num}) "
+               f"WHEN {num} > {MAX_CODEPOINT} OR {num} BETWEEN 55296 AND 57343 THEN {lit(REPLACEMENT_CHAR)} "
+               f"WHEN list_contains(badcps, {num}) THEN '' ELSE chr(CAST({num} AS INTEGER)) END)")
+    sname = f"substr({tok}, 2)"
+    prefixes = ", ".join(
+        f"CASE WHEN length({sname}) - 1 >= {k} THEN map_extract_value(refmap, substr({sname}, 1, {k})) "
+        f"|| substr({sname}, {k + 1}) END" for k in range(LEGACY_NAME_MAX, 1, -1))
+    named = f"coalesce(map_extract_value(refmap, {sname}), {prefixes}, {tok})"
+    return f"(CASE WHEN starts_with({tok}, '&#') THEN {numeric} ELSE {named} END)"
+
+
+def decode_charrefs(x: str) -> str:
+    toks = f"regexp_extract_all({x}, {lit('(' + CHARREF_RE + ')')}, 1)"
+    return (f"array_to_string(list_transform(regexp_split_to_array({x}, {lit(CHARREF_RE)}), "
+            f"lambda p, i: p || coalesce({_charref(toks + '[i]')}, '')), '')")
+
+
 def html_text(x: str) -> str:
-    y = f"regexp_replace({x}, '(?s)<!--.*?-->', '', 'g')"
-    y = f"regexp_replace({y}, '(?i)<(/?(p|div|li|tr)|br)(\\s[^>]*)?/?>', {NL}, 'g')"
-    y = f"regexp_replace({y}, '<[^>]*>', '', 'g')"
-    for ent, ch in BASIC_ENTITIES:
-        y = f"replace({y}, {lit(ent)}, {lit(ch)})"
-    y = f"regexp_replace({y}, '\\n{{3,}}', {lit(chr(10) * 2)}, 'g')"
-    return strip(y)
+    """Needs the REF_COLS columns in scope."""
+    def markup(o: str) -> str:
+        y = f"regexp_replace({o}, {lit(COMMENT_RE)}, '', 'g')"
+        y = f"regexp_replace({y}, {lit(BREAK_TAG_RE2)}, {NL}, 'g')"
+        y = f"regexp_replace({y}, {lit(ANY_TAG_RE2)}, '', 'g')"
+        return decode_charrefs(y)
+    raw1 = f"regexp_extract_all({x}, {lit(RAW_ELEMENT_RE)}, 1)"
+    raw2 = f"regexp_extract_all({x}, {lit(RAW_ELEMENT_RE)}, 2)"
+    joined = (f"array_to_string(list_transform(regexp_split_to_array({x}, {lit(RAW_ELEMENT_RE)}), "
+              f"lambda o, i: {markup('o')} || coalesce({raw1}[i], {raw2}[i], '')), '')")
+    return strip(f"regexp_replace({joined}, '\\n{{3,}}', {lit(chr(10) * 2)}, 'g')")
 
 
 def html_escape(x: str) -> str:
@@ -185,7 +227,8 @@ best AS (SELECT relative_path, arg_min(cand, pos) AS resolved_path FROM ex
          WHERE cand IN (SELECT path FROM listing WHERE path IS NOT NULL) GROUP BY relative_path),
 resolved AS (SELECT r.relative_path, r.full_path, b.resolved_path FROM rrows r LEFT JOIN best b USING (relative_path))"""
 
-MSGS = f"""msgs AS (
+MSGS = REFS + f""",
+msgs AS (
   SELECT 'c' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS message_id,
          'mail/conv' || CAST(conv_id AS VARCHAR) || '/turn' || lpad(CAST(turn AS VARCHAR), 3, '0') || '.msg' AS source_path,
          CASE WHEN turn % 4 = 3 THEN '  ' ELSE role END AS sender,
@@ -201,6 +244,7 @@ MSGS = f"""msgs AS (
   SELECT 'p' || CAST(page_id AS VARCHAR), 'mail/web/page' || CAST(page_id AS VARCHAR) || '.msg', '',
          regexp_extract(url, '^[a-z]+://([^/?#]+)', 1), '', '', '', '', '', html
   FROM pages),
+msgs_r AS (SELECT *, {REF_COLS} FROM msgs),
 fields AS (
   SELECT *, coalesce({blank_null('sender')}, coalesce({strip('sender_email')}, '')) AS hdr_from,
          coalesce({strip('"to"')}, '') AS hdr_to, coalesce({strip('cc')}, '') AS hdr_cc,
@@ -209,7 +253,7 @@ fields AS (
          coalesce({blank_null('body')},
                   CASE WHEN {strip("coalesce(body_html, '')")} <> '' THEN {html_text(strip('body_html'))} END,
                   '') AS body_text
-  FROM msgs),
+  FROM msgs_r),
 hdr AS (
   SELECT *, concat_ws({NL}, {', '.join(f"CASE WHEN {v} <> '' THEN {lit(lab + ': ')} || {v} END" for lab, v in zip(HEADER_LABELS, ['hdr_from', 'hdr_to', 'hdr_cc', 'hdr_date', 'hdr_subject']))}) AS header_text,
          CAST({' + '.join(f"CAST({v} <> '' AS INTEGER)" for v in ['hdr_from', 'hdr_to', 'hdr_cc', 'hdr_date', 'hdr_subject'])} AS INTEGER) AS n_headers,
@@ -408,7 +452,8 @@ FROM cv""",
     "conversion_summary": f"""WITH {MSGS}
 SELECT count(*) AS detected, count(*) FILTER (WHERE coalesce(source_path, '') <> '') AS converted,
        count(*) FILTER (WHERE coalesce(source_path, '') = '') AS failed FROM msgs""",
-    "html_text_native": f"SELECT page_id, {html_text('coalesce(html, ' + chr(39) * 2 + ')')} AS text FROM pages",
+    "html_text_native": f"""WITH {REFS}, p AS (SELECT *, {REF_COLS} FROM pages)
+SELECT page_id, {html_text("coalesce(html, '')")} AS text FROM p""",
     "response_text": f"""WITH resp AS (
   SELECT conv_id, turn,
          CASE WHEN turn % 4 = 0 THEN text WHEN turn % 4 = 1 THEN '   ' END AS output_text,
