@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from vellum.functions.text import PY_WHITESPACE, _col
+from vellum.functions.text import PY_WHITESPACE, _col, ascii_digits
 
 _WS_CLASS = "".join(PY_WHITESPACE)
 
@@ -32,7 +32,7 @@ def revision_label(stem) -> Column:
 def revision_number(revision) -> Column:
     """Digits after 'rev' as a number, -1 when absent; the letter is ignored."""
     digits = F.regexp_extract(F.coalesce(_col(revision), F.lit("")), REVISION_NUMBER_RE, 1)
-    return F.coalesce(digits.try_cast("bigint"), F.lit(-1).cast("bigint"))
+    return F.coalesce(ascii_digits(digits).try_cast("bigint"), F.lit(-1).cast("bigint"))
 
 
 def file_name(path) -> Column:

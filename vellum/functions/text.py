@@ -15,6 +15,21 @@ PY_WHITESPACE = (
 # The line boundaries of Python's str.splitlines().
 PY_LINE_BREAK_RE = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
+def _decimal_digits() -> tuple[str, str]:
+    import unicodedata
+    src, dst = [], []
+    for cp in range(0x80, 0x110000):
+        d = unicodedata.decimal(chr(cp), None)
+        if d is not None:
+            src.append(chr(cp))
+            dst.append(str(d))
+    return "".join(src), "".join(dst)
+
+
+# Every non-ASCII Unicode decimal digit and its ASCII digit (Python's int()
+# and float() accept them), generated from the Unicode database.
+UNICODE_DIGITS, ASCII_DIGITS = _decimal_digits()
+
 # Truthy spellings accepted for boolean inventory fields.
 TRUTHY = ("true", "1", "yes", "y")
 
@@ -58,13 +73,19 @@ _FLOAT_RE = (
 )
 
 
+def ascii_digits(c) -> Column:
+    """Unicode decimal digits -> ASCII digits."""
+    return F.translate(_col(c), UNICODE_DIGITS, ASCII_DIGITS)
+
+
 def safe_float(c, default: float | None = 0.0) -> Column:
     """``float(value)`` or ``default`` when Python would raise.
 
-    Spark's cast also accepts forms like ``1d``/``0.5f`` and rejects ``1_000``;
-    the grammar check makes the result follow Python.
+    Spark's cast also accepts forms like ``1d``/``0.5f`` and rejects ``1_000``
+    and non-ASCII digits; the grammar check and the digit mapping make the
+    result follow Python.
     """
-    s = py_strip(_col(c).cast("string"))
+    s = ascii_digits(py_strip(_col(c).cast("string")))
     parsed = F.when(s.rlike(_FLOAT_RE), F.regexp_replace(s, "_", "").try_cast("double"))
     if default is None:
         return parsed
