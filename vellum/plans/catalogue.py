@@ -70,9 +70,10 @@ def flagged(spark, sf) -> DataFrame:
 
 
 def earlier_inventory(spark, sf) -> DataFrame:
-    """What an earlier scan stored: the files of every third document,
-    deduplicated and flagged among themselves, saved with Windows paths."""
-    subset = scanned(spark, sf).filter(F.col("doc_id") % 3 == 0)
+    """What an earlier scan stored: the files that existed when it ran
+    (created before ``EARLIER_SCAN_AT``), deduplicated and flagged among
+    themselves, saved with Windows paths."""
+    subset = scanned(spark, sf).filter(F.col("creation_epoch") < fx.EARLIER_SCAN_AT)
     run1 = flag_latest(first_seen(subset))
     return run1.withColumn("relative_path", fx.stored_path(F.col("relative_path")))
 

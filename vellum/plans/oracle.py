@@ -15,7 +15,7 @@ from vellum.functions.replies import (DOCUMENT_TYPES, IMAGE_ALIASES, NO_REASON,
 from vellum.functions.text import HTML_ESCAPES, PY_LINE_BREAK_RE, PY_WHITESPACE, TRUTHY
 from vellum.operators.messages import HEADER_LABELS, NO_BODY
 from vellum.operators.scoring import DEFAULT_PROMPT
-from vellum.sources.fixtures import EPOCH0
+from vellum.sources.fixtures import EARLIER_SCAN_AT, EPOCH0
 
 
 def lit(s: str) -> str:
@@ -195,7 +195,7 @@ COLS = ("doc_id, filename, full_path, relative_path, file_size, reduced, group_k
 FLAGGED = SCAN + f""",
 dedup AS (SELECT * FROM scan QUALIFY row_number() OVER (PARTITION BY md5_hash ORDER BY relative_path) = 1),
 flagged AS (SELECT *, (row_number() OVER (PARTITION BY group_key {LATEST_ORDER}) = 1) AS is_latest FROM dedup),
-e_dedup AS (SELECT * FROM scan WHERE doc_id % 3 = 0
+e_dedup AS (SELECT * FROM scan WHERE creation_epoch < {EARLIER_SCAN_AT}
             QUALIFY row_number() OVER (PARTITION BY md5_hash ORDER BY relative_path) = 1),
 earlier AS (SELECT * REPLACE ('docs\\' || substr(relative_path, 6) AS relative_path),
                    (row_number() OVER (PARTITION BY group_key {LATEST_ORDER}) = 1) AS is_latest

@@ -22,6 +22,8 @@ from vellum.functions.revision import (file_name, file_stem, format_epoch, has_r
 # Fixed values of the fixture: first creation time (2024-01-01T00:00:00Z)
 # and the roots of the simulated file tree.
 EPOCH0 = 1704067200
+# The earlier scan ran at 12:00 on the first day: it saw the files created before then.
+EARLIER_SCAN_AT = EPOCH0 + 12 * 3600
 SRV = "/srv"
 INVENTORY_DIR = "/srv/inv"
 REDUCED_DIR = "/srv/reduced"
