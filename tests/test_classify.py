@@ -80,3 +80,15 @@ def test_errors_are_rows(spark, tmp_path):
     assert got["b.pdf"].llm_document_type == "error" and "service unavailable" in got["b.pdf"].error
     assert got["c.pdf"].llm_document_type == "error" and got["c.pdf"].error
     assert got["d.pdf"].llm_document_type == "error" and got["d.pdf"].error == "document has no pages"
+
+
+def test_waves_give_the_same_results(spark, tmp_path):
+    rows = [(f"d{i}.pdf", f"d{i}.pdf", "True", None, None) for i in range(12)]
+    inv = _inventory(spark, rows)
+    pages = spark.createDataFrame([(f"d{i}.pdf", 1, bytes([65 + i])) for i in range(12)], PAGES_SCHEMA)
+    reply = lambda parts: json.dumps({"asset_type": "text", "confidence": len(parts[1]["image_url"]) / 100})
+    one_wave = classify_latest(spark, inv, pages, _client_factory(reply), str(tmp_path / "r1"))
+    three = classify_latest(spark, inv, pages, _client_factory(reply), str(tmp_path / "r3"), waves=3)
+    key = lambda df: sorted((r.relative_path, r.llm_document_type, r.llm_confidence) for r in df.collect())
+    assert key(one_wave.scored) == key(three.scored)
+    assert len(key(three.scored)) == 12

@@ -30,6 +30,20 @@ class ClassifyResult:
     summary: DataFrame     # rows_loaded, latest_rows, scored, errors
 
 
+def _score_wave(candidates: DataFrame, pages: DataFrame, client_factory, results_path: str, key: str,
+                page_no: str, image: str, max_pages: int, prompt: str, concurrency: int | None) -> None:
+    requests = scoring.build_requests(candidates, pages, key=key, page_no=page_no, image=image,
+                                      max_pages=max_pages, prompt=prompt)
+    responses = scoring.call_model(requests, client_factory, key=key, concurrency=concurrency)
+    normalised = scoring.normalise_responses(responses, key)
+    no_pages = requests.filter(F.col("request_error").isNotNull()).select(
+        key, F.lit("error").alias("llm_document_type"), F.lit(0.0).alias("llm_confidence"),
+        F.col("request_error").alias("llm_reason"), F.lit(None).cast("string").alias("llm_raw_json"),
+        F.col("request_error").alias("error"))
+    run = normalised.unionByName(no_pages).withColumn("scored_at", F.current_timestamp())
+    run.write.mode("append").parquet(results_path)
+
+
 def read_results(spark: SparkSession, results_path: str, key: str = "relative_path") -> DataFrame:
     try:
         df = spark.read.parquet(results_path)
@@ -42,27 +56,25 @@ def classify_latest(spark: SparkSession, inventory: DataFrame, pages: DataFrame,
                     client_factory: Callable[[], Callable[[list], Any]], results_path: str,
                     key: str = "relative_path", page_no: str = "page_no", image: str = "image",
                     max_pages: int = 2, prompt: str = scoring.DEFAULT_PROMPT,
-                    concurrency: int | None = None, retry_errors: bool = False) -> ClassifyResult:
+                    concurrency: int | None = None, retry_errors: bool = False,
+                    waves: int = 1) -> ClassifyResult:
     """One model call per latest document without a stored type.
 
     Results are appended to ``results_path`` before anything else reads
     them, so no model call is repeated by a later action, and a crashed run
-    resumes with the documents still missing. ``retry_errors`` also
-    re-scores documents whose stored type is 'error'.
+    resumes with the documents still missing. ``waves`` splits the
+    candidates by a hash of their key into that many disjoint waves, each
+    appended before the next starts: a failure loses at most one wave.
+    ``retry_errors`` also re-scores documents whose stored type is 'error'.
     """
     stored = read_results(spark, results_path, key)
     done = stored if not retry_errors else stored.filter(F.col("llm_document_type") != "error")
     candidates = scoring.score_candidates(inventory, done, key=key)
-    requests = scoring.build_requests(candidates, pages, key=key, page_no=page_no, image=image,
-                                      max_pages=max_pages, prompt=prompt)
-    responses = scoring.call_model(requests, client_factory, key=key, concurrency=concurrency)
-    normalised = scoring.normalise_responses(responses, key)
-    no_pages = requests.filter(F.col("request_error").isNotNull()).select(
-        key, F.lit("error").alias("llm_document_type"), F.lit(0.0).alias("llm_confidence"),
-        F.col("request_error").alias("llm_reason"), F.lit(None).cast("string").alias("llm_raw_json"),
-        F.col("request_error").alias("error"))
-    run = normalised.unionByName(no_pages).withColumn("scored_at", F.current_timestamp())
-    run.write.mode("append").parquet(results_path)
+    for wave in range(waves):
+        part = candidates if waves == 1 else candidates.filter(
+            F.pmod(F.xxhash64(F.col(key)), F.lit(waves)) == wave)
+        _score_wave(part, pages, client_factory, results_path, key, page_no, image, max_pages, prompt,
+                    concurrency)
     all_results = spark.read.parquet(results_path)
     latest = scoring.latest_results(all_results.drop("error"), key)
     scored = all_results.join(candidates.select(key), key, "left_semi")
