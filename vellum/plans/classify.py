@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vellum.functions.text import is_truthy
 from vellum.operators import scoring
-from vellum.sources.inventory import read_inventory  # noqa: F401  (re-exported for callers)
 
 RESULT_TABLE_SCHEMA = T.StructType([
     T.StructField("relative_path", T.StringType()),

@@ -297,11 +297,6 @@ def _reason(j: str) -> str:
     return f"coalesce({blank_null(raw)}, {lit(NO_REASON)})"
 
 
-def _parse(reply: str) -> str:
-    """SELECT-list fragment: cleaned text, recovered JSON and error."""
-    return reply
-
-
 LABEL_REPLIES = """lr AS (
   SELECT doc_id, CASE doc_id % 10
     WHEN 0 THEN '{"asset_type": "Text-Based", "confidence": 0.' || CAST(quality * 5 + toxic * 3 + 1 AS VARCHAR) || ', "reasoning": "quality ' || CAST(quality AS VARCHAR) || '"}'

@@ -16,8 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vellum.functions.revision import (file_name, file_stem, format_epoch, has_reduced_suffix,
-                                       revision_group_key, revision_label, revision_number)
+from vellum.functions.revision import (file_name, file_stem, format_epoch, revision_group_key,
+                                       revision_label, revision_number)
 
 # Fixed values of the fixture: first creation time (2024-01-01T00:00:00Z)
 # and the roots of the simulated file tree.
