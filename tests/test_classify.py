@@ -92,3 +92,22 @@ def test_waves_give_the_same_results(spark, tmp_path):
     key = lambda df: sorted((r.relative_path, r.llm_document_type, r.llm_confidence) for r in df.collect())
     assert key(one_wave.scored) == key(three.scored)
     assert len(key(three.scored)) == 12
+
+
+def test_documents_with_the_same_content_share_one_call(spark, tmp_path):
+    calls = tmp_path / "calls.txt"
+    inv = spark.createDataFrame([("a/x.pdf", "True", "h1"), ("b/y.pdf", "True", "h1"), ("c/z.pdf", "True", "h2")],
+                                "relative_path string, is_latest string, md5_hash string")
+    pages = spark.createDataFrame([(p, 1, b"img") for p in ("a/x.pdf", "b/y.pdf", "c/z.pdf")], PAGES_SCHEMA)
+
+    def factory():
+        def client(parts):
+            with open(calls, "a") as fh:
+                fh.write("call\n")
+            return '{"asset_type": "image", "confidence": 0.5}'
+        return client
+
+    res = classify_latest(spark, inv, pages, factory, str(tmp_path / "r"), share_by="md5_hash")
+    got = sorted((r.relative_path, r.llm_document_type) for r in res.scored.collect())
+    assert got == [("a/x.pdf", "image"), ("b/y.pdf", "image"), ("c/z.pdf", "image")]
+    assert calls.read_text().count("call") == 2

@@ -43,6 +43,21 @@ def _score_wave(candidates: DataFrame, pages: DataFrame, client_factory, results
     run.write.mode("append").parquet(results_path)
 
 
+def _fan_out(spark: SparkSession, candidates: DataFrame, called: DataFrame, results_path: str,
+             key: str, share_by: str) -> None:
+    """Append the representative's result for every other candidate that
+    shares its ``share_by`` value. Joins on the shared value and on the
+    representative key (one representative per value, so no hot key on the
+    result side)."""
+    reps = called.filter(F.col(share_by).isNotNull()).select(share_by, F.col(key).alias("_rep"))
+    followers = (candidates.filter(F.col(share_by).isNotNull()).select(key, share_by)
+                 .join(reps, share_by).filter(F.col(key) != F.col("_rep")))
+    results = spark.read.parquet(results_path).withColumnRenamed(key, "_rep")
+    latest = scoring.latest_results(results, "_rep")
+    copied = followers.join(latest, "_rep").drop("_rep", share_by)
+    copied.withColumn("scored_at", F.current_timestamp()).write.mode("append").parquet(results_path)
+
+
 def read_results(spark: SparkSession, results_path: str, key: str = "relative_path") -> DataFrame:
     try:
         df = spark.read.parquet(results_path)
@@ -56,7 +71,7 @@ def classify_latest(spark: SparkSession, inventory: DataFrame, pages: DataFrame,
                     key: str = "relative_path", page_no: str = "page_no", image: str = "image",
                     max_pages: int = 2, prompt: str = scoring.DEFAULT_PROMPT,
                     concurrency: int | None = None, retry_errors: bool = False,
-                    waves: int = 1) -> ClassifyResult:
+                    waves: int = 1, share_by: str | None = None) -> ClassifyResult:
     """One model call per latest document without a stored type.
 
     Results are appended to ``results_path`` before anything else reads
@@ -65,15 +80,26 @@ def classify_latest(spark: SparkSession, inventory: DataFrame, pages: DataFrame,
     candidates by a hash of their key into that many disjoint waves, each
     appended before the next starts: a failure loses at most one wave.
     ``retry_errors`` also re-scores documents whose stored type is 'error'.
+    ``share_by`` (e.g. ``"md5_hash"``) makes documents with the same value
+    share one call: the smallest key per value is scored and its result is
+    written for the others too.
     """
     stored = read_results(spark, results_path, key)
     done = stored if not retry_errors else stored.filter(F.col("llm_document_type") != "error")
     candidates = scoring.score_candidates(inventory, done, key=key)
+    to_call = candidates
+    if share_by:
+        from vellum.operators.dedup import first_seen
+        shared = candidates.filter(F.col(share_by).isNotNull())
+        to_call = first_seen(shared, key=share_by, order=(key,)).unionByName(
+            candidates.filter(F.col(share_by).isNull()))
     for wave in range(waves):
-        part = candidates if waves == 1 else candidates.filter(
+        part = to_call if waves == 1 else to_call.filter(
             F.pmod(F.xxhash64(F.col(key)), F.lit(waves)) == wave)
         _score_wave(part, pages, client_factory, results_path, key, page_no, image, max_pages, prompt,
                     concurrency)
+    if share_by:
+        _fan_out(spark, candidates, to_call, results_path, key, share_by)
     all_results = spark.read.parquet(results_path)
     latest = scoring.latest_results(all_results.drop("error"), key)
     scored = all_results.join(candidates.select(key), key, "left_semi")
