@@ -34,7 +34,9 @@ def scan_directory(spark: SparkSession, root: str, inventory_path: str, glob: st
     listing = list_files(spark, root, glob, with_md5=True, max_bytes=max_bytes)
     listing = cut_lineage(listing, spark)
     good = listing.filter(F.col("error").isNull())
-    flagged = cut_lineage(flag_latest(first_seen(scan_rows(good, root))), spark)
+    # the latest flag reads the distinct rows twice (rows, per-group winners)
+    distinct = cut_lineage(first_seen(scan_rows(good, root)), spark)
+    flagged = cut_lineage(flag_latest(distinct), spark)
     existing = read_inventory(spark, inventory_path)
     added = cut_lineage(unseen(flagged, existing), spark)
     summary = cut_lineage(scan_summary(flagged, existing), spark)
