@@ -67,8 +67,13 @@ _TABLES: dict = {}
 
 
 def _table(name: str) -> Column:
-    from pyspark import SparkContext
-    key = (name, SparkContext.getOrCreate().applicationId)
+    from pyspark.sql import SparkSession
+    session = SparkSession.getActiveSession()
+    try:
+        owner = session.sparkContext.applicationId
+    except Exception:  # no SparkContext on this client: cache per session object
+        owner = id(session)
+    key = (name, owner)
     if key not in _TABLES:
         if name == "named":
             # names written with ';', indexed by their first character
