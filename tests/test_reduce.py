@@ -56,3 +56,19 @@ def test_missing_file_is_an_error_row_and_relative_paths_resolve(spark, tmp_path
     got = {os.path.basename(r.source_path): r for r in res.results.collect()}
     assert got["gone.pdf"].error and got["rel.pdf"].error is None
     assert (tmp_path / "sub" / "rel-reduced.pdf").read_bytes() == b"abc"
+
+
+def test_reduce_directory(spark, tmp_path):
+    from vellum.plans.reduce import reduce_directory
+    src = tmp_path / "in"
+    (src / "sub").mkdir(parents=True)
+    (src / "sub" / "a.PDF").write_bytes(b"aaaa bbbb")
+    (src / "b-reduced.pdf").write_bytes(b"done")
+    (src / "note.txt").write_bytes(b"not a pdf")
+    out = tmp_path / "out"
+    res = reduce_directory(spark, str(src), lambda d: d[:4], output_dir=str(out))
+    plan = {os.path.basename(r.source_path): (r.action, r.destination) for r in res.plan.collect()}
+    assert plan["b-reduced.pdf"][0] == "already_reduced"
+    assert plan["a.PDF"] == ("reduce", str(out / "sub" / "a-reduced.PDF"))
+    assert (out / "sub" / "a-reduced.PDF").read_bytes() == b"aaaa"
+    assert one(res.accounting).saved_bytes == 5

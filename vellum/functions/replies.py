@@ -132,10 +132,16 @@ def _confidence_of(v: Column) -> Column:
             .otherwise(F.lit(0.0)))
 
 
-def with_normalised_reply(df: DataFrame, raw: str, prefix: str = "reply") -> DataFrame:
+def with_normalised_reply(df: DataFrame, raw: str, prefix: str = "reply",
+                          raw_json: str = "text") -> DataFrame:
     """Reply text -> document_type, confidence, reason, raw_json, error
-    (P25-P30). An unusable reply is an error row, not a failed job."""
+    (P25-P30). An unusable reply is an error row, not a failed job.
+    ``raw_json='text'`` keeps the JSON text that parsed; ``'python'``
+    renders it as Python's ``json.dumps`` does (an Arrow-batched UDF)."""
     df = with_parsed_reply(df, raw, prefix)
+    if raw_json == "python":
+        from vellum.functions.exact import canonical_json
+        df = df.withColumn(f"{prefix}_json", canonical_json(F.col(f"{prefix}_json")))
     value, err = F.col(f"{prefix}_value"), F.col(f"{prefix}_error")
     t = f"__{prefix}"
     df = df.select(
