@@ -86,7 +86,8 @@ def align(df: DataFrame, schema: T.StructType = INVENTORY_SCHEMA,
         elif isinstance(field.dataType, (T.LongType, T.IntegerType)):
             typed = c.cast("string").try_cast(field.dataType)
         elif isinstance(field.dataType, T.TimestampType) and isinstance(source_type, T.StringType):
-            typed = F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss"))
+            # stored text is UTC wall-clock time, whatever the session time zone
+            typed = F.try_to_timestamp(F.concat(c, F.lit("+0000")), F.lit("yyyy-MM-dd HH:mm:ssZ"))
         else:
             typed = c.cast(field.dataType)
         if field.name in _DEFAULTS:
