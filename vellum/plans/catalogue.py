@@ -508,6 +508,20 @@ def upload_summary(spark, sf):
                  F.count_if(F.col("status") == "duplicate_name").alias("overwritten"))
 
 
+# ---- real files ------------------------------------------------------------------
+
+def directory_scan(spark, sf):
+    """The scan job over real files: every document is written as a file
+    under the shared checkpoint folder, then listed with ``binaryFile``,
+    hashed, deduplicated and flagged by ``scan_directory``."""
+    from vellum.plans.scan import scan_directory
+    from vellum.session import local_path, shared_path
+    base = shared_path(spark, "tree", unique=True)
+    fx.write_file_tree(spark, sf, base)
+    res = scan_directory(spark, local_path(base) + "/docs", local_path(base) + "/inventory", write=False)
+    return res.scanned.select("relative_path", "group_key", "revision", "revision_number", "is_latest")
+
+
 # ---- streaming ----------------------------------------------------------------------
 
 def incremental_ingest(spark, sf):
@@ -564,6 +578,7 @@ _QUERY_FUNCTIONS: dict[str, Query] = {
     "reduction_run": reduction_run,
     "upload_manifest": upload_manifest,
     "upload_summary": upload_summary,
+    "directory_scan": directory_scan,
     "incremental_ingest": incremental_ingest,
     "streaming_dedup": streaming_dedup,
 }

@@ -537,5 +537,6 @@ FROM d""",
 SELECT count(*) FILTER (WHERE file_exists) AS uploaded, count(*) FILTER (WHERE NOT file_exists) AS failed,
        count(*) FILTER (WHERE status = 'duplicate_name') AS overwritten FROM manifest""",
     "incremental_ingest": NEW_FILES_SQL,
+    "directory_scan": f"WITH {FLAGGED} SELECT relative_path, group_key, revision, revision_number, is_latest FROM flagged",
     "streaming_dedup": "SELECT DISTINCT md5(text) AS md5_hash FROM documents",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -27,7 +28,8 @@ def list_files(spark: SparkSession, root: str, glob: str = PDF_GLOB, with_md5: b
     reader = (spark.read.format("binaryFile")
               .option("recursiveFileLookup", "true")
               .option("pathGlobFilter", glob))
-    raw = reader.load(root)
+    with _listing_parallelism(spark):
+        raw = reader.load(root)
     path = F.regexp_replace(F.col("path"), "^file:(//)?", "")
     meta = [path.alias("path"), F.col("length"), F.col("modificationTime")]
     if not with_md5:
@@ -43,6 +45,38 @@ def list_files(spark: SparkSession, root: str, glob: str = PDF_GLOB, with_md5: b
     return small.unionByName(large)
 
 
+def parent_of(root: str) -> str:
+    """Parent folder of a local path or of a scheme-qualified URI."""
+    if "://" in root or root.startswith("file:"):
+        return root.rstrip("/").rsplit("/", 1)[0]
+    return os.path.dirname(os.path.abspath(root).rstrip("/")) or "/"
+
+
+_DISCOVERY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def _listing_parallelism(spark: SparkSession, waves: int = 4):
+    """Deep trees are listed by a Spark job with one task per directory up
+    to this setting (10,000 by default); thousands of one-directory tasks
+    cost far more than the listing. Cap it at a few waves over the cluster's
+    cores while this listing runs (a smaller setting is kept)."""
+    previous = spark.conf.get(_DISCOVERY, None)
+    try:
+        target = max(1, waves * spark.sparkContext.defaultParallelism)
+    except Exception:
+        target = None
+    try:
+        if target is not None and (previous is None or int(previous) > target):
+            spark.conf.set(_DISCOVERY, str(target))
+        yield
+    finally:
+        if previous is None:
+            spark.conf.unset(_DISCOVERY)
+        else:
+            spark.conf.set(_DISCOVERY, previous)
+
+
 def relative_to(path_col, base: str):
     """Path relative to ``base``, or the whole path when outside it."""
     prefix = base.rstrip("/") + "/"
@@ -53,7 +87,7 @@ def relative_to(path_col, base: str):
 def scan_rows(listing: DataFrame, root: str) -> DataFrame:
     """Inventory rows of a listing (P1): names, paths relative to the root's
     parent, size, reduced-name flag, revision parse, time and MD5."""
-    base = os.path.dirname(os.path.abspath(root).rstrip("/")) or "/"
+    base = parent_of(root)
     p = F.col("path")
     listing = listing.select("*", file_stem(p).alias("_stem"))
     listing = listing.select("*", revision_label(F.col("_stem")).alias("_revision"))

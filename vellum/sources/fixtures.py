@@ -250,3 +250,35 @@ def label_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit("I cannot classify this document."))
     )
     return lab.select(doc, reply.alias("reply"))
+
+
+def write_file_tree(spark: SparkSession, sf_dir: str, base_uri: str) -> int:
+    """Write every document as a file ``<base>/<relative_path>`` (its text
+    as UTF-8 bytes, its creation time as modification time). The executors
+    write their own rows through ``pyarrow.fs``, so the base may be any
+    shared filesystem URI; times are set where the filesystem is local.
+    Returns the number of files written."""
+    import pandas as pd
+
+    files = doc_files(spark, sf_dir).select("relative_path", "text", "creation_epoch")
+
+    def write(batches):
+        import os
+        from pyarrow import fs as pafs
+        filesystem, root = pafs.FileSystem.from_uri(base_uri)
+        local = isinstance(filesystem, pafs.LocalFileSystem)
+        for pdf in batches:
+            for rel, text, epoch in zip(pdf["relative_path"], pdf["text"], pdf["creation_epoch"]):
+                target = f"{root.rstrip('/')}/{rel}"
+                if local:
+                    os.makedirs(target.rsplit("/", 1)[0], exist_ok=True)
+                    with open(target, "wb") as out:
+                        out.write(text.encode("utf-8"))
+                    os.utime(target, (int(epoch), int(epoch)))
+                else:
+                    filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                    with filesystem.open_output_stream(target) as out:
+                        out.write(text.encode("utf-8"))
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    return files.mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0
