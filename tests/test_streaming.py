@@ -50,3 +50,15 @@ def test_streaming_dedup(spark, tmp_path):
     dedup_stream(stream, "md5_hash", out, str(tmp_path / "ck")).awaitTermination()
     got = spark.read.parquet(out)
     assert got.count() == docs.select(F.md5("text")).distinct().count()
+
+
+def test_watermark_bounded_dedup(spark, tmp_path):
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    stream = (spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
+              .parquet(SF_SMALL).select("event_type", "ts"))
+    out = str(tmp_path / "out")
+    dedup_stream(stream, "event_type", out, str(tmp_path / "ck"), watermark_col="ts",
+                 watermark="1 hour").awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() >= events.select("event_type").distinct().count()
+    assert got.count() <= events.count()

@@ -68,6 +68,9 @@ def dedup_stream(rows: DataFrame, key: str, out_path: str, checkpoint: str,
     state keeps every key; with one, ``dropDuplicatesWithinWatermark``
     bounds it."""
     if watermark_col:
+        if dict(rows.dtypes).get(watermark_col) == "timestamp_ntz":
+            # watermarks need an instant; read the wall-clock time in the session time zone
+            rows = rows.withColumn(watermark_col, F.col(watermark_col).cast("timestamp"))
         deduped = rows.withWatermark(watermark_col, watermark).dropDuplicatesWithinWatermark([key])
     else:
         deduped = rows.dropDuplicates([key])
