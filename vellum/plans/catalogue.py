@@ -490,10 +490,15 @@ def reduction_run(spark, sf):
 # ---- delivery ----------------------------------------------------------------------
 
 def _upload_rows(spark, sf):
-    f = fx.doc_files(spark, sf)
-    explicit = F.when(F.col("doc_id") % 2 == 0, F.concat(F.col("text"), F.lit(".pdf"))).otherwise(F.lit(""))
-    return f.select("relative_path", F.concat(F.lit(fx.SRV + "/"), F.col("relative_path")).alias("full_path"),
-                    upload_name(F.col("relative_path"), explicit).alias("upload_name"))
+    """Inventory rows with their upload names. The names are a stored column
+    of the inventory (filled when rows are written), so they are computed
+    once here and read by both the manifest and the per-name winners."""
+    def build():
+        f = fx.doc_files(spark, sf)
+        explicit = F.when(F.col("doc_id") % 2 == 0, F.concat(F.col("text"), F.lit(".pdf"))).otherwise(F.lit(""))
+        return f.select("relative_path", F.concat(F.lit(fx.SRV + "/"), F.col("relative_path")).alias("full_path"),
+                        upload_name(F.col("relative_path"), explicit).alias("upload_name"))
+    return _stored("upload_rows", spark, sf, build)
 
 
 def upload_manifest(spark, sf):
