@@ -24,7 +24,7 @@ def read_inventory(spark: SparkSession, path: str, schema: T.StructType = FULL_S
         raise
 
 
-def read_inventory_csv(spark: SparkSession, path: str, schema: T.StructType = FULL_SCHEMA,
+def read_csv_inventory(spark: SparkSession, path: str, schema: T.StructType = FULL_SCHEMA,
                        required_any: tuple[str, ...] = (), keep_extra: bool = False) -> DataFrame:
     """Read a CSV inventory of any generation.
 
@@ -74,7 +74,7 @@ def export_rows(df: DataFrame, with_results: bool = True) -> DataFrame:
     return aligned.select(*[text(c) for c in fields])
 
 
-def write_inventory_csv(df: DataFrame, path: str, with_results: bool = True) -> None:
+def write_csv_inventory(df: DataFrame, path: str, with_results: bool = True) -> None:
     """Write the CSV dialect to a fresh directory (never over the input)."""
     (export_rows(df, with_results).write.mode("errorifexists")
      .option("header", "true").option("quote", '"').option("escape", '"')
