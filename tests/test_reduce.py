@@ -31,7 +31,8 @@ def test_replaces_original(spark, tmp_path, original, reduced):
     assert acc.saved_bytes == len(original) - len(reduced)
 
 
-@pytest.mark.parametrize("name,flag", [("document.pdf", "True"), ("document-reduced.pdf", None)])
+@pytest.mark.parametrize("name,flag", [("document.pdf", "True"), ("document.pdf", " yes"),
+                                       ("document-reduced.pdf", None)])
 def test_skips_already_reduced(spark, tmp_path, name, flag):
     src = tmp_path / name
     src.write_bytes(b"already reduced")

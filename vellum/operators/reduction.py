@@ -140,7 +140,8 @@ def reduction_writeback(inventory: DataFrame, plan_results: DataFrame,
         elif c == "file_size":
             cols.append(F.when(changed, F.col("_size")).otherwise(F.col(c)).alias(c))
         elif c == "reduced":
-            cols.append(F.coalesce(F.col("_flag"), F.col(c).cast("boolean")).alias(c))
+            stored = F.col(c) if dict(inventory.dtypes)[c] == "boolean" else is_truthy(F.col(c))
+            cols.append(F.coalesce(F.col("_flag"), stored).alias(c))
         else:
             cols.append(F.col(c))
     return j.select(*cols, "reduced_md5")
