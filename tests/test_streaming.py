@@ -62,3 +62,15 @@ def test_watermark_bounded_dedup(spark, tmp_path):
     got = spark.read.parquet(out)
     assert got.count() >= events.select("event_type").distinct().count()
     assert got.count() <= events.count()
+
+
+def test_first_batch_creates_the_inventory(spark, tmp_path):
+    src = str(tmp_path / "incoming")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs.write.parquet(src + "/b1")
+    stream = spark.readStream.schema(docs.schema).option("recursiveFileLookup", "true").parquet(src)
+    inv = str(tmp_path / "inv")
+    ingest_stream(stream, inv, str(tmp_path / "ckpt"),
+                  lambda d: scan_listing_of(doc_files_of(d))).awaitTermination()
+    stored = spark.read.parquet(inv)
+    assert stored.count() == docs.select(F.md5("text")).distinct().count()

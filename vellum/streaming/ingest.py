@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vellum.operators.dedup import first_seen
@@ -30,7 +31,10 @@ def ingest_stream(rows: DataFrame, inventory_path: str, checkpoint: str,
     def append_batch(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         scan = flag_latest(first_seen(to_scan_rows(batch)))
-        stored = spark.read.parquet(inventory_path).select(key)
+        try:
+            stored = spark.read.parquet(inventory_path).select(key)
+        except AnalysisException:  # nothing stored yet
+            stored = spark.createDataFrame([], f"`{key}` string")
         new = unseen_by_probe(scan, stored, key).withColumn(BATCH_COL, F.lit(epoch_id).cast("bigint"))
         new.write.mode("append").parquet(inventory_path)
 
