@@ -44,6 +44,8 @@ def test_only_latest_rows_are_scored(spark, tmp_path):
     assert out["latest.pdf"].llm_confidence == "0.9300"
     assert out["latest.pdf"].llm_reason == "Mostly visual pages."
     assert res.scored.count() == 1
+    msgs = {r.message for r in res.messages.collect()}
+    assert "old.pdf: skipped (not latest)" in msgs and "latest.pdf: image (0.9300)" in msgs
     again = classify_latest(spark, inv, pages, _client_factory(lambda p: 1 / 0), str(tmp_path / "results"))
     assert again.scored.count() == 0
 
@@ -59,6 +61,7 @@ def test_cached_rows_are_not_rescored(spark, tmp_path):
     row = export_rows(res.inventory).first()
     assert row.llm_document_type == "text_based" and row.llm_confidence == "0.8500"
     assert res.scored.count() == 0
+    assert res.messages.first().message == "already.pdf: skipped (already text_based)"
 
 
 def test_errors_are_rows(spark, tmp_path):

@@ -8,6 +8,7 @@ from typing import Any, Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from vellum.functions.replies import format_confidence
 from vellum.functions.text import is_truthy
 from vellum.operators import scoring
 
@@ -26,7 +27,8 @@ RESULT_TABLE_SCHEMA = T.StructType([
 class ClassifyResult:
     scored: DataFrame      # results of this run (one row per scored document)
     inventory: DataFrame   # inventory with the newest result per key
-    summary: DataFrame     # rows_loaded, latest_rows, scored, errors
+    summary: DataFrame     # rows_loaded, latest_rows
+    messages: DataFrame    # key, message: one status line per inventory row (P35)
 
 
 def _score_wave(candidates: DataFrame, pages: DataFrame, client_factory, results_path: str, key: str,
@@ -110,4 +112,20 @@ def classify_latest(spark: SparkSession, inventory: DataFrame, pages: DataFrame,
     merged = scoring.writeback(inventory, latest)
     summary = inventory.agg(F.count(F.lit(1)).alias("rows_loaded"),
                             F.count_if(F.coalesce(flag, F.lit(False))).alias("latest_rows"))
-    return ClassifyResult(scored, merged, summary)
+    return ClassifyResult(scored, merged, summary, _messages(inventory, flag, candidates, merged, key))
+
+
+def _messages(inventory: DataFrame, flag, candidates: DataFrame, merged: DataFrame, key: str) -> DataFrame:
+    """'<name>: skipped (not latest)', '<name>: skipped (already <type>)' or
+    '<name>: <type> (<confidence to 4 places>)' for every inventory row."""
+    name = scoring.display_name("filename" if "filename" in inventory.columns else key, key)
+    fresh = candidates.select(key).withColumn("_fresh", F.lit(True))
+    rows = merged.join(fresh, key, "left")
+    latest = F.coalesce(flag, F.lit(False))
+    msg = (F.when(~latest, F.concat(name, F.lit(": skipped (not latest)")))
+           .when(F.col("_fresh").isNull(),
+                 F.concat(name, F.lit(": skipped (already "), F.coalesce(F.col("llm_document_type"), F.lit("")),
+                          F.lit(")")))
+           .otherwise(F.concat(name, F.lit(": "), F.coalesce(F.col("llm_document_type"), F.lit("")), F.lit(" ("),
+                               F.coalesce(format_confidence(F.col("llm_confidence")), F.lit("")), F.lit(")"))))
+    return rows.select(key, msg.alias("message"))
