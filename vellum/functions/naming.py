@@ -19,31 +19,7 @@ GERMAN_TRANSLITERATION = (
 
 # Characters allowed in object-store names.
 UNSUPPORTED_CHAR_RE = "[^A-Za-z0-9._-]"
-UNSUPPORTED_RUN_RE = "[^A-Za-z0-9._-]+"
-DROPPED_CHAR_RE = "[#?]"
-DASHES_BEFORE_EXT_RE = r"-+(?=\.[A-Za-z0-9]+$)"
-
-
-def transliterate_german(c) -> Column:
-    """One letter to two, so ``translate`` (1:1) cannot be used."""
-    out = _col(c)
-    for letter, ascii_form in GERMAN_TRANSLITERATION:
-        out = F.replace(out, F.lit(letter), F.lit(ascii_form))
-    return out
-
-
-def path_key(c) -> Column:
-    """Identity key of an inventory row: backslashes become slashes."""
-    return F.replace(_col(c), F.lit("\\"), F.lit("/"))
-
-
-def generated_upload_name(relative_path) -> Column:
-    """'/' -> '--', transliterate, each unsupported character -> '-' (P11)."""
-    name = F.replace(path_key(relative_path), F.lit("/"), F.lit("--"))
-    return F.regexp_replace(transliterate_german(name), UNSUPPORTED_CHAR_RE, "-")
-
-
-def explicit_upload_name(name) -> Column:
+UNdef explicit_upload_name(name) -> Column:
     """Sanitise a user-given name: drop '#?', collapse unsupported runs to
     '-', drop dashes before the final extension, strip dashes (P12)."""
     out = transliterate_german(_col(name))
