@@ -73,3 +73,19 @@ def test_reduce_directory(spark, tmp_path):
     assert plan["a.PDF"] == ("reduce", str(out / "sub" / "a-reduced.PDF"))
     assert (out / "sub" / "a-reduced.PDF").read_bytes() == b"aaaa"
     assert one(res.accounting).saved_bytes == 5
+
+
+def test_staging_is_retry_safe(spark, tmp_path):
+    from vellum.operators import reduction
+    src = tmp_path / "doc.pdf"
+    src.write_bytes(b"original content")
+    inv = _inv(spark, [("doc.pdf", str(src), "doc.pdf", "16", None)])
+    plan = reduction.reduction_plan(inv, str(tmp_path))
+    first = reduction.reduce_files(plan, lambda d: d[:4]).collect()
+    again = reduction.reduce_files(plan, lambda d: d[:4]).collect()      # a retried stage 1
+    assert src.read_bytes() == b"original content"                        # nothing replaced yet
+    assert [r.reduced_size for r in first] == [r.reduced_size for r in again] == [4]
+    staged = spark.createDataFrame(first, reduction.REDUCE_RESULT)
+    assert reduction.commit_files(staged).first().error is None
+    assert reduction.commit_files(staged).first().error is None           # a retried stage 2
+    assert src.read_bytes() == b"orig"

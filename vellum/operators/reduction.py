@@ -66,12 +66,16 @@ REDUCE_RESULT = T.StructType([
 ])
 
 
+def staged_path(destination: str) -> str:
+    """Temporary sibling a reduced file is written to before it is committed."""
+    head, tail = os.path.split(destination)
+    return os.path.join(head, f".{tail}.reduced-temp")
+
+
 def _write_local(path: str, data: bytes) -> None:
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    tmp = os.path.join(os.path.dirname(path) or ".", f".{os.path.basename(path)}.reduced-temp")
-    with open(tmp, "wb") as fh:
+    with open(path, "wb") as fh:
         fh.write(data)
-    os.replace(tmp, path)
 
 
 def _read_local(path: str) -> bytes:
@@ -79,15 +83,21 @@ def _read_local(path: str) -> bytes:
         return fh.read()
 
 
+def _rename_local(staged: str, destination: str) -> bool:
+    """Move ``staged`` over ``destination``; True if it is (now or already) there."""
+    if os.path.exists(staged):
+        os.replace(staged, destination)
+        return True
+    return os.path.exists(destination)
+
+
 def reduce_files(plan: DataFrame, reducer: Callable[[bytes], bytes],
                  read: Callable[[str], bytes] = _read_local,
                  write: Callable[[str, bytes], None] = _write_local) -> DataFrame:
-    """Run ``reducer`` on every 'reduce' row inside ``mapInPandas``.
-
-    Each task reads its own files, writes the result to a temporary sibling
-    and renames it over the destination, so the original is safe until the
-    reducer has finished. Errors become rows.
-    """
+    """Stage 1 of a reduction: run ``reducer`` on every 'reduce' row inside
+    ``mapInPandas`` (X2) and write the result to a temporary sibling of its
+    destination. Sources are never touched here, so a retried task simply
+    redoes its files from the originals. Errors become rows."""
     todo = plan.filter(F.col("action") == "reduce").select("source_path", "destination")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -97,7 +107,7 @@ def reduce_files(plan: DataFrame, reducer: Callable[[bytes], bytes],
                 try:
                     data = read(src)
                     small = reducer(data)
-                    write(dst, small)
+                    write(staged_path(dst), small)
                     out.append((src, dst, len(data), len(small), hashlib.md5(small).hexdigest(), None))
                 except Exception as exc:
                     out.append((src, dst, None, None, None, f"{type(exc).__name__}: {exc}"))
@@ -106,6 +116,28 @@ def reduce_files(plan: DataFrame, reducer: Callable[[bytes], bytes],
     return todo.mapInPandas(run, REDUCE_RESULT)
 
 
+def commit_files(results: DataFrame, rename: Callable[[str, str], bool] = _rename_local) -> DataFrame:
+    """Stage 2: move every staged file over its destination. Run it on
+    results that are already stored (checkpointed): a retried task finds
+    its files either still staged or already moved, and both count as
+    committed. Rows whose rename fails get an error."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            errors = []
+            for dst, err in zip(pdf["destination"], pdf["error"]):
+                if err is not None:
+                    errors.append(err)
+                    continue
+                try:
+                    errors.append(None if rename(staged_path(dst), dst) else "staged file missing")
+                except Exception as exc:
+                    errors.append(f"{type(exc).__name__}: {exc}")
+            yield pdf.assign(error=errors)
+
+    return results.mapInPandas(run, REDUCE_RESULT)
+
+
 def reduction_accounting(results: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Bytes before/after and saved, in bytes, MiB and GiB.
     Only rows reduced in this run count."""

@@ -24,11 +24,13 @@ class ReduceResult:
 def reduce_inventory(spark: SparkSession, inventory: DataFrame, base_dir: str,
                      reducer: Callable[[bytes], bytes], output_dir: str | None = None,
                      replace_original: bool = True, key: str = "relative_path") -> ReduceResult:
-    """Reduce every row not reduced yet. The reducer runs once per file,
-    inside the executors; its results are checkpointed so the accounting
-    and the inventory update reuse them instead of reducing again."""
+    """Reduce every row not reduced yet, in two stages that survive task
+    retries: reduce into staged files (sources untouched), store the
+    results, then move the staged files into place. The stored results feed
+    the accounting and the inventory update, so nothing is reduced twice."""
     plan = cut_lineage(reduction.reduction_plan(inventory, base_dir, output_dir, replace_original), spark)
-    results = cut_lineage(reduction.reduce_files(plan, reducer), spark)
+    staged = cut_lineage(reduction.reduce_files(plan, reducer), spark)
+    results = cut_lineage(reduction.commit_files(staged), spark)
     joined = plan.join(results.drop("destination"), "source_path", "left")
     updated = reduction.reduction_writeback(inventory, joined, key=key)
     return ReduceResult(plan, results, updated, reduction.reduction_accounting(results))
@@ -56,5 +58,6 @@ def reduce_directory(spark: SparkSession, input_dir: str, reducer: Callable[[byt
         F.when(skip, F.lit("already_reduced")).otherwise(F.lit("reduce")).alias("action"),
         F.when(skip, p).otherwise(destination).alias("destination"),
         F.lit(True).alias("reduced_after")), spark)
-    results = cut_lineage(reduction.reduce_files(plan, reducer), spark)
+    staged = cut_lineage(reduction.reduce_files(plan, reducer), spark)
+    results = cut_lineage(reduction.commit_files(staged), spark)
     return ReduceResult(plan, results, plan, reduction.reduction_accounting(results))
