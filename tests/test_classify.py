@@ -80,6 +80,7 @@ def test_errors_are_rows(spark, tmp_path):
     res = classify_latest(spark, inv, pages, _client_factory(reply), str(tmp_path / "results"))
     got = {r.relative_path: r for r in res.scored.collect()}
     assert got["a.pdf"].llm_document_type == "text" and got["a.pdf"].llm_confidence == 1.0
+    assert got["a.pdf"].llm_raw_json == json.dumps({"asset_type": "text", "confidence": 2})
     assert got["b.pdf"].llm_document_type == "error" and "service unavailable" in got["b.pdf"].error
     assert got["c.pdf"].llm_document_type == "error" and got["c.pdf"].error
     assert got["d.pdf"].llm_document_type == "error" and got["d.pdf"].error == "document has no pages"

@@ -141,13 +141,15 @@ def call_model(requests: DataFrame, client_factory: Callable[[], Callable[[list]
     return out.withColumnRenamed("key", key)
 
 
-def normalise_responses(responses: DataFrame, key: str) -> DataFrame:
-    """Reply -> result columns (P24-P31), natively; empty replies and
-    failed calls are error rows."""
+def normalise_responses(responses: DataFrame, key: str, raw_json: str = "python") -> DataFrame:
+    """Reply -> result columns (P24-P31); empty replies and failed calls are
+    error rows. ``raw_json='python'`` stores the parsed object as Python's
+    ``json.dumps`` renders it (the stored form the original keeps);
+    ``'text'`` keeps the recovered JSON text and stays fully native."""
     df = responses.withColumn("reply_text", response_text(F.col("output_text"), F.col("output")))
     df = df.withColumn("_failed", F.coalesce(F.col("call_error"), F.when(
         F.col("reply_text") == "", F.lit("model returned an empty response"))))
-    df = with_normalised_reply(df, "reply_text")
+    df = with_normalised_reply(df, "reply_text", raw_json=raw_json)
     failed = F.col("_failed")
     return df.select(
         key,

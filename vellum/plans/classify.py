@@ -32,11 +32,12 @@ class ClassifyResult:
 
 
 def _score_wave(candidates: DataFrame, pages: DataFrame, client_factory, results_path: str, key: str,
-                page_no: str, image: str, max_pages: int, prompt: str, concurrency: int | None) -> None:
+                page_no: str, image: str, max_pages: int, prompt: str, concurrency: int | None,
+                raw_json: str = "python") -> None:
     requests = scoring.build_requests(candidates, pages, key=key, page_no=page_no, image=image,
                                       max_pages=max_pages, prompt=prompt)
     responses = scoring.call_model(requests, client_factory, key=key, concurrency=concurrency)
-    normalised = scoring.normalise_responses(responses, key)
+    normalised = scoring.normalise_responses(responses, key, raw_json)
     no_pages = requests.filter(F.col("request_error").isNotNull()).select(
         key, F.lit("error").alias("llm_document_type"), F.lit(0.0).alias("llm_confidence"),
         F.col("request_error").alias("llm_reason"), F.lit(None).cast("string").alias("llm_raw_json"),
@@ -73,7 +74,8 @@ def classify_latest(spark: SparkSession, inventory: DataFrame, pages: DataFrame,
                     key: str = "relative_path", page_no: str = "page_no", image: str = "image",
                     max_pages: int = 2, prompt: str = scoring.DEFAULT_PROMPT,
                     concurrency: int | None = None, retry_errors: bool = False,
-                    waves: int = 1, share_by: str | None = None) -> ClassifyResult:
+                    waves: int = 1, share_by: str | None = None,
+                    raw_json: str = "python") -> ClassifyResult:
     """One model call per latest document without a stored type.
 
     Results are appended to ``results_path`` before anything else reads
@@ -99,7 +101,7 @@ def classify_latest(spark: SparkSession, inventory: DataFrame, pages: DataFrame,
         part = to_call if waves == 1 else to_call.filter(
             F.pmod(F.xxhash64(F.col(key)), F.lit(waves)) == wave)
         _score_wave(part, pages, client_factory, results_path, key, page_no, image, max_pages, prompt,
-                    concurrency)
+                    concurrency, raw_json)
     if share_by:
         _fan_out(spark, candidates, to_call, results_path, key, share_by)
     all_results = spark.read.parquet(results_path)
