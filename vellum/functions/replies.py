@@ -86,6 +86,18 @@ def with_parsed_reply(df: DataFrame, raw: str, prefix: str = "reply") -> DataFra
     return df.drop(clean, f"{t}_whole", f"{t}_slice", f"{t}_v")
 
 
+def _with_parsed_reply_python(df: DataFrame, raw: str, prefix: str) -> DataFrame:
+    """Recovery by Python's json module (duplicate keys, NaN literals, the
+    stored ``json.dumps`` text); the object is then read as a VARIANT so the
+    field rules below are the same as in the native path."""
+    from vellum.functions.exact import recover_reply
+    t = f"__{prefix}_py"
+    df = df.withColumn(t, recover_reply(F.col(raw)))
+    value = F.try_parse_json(F.col(f"{t}.spark_json"))
+    return df.select("*", F.col(f"{t}.raw_json").alias(f"{prefix}_json"), value.alias(f"{prefix}_value"),
+                     F.col(f"{t}.error").alias(f"{prefix}_error")).drop(t)
+
+
 def _member(value: Column, key: str) -> Column:
     return F.try_variant_get(value, f"$.{key}", "variant")
 
@@ -136,12 +148,13 @@ def with_normalised_reply(df: DataFrame, raw: str, prefix: str = "reply",
                           raw_json: str = "text") -> DataFrame:
     """Reply text -> document_type, confidence, reason, raw_json, error
     (P25-P30). An unusable reply is an error row, not a failed job.
-    ``raw_json='text'`` keeps the JSON text that parsed; ``'python'``
-    renders it as Python's ``json.dumps`` does (an Arrow-batched UDF)."""
-    df = with_parsed_reply(df, raw, prefix)
+    ``raw_json='text'`` keeps the JSON text that parsed (fully native);
+    ``'python'`` recovers the object with Python's json module in Arrow
+    batches (duplicate keys, NaN literals) and stores its ``json.dumps``."""
     if raw_json == "python":
-        from vellum.functions.exact import canonical_json
-        df = df.withColumn(f"{prefix}_json", canonical_json(F.col(f"{prefix}_json")))
+        df = _with_parsed_reply_python(df, raw, prefix)
+    else:
+        df = with_parsed_reply(df, raw, prefix)
     value, err = F.col(f"{prefix}_value"), F.col(f"{prefix}_error")
     t = f"__{prefix}"
     df = df.select(
