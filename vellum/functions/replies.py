@@ -190,6 +190,37 @@ def decode_stored_result(doc_type, confidence, reason, raw_json) -> Column:
 
 
 def format_confidence(c) -> Column:
-    """Four decimals for CSV export (P31). Stored values stay DOUBLE."""
-    c = _col(c)
-    return F.when(c.isNotNull(), F.format_string("%.4f", c))
+    """Four decimals for CSV export (P31), rounded like Python's
+    ``f"{x:.4f}"``: half-to-even on the exact binary value of the double.
+
+    The double's bits (``Double.doubleToLongBits`` through ``reflect``) give
+    x = m * 2**-k exactly; x * 10**4 is then rounded with DECIMAL(38,0)
+    integer arithmetic. Magnitudes of 2**52 and above are whole numbers,
+    printed as m * 2**e; NaN and infinities print as Python does.
+    """
+    x = _col(c)
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), x).cast("bigint")
+    exp = F.shiftright(bits, 52).bitwiseAND(0x7FF)
+    frac = bits.bitwiseAND((1 << 52) - 1)
+    mant = F.when(exp == 0, frac).otherwise(frac.bitwiseOR(1 << 52)).cast("decimal(38,0)")
+    k = F.when(exp == 0, F.lit(1074)).otherwise(F.lit(1075) - exp)
+    two_k = F.pow(F.lit(2.0), k).cast("decimal(38,0)")
+    scaled = mant * F.lit(10000).cast("decimal(38,0)")
+    q = F.floor(scaled / two_k).cast("decimal(38,0)")
+    rem = scaled - q * two_k
+    up = F.when(rem * 2 > two_k, 1).when(rem * 2 == two_k, q % 2).otherwise(0)
+    r = F.when(k > 120, F.lit(0).cast("decimal(38,0)")).otherwise((q + up).cast("decimal(38,0)"))
+    sign = F.when(bits < 0, F.lit("-")).otherwise(F.lit(""))
+    text = F.concat(sign, F.floor(r / 10000).cast("decimal(38,0)").cast("string"), F.lit("."),
+                    F.lpad((r % 10000).cast("bigint").cast("string"), 4, "0"))
+    # whole numbers: m * 2**e exactly, while it fits 38 digits
+    e = exp - 1075
+    whole = F.concat(sign, (mant * F.pow(F.lit(2.0), e).cast("decimal(38,0)")).cast("decimal(38,0)")
+                     .cast("string"), F.lit(".0000"))
+    return (F.when(x.isNull(), F.lit(None).cast("string"))
+            .when(F.isnan(x), F.lit("nan"))
+            .when(x == float("inf"), F.lit("inf"))
+            .when(x == float("-inf"), F.lit("-inf"))
+            .when((F.abs(x) >= float(2 ** 52)) & (e <= 70), whole)
+            .when(F.abs(x) >= float(2 ** 52), F.format_string("%.4f", x))
+            .otherwise(text))
