@@ -50,3 +50,17 @@ def test_format_epoch_is_session_tz_independent(spark):
         assert r.t == "2024-01-01 01:02:03"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_group_keys_are_case_sensitive_and_folder_blind(spark):
+    from vellum.operators.latest import flag_latest
+    rows = [("a/Plan rev01.pdf", 1), ("b/plan rev02.pdf", 2), ("c/Plan rev01b.pdf", 3)]
+    df = spark.createDataFrame(rows, "relative_path string, t long")
+    stem = file_stem(F.col("relative_path"))
+    df = df.select("relative_path", revision_group_key(stem).alias("group_key"),
+                   revision_number(revision_label(stem)).alias("revision_number"),
+                   F.timestamp_seconds("t").alias("creation_time"))
+    got = {r.relative_path: (r.group_key, r.revision_number, r.is_latest) for r in flag_latest(df).collect()}
+    assert got["a/Plan rev01.pdf"] == ("Plan", 1, False)       # same number, older
+    assert got["c/Plan rev01b.pdf"] == ("Plan", 1, True)       # letter ignored, newer wins
+    assert got["b/plan rev02.pdf"] == ("plan", 2, True)        # other case, other group
