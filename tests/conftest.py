@@ -25,6 +25,8 @@ def spark():
     if not session.sparkContext.getCheckpointDir():
         session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vellum-test-ckpt-"))
     ensure_checkpoint_dir(session)
+    from vellum.session import ship_package
+    ship_package(session)
     yield session
 
 

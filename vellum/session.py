@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -40,9 +41,41 @@ def get_session(master: str | None = None, app_name: str = "vellum",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the executors' Python workers.
+
+    pandas UDFs and ``mapInPandas`` functions refer to vellum modules, so
+    the package is zipped once per application and distributed with
+    ``SparkContext.addPyFile`` (the zip is built on the driver and shipped
+    by Spark to every executor).
+    """
+    try:
+        sc = spark.sparkContext
+        key = sc.applicationId
+    except Exception:  # no SparkContext on this client (e.g. Spark Connect)
+        return
+    if key in _SHIPPED:
+        return
+    package_dir = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(package_dir)
+    archive = os.path.join(tempfile.mkdtemp(prefix="vellum-pkg-"), "vellum.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(package_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
