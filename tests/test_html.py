@@ -43,6 +43,7 @@ EDGE = [
     "<li>i1<li>i2</ul>",
     "<a href='x>y'>link</a><p class=\"a>b\">para</p>",
     "AT&T &ampx; &notin; &notit; &fjlig;",
+    "a<![CDATA[x > y]]>b<!DOCTYPE html>c<?pi x ?>d",
 ]
 
 

@@ -29,6 +29,7 @@ from vellum.functions.text import _col, py_strip
 RAW_ELEMENT_RE = (r"(?is)<script\b[^>]*>(.*?)</script(?:[\t\n\r\f /][^>]*)?>"
                   r"|<style\b[^>]*>(.*?)</style(?:[\t\n\r\f /][^>]*)?>")
 COMMENT_RE = "(?s)<!--.*?-->"
+CDATA_RE = "(?s)<!\\[CDATA\\[.*?\\]\\]>"
 # Attribute text of a tag: quoted values may contain '>'. Possessive
 # quantifiers keep the regex from backtracking (or recursing) on long tags.
 _ATTRS = "(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
@@ -152,6 +153,7 @@ def decode_charrefs(text: Column) -> Column:
 def _markup_text(segment: Column) -> Column:
     """Text of a stretch of markup outside raw-text elements."""
     x = F.regexp_replace(segment, COMMENT_RE, "")
+    x = F.regexp_replace(x, CDATA_RE, "")
     x = F.regexp_replace(x, BREAK_TAG_RE, "\n")
     x = F.regexp_replace(x, ANY_TAG_RE, "")
     return decode_charrefs(x)

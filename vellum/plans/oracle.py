@@ -7,7 +7,7 @@ the fixed values (whitespace set, patterns, labels) are shared.
 
 from __future__ import annotations
 
-from vellum.functions.html import (CHARREF_RE, COMMENT_RE, INVALID_CHARREFS, INVALID_CODEPOINTS,
+from vellum.functions.html import (CDATA_RE, CHARREF_RE, COMMENT_RE, INVALID_CHARREFS, INVALID_CODEPOINTS,
                                    LEGACY_NAME_MAX, MAX_CODEPOINT, NAMED_REFERENCES, RAW_ELEMENT_RE,
                                    REPLACEMENT_CHAR)
 from vellum.functions.naming import GERMAN_TRANSLITERATION
@@ -128,6 +128,7 @@ def html_text(x: str) -> str:
     """Needs the REF_COLS columns in scope."""
     def markup(o: str) -> str:
         y = f"regexp_replace({o}, {lit(COMMENT_RE)}, '', 'g')"
+        y = f"regexp_replace({y}, {lit(CDATA_RE)}, '', 'g')"
         y = f"regexp_replace({y}, {lit(BREAK_TAG_RE2)}, {NL}, 'g')"
         y = f"regexp_replace({y}, {lit(ANY_TAG_RE2)}, '', 'g')"
         return decode_charrefs(y)
