@@ -64,3 +64,24 @@ def test_group_keys_are_case_sensitive_and_folder_blind(spark):
     assert got["a/Plan rev01.pdf"] == ("Plan", 1, False)       # same number, older
     assert got["c/Plan rev01b.pdf"] == ("Plan", 1, True)       # letter ignored, newer wins
     assert got["b/plan rev02.pdf"] == ("plan", 2, True)        # other case, other group
+
+
+def test_revision_parse_matches_python_on_random_stems(spark):
+    import random
+    import re
+
+    def py_parse(stem):
+        m = re.search(r"[\s_]+(rev\d+[a-z]?)$", stem, flags=re.IGNORECASE)
+        if not m:
+            return stem, "", -1
+        rev = m.group(1)
+        num = re.match(r"rev(\d+)", rev, flags=re.IGNORECASE)
+        return stem[: m.start()].strip(" _"), rev, int(num.group(1)) if num else -1
+
+    rnd = random.Random(5)
+    parts = ["Plan", "x", " ", "_", "\t", "\xa0", "　", "rev", "REV", "Rev", "0", "12", "a", "B", "-", "\n"]
+    stems = ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 8))) for _ in range(400)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(stems)], "i int, s string")
+    rows = df.select("i", revision_group_key(F.col("s")).alias("g"), revision_label(F.col("s")).alias("r"),
+                     revision_number(revision_label(F.col("s"))).alias("n")).orderBy("i").collect()
+    assert [(r.g, r.r, r.n) for r in rows] == [py_parse(s) for s in stems]
