@@ -85,3 +85,24 @@ def test_revision_parse_matches_python_on_random_stems(spark):
     rows = df.select("i", revision_group_key(F.col("s")).alias("g"), revision_label(F.col("s")).alias("r"),
                      revision_number(revision_label(F.col("s"))).alias("n")).orderBy("i").collect()
     assert [(r.g, r.r, r.n) for r in rows] == [py_parse(s) for s in stems]
+
+
+def test_stems_and_suffixes_match_pathlib_on_random_names(spark):
+    import random
+    from pathlib import PurePosixPath
+    rnd = random.Random(6)
+    parts = ["a", "b", ".", "..", "x.y", "dir/", "-reduced", ".msg", " "]
+    paths = []
+    for _ in range(400):
+        p = "".join(rnd.choice(parts) for _ in range(rnd.randint(1, 5)))
+        name = p.rsplit("/", 1)[-1]
+        if name and name not in (".", ".."):
+            paths.append(p)
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string")
+    rows = df.select("i", file_stem(F.col("p")).alias("s"), with_suffix(F.col("p"), ".pdf").alias("w")) \
+             .orderBy("i").collect()
+    for r, p in zip(rows, paths):
+        path = PurePosixPath(p)
+        assert r.s == path.stem, p
+        if str(path) == p:                       # pathlib also normalises; compare where it does not
+            assert r.w == str(path.with_suffix(".pdf")), p
