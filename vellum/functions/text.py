@@ -86,7 +86,12 @@ def safe_float(c, default: float | None = 0.0) -> Column:
     result follow Python.
     """
     s = ascii_digits(py_strip(_col(c).cast("string")))
-    parsed = F.when(s.rlike(_FLOAT_RE), F.regexp_replace(s, "_", "").try_cast("double"))
+    low = F.lower(s)
+    # signed nan/inf words are read by Python but not by Spark's cast
+    special = (F.when(low.rlike("^[+-]?nan$"), F.lit(float("nan")))
+               .when(low.rlike("^[+]?inf(inity)?$"), F.lit(float("inf")))
+               .when(low.rlike("^-inf(inity)?$"), F.lit(float("-inf"))))
+    parsed = F.coalesce(special, F.when(s.rlike(_FLOAT_RE), F.regexp_replace(s, "_", "").try_cast("double")))
     if default is None:
         return parsed
     return F.coalesce(parsed, F.lit(float(default)))
