@@ -6,7 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import exact_dedup, line_dedup, substring_dedup
+from vellum.llm import (chunk_tokens, decontaminate, exact_dedup, line_dedup, packing, quality, secret_scan,
+                        substring_dedup, token_counts, token_files)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,4 +26,34 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_copies(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_line_dedup, op3_exact_dedup)}
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_documents(spark, sf_dir), chunk_tokens.vocabulary("byte_bpe_50k.json"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_documents(_documents(spark, sf_dir), chunk_tokens.vocabulary("word_bpe_49k.json"))
+    return token_files.read_files(manifest)
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(_documents(spark, sf_dir)))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_documents(spark, sf_dir), chunk_tokens.vocabulary("byte_bpe_50k.json"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = quality.fit_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.predictions(docs, model)
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.summary(decontaminate.find_overlaps(_documents(spark, sf_dir), benchmark))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_line_dedup, op3_exact_dedup, op5_best_fit_packing,
+                                   op6_secret_scan, op7_token_files, op8_token_counts, op9_quality,
+                                   op10_decontamination)}

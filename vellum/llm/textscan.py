@@ -105,12 +105,13 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         i = j
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words; a word never crosses a document."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words, the maximal runs of bytes that ``gap``
+    doesn't mark; a word never crosses a document."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    word = ~SPACE[data]
+    word = ~gap[data]
     before = np.zeros(n, dtype=bool)
     before[1:] = word[:-1]
     inner = offsets[1:-1]
@@ -140,13 +141,13 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def words(column, hashers: list[SpanHasher]) -> Words:
+def words(column, hashers: list[SpanHasher], gap: np.ndarray = SPACE) -> Words:
     data, offsets = utf8(column)
     starts, ends = [], []
     hashes: list[list[np.ndarray]] = [[] for _ in hashers]
     for i, j in slices(offsets):
         a, b = int(offsets[i]), int(offsets[j])
-        s, e = word_spans(data[a:b], offsets[i:j + 1] - a)
+        s, e = word_spans(data[a:b], offsets[i:j + 1] - a, gap)
         for k, h in enumerate(hashers):
             hashes[k].append(h.byte_spans(data[a:b], s, e))
         starts.append(s + a)
