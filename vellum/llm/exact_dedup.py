@@ -42,7 +42,8 @@ def heavy_digests(digests: DataFrame, share: int = SHARE, tracked: int = TRACKED
     part = F.pmod(F.spark_partition_id(), F.lit(FAN_IN))
     partial = (digests.withColumn("part", part).groupBy("part")
                .agg(F.expr(f"approx_top_k_accumulate(text_sha256, {tracked})").alias("summary")))
-    top = partial.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(summary, {tracked}), {share})").alias("top"))
+    # grouped by a constant, so that a partition without summaries adds no empty one
+    top = partial.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(summary, {tracked}), {share})").alias("top"))
     return top.select(F.explode("top").alias("t")).select(F.col("t.item").alias("text_sha256")) \
         .where(F.col("text_sha256").isNotNull())
 
