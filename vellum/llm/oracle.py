@@ -48,4 +48,22 @@ g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_sha256
 FROM d JOIN g USING (text_sha256)"""
 
-ORACLE = {"op1_substring_dedup": SUBSTRING, "op2_line_dedup": LINES, "op3_exact_dedup": EXACT}
+NEAR = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(generate_series(1, len(w) - 4),
+                                                          lambda i: array_to_string(list_slice(w, i, i + 4), ' ')))
+                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM sets
+  UNION SELECT r.x, l.y FROM reach r JOIN both_ways l ON r.y = l.x)
+SELECT s.doc_id, cast(len(s.s) AS BIGINT) AS n_shingles, r.component_id
+FROM sets s JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) r ON s.doc_id = r.x"""
+
+ORACLE = {"op1_substring_dedup": SUBSTRING, "op2_line_dedup": LINES, "op3_exact_dedup": EXACT, "op4_ngram_join": NEAR}

@@ -6,8 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import (chunk_tokens, decontaminate, exact_dedup, line_dedup, packing, quality, secret_scan,
-                        substring_dedup, token_counts, token_files)
+from vellum.llm import (chunk_tokens, decontaminate, exact_dedup, line_dedup, ngram_join, packing, quality,
+                        secret_scan, substring_dedup, token_counts, token_files)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_copies(_documents(spark, sf_dir))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_documents(spark, sf_dir))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), chunk_tokens.vocabulary("byte_bpe_50k.json"))
 
@@ -54,6 +58,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.summary(decontaminate.find_overlaps(_documents(spark, sf_dir), benchmark))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_line_dedup, op3_exact_dedup, op5_best_fit_packing,
-                                   op6_secret_scan, op7_token_files, op8_token_counts, op9_quality,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_line_dedup, op3_exact_dedup, op4_ngram_join,
+                                   op5_best_fit_packing, op6_secret_scan, op7_token_files, op8_token_counts, op9_quality,
                                    op10_decontamination)}
