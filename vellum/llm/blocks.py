@@ -60,13 +60,15 @@ def block_count(n_bytes: int, n_rows: int, block_bytes: int) -> int:
     return max(1, math.ceil(n_bytes / block_bytes), math.ceil(n_rows / 50_000))
 
 
-def dealt(docs: DataFrame, doc_id: str, text: str, n_blocks: int) -> DataFrame:
-    """(block, doc_id, text), dealt by a hash of id and text: rows without an
+def dealt(docs: DataFrame, doc_id: str, text: str, n_blocks: int, carry: list[str] = ()) -> DataFrame:
+    """(block, doc_id, text) and, as __x0, __x1, ..., the columns to carry, dealt by a hash of id and text: rows without an
     id spread too, and a null text becomes empty. The exchange is stated here
     so that all passes over one returned frame share it."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    extra = [f"__x{k}" for k in range(len(carry))]
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+                       *(F.col(f"`{c}`").alias(x) for c, x in zip(carry, extra)))
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int")
-    return rows.select(block.alias("block"), "doc_id", "text").repartition(n_blocks, "block")
+    return rows.select(block.alias("block"), "doc_id", "text", *extra).repartition(n_blocks, "block")
 
 
 def ordered(table: pa.Table) -> pa.Table:

@@ -108,9 +108,10 @@ def _last_id(table: pa.Table, last: np.ndarray) -> pa.Array:
 def drop_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
                       min_docs: int = MIN_DOCS, block_bytes: int = BLOCK_BYTES,
                       bits_per_byte: float = BITS_PER_BYTE, probes: int = PROBES,
-                      with_text: bool = True) -> DataFrame:
+                      with_text: bool = True, carry: list[str] = ()) -> DataFrame:
     """One row per input row: doc_id, n_lines, n_dropped, kept_sha256 and,
-    with ``with_text``, kept_text (the lines left, joined by a line break).
+    with ``with_text``, kept_text (the lines left, joined by a line break);
+    the columns named in ``carry`` come along as __x0, __x1, and so on.
 
     ``min_docs`` must be 2 or more. ``bits_per_byte`` sets the size of a
     filter from the size of the corpus (a key takes 40 bytes or more)."""
@@ -120,7 +121,7 @@ def drop_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     rows, size = blocks.volume(docs, text)
     n_blocks = blocks.block_count(size, rows, block_bytes)
     bloom = blocks.Filter(int(size * bits_per_byte) + 1, n_blocks)
-    dealt = blocks.dealt(docs, doc_id, text, n_blocks)
+    dealt = blocks.dealt(docs, doc_id, text, n_blocks, carry)
 
     def insert(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
@@ -166,6 +167,7 @@ def drop_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                 .where(F.col("total") >= min_docs).select("block", "k1", "k2", "keep_id"))
     out = [("doc_id", id_type), ("n_lines", "bigint"), ("n_dropped", "bigint"), ("kept_sha256", "string")]
     out += [("kept_text", "string")] * with_text
+    out += [(f"__x{k}", dict(docs.dtypes)[c]) for k, c in enumerate(carry)]
 
     def rewrite(table: pa.Table, replies: pa.Table) -> pa.Table:
         table = blocks.ordered(table)
@@ -193,7 +195,15 @@ def drop_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                 "kept_sha256": pa.array(textscan.sha256_hex(kept), pa.string())}
         if with_text:
             cols["kept_text"] = kept.cast(pa.string())
-        return pa.table(cols)
+        return pa.table(cols | {f"__x{k}": table[f"__x{k}"] for k in range(len(carry))})
 
     return dealt.groupBy("block").cogroup(verdicts.groupBy("block")).applyInArrow(
         rewrite, ", ".join(f"{n} {t}" for n, t in out))
+
+
+def without_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with the lines left as its text, all columns."""
+    carry = [c for c in docs.columns if c not in (doc_id, text)]
+    rows = drop_shared_lines(docs, doc_id, text, carry=carry)
+    named = {doc_id: "doc_id", text: "kept_text"} | {c: f"__x{k}" for k, c in enumerate(carry)}
+    return rows.select(*(F.col(named[c]).alias(c) for c in docs.columns))
