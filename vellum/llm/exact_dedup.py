@@ -73,6 +73,8 @@ def group_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
 def distinct_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns, one per group of equal
     texts. Repeated rows with the same id are reduced to one."""
-    kept = group_copies(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return (docs.join(kept, docs[doc_id].eqNullSafe(F.col("__kept")), "left_semi")
-            .withColumn("__digest", text_digest(text)).dropDuplicates([doc_id, "__digest"]).drop("__digest"))
+    kept = group_copies(docs, doc_id, text).where("kept").select(
+        F.col("doc_id").alias("__kept"), F.col("text_sha256").alias("__kept_text")).distinct()
+    rows = docs.withColumn("__digest", text_digest(text))
+    same = (F.col("__digest") == F.col("__kept_text")) & rows[doc_id].eqNullSafe(F.col("__kept"))
+    return rows.join(kept, same, "left_semi").dropDuplicates([doc_id, "__digest"]).drop("__digest")
