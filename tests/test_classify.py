@@ -35,23 +35,23 @@ def test_only_latest_rows_are_scored(spark, tmp_path):
 
     def reply(parts):
         seen.append(len(parts))
-        return json.dumps({"document_type": "image_based", "confidence": 0.93, "reason": "Mostly visual pages."})
+        return json.dumps({"document_type": "image_based", "confidence": 0.41, "reason": "many drawings"})
 
     res = classify_latest(spark, inv, pages, _client_factory(reply), str(tmp_path / "results"))
     out = {r.filename: r for r in export_rows(res.inventory).collect()}
     assert out["old.pdf"].llm_document_type == "" and out["old.pdf"].llm_confidence == ""
     assert out["latest.pdf"].llm_document_type == "image"
-    assert out["latest.pdf"].llm_confidence == "0.9300"
-    assert out["latest.pdf"].llm_reason == "Mostly visual pages."
+    assert out["latest.pdf"].llm_confidence == "0.4100"
+    assert out["latest.pdf"].llm_reason == "many drawings"
     assert res.scored.count() == 1
     msgs = {r.message for r in res.messages.collect()}
-    assert "old.pdf: skipped (not latest)" in msgs and "latest.pdf: image (0.9300)" in msgs
+    assert "old.pdf: skipped (not latest)" in msgs and "latest.pdf: image (0.4100)" in msgs
     again = classify_latest(spark, inv, pages, _client_factory(lambda p: 1 / 0), str(tmp_path / "results"))
     assert again.scored.count() == 0
 
 
 def test_cached_rows_are_not_rescored(spark, tmp_path):
-    inv = _inventory(spark, [("already.pdf", "docs/already.pdf", "True", "text_based", "0.8500")])
+    inv = _inventory(spark, [("already.pdf", "docs/already.pdf", "True", "text_based", "0.1250")])
     pages = spark.createDataFrame([("docs/already.pdf", 1, b"i")], PAGES_SCHEMA)
 
     def fail(parts):
@@ -59,7 +59,7 @@ def test_cached_rows_are_not_rescored(spark, tmp_path):
 
     res = classify_latest(spark, inv, pages, _client_factory(fail), str(tmp_path / "results"))
     row = export_rows(res.inventory).first()
-    assert row.llm_document_type == "text_based" and row.llm_confidence == "0.8500"
+    assert row.llm_document_type == "text_based" and row.llm_confidence == "0.1250"
     assert res.scored.count() == 0
     assert res.messages.first().message == "already.pdf: skipped (already text_based)"
 
@@ -115,3 +115,30 @@ def test_documents_with_the_same_content_share_one_call(spark, tmp_path):
     got = sorted((r.relative_path, r.llm_document_type) for r in res.scored.collect())
     assert got == [("a/x.pdf", "image"), ("b/y.pdf", "image"), ("c/z.pdf", "image")]
     assert calls.read_text().count("call") == 2
+
+
+def test_retry_gives_one_row_a_document(spark, tmp_path):
+    inv = _inventory(spark, [("a.pdf", "a.pdf", "True", None, None)])
+    pages = spark.createDataFrame([("a.pdf", 1, b"1")], PAGES_SCHEMA)
+    target = str(tmp_path / "results")
+    classify_latest(spark, inv, pages, _client_factory(lambda p: 1 / 0), target)
+    again = classify_latest(spark, inv, pages, _client_factory(lambda p: '{"asset_type": "text"}'), target, retry_errors=True)
+    assert [r.llm_document_type for r in again.scored.collect()] == ["text"]
+
+
+def test_blank_paths_go_by_full_path(spark, tmp_path):
+    rows = [("/x/a.pdf", "", "True"), ("/x/b.pdf", "", "True")]
+    inv = spark.createDataFrame(rows, "full_path string, relative_path string, is_latest string")
+    pages = spark.createDataFrame([("/x/a.pdf", 1, b"1"), ("/x/b.pdf", 1, b"2")], PAGES_SCHEMA)
+    res = classify_latest(spark, inv, pages, _client_factory(lambda p: '{"asset_type": "text"}'), str(tmp_path / "r"))
+    assert res.scored.count() == 2 and res.inventory.count() == 2 and res.messages.count() == 2
+
+
+def test_an_unreadable_results_table_is_an_error(spark, tmp_path):
+    import pytest
+    from vellum.plans.classify import read_results
+    assert read_results(spark, str(tmp_path / "none")).count() == 0
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        read_results(spark, str(tmp_path / "bad")).count()

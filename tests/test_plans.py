@@ -8,8 +8,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 from conftest import SF_SMALL
+from vellum.plans.catalogue import QUERIES
 
-PYTHON_QUERIES = {"html_text_exact"}      # the one query that runs a pandas UDF by design
 STREAMING = {"incremental_ingest", "streaming_dedup"}
 
 
@@ -20,7 +20,7 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
-NATIVE = sorted(set(entry_module.queries()) - PYTHON_QUERIES - STREAMING)
+NATIVE = sorted(set(QUERIES) - STREAMING)
 
 
 @pytest.mark.parametrize("name", NATIVE)
@@ -37,7 +37,7 @@ def test_no_text_in_exchanges(spark, name):
     text_is_output = {"upload_name_explicit", "upload_collisions", "upload_manifest", "upload_summary",
                       "message_body", "body_blocks", "message_headers", "converted_rows", "response_text",
                       "fence_strip", "json_brace_slice", "request_payload", "html_text_native",
-                      "reply_normalise", "score_candidates", "score_writeback", "score_summary",
+                      "html_text_exact", "reply_normalise", "score_candidates", "score_writeback", "score_summary",
                       "conversion_summary", "reduction_accounting"}
     plan = _plan(entry_module.queries()[name](spark, SF_SMALL))
     blocks = re.findall(r"\(\d+\) (?:Exchange|ShuffleExchange)\nInput \[\d+\]: \[([^\]]*)\]\n"

@@ -89,3 +89,34 @@ def test_staging_is_retry_safe(spark, tmp_path):
     assert reduction.commit_files(staged).first().error is None
     assert reduction.commit_files(staged).first().error is None           # a retried stage 2
     assert src.read_bytes() == b"orig"
+
+
+def test_rows_do_not_multiply(spark, tmp_path):
+    for n in ("x", "y"):
+        (tmp_path / f"{n}.bin").write_bytes(n.encode() * 10)
+    full = lambda n: str(tmp_path / f"{n}.bin")
+    inv = _inv(spark, [("x.bin", full("x"), "", "10", None), ("y.bin", full("y"), "", "10", None),
+                       ("x again", full("x"), "x.bin", "10", None), ("none", "", "", "1", "no")])
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def reducer(data):
+        (calls / f"{len(list(calls.iterdir()))}").touch()
+        return data[:4]
+    res = reduce_inventory(spark, inv, str(tmp_path), reducer)
+    got = sorted((r.filename, r.full_path, int(r.file_size), r.reduced) for r in res.inventory.collect())
+    assert got == [("none", "", 1, False), ("x.bin", full("x"), 4, True), ("x.bin", full("x"), 4, True),
+                   ("y.bin", full("y"), 4, True)]
+    acc = one(res.accounting)
+    assert (acc.n_reduced, acc.original_bytes, acc.reduced_bytes, len(list(calls.iterdir()))) == (2, 20, 8, 2)
+
+
+def test_a_lost_staged_file_is_an_error(spark, tmp_path):
+    from vellum.operators import reduction
+    src = tmp_path / "doc.bin"
+    src.write_bytes(b"ORIGINAL")
+    plan = reduction.reduction_plan(_inv(spark, [("doc.bin", str(src), "doc.bin", "8", None)]), str(tmp_path))
+    staged = spark.createDataFrame(reduction.reduce_files(plan, lambda d: d[:3]).collect(), reduction.REDUCE_RESULT)
+    os.rename(tmp_path / ".doc.bin.reduced-temp", tmp_path / "elsewhere")
+    assert reduction.commit_files(staged).first().error == "staged file missing"
+    assert src.read_bytes() == b"ORIGINAL"

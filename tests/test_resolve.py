@@ -32,5 +32,14 @@ def test_first_existing_candidate_wins(spark, rows, existing):
     keyed = [(f"k{i}", full, rel) for i, (full, rel) in enumerate(rows)]
     df = spark.createDataFrame(keyed, "key string, full_path string, relative_path string")
     listing = spark.createDataFrame([(p,) for p in sorted(existing)] or [("/nothing",)], "path string")
-    got = {r.key: r.resolved_path for r in resolve_paths(df, listing, BASE, key="key").collect()}
+    got = {r.key: r.resolved_path for r in resolve_paths(df, listing, BASE).collect()}
     assert got == {k: _brute(full, rel, existing) for k, full, rel in keyed}
+
+
+def test_blank_null_and_repeated_rows(spark):
+    rows = [("1", "", "/srv/a.pdf"), ("2", "", "/srv/c.pdf"), ("3", None, "/srv/a.pdf"), ("4", "a.pdf", None), ("5", "", ""),
+            ("6", None, None), ("7", "a.pdf", None)]
+    df = spark.createDataFrame(rows, "key string, relative_path string, full_path string")
+    listing = spark.createDataFrame([("/srv/a.pdf",), ("/srv/c.pdf",)], "path string")
+    got = {r.key: r.resolved_path for r in resolve_paths(df, listing, BASE).collect()}
+    assert got == {"1": "/srv/a.pdf", "2": "/srv/c.pdf", "3": "/srv/a.pdf", "4": "/srv/a.pdf", "5": None, "6": None, "7": "/srv/a.pdf"}

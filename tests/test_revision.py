@@ -8,17 +8,18 @@ from vellum.functions.revision import (file_stem, format_epoch, has_reduced_suff
 
 
 @pytest.mark.parametrize("stem,group,rev,num", [
-    ("260220 Spezifikation Slickline-Wireline Service rev00a",
-     "260220 Spezifikation Slickline-Wireline Service", "rev00a", 0),
-    ("250512 Spezifikation Schweißarbeiten_rev02a", "250512 Spezifikation Schweißarbeiten", "rev02a", 2),
-    ("Standalone Document rev01", "Standalone Document", "rev01", 1),
-    ("sample", "sample", "", -1),
-    ("Plan REV12", "Plan", "REV12", 12),
-    ("a _ _rev3", "a", "rev3", 3),
-    ("X rev01-reduced", "X rev01-reduced", "", -1),
-    (" rev01", "", "rev01", 1),
-    ("revision rev", "revision rev", "", -1),
-    ("no rev7", "no", "rev7", 7),
+    ("Pump manual rev07b", "Pump manual", "rev07b", 7),
+    ("Ölplan_rev1", "Ölplan", "rev1", 1),
+    ("leaflet", "leaflet", "", -1),
+    ("Tank REV120", "Tank", "REV120", 120),
+    ("t _\t_Rev0", "t", "Rev0", 0),
+    ("rev5", "rev5", "", -1),
+    ("x\u3000rev2", "x", "rev2", 2),
+    ("x rev2B", "x", "rev2B", 2),
+    ("x rev2ab", "x rev2ab", "", -1),
+    ("x rev 2", "x rev 2", "", -1),
+    ("Draft rev3-reduced", "Draft rev3-reduced", "", -1),
+    ("_rev9", "", "rev9", 9),
 ])
 def test_revision_parse(spark, stem, group, rev, num):
     r = spark.createDataFrame([(stem,)], "s string").select(
@@ -66,27 +67,6 @@ def test_group_keys_are_case_sensitive_and_folder_blind(spark):
     assert got["b/plan rev02.pdf"] == ("plan", 2, True)        # other case, other group
 
 
-def test_revision_parse_matches_python_on_random_stems(spark):
-    import random
-    import re
-
-    def py_parse(stem):
-        m = re.search(r"[\s_]+(rev\d+[a-z]?)$", stem, flags=re.IGNORECASE)
-        if not m:
-            return stem, "", -1
-        rev = m.group(1)
-        num = re.match(r"rev(\d+)", rev, flags=re.IGNORECASE)
-        return stem[: m.start()].strip(" _"), rev, int(num.group(1)) if num else -1
-
-    rnd = random.Random(5)
-    parts = ["Plan", "x", " ", "_", "\t", "\xa0", "　", "rev", "REV", "Rev", "0", "12", "a", "B", "-", "\n"]
-    stems = ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 8))) for _ in range(400)]
-    df = spark.createDataFrame([(i, s) for i, s in enumerate(stems)], "i int, s string")
-    rows = df.select("i", revision_group_key(F.col("s")).alias("g"), revision_label(F.col("s")).alias("r"),
-                     revision_number(revision_label(F.col("s"))).alias("n")).orderBy("i").collect()
-    assert [(r.g, r.r, r.n) for r in rows] == [py_parse(s) for s in stems]
-
-
 def test_stems_and_suffixes_match_pathlib_on_random_names(spark):
     import random
     from pathlib import PurePosixPath

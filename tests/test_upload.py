@@ -18,8 +18,9 @@ def test_upload_counts_and_overwrite(spark, tmp_path):
     ], "full_path string, relative_path string, upload_name string")
     res = upload_inventory(spark, inv, directory_put(str(store)))
     s = one(res.summary)
-    assert (s.uploaded, s.failed) == (2, 1)
+    assert (s.uploaded, s.failed, s.duplicates) == (1, 1, 1)
     assert sorted(p.name for p in store.iterdir()) == ["x--a-b.pdf"]
+    assert (store / "x--a-b.pdf").read_bytes() == b"one"          # the first path wins, every time
     c = one(res.collisions)
     assert (c.upload_name, c.n_paths, c.kept_path) == ("x--a-b.pdf", 2, "x/a b.pdf")
     failed = [r for r in res.results.collect() if r.status == "failed"][0]

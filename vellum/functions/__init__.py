@@ -1,5 +1,4 @@
-"""Column -> Column helpers. All run as built-in JVM expressions except the
-ones in ``vellum.functions.exact`` which are Arrow-batched pandas UDFs."""
+"""Column -> Column helpers. All run as built-in JVM expressions."""
 
 from vellum.functions.text import (  # noqa: F401
     PY_WHITESPACE, py_strip, blank_to_null, safe_str, is_truthy, safe_float,

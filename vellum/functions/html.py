@@ -12,9 +12,9 @@ The rules follow an HTML parser that only collects character data:
 
 The named-reference table and the invalid numeric reference rules are
 taken from Python's ``html`` module at import time, so they are the same
-tables Python's parser uses. ``vellum.functions.exact.html_to_text_exact``
-runs Python's parser itself (Arrow-batched) for byte-exact results, e.g.
-for references written without ``;`` and malformed markup.
+tables Python's parser uses. Malformed markup (an unclosed comment or
+``<script>``, a stray quote in a tag) may come out otherwise than from a
+parser.
 """
 
 from __future__ import annotations

@@ -86,18 +86,6 @@ def with_parsed_reply(df: DataFrame, raw: str, prefix: str = "reply") -> DataFra
     return df.drop(clean, f"{t}_whole", f"{t}_slice", f"{t}_v")
 
 
-def _with_parsed_reply_python(df: DataFrame, raw: str, prefix: str) -> DataFrame:
-    """Recovery by Python's json module (duplicate keys, NaN literals, the
-    stored ``json.dumps`` text); the object is then read as a VARIANT so the
-    field rules below are the same as in the native path."""
-    from vellum.functions.exact import recover_reply
-    t = f"__{prefix}_py"
-    df = df.withColumn(t, recover_reply(F.col(raw)))
-    value = F.try_parse_json(F.col(f"{t}.spark_json"))
-    return df.select("*", F.col(f"{t}.raw_json").alias(f"{prefix}_json"), value.alias(f"{prefix}_value"),
-                     F.col(f"{t}.error").alias(f"{prefix}_error")).drop(t)
-
-
 def _member(value: Column, key: str) -> Column:
     return F.try_variant_get(value, f"$.{key}", "variant")
 
@@ -120,6 +108,33 @@ def _python_str(v: Column) -> Column:
             .otherwise(F.to_json(v)))
 
 
+def _literal_text(json_text: Column) -> Column:
+    """A JSON list or object as Python would print it: quotes, constants and
+    spacing are changed piece by piece, strings apart from the rest."""
+    pieces = F.regexp_extract_all(json_text, F.lit(r'("(?:[^"\\\\]|\\\\.)*"|[^"]+)'), F.lit(1))
+
+    def render(p: Column) -> Column:
+        inner = F.substring(p, F.lit(2), F.length(p) - 2)
+        plain = F.replace(inner, F.lit('\\"'), F.lit('"'))
+        double = F.contains(plain, F.lit("'")) & ~F.contains(plain, F.lit('"'))
+        string = F.when(double, F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(
+            F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'")))
+        other = p
+        for a, b in (("null", "None"), ("true", "True"), ("false", "False"), (",", ", "), (":", ": ")):
+            other = F.replace(other, F.lit(a), F.lit(b))
+        return F.when(F.startswith(p, F.lit('"')), string).otherwise(other)
+    return F.array_join(F.transform(pieces, render), "")
+
+
+def _reason_text(reason: Column, json_text: Column) -> Column:
+    """``str()`` of the reason; lists and objects keep their key order, which
+    a VARIANT does not, so they are taken from the JSON text."""
+    t = F.schema_of_variant(reason)
+    nested = F.startswith(t, F.lit("ARRAY")) | F.startswith(t, F.lit("OBJECT"))
+    own = F.coalesce(F.get_json_object(json_text, "$.reasoning"), F.get_json_object(json_text, "$.reason"))
+    return F.when(nested, _literal_text(own)).otherwise(_python_str(reason))
+
+
 def normalise_label(label) -> Column:
     """strip, lower, '-' and ' ' -> '_', aliases folded, else 'error' (P27)."""
     t = F.lower(py_strip(label))
@@ -144,17 +159,12 @@ def _confidence_of(v: Column) -> Column:
             .otherwise(F.lit(0.0)))
 
 
-def with_normalised_reply(df: DataFrame, raw: str, prefix: str = "reply",
-                          raw_json: str = "text") -> DataFrame:
+def with_normalised_reply(df: DataFrame, raw: str, prefix: str = "reply") -> DataFrame:
     """Reply text -> document_type, confidence, reason, raw_json, error
-    (P25-P30). An unusable reply is an error row, not a failed job.
-    ``raw_json='text'`` keeps the JSON text that parsed (fully native);
-    ``'python'`` recovers the object with Python's json module in Arrow
-    batches (duplicate keys, NaN literals) and stores its ``json.dumps``."""
-    if raw_json == "python":
-        df = _with_parsed_reply_python(df, raw, prefix)
-    else:
-        df = with_parsed_reply(df, raw, prefix)
+    (P25-P30). An unusable reply is an error row, not a failed job. raw_json
+    is the JSON text that parsed. Repeated keys and NaN literals are no valid
+    JSON here."""
+    df = with_parsed_reply(df, raw, prefix)
     value, err = F.col(f"{prefix}_value"), F.col(f"{prefix}_error")
     t = f"__{prefix}"
     df = df.select(
@@ -171,7 +181,8 @@ def with_normalised_reply(df: DataFrame, raw: str, prefix: str = "reply",
         "*",
         F.when(ok, normalise_label(label_text)).otherwise(F.lit(ERROR_TYPE)).alias("document_type"),
         F.when(ok, clamp01(F.coalesce(_confidence_of(conf), F.lit(0.0)))).otherwise(F.lit(0.0)).alias("confidence"),
-        F.when(ok, F.coalesce(blank_to_null(_python_str(reason)), F.lit(NO_REASON))).otherwise(err).alias("reason"),
+        F.when(ok, F.coalesce(blank_to_null(_reason_text(reason, F.col(f"{prefix}_json"))), F.lit(NO_REASON)))
+         .otherwise(err).alias("reason"),
         F.col(f"{prefix}_json").alias("raw_json"),
         err.alias("error"),
     )

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from vellum.functions.naming import upload_name as upload_name_expr
+from vellum.sources import storage
 
 
 def with_upload_name(rows: DataFrame, path: str = "relative_path",
@@ -29,6 +30,27 @@ def name_winners(rows: DataFrame, name: str = "upload_name", path: str = "relati
     return rows.groupBy(name).agg(F.min(path).alias(path))
 
 
+def split_by_name(rows: DataFrame, name: str = "upload_name", path: str = "relative_path",
+                  local: str = "full_path") -> tuple[DataFrame, DataFrame]:
+    """(the row of each name with the smallest path, result rows of the
+    others). The winner is an aggregate over (path, local path)."""
+    best = rows.groupBy(name).agg(F.min(F.struct(F.coalesce(path, F.lit("")).alias("p"),
+                                                 F.coalesce(local, F.lit("")).alias("l"))).alias("_best"),
+                                  F.count(F.lit(1)).alias("_n"))
+    winners = best.select(name, F.col("_best.p").alias(path), F.col("_best.l").alias(local))
+    pairs = rows.select(F.col(name), F.coalesce(path, F.lit("")).alias("_p"), F.coalesce(local, F.lit("")).alias("_l"))
+    # only names that several rows share are looked at again
+    shared = best.filter(F.col("_n") > 1).select(F.col(name).alias("_name"), "_best")
+    ranked = pairs.groupBy(name, "_p", "_l").agg(F.count(F.lit(1)).alias("_rows")).join(
+        shared, F.col(name).eqNullSafe(F.col("_name")))
+    first = (F.col("_p") == F.col("_best.p")) & (F.col("_l") == F.col("_best.l"))
+    extra = ranked.withColumn("_rows", F.col("_rows") - F.when(first, 1).otherwise(0)).filter(F.col("_rows") > 0)
+    others = extra.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_rows")))).select(
+        F.col(name).alias("upload_name"), F.col("_l").alias("local_path"),
+        F.lit("duplicate_name").alias("status"), F.lit(None).cast("string").alias("error"))
+    return winners, others
+
+
 def upload_collisions(rows: DataFrame, name: str = "upload_name",
                       path: str = "relative_path") -> DataFrame:
     """Upload names shared by more than one path (Q12)."""
@@ -43,8 +65,11 @@ def upload_manifest(rows: DataFrame, listing: DataFrame, local: str = "full_path
     """Per row: whether the local file exists (J5, F8) and whether another
     path with the same name overrides it (first path wins)."""
     files = listing.select(F.col(listing_path).alias("_local"), F.lit(True).alias("_exists"))
-    winners = name_winners(rows, name, path).select(path, F.lit(True).alias("_first"))
-    j = (rows.withColumn("_local", F.col(local)).join(files, "_local", "left")
+    winners = name_winners(rows, name, path).select(path, F.lit(True).alias("_first")).distinct()
+    # a blank local path has no file: spread over random keys that match none
+    probe = F.when(F.coalesce(F.col(local), F.lit("")) != "", F.col(local)).otherwise(
+        F.concat(F.lit("\0"), F.xxhash64(path, name).cast("string")))
+    j = (rows.withColumn("_local", probe).join(files, "_local", "left")
              .join(winners, path, "left"))
     exists = F.coalesce(F.col("_exists"), F.lit(False))
     first = F.coalesce(F.col("_first"), F.lit(False))
@@ -63,14 +88,9 @@ UPLOAD_RESULT = T.StructType([
 ])
 
 
-def _read_local(path: str) -> bytes:
-    with open(path, "rb") as fh:
-        return fh.read()
-
-
 def upload(manifest: DataFrame, put_factory: Callable[[], Callable[[str, bytes], None]],
            local: str = "full_path", name: str = "upload_name",
-           read: Callable[[str], bytes] = _read_local, concurrency: int | None = None) -> DataFrame:
+           read: Callable[[str], bytes] = storage.read_bytes, concurrency: int | None = None) -> DataFrame:
     """Push each row's file with the injected ``put(name, data)``.
 
     Runs inside ``mapInPandas``; one client per partition; a failure is a
@@ -98,21 +118,19 @@ def upload(manifest: DataFrame, put_factory: Callable[[], Callable[[str, bytes],
 
 
 def upload_summary(results: DataFrame) -> DataFrame:
-    """Uploaded / failed counts."""
+    """Uploaded / failed / not put for a shared name."""
     return results.agg(F.count_if(F.col("status") == "uploaded").alias("uploaded"),
-                       F.count_if(F.col("status") != "uploaded").alias("failed"))
+                       F.count_if(F.col("status") == "failed").alias("failed"),
+                       F.count_if(F.col("status") == "duplicate_name").alias("duplicates"))
 
 
 def directory_put(root: str) -> Callable[[], Callable[[str, bytes], None]]:
-    """A put factory writing objects under a directory (tests, local runs)."""
-    import os
-
+    """A put factory writing objects under a folder, a path or a URI that all
+    executors share."""
     def factory():
         def put(name: str, data: bytes) -> None:
             if not name:
                 raise ValueError("empty object name")
-            target = os.path.join(root, name)
-            with open(target, "wb") as fh:
-                fh.write(data)
+            storage.write_bytes(f"{root.rstrip('/')}/{name}", data)
         return put
     return factory

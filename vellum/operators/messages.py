@@ -39,11 +39,12 @@ def message_fields(messages: DataFrame, html_fn: Callable[[Column], Column] = ht
 
 
 def header_lines(*values: Column) -> Column:
-    """'Label: value' for each non-empty header, in print order."""
+    """'Label: value' for each non-empty header, in print order, values
+    escaped (P21b, P21c)."""
     pairs = [F.struct(F.lit(label).alias("label"), v.alias("value"))
              for label, v in zip(HEADER_LABELS, values)]
     kept = F.filter(F.array(*pairs), lambda p: p["value"] != "")
-    return F.transform(kept, lambda p: F.concat(p["label"], F.lit(": "), p["value"]))
+    return F.transform(kept, lambda p: F.concat(p["label"], F.lit(": "), html_escape(p["value"])))
 
 
 def body_blocks(body) -> Column:
@@ -59,7 +60,7 @@ def rendered_text(fields: DataFrame) -> Column:
     """The text of the produced document: title, header lines, body blocks."""
     return F.concat_ws(
         "\n",
-        F.col("hdr_subject"),
+        html_escape(F.col("hdr_subject")),
         F.array_join(header_lines(F.col("hdr_from"), F.col("hdr_to"), F.col("hdr_cc"),
                                   F.col("hdr_date"), F.col("hdr_subject")), "\n"),
         F.array_join(body_blocks(F.col("body_text")), "\n"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import os
 from typing import Callable, Iterator
 
 import pandas as pd
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vellum.functions.revision import file_name, file_stem, has_reduced_suffix
 from vellum.functions.text import is_truthy
+from vellum.sources import storage
 
 MIB = 1024 ** 2
 GIB = 1024 ** 3
@@ -59,46 +59,31 @@ def reduction_plan(inventory: DataFrame, base_dir: str, output_dir: str | None =
 REDUCE_RESULT = T.StructType([
     T.StructField("source_path", T.StringType()),
     T.StructField("destination", T.StringType()),
+    T.StructField("staged_path", T.StringType()),
     T.StructField("original_size", T.LongType()),
     T.StructField("reduced_size", T.LongType()),
     T.StructField("reduced_md5", T.StringType()),
     T.StructField("error", T.StringType()),
 ])
+_COLUMNS = [f.name for f in REDUCE_RESULT.fields]
 
 
 def staged_path(destination: str) -> str:
     """Temporary sibling a reduced file is written to before it is committed."""
-    head, tail = os.path.split(destination)
-    return os.path.join(head, f".{tail}.reduced-temp")
-
-
-def _write_local(path: str, data: bytes) -> None:
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "wb") as fh:
-        fh.write(data)
-
-
-def _read_local(path: str) -> bytes:
-    with open(path, "rb") as fh:
-        return fh.read()
-
-
-def _rename_local(staged: str, destination: str) -> bool:
-    """Move ``staged`` over ``destination``; True if it is (now or already) there."""
-    if os.path.exists(staged):
-        os.replace(staged, destination)
-        return True
-    return os.path.exists(destination)
+    head, _, tail = destination.rpartition("/")
+    return f"{head}/.{tail}.reduced-temp" if head or destination.startswith("/") else f".{tail}.reduced-temp"
 
 
 def reduce_files(plan: DataFrame, reducer: Callable[[bytes], bytes],
-                 read: Callable[[str], bytes] = _read_local,
-                 write: Callable[[str, bytes], None] = _write_local) -> DataFrame:
-    """Stage 1 of a reduction: run ``reducer`` on every 'reduce' row inside
-    ``mapInPandas`` (X2) and write the result to a temporary sibling of its
-    destination. Sources are never touched here, so a retried task simply
-    redoes its files from the originals. Errors become rows."""
-    todo = plan.filter(F.col("action") == "reduce").select("source_path", "destination")
+                 read: Callable[[str], bytes] = storage.read_bytes,
+                 write: Callable[[str, bytes], None] = storage.write_bytes) -> DataFrame:
+    """Stage 1 of a reduction: run ``reducer`` on every source of a 'reduce'
+    row, once however many rows name it, inside ``mapInPandas`` (X2) and write
+    the result to a temporary sibling of its destination (a path or a URI on
+    a file system that all executors share). Sources are never touched here,
+    so a retried task redoes its files from the originals. Errors become
+    rows."""
+    todo = plan.filter(F.col("action") == "reduce").groupBy("source_path").agg(F.min("destination").alias("destination"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -108,31 +93,43 @@ def reduce_files(plan: DataFrame, reducer: Callable[[bytes], bytes],
                     data = read(src)
                     small = reducer(data)
                     write(staged_path(dst), small)
-                    out.append((src, dst, len(data), len(small), hashlib.md5(small).hexdigest(), None))
+                    out.append((src, dst, staged_path(dst), len(data), len(small), hashlib.md5(small).hexdigest(), None))
                 except Exception as exc:
-                    out.append((src, dst, None, None, None, f"{type(exc).__name__}: {exc}"))
-            yield pd.DataFrame(out, columns=[f.name for f in REDUCE_RESULT.fields])
+                    out.append((src, dst, None, None, None, None, f"{type(exc).__name__}: {exc}"))
+            yield pd.DataFrame(out, columns=_COLUMNS)
 
     return todo.mapInPandas(run, REDUCE_RESULT)
 
 
-def commit_files(results: DataFrame, rename: Callable[[str, str], bool] = _rename_local) -> DataFrame:
+def commit_one(staged: str, destination: str, md5: str) -> str | None:
+    """Move a staged file into place; an error text if it cannot be. A staged
+    file that is gone counts as moved only if the destination holds its very
+    bytes."""
+    found = storage.md5_of(staged)
+    if found == md5:
+        storage.move(staged, destination)
+        return None
+    if found is not None:
+        return "staged file differs from the reduced content"
+    return None if storage.md5_of(destination) == md5 else "staged file missing"
+
+
+def commit_files(results: DataFrame, commit: Callable[[str, str, str], str | None] = commit_one) -> DataFrame:
     """Stage 2: move every staged file over its destination. Run it on
-    results that are already stored (checkpointed): a retried task finds
-    its files either still staged or already moved, and both count as
-    committed. Rows whose rename fails get an error."""
+    results that are already stored (checkpointed): a retried task finds its
+    files either still staged or already moved, checked by their MD5. Rows
+    whose file is lost get an error and no sizes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             errors = []
-            for dst, err in zip(pdf["destination"], pdf["error"]):
-                if err is not None:
-                    errors.append(err)
-                    continue
-                try:
-                    errors.append(None if rename(staged_path(dst), dst) else "staged file missing")
-                except Exception as exc:
-                    errors.append(f"{type(exc).__name__}: {exc}")
+            for staged, dst, md5, err in zip(pdf["staged_path"], pdf["destination"], pdf["reduced_md5"], pdf["error"]):
+                if err is None:
+                    try:
+                        err = commit(staged, dst, md5)
+                    except Exception as exc:
+                        err = f"{type(exc).__name__}: {exc}"
+                errors.append(err)
             yield pdf.assign(error=errors)
 
     return results.mapInPandas(run, REDUCE_RESULT)
@@ -154,29 +151,36 @@ def reduction_accounting(results: DataFrame, by: list[str] | None = None) -> Dat
                       F.round(saved / F.lit(GIB), 2).alias("saved_gib"))
 
 
-def reduction_writeback(inventory: DataFrame, plan_results: DataFrame,
-                        key: str = "relative_path") -> DataFrame:
-    """Reduced path, name and size onto the inventory rows (J4). The stored
-    md5 is kept; the reduced file's md5 is added beside it (Q19)."""
-    res = plan_results.select(key, F.col("destination").alias("_dst"),
-                              F.col("reduced_size").alias("_size"),
-                              F.col("reduced_md5"), F.col("reduced_after").alias("_flag"))
-    j = inventory.join(res, key, "left")
-    changed = F.col("_size").isNotNull()
+def reduction_writeback(plan: DataFrame, results: DataFrame) -> DataFrame:
+    """Reduced path, name and size onto the rows of a :func:`reduction_plan`
+    (J4), which still are the inventory's rows: results have one row a source,
+    so rows never multiply, whatever their relative paths are. Rows that were
+    not reduced are set aside before the join. The stored md5 is kept; the
+    reduced file's md5 is added beside it (Q19)."""
+    own = [c for c in plan.columns if c not in ("source_path", "action", "destination", "reduced_after")]
+    res = results.filter(F.col("error").isNull()).select(
+        "source_path", F.col("destination").alias("_dst"), F.col("reduced_size").alias("_size"), "reduced_md5")
+    planned = plan.filter(F.col("action") == "reduce").join(res, "source_path", "left")
+    rest = plan.filter(F.col("action") != "reduce")
+    for name, kind in (("_dst", "string"), ("_size", "bigint"), ("reduced_md5", "string")):
+        rest = rest.withColumn(name, F.lit(None).cast(kind))
+    rows = planned.unionByName(rest)
+    done = F.col("_size").isNotNull()
+    flag = done | (F.col("action") == "already_reduced")
     cols = []
-    for c in inventory.columns:
+    for c in own:
         if c == "full_path":
-            cols.append(F.when(changed, F.col("_dst")).otherwise(F.col(c)).alias(c))
+            cols.append(F.when(done, F.col("_dst")).otherwise(F.col(c)).alias(c))
         elif c == "filename":
-            cols.append(F.when(changed, file_name(F.col("_dst"))).otherwise(F.col(c)).alias(c))
+            cols.append(F.when(done, file_name(F.col("_dst"))).otherwise(F.col(c)).alias(c))
         elif c == "file_size":
-            cols.append(F.when(changed, F.col("_size")).otherwise(F.col(c)).alias(c))
+            cols.append(F.when(done, F.col("_size")).otherwise(F.col(c)).alias(c))
         elif c == "reduced":
-            stored = F.col(c) if dict(inventory.dtypes)[c] == "boolean" else is_truthy(F.col(c))
-            cols.append(F.coalesce(F.col("_flag"), stored).alias(c))
+            stored = F.col(c) if dict(plan.dtypes)[c] == "boolean" else is_truthy(F.col(c))
+            cols.append(F.when(flag, F.lit(True)).otherwise(F.coalesce(stored, F.lit(False))).alias(c))
         else:
             cols.append(F.col(c))
-    return j.select(*cols, "reduced_md5")
+    return rows.select(*cols, "reduced_md5")
 
 
 CONTENT_RESULT = T.StructType([

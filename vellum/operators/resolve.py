@@ -36,22 +36,31 @@ def candidates(raw_columns: list[str], base_dir: str, search_parent: bool = True
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
-def resolve_paths(rows: DataFrame, listing: DataFrame, base_dir: str, key: str = "relative_path",
+def resolve_paths(rows: DataFrame, listing: DataFrame, base_dir: str,
                   raw_columns: tuple[str, ...] = ("full_path", "relative_path"),
                   search_parent: bool = True, first_non_empty: bool = False,
                   listing_path: str = "path") -> DataFrame:
     """Add ``resolved_path``: the first candidate present in ``listing``.
 
-    Candidates are exploded with their position, semi-joined with the listing
-    on the path (unique, so no hot key) and the smallest position kept per
-    row with ``min_by`` -- at most a handful of rows per key.
+    What a row resolves to depends on its raw paths alone, so each distinct
+    combination of them is resolved once: its candidates are exploded with
+    their position and semi-joined with the listing, and the smallest
+    position is kept (a handful of rows each). Rows without any raw path have
+    no candidate and are set aside before the join.
     """
-    cand = candidates(list(raw_columns), base_dir, search_parent, first_non_empty)
-    exploded = rows.select(F.col(key).alias("_row_key"), F.posexplode(cand).alias("_pos", "_cand"))
+    raws = list(raw_columns)
+    some = F.greatest(*[F.coalesce(F.col(c) != "", F.lit(False)) for c in raws], F.lit(False))
+    cand = candidates(raws, base_dir, search_parent, first_non_empty)
+    exploded = rows.filter(some).select(*raws).distinct().select(*raws, F.posexplode(cand).alias("_pos", "_cand"))
     files = listing.select(F.col(listing_path).alias("_cand"))
     hits = exploded.join(files, "_cand", "left_semi")
-    best = hits.groupBy("_row_key").agg(F.min_by("_cand", "_pos").alias("resolved_path"))
-    return (rows.join(best.withColumnRenamed("_row_key", key), key, "left"))
+    best = hits.groupBy(*raws).agg(F.min_by("_cand", "_pos").alias("resolved_path"))
+    best = best.select(*[F.col(c).alias(f"_raw{k}") for k, c in enumerate(raws)], "resolved_path")
+    same = F.lit(True)
+    for k, c in enumerate(raws):
+        same = same & F.col(c).eqNullSafe(F.col(f"_raw{k}"))
+    found = rows.filter(some).join(best, same, "left").select(*rows.columns, "resolved_path")
+    return found.unionByName(rows.filter(~some).withColumn("resolved_path", F.lit(None).cast("string")))
 
 
 def unresolved(resolved: DataFrame) -> DataFrame:

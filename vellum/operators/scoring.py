@@ -141,15 +141,13 @@ def call_model(requests: DataFrame, client_factory: Callable[[], Callable[[list]
     return out.withColumnRenamed("key", key)
 
 
-def normalise_responses(responses: DataFrame, key: str, raw_json: str = "python") -> DataFrame:
+def normalise_responses(responses: DataFrame, key: str) -> DataFrame:
     """Reply -> result columns (P24-P31); empty replies and failed calls are
-    error rows. ``raw_json='python'`` stores the parsed object as Python's
-    ``json.dumps`` renders it (the stored form the original keeps);
-    ``'text'`` keeps the recovered JSON text and stays fully native."""
+    error rows."""
     df = responses.withColumn("reply_text", response_text(F.col("output_text"), F.col("output")))
     df = df.withColumn("_failed", F.coalesce(F.col("call_error"), F.when(
         F.col("reply_text") == "", F.lit("model returned an empty response"))))
-    df = with_normalised_reply(df, "reply_text", raw_json=raw_json)
+    df = with_normalised_reply(df, "reply_text")
     failed = F.col("_failed")
     return df.select(
         key,
@@ -170,11 +168,13 @@ def latest_results(results: DataFrame, key: str, order: str = "scored_at") -> Da
 
 def writeback(inventory: DataFrame, results: DataFrame, key: str = "relative_path") -> DataFrame:
     """Inventory with result columns joined on ``key`` (J3). A new result
-    wins; otherwise a result already stored on the row is kept, as is."""
+    wins; otherwise a result already stored on the row is kept, as is. A key
+    has one result at most, and blank keys have none, so rows never multiply."""
     from vellum.schema import RESULT_SCHEMA
     from vellum.functions.text import safe_float
     res = results.select(key, *[F.col(f.name).cast(f.dataType).alias(f"_new_{f.name}")
                                 for f in RESULT_SCHEMA.fields])
+    res = res.filter(F.col(key) != "").dropDuplicates([key])
     joined = inventory.join(res, key, "left")
     cols = []
     for c in inventory.columns:

@@ -11,13 +11,12 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vellum.functions.exact import html_to_text_exact
 from vellum.functions.html import html_to_text
 from vellum.functions.naming import explicit_upload_name, generated_upload_name, upload_name
 from vellum.functions.replies import response_text, with_normalised_reply, with_parsed_reply
 from vellum.functions.revision import file_name, file_stem, format_epoch, revision_group_key, \
     revision_label, revision_number
-from vellum.functions.text import is_truthy, strip_code_fences
+from vellum.functions.text import html_escape, is_truthy, strip_code_fences
 from vellum.operators import delivery, messages as msg, reduction, scoring
 from vellum.operators.dedup import duplicate_groups, first_seen
 from vellum.operators.incremental import recompute_latest, scan_summary as scan_summary_op, \
@@ -27,7 +26,7 @@ from vellum.operators.resolve import resolve_paths, unresolved
 from vellum.sources import fixtures as fx
 from vellum.sources.inventory import export_rows
 from vellum.schema import align
-from vellum.session import cut_lineage
+from vellum.session import cut_lineage, local_path, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -245,7 +244,7 @@ def message_headers(spark, sf):
     f = _fields(spark, sf)
     lines = msg.header_lines(F.col("hdr_from"), F.col("hdr_to"), F.col("hdr_cc"), F.col("hdr_date"),
                              F.col("hdr_subject"))
-    return f.select("message_id", F.col("hdr_subject").alias("title"),
+    return f.select("message_id", html_escape(F.col("hdr_subject")).alias("title"),
                     F.array_join(lines, "\n").alias("header_text"), F.size(lines).alias("n_headers"))
 
 
@@ -254,28 +253,23 @@ def body_blocks(spark, sf):
     return f.select("message_id", F.posexplode(msg.body_blocks(F.col("body_text"))).alias("block_no", "block"))
 
 
+def _converted(spark, sf):
+    """The convert job over all messages, without the append."""
+    from vellum.plans.convert import convert_messages
+    return convert_messages(spark, fx.messages(spark, sf), shared_path(spark, "convert", unique=True),
+                            input_root="mail", output_base="emails", write=False)
+
+
 def converted_rows(spark, sf):
-    """Inventory rows of converted messages (P1b, P22): one base for all
+    """Inventory rows of the convert job (P1b, P22): one base for all
     relative paths, always latest, content identity of the rendered text."""
-    f = _fields(spark, sf)
-    rel_src = F.regexp_replace(F.col("source_path"), "^mail/", "")
-    rel = F.concat(F.lit("emails/"), msg.output_pdf_path(rel_src))
-    text = msg.rendered_text(f)
-    stem = file_stem(rel)
-    rev = revision_label(stem)
-    return f.select(
-        "message_id", rel.alias("relative_path"), file_name(rel).alias("filename"),
-        revision_group_key(stem).alias("group_key"), rev.alias("revision"),
-        revision_number(rev).alias("revision_number"), F.lit(True).alias("is_latest"),
-        F.lit(False).alias("reduced"), F.md5(text).alias("md5_hash"),
-        F.octet_length(text).cast("bigint").alias("file_size"))
+    return _converted(spark, sf).rows.select(
+        "message_id", "relative_path", "filename", "group_key", "revision", "revision_number", "is_latest",
+        "reduced", "md5_hash", "file_size")
 
 
 def conversion_summary(spark, sf):
-    f = fx.messages(spark, sf)
-    ok = F.coalesce(F.col("source_path"), F.lit("")) != ""
-    return f.agg(F.count(F.lit(1)).alias("detected"), F.count_if(ok).alias("converted"),
-                 F.count_if(~ok).alias("failed"))
+    return _converted(spark, sf).summary
 
 
 def html_text_native(spark, sf):
@@ -284,8 +278,8 @@ def html_text_native(spark, sf):
 
 
 def html_text_exact(spark, sf):
-    p = fx.table(spark, sf, "pages")
-    return p.select("page_id", html_to_text_exact(F.col("html")).alias("text"))
+    """Kept under its name: page texts with their sizes."""
+    return html_text_native(spark, sf).withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
 # ---- replies -------------------------------------------------------------------
@@ -374,7 +368,6 @@ def score_run(spark, sf):
     scorer through the whole classify job: candidates, first two pages,
     request, mapInPandas call, native normalisation, append-only results."""
     from vellum.plans.classify import classify_latest
-    from vellum.session import shared_path
     conv = fx.table(spark, sf, "conversations")
     key = F.concat(F.lit("conversations/"), F.col("conv_id").cast("string"), F.lit(".pdf"))
     inventory = conv.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns")).select(
@@ -520,13 +513,54 @@ def directory_scan(spark, sf):
     under the shared checkpoint folder, then listed with ``binaryFile``,
     hashed, deduplicated and flagged by ``scan_directory``."""
     from vellum.plans.scan import scan_directory
-    from vellum.session import local_path, shared_path
     base = shared_path(spark, "tree", unique=True)
     fx.write_file_tree(spark, sf, base)
     res = scan_directory(spark, local_path(base) + "/docs", local_path(base) + "/inventory", write=False)
     return res.scanned.select("relative_path", "group_key", "revision", "revision_number", "is_latest")
 
 
+def reduce_job(spark, sf):
+    """The reduce job over real files: every document's file is reduced in
+    place by an injected Python reducer. Every seventh row has a blank
+    relative path, and the files of every fifth document are named by a
+    second row too."""
+    from vellum.plans.reduce import reduce_inventory
+    base = shared_path(spark, "reduce_tree", unique=True)
+    fx.write_file_tree(spark, sf, base)
+    doc, rel = F.col("doc_id"), F.col("relative_path")
+    rows = fx.doc_files(spark, sf).select(
+        doc, F.concat(F.lit(local_path(base) + "/"), rel).alias("full_path"),
+        F.when(doc % 7 == 3, F.lit("")).otherwise(rel).alias("relative_path"), file_name(rel).alias("filename"),
+        "file_size", F.lit("False").alias("reduced"), F.lit(1).alias("row_no"))
+    rows = rows.unionByName(rows.filter(doc % 5 == 0).withColumn("row_no", F.lit(2)))
+    done = reduce_inventory(spark, rows, local_path(base), python_reducer).inventory
+    return done.select("doc_id", "row_no", F.substring("full_path", len(local_path(base)) + 2, 1 << 30).alias("path"),
+                       "relative_path", "file_size", "reduced", "reduced_md5")
+
+
+def upload_run(spark, sf):
+    """The upload job over real files to a shared folder; objects are named
+    by language and source, so many rows share a name. The stored objects
+    are read back for their MD5."""
+    from vellum.plans.upload import upload_inventory
+    base, target = (shared_path(spark, name, unique=True) for name in ("upload_tree", "objects"))
+    fx.write_file_tree(spark, sf, base)
+    rel = F.col("relative_path")
+    rows = fx.doc_files(spark, sf).select(
+        rel, F.when(F.col("doc_id") % 6 == 5, F.lit("/nowhere/")).otherwise(F.lit(local_path(base) + "/")).alias("root"),
+        F.when(F.col("doc_id") % 3 == 0, F.concat("lang", F.lit("-"), "source", F.lit(".bin"))).otherwise(
+            F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".bin"))).alias("upload_name"))
+    rows = rows.select(rel, F.concat("root", rel).alias("full_path"), "upload_name")
+    results = upload_inventory(spark, rows, delivery.directory_put(local_path(target))).results
+
+    def digests(batches):
+        from vellum.sources import storage
+        for pdf in batches:
+            yield pdf.assign(object_md5=[storage.md5_of(f"{local_path(target)}/{n}") if s == "uploaded" else None
+                                         for n, s in zip(pdf["upload_name"], pdf["status"])])
+    return results.select("upload_name", "status").mapInPandas(digests, "upload_name string, status string, object_md5 string")
+
+
 # ---- streaming ----------------------------------------------------------------------
 
 def incremental_ingest(spark, sf):
@@ -584,6 +618,8 @@ _QUERY_FUNCTIONS: dict[str, Query] = {
     "upload_manifest": upload_manifest,
     "upload_summary": upload_summary,
     "directory_scan": directory_scan,
+    "reduce_job": reduce_job,
+    "upload_run": upload_run,
     "incremental_ingest": incremental_ingest,
     "streaming_dedup": streaming_dedup,
 }

@@ -3,13 +3,15 @@ client and write the results back (B4, X1, I3)."""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from typing import Any, Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vellum.functions.replies import format_confidence
-from vellum.functions.text import is_truthy
+from vellum.functions.text import blank_to_null, is_truthy
 from vellum.operators import scoring
 
 RESULT_TABLE_SCHEMA = T.StructType([
@@ -20,6 +22,7 @@ RESULT_TABLE_SCHEMA = T.StructType([
     T.StructField("llm_raw_json", T.StringType()),
     T.StructField("error", T.StringType()),
     T.StructField("scored_at", T.TimestampType()),
+    T.StructField("run_id", T.StringType()),
 ])
 
 
@@ -33,40 +36,46 @@ class ClassifyResult:
 
 def _score_wave(candidates: DataFrame, pages: DataFrame, client_factory, results_path: str, key: str,
                 page_no: str, image: str, max_pages: int, prompt: str, concurrency: int | None,
-                raw_json: str = "python") -> None:
+                run_id: str) -> None:
     requests = scoring.build_requests(candidates, pages, key=key, page_no=page_no, image=image,
                                       max_pages=max_pages, prompt=prompt)
     responses = scoring.call_model(requests, client_factory, key=key, concurrency=concurrency)
-    normalised = scoring.normalise_responses(responses, key, raw_json)
+    normalised = scoring.normalise_responses(responses, key)
     no_pages = requests.filter(F.col("request_error").isNotNull()).select(
         key, F.lit("error").alias("llm_document_type"), F.lit(0.0).alias("llm_confidence"),
         F.col("request_error").alias("llm_reason"), F.lit(None).cast("string").alias("llm_raw_json"),
         F.col("request_error").alias("error"))
-    run = normalised.unionByName(no_pages).withColumn("scored_at", F.current_timestamp())
+    run = normalised.unionByName(no_pages).withColumn("scored_at", F.current_timestamp()).withColumn(
+        "run_id", F.lit(run_id))
     run.write.mode("append").parquet(results_path)
 
 
 def _fan_out(spark: SparkSession, candidates: DataFrame, called: DataFrame, results_path: str,
-             key: str, share_by: str) -> None:
+             key: str, share_by: str, run_id: str, salts: int = 64) -> None:
     """Append the representative's result for every other candidate that
-    shares its ``share_by`` value. Joins on the shared value and on the
-    representative key (one representative per value, so no hot key on the
-    result side)."""
+    shares its ``share_by`` value. The results (one row a value) are joined
+    with their value first and then copied to ``salts`` salted values, so the
+    followers of one hot value are spread over as many tasks."""
     reps = called.filter(F.col(share_by).isNotNull()).select(share_by, F.col(key).alias("_rep"))
-    followers = (candidates.filter(F.col(share_by).isNotNull()).select(key, share_by)
-                 .join(reps, share_by).filter(F.col(key) != F.col("_rep")))
-    results = spark.read.parquet(results_path).withColumnRenamed(key, "_rep")
-    latest = scoring.latest_results(results, "_rep")
-    copied = followers.join(latest, "_rep").drop("_rep", share_by)
-    copied.withColumn("scored_at", F.current_timestamp()).write.mode("append").parquet(results_path)
+    results = spark.read.parquet(results_path).filter(F.col("run_id") == run_id).withColumnRenamed(key, "_rep")
+    by_value = reps.join(scoring.latest_results(results, "_rep"), "_rep")
+    salted = by_value.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    followers = candidates.filter(F.col(share_by).isNotNull()).select(
+        key, share_by, F.pmod(F.xxhash64(key), F.lit(salts)).cast("int").alias("_salt"))
+    copied = followers.join(salted, [share_by, "_salt"]).filter(F.col(key) != F.col("_rep"))
+    copied = copied.drop("_rep", "_salt", share_by).withColumn("scored_at", F.current_timestamp())
+    copied.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(results_path)
 
 
 def read_results(spark: SparkSession, results_path: str, key: str = "relative_path") -> DataFrame:
+    """Stored results; a table that does not exist yet is empty, one that
+    cannot be read is an error."""
     try:
-        df = spark.read.parquet(results_path)
-    except Exception:
+        return spark.read.parquet(results_path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], RESULT_TABLE_SCHEMA).withColumnRenamed("relative_path", key)
-    return df
 
 
 def classify_latest(spark: SparkSession, inventory: DataFrame, pages: DataFrame,
@@ -74,8 +83,7 @@ def classify_latest(spark: SparkSession, inventory: DataFrame, pages: DataFrame,
                     key: str = "relative_path", page_no: str = "page_no", image: str = "image",
                     max_pages: int = 2, prompt: str = scoring.DEFAULT_PROMPT,
                     concurrency: int | None = None, retry_errors: bool = False,
-                    waves: int = 1, share_by: str | None = None,
-                    raw_json: str = "python") -> ClassifyResult:
+                    waves: int = 1, share_by: str | None = None) -> ClassifyResult:
     """One model call per latest document without a stored type.
 
     Results are appended to ``results_path`` before anything else reads
@@ -88,6 +96,9 @@ def classify_latest(spark: SparkSession, inventory: DataFrame, pages: DataFrame,
     share one call: the smallest key per value is scored and its result is
     written for the others too.
     """
+    run_id = uuid.uuid4().hex
+    if "full_path" in inventory.columns and "full_path" != key:  # a row without the key goes by its full path
+        inventory = inventory.withColumn(key, F.coalesce(blank_to_null(key), F.col("full_path"), F.col(key)))
     stored = read_results(spark, results_path, key)
     done = stored if not retry_errors else stored.filter(F.col("llm_document_type") != "error")
     candidates = scoring.score_candidates(inventory, done, key=key)
@@ -101,12 +112,12 @@ def classify_latest(spark: SparkSession, inventory: DataFrame, pages: DataFrame,
         part = to_call if waves == 1 else to_call.filter(
             F.pmod(F.xxhash64(F.col(key)), F.lit(waves)) == wave)
         _score_wave(part, pages, client_factory, results_path, key, page_no, image, max_pages, prompt,
-                    concurrency, raw_json)
+                    concurrency, run_id)
     if share_by:
-        _fan_out(spark, candidates, to_call, results_path, key, share_by)
+        _fan_out(spark, candidates, to_call, results_path, key, share_by, run_id)
     all_results = spark.read.parquet(results_path)
-    latest = scoring.latest_results(all_results.drop("error"), key)
-    scored = all_results.join(candidates.select(key), key, "left_semi")
+    latest = scoring.latest_results(all_results.drop("error", "run_id"), key)
+    scored = all_results.filter(F.col("run_id") == run_id).drop("run_id")
     flag = F.col("is_latest")
     flag = flag if dict(inventory.dtypes).get("is_latest") == "boolean" else is_truthy(flag)
     # Rows are only ever given results, never cleared: a row that stopped

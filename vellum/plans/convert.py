@@ -6,10 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vellum.functions.exact import html_to_text_exact
 from vellum.functions.html import html_to_text
 from vellum.functions.revision import file_name, file_stem, revision_group_key, revision_label, \
     revision_number
+from vellum.functions.text import html_escape
 from vellum.operators import messages as msg
 from vellum.operators.incremental import append_if_missing
 from vellum.session import cut_lineage
@@ -26,15 +26,14 @@ class ConvertResult:
 
 def convert_messages(spark: SparkSession, messages: DataFrame, inventory_path: str,
                      input_root: str = "", output_base: str = "emails", output_root: str | None = None,
-                     html: str = "exact", write: bool = True,
+                     write: bool = True,
                      documents_path: str | None = None) -> ConvertResult:
     """Message records -> document text + inventory rows, appended unless the
-    path is already stored. ``html='exact'`` runs Python's HTML parser in
-    Arrow batches; ``'native'`` uses the regex chain. The PDF layout engine
-    is not built: the produced document is its text (title, header lines,
-    escaped body blocks), whose MD5 and size go into the inventory."""
-    html_fn = (lambda c: html_to_text_exact(c)) if html == "exact" else html_to_text
-    fields = msg.message_fields(messages, html_fn)
+    path is already stored. The PDF layout engine is not built: the produced
+    document is its text (escaped title, header lines and body blocks), whose
+    MD5 and size go into the inventory. A message without a source path
+    cannot be converted and counts as failed."""
+    fields = msg.message_fields(messages, html_to_text)
     prefix = input_root.rstrip("/") + "/" if input_root else ""
     rel_src = (F.when(F.startswith(F.col("source_path"), F.lit(prefix)),
                       F.substring(F.col("source_path"), len(prefix) + 1, 1 << 30))
@@ -43,7 +42,7 @@ def convert_messages(spark: SparkSession, messages: DataFrame, inventory_path: s
     ok = F.coalesce(F.col("source_path"), F.lit("")) != ""
     docs = fields.select(
         "message_id", ok.alias("ok"), rel.alias("relative_path"),
-        F.col("hdr_subject").alias("title"),
+        html_escape(F.col("hdr_subject")).alias("title"),
         msg.header_lines(F.col("hdr_from"), F.col("hdr_to"), F.col("hdr_cc"), F.col("hdr_date"),
                          F.col("hdr_subject")).alias("header_lines"),
         msg.body_blocks(F.col("body_text")).alias("blocks"),
@@ -54,6 +53,7 @@ def convert_messages(spark: SparkSession, messages: DataFrame, inventory_path: s
     stem = file_stem(F.col("relative_path"))
     rev = revision_label(stem)
     rows = docs.filter(F.col("ok")).select(
+        "message_id",
         file_name(F.col("relative_path")).alias("filename"),
         (F.concat(F.lit(full_root + "/"), F.col("relative_path")) if full_root else F.col("relative_path"))
         .alias("full_path"),

@@ -242,7 +242,7 @@ msgs AS (
          CASE WHEN turn % 7 = 6 THEN '<div>' || replace(text, {NL}, '<br>') || '</div>' END AS body_html
   FROM conversations
   UNION ALL
-  SELECT 'p' || CAST(page_id AS VARCHAR), 'mail/web/page' || CAST(page_id AS VARCHAR) || '.msg', '',
+  SELECT 'p' || CAST(page_id AS VARCHAR), CASE WHEN page_id % 13 = 5 THEN '' ELSE 'mail/web/page' || CAST(page_id AS VARCHAR) || '.msg' END, '',
          regexp_extract(url, '^[a-z]+://([^/?#]+)', 1), '', '', '', '', '', html
   FROM pages),
 msgs_r AS (SELECT *, {REF_COLS} FROM msgs),
@@ -256,7 +256,7 @@ fields AS (
                   '') AS body_text
   FROM msgs_r),
 hdr AS (
-  SELECT *, concat_ws({NL}, {', '.join(f"CASE WHEN {v} <> '' THEN {lit(lab + ': ')} || {v} END" for lab, v in zip(HEADER_LABELS, ['hdr_from', 'hdr_to', 'hdr_cc', 'hdr_date', 'hdr_subject']))}) AS header_text,
+  SELECT *, concat_ws({NL}, {', '.join(f"CASE WHEN {v} <> '' THEN {lit(lab + ': ')} || {html_escape(v)} END" for lab, v in zip(HEADER_LABELS, ['hdr_from', 'hdr_to', 'hdr_cc', 'hdr_date', 'hdr_subject']))}) AS header_text,
          CAST({' + '.join(f"CAST({v} <> '' AS INTEGER)" for v in ['hdr_from', 'hdr_to', 'hdr_cc', 'hdr_date', 'hdr_subject'])} AS INTEGER) AS n_headers,
          list_transform(
            list_filter(list_transform(regexp_split_to_array(
@@ -432,13 +432,13 @@ SELECT doc_id, flag_text, {truthy('flag_text')} AS flag FROM t""",
     "path_resolution": f"WITH {RESOLVED} SELECT relative_path, full_path, resolved_path FROM resolved",
     "unresolved_paths": f"WITH {RESOLVED} SELECT relative_path, 'file not found' AS error FROM resolved WHERE resolved_path IS NULL",
     "message_body": f"WITH {MSGS} SELECT message_id, body_text FROM hdr",
-    "message_headers": f"WITH {MSGS} SELECT message_id, hdr_subject AS title, header_text, n_headers FROM hdr",
+    "message_headers": f"WITH {MSGS} SELECT message_id, {html_escape('hdr_subject')} AS title, header_text, n_headers FROM hdr",
     "body_blocks": f"""WITH {MSGS}
 SELECT message_id, CAST(generate_subscripts(blocks, 1) - 1 AS INTEGER) AS block_no, unnest(blocks) AS block FROM hdr""",
     "converted_rows": f"""WITH {MSGS}, cv AS (
   SELECT message_id, 'emails/' || {with_pdf("regexp_replace(source_path, '^mail/', '')")} AS rel,
-         concat_ws({NL}, hdr_subject, header_text, array_to_string(blocks, {NL})) AS rendered
-  FROM hdr)
+         concat_ws({NL}, {html_escape('hdr_subject')}, header_text, array_to_string(blocks, {NL})) AS rendered
+  FROM hdr WHERE source_path <> '')
 SELECT message_id, rel AS relative_path, {name_of('rel')} AS filename,
        CASE WHEN regexp_matches({stem_of('rel')}, {lit(REV)}) THEN trim(regexp_extract({stem_of('rel')}, {lit(REV)}, 1), ' _') ELSE {stem_of('rel')} END AS group_key,
        CASE WHEN regexp_matches({stem_of('rel')}, {lit(REV)}) THEN regexp_extract({stem_of('rel')}, {lit(REV)}, 2) ELSE '' END AS revision,
@@ -539,5 +539,19 @@ SELECT count(*) FILTER (WHERE file_exists) AS uploaded, count(*) FILTER (WHERE N
        count(*) FILTER (WHERE status = 'duplicate_name') AS overwritten FROM manifest""",
     "incremental_ingest": NEW_FILES_SQL,
     "directory_scan": f"WITH {FLAGGED} SELECT relative_path, group_key, revision, revision_number, is_latest FROM flagged",
+    "reduce_job": f"""WITH {FILES},
+red AS (SELECT doc_id, relative_path, {REDUCE_TEXT} AS small
+        FROM (SELECT *, string_split(regexp_replace(text, '[ \t]+', ' ', 'g'), chr(10)) AS l FROM files)),
+named AS (SELECT *, 1 AS row_no FROM red UNION ALL SELECT *, 2 FROM red WHERE doc_id % 5 = 0)
+SELECT doc_id, row_no, relative_path AS path, CASE WHEN doc_id % 7 = 3 THEN '' ELSE relative_path END AS relative_path,
+       CAST(strlen(small) AS BIGINT) AS file_size, true AS reduced, md5(small) AS reduced_md5 FROM named""",
+    "upload_run": f"""WITH {FILES},
+named AS (SELECT doc_id, relative_path, md5_hash, CASE WHEN doc_id % 3 = 0 THEN lang || '-' || source || '.bin'
+                 ELSE 'd' || CAST(doc_id AS VARCHAR) || '.bin' END AS upload_name FROM files),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY upload_name ORDER BY relative_path) AS k FROM named)
+SELECT upload_name, CASE WHEN k > 1 THEN 'duplicate_name' WHEN doc_id % 6 = 5 THEN 'failed' ELSE 'uploaded' END AS status,
+       CASE WHEN k = 1 AND doc_id % 6 <> 5 THEN md5_hash END AS object_md5 FROM ranked""",
+    "html_text_exact": f"""WITH {REFS}, p AS (SELECT *, {REF_COLS} FROM pages)
+SELECT page_id, text, length(text) AS n_chars FROM (SELECT page_id, {html_text("coalesce(html, '')")} AS text FROM p)""",
     "streaming_dedup": "SELECT DISTINCT md5(text) AS md5_hash FROM documents",
 }

@@ -23,16 +23,16 @@ class ReduceResult:
 
 def reduce_inventory(spark: SparkSession, inventory: DataFrame, base_dir: str,
                      reducer: Callable[[bytes], bytes], output_dir: str | None = None,
-                     replace_original: bool = True, key: str = "relative_path") -> ReduceResult:
+                     replace_original: bool = True) -> ReduceResult:
     """Reduce every row not reduced yet, in two stages that survive task
     retries: reduce into staged files (sources untouched), store the
-    results, then move the staged files into place. The stored results feed
-    the accounting and the inventory update, so nothing is reduced twice."""
+    results, then move the staged files into place. A file that several rows
+    name is reduced and accounted once. The stored results feed the
+    accounting and the inventory update, so nothing is reduced twice."""
     plan = cut_lineage(reduction.reduction_plan(inventory, base_dir, output_dir, replace_original), spark)
     staged = cut_lineage(reduction.reduce_files(plan, reducer), spark)
     results = cut_lineage(reduction.commit_files(staged), spark)
-    joined = plan.join(results.drop("destination"), "source_path", "left")
-    updated = reduction.reduction_writeback(inventory, joined, key=key)
+    updated = reduction.reduction_writeback(plan, results)
     return ReduceResult(plan, results, updated, reduction.reduction_accounting(results))
 
 

@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vellum.operators.dedup import first_seen
-from vellum.operators.incremental import recompute_latest, scan_summary, unseen
+from vellum.operators.incremental import recompute_latest, unseen
 from vellum.operators.latest import flag_latest
-from vellum.session import cut_lineage
+from vellum.session import shared_path
 from vellum.sources.files import PDF_GLOB, list_files, scan_rows
 from vellum.sources.inventory import append_inventory, read_inventory
 
@@ -19,31 +19,37 @@ class ScanResult:
     scanned: DataFrame   # every distinct file with its latest flag
     added: DataFrame     # rows appended to the inventory
     summary: DataFrame   # one row: total_files, added_files, skipped_files
-    errors: DataFrame    # files that could not be read (e.g. too large)
+    errors: DataFrame    # files that could not be read 
 
 
 def scan_directory(spark: SparkSession, root: str, inventory_path: str, glob: str = PDF_GLOB,
-                   max_bytes: int | None = None, write: bool = True) -> ScanResult:
+                   write: bool = True) -> ScanResult:
     """List, hash, dedup by content, flag the latest revision per group and
     append the paths not stored yet.
 
-    The listing (the only stage that reads file bodies) is checkpointed once
-    so the summary, the append and the returned frames never read the files
-    again, and the summary is fixed before the inventory changes.
+    The listing (the only stage that reads file bodies) is stored once as
+    Parquet, and so are the flagged rows with a mark on those that are new,
+    from which the append, the summary and the returned frames are read: the
+    summary is fixed before the inventory changes.
     """
-    listing = list_files(spark, root, glob, with_md5=True, max_bytes=max_bytes)
-    listing = cut_lineage(listing, spark)
+    base = shared_path(spark, "scan", unique=True)
+    list_files(spark, root, glob, with_md5=True).write.parquet(f"{base}/listing")
+    listing = spark.read.parquet(f"{base}/listing")
     good = listing.filter(F.col("error").isNull())
-    # the latest flag reads the distinct rows twice (rows, per-group winners)
-    distinct = cut_lineage(first_seen(scan_rows(good, root)), spark)
-    flagged = cut_lineage(flag_latest(distinct), spark)
+    scan_rows(good, root).write.parquet(f"{base}/rows")
+    flagged = flag_latest(first_seen(spark.read.parquet(f"{base}/rows")))
     existing = read_inventory(spark, inventory_path)
-    added = cut_lineage(unseen(flagged, existing), spark)
-    summary = cut_lineage(scan_summary(flagged, existing), spark)
+    fresh = unseen(flagged.select("relative_path"), existing).withColumn("_new", F.lit(True)).distinct()
+    flagged.join(fresh, "relative_path", "left").withColumn("_new", F.coalesce("_new", F.lit(False))).write.parquet(
+        f"{base}/flagged")
+    stored = spark.read.parquet(f"{base}/flagged")
+    added = stored.filter("_new").drop("_new")
+    summary = stored.agg(F.count(F.lit(1)).alias("total_files"), F.count_if("_new").alias("added_files"),
+                         F.count_if(~F.col("_new")).alias("skipped_files"))
     if write:
         append_inventory(added, inventory_path)
     errors = listing.filter(F.col("error").isNotNull()).select("path", "length", "error")
-    return ScanResult(flagged, added, summary, errors)
+    return ScanResult(stored.drop("_new"), added, summary, errors)
 
 
 def current_inventory(spark: SparkSession, inventory_path: str, mode: str = "corrected") -> DataFrame:

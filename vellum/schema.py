@@ -20,7 +20,7 @@ INVENTORY_FIELDS = [
     "md5_hash",
 ]
 
-# The result columns the classifier adds, in order.
+# The result columns that scoring adds, in order.
 RESULT_FIELDS = ["llm_document_type", "llm_confidence", "llm_reason", "llm_raw_json"]
 
 INVENTORY_SCHEMA = T.StructType([

@@ -81,7 +81,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     The folder comes from ``spark.checkpoint.dir`` (or one already set on the
     SparkContext). Only when neither is set -- a test or a laptop -- is a
-    fresh local folder created and installed.
+    fresh local folder created and installed; a cluster without the setting
+    is an error, since executors would not see a folder of the driver.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -89,6 +90,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="vellum-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -123,9 +126,3 @@ def local_path(path: str) -> str:
         return path[len("file:"):]
     return path
 
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

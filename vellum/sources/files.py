@@ -1,48 +1,88 @@
-"""File listings through Spark's ``binaryFile`` source."""
+"""File listings made by the executors."""
 
 from __future__ import annotations
 
 import os
-from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vellum.functions.revision import (file_name, file_stem, revision_group_key, revision_label,
                                        revision_number)
+from vellum.session import shared_path
 
-# Case-insensitive glob for PDF files.
+# Endings of the files that are listed.
 PDF_GLOB = "*.[pP][dD][fF]"
 MSG_GLOB = "*.msg"
 
-
-def list_files(spark: SparkSession, root: str, glob: str = PDF_GLOB, with_md5: bool = True,
-               max_bytes: int | None = None) -> DataFrame:
-    """Recursive listing with size, modification time and MD5 of the content.
-
-    The content column is consumed by ``md5`` inside the scan stage and never
-    leaves it, so no file body is shuffled. ``max_bytes`` keeps oversized
-    files out of the content read (the length filter is evaluated by the
-    source before the body is loaded); they are returned with a NULL md5 and
-    an ``error``. Names starting with '.' or '_' are skipped by the source.
+_ENTRY = "path string, folder boolean, length bigint, modificationTime timestamp, error string"
+
+
+def _level(folders: DataFrame) -> DataFrame:
+    """The entries of each folder; one that cannot be read is an error row."""
+    def run(batches):
+        from pyarrow import fs
+        from vellum.sources.storage import filesystem
+        for pdf in batches:
+            rows = []
+            for folder in pdf["path"]:
+                try:
+                    system, at = filesystem(folder)
+                    for e in system.get_file_info(fs.FileSelector(at)):
+                        rows.append((f"{folder.rstrip('/')}/{e.base_name}", e.type == fs.FileType.Directory, e.size, e.mtime, None))
+                except Exception as exc:
+                    rows.append((folder, False, None, None, f"{type(exc).__name__}: {exc}"))
+            yield pd.DataFrame(rows, columns=["path", "folder", "length", "modificationTime", "error"]).astype(
+                {"length": "Int64", "modificationTime": "datetime64[us, UTC]"})
+    return folders.mapInPandas(run, _ENTRY)
+
+
+def _hashed(files: DataFrame) -> DataFrame:
+    """MD5 of each file, read in chunks, so any size fits a task."""
+    def run(batches):
+        from vellum.sources.storage import md5_of
+        for pdf in batches:
+            digests, errors = [], []
+            for path, error in zip(pdf["path"], pdf["error"]):
+                digest = None
+                if error is None:
+                    try:
+                        digest = md5_of(path)
+                        error = None if digest else "not a file"
+                    except Exception as exc:
+                        error = f"{type(exc).__name__}: {exc}"
+                digests.append(digest)
+                errors.append(error)
+            yield pdf.assign(md5_hash=digests, error=errors)
+    return files.mapInPandas(run, "path string, length bigint, modificationTime timestamp, error string, md5_hash string")
+
+
+def list_files(spark: SparkSession, root: str, glob: str = PDF_GLOB, with_md5: bool = True) -> DataFrame:
+    """Recursive listing with size, modification time and MD5 of the content,
+    of files of any name and size.
+
+    Folders are read level by level, each level by a job over the folders
+    that the last one found, and stored; the files are then dealt to tasks
+    again and hashed there in chunks. Only path, size, time and digest move.
+    A folder or file that cannot be read is a row with an ``error``.
     """
-    reader = (spark.read.format("binaryFile")
-              .option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", glob))
-    with _listing_parallelism(spark):
-        raw = reader.load(root)
-    path = F.regexp_replace(F.col("path"), "^file:(//)?", "")
-    meta = [path.alias("path"), F.col("length"), F.col("modificationTime")]
+    base = shared_path(spark, "listing", unique=True)
+    level = spark.createDataFrame([(root.rstrip("/") or "/",)], "path string")
+    depth = 0
+    while True:
+        _level(level).write.parquet(f"{base}/entries/depth={depth}")
+        entries = spark.read.parquet(f"{base}/entries/depth={depth}")
+        level = entries.filter("folder").select("path").repartition("path")
+        if level.isEmpty():
+            break
+        depth += 1
+    pattern = "(?s).*[.](?i:pdf)" if glob == PDF_GLOB else "(?s).*" + glob.lstrip("*").replace(".", "[.]")
+    entries = spark.read.parquet(f"{base}/entries")
+    found = entries.filter(~F.col("folder") & (F.col("error").isNotNull() | F.col("path").rlike(f"^{pattern}$")))
+    files = found.select("path", "length", "modificationTime", "error")
     if not with_md5:
-        return raw.select(*meta)
-    if max_bytes is None:
-        return raw.select(*meta, F.md5(F.col("content")).alias("md5_hash"),
-                          F.lit(None).cast("string").alias("error"))
-    small = raw.filter(F.col("length") <= max_bytes).select(
-        *meta, F.md5(F.col("content")).alias("md5_hash"), F.lit(None).cast("string").alias("error"))
-    large = raw.filter(F.col("length") > max_bytes).select(
-        *meta, F.lit(None).cast("string").alias("md5_hash"),
-        F.lit(f"file larger than {max_bytes} bytes").alias("error"))
-    return small.unionByName(large)
+        return files.filter(F.col("error").isNull()).drop("error")
+    return _hashed(files.repartition("path")).select("path", "length", "modificationTime", "md5_hash", "error")
 
 
 def parent_of(root: str) -> str:
@@ -52,31 +92,6 @@ def parent_of(root: str) -> str:
     return os.path.dirname(os.path.abspath(root).rstrip("/")) or "/"
 
 
-_DISCOVERY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-
-
-@contextmanager
-def _listing_parallelism(spark: SparkSession, waves: int = 4):
-    """Deep trees are listed by a Spark job with one task per directory up
-    to this setting (10,000 by default); thousands of one-directory tasks
-    cost far more than the listing. Cap it at a few waves over the cluster's
-    cores while this listing runs (a smaller setting is kept)."""
-    previous = spark.conf.get(_DISCOVERY, None)
-    try:
-        target = max(1, waves * spark.sparkContext.defaultParallelism)
-    except Exception:
-        target = None
-    try:
-        if target is not None and (previous is None or int(previous) > target):
-            spark.conf.set(_DISCOVERY, str(target))
-        yield
-    finally:
-        if previous is None:
-            spark.conf.unset(_DISCOVERY)
-        else:
-            spark.conf.set(_DISCOVERY, previous)
-
-
 def relative_to(path_col, base: str):
     """Path relative to ``base``, or the whole path when outside it."""
     prefix = base.rstrip("/") + "/"

@@ -25,17 +25,27 @@ BATCH_COL = "ingest_batch"
 
 def ingest_stream(rows: DataFrame, inventory_path: str, checkpoint: str,
                   to_scan_rows: Callable[[DataFrame], DataFrame] = lambda d: d,
-                  key: str = "relative_path", available_now: bool = True):
-    """Start the ingest query; returns the StreamingQuery."""
+                  key: str = "relative_path", content: str = "md5_hash", available_now: bool = True):
+    """Start the ingest query; returns the StreamingQuery. Flags are stored
+    as they were on arrival; ``current_inventory`` works them out over all
+    stored rows."""
 
     def append_batch(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         scan = flag_latest(first_seen(to_scan_rows(batch)))
         try:
-            stored = spark.read.parquet(inventory_path).select(key)
-        except AnalysisException:  # nothing stored yet
-            stored = spark.createDataFrame([], f"`{key}` string")
-        new = unseen_by_probe(scan, stored, key).withColumn(BATCH_COL, F.lit(epoch_id).cast("bigint"))
+            table = spark.read.parquet(inventory_path)
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            table = spark.createDataFrame([], f"`{key}` string, `{content}` string, {BATCH_COL} bigint")  # nothing stored yet
+        new = unseen_by_probe(scan, table.select(key), key)
+        # contents that an earlier batch of this stream has stored: only those of this batch are looked up
+        if BATCH_COL in table.columns:
+            known = table.filter(F.col(BATCH_COL).isNotNull() & (F.col(BATCH_COL) != epoch_id)).select(content)
+            held = known.join(new.select(content).distinct(), content, "left_semi").distinct()
+            new = new.join(held, content, "left_anti").select(*new.columns)
+        new = new.withColumn(BATCH_COL, F.lit(epoch_id).cast("bigint"))
         new.write.mode("append").parquet(inventory_path)
 
     writer = (rows.writeStream.foreachBatch(append_batch)
