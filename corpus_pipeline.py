@@ -17,9 +17,16 @@ from vellum.llm import chunk_tokens, decontaminate, line_dedup, ngram_join, pack
 from vellum.session import ensure_checkpoint_dir, shared_path, ship_package
 
 
+def _ready(spark: SparkSession) -> None:
+    """The shared folder is set and the executors have this package."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go (operator 9). It learns from
     the labelled rows of ``docs`` that are not held out."""
+    _ready(spark)
     model = quality.fit_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.good_documents(docs, model)
 
@@ -27,6 +34,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of many documents stay in one of them (operator 2); n_chars
     follows the text."""
+    _ready(spark)
     left = line_dedup.without_shared_lines(docs)
     return left.withColumn("n_chars", F.char_length("text").cast(dict(docs.dtypes)["n_chars"]))
 
@@ -34,16 +42,19 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the least id stays
     (operator 4)."""
+    _ready(spark)
     return ngram_join.first_of_components(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap with a test item go (operator 10)."""
+    _ready(spark)
     return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, as token sequences (operator 5)."""
+    _ready(spark)
     return packing.pack_documents(docs, chunk_tokens.vocabulary("byte_bpe_50k.json"))
 
 
@@ -58,8 +69,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply STAGES to ``documents``; each result is stored in the shared
     folder and read again."""
-    ensure_checkpoint_dir(spark)
-    ship_package(spark)
+    _ready(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         result = stage(spark, docs, sf_dir)
