@@ -19,12 +19,13 @@ from vellum.functions.revision import file_name, file_stem, format_epoch, revisi
 from vellum.functions.text import html_escape, is_truthy, strip_code_fences
 from vellum.operators import delivery, messages as msg, reduction, scoring
 from vellum.operators.dedup import duplicate_groups, first_seen
-from vellum.operators.incremental import recompute_latest, scan_summary as scan_summary_op, \
+from vellum.operators.incremental import append_if_missing, recompute_latest, scan_summary as scan_summary_op, \
     stale_latest as stale_latest_op, unseen
 from vellum.operators.latest import flag_latest, group_summary as group_summary_op
 from vellum.operators.resolve import resolve_paths, unresolved
 from vellum.sources import fixtures as fx
-from vellum.sources.inventory import export_rows
+from vellum.sources.inventory import (append_inventory, export_rows, read_csv_inventory, read_inventory,
+                                      write_csv_inventory)
 from vellum.schema import align
 from vellum.session import cut_lineage, local_path, shared_path
 
@@ -184,6 +185,18 @@ def inventory_align(spark, sf):
     return export_rows(both)
 
 
+def inventory_csv_append(spark, sf):
+    """The inventory written as CSV, read back and appended twice to a typed
+    table (S4, S5, S6): the second append finds every path stored."""
+    base = shared_path(spark, "csv_append", unique=True)
+    write_csv_inventory(appended_inventory(spark, sf), f"{base}/csv")
+    for _ in range(2):
+        rows = read_csv_inventory(spark, f"{base}/csv")
+        added = append_if_missing(rows, read_inventory(spark, f"{base}/inventory"))
+        append_inventory(cut_lineage(added, spark), f"{base}/inventory")
+    return export_rows(read_inventory(spark, f"{base}/inventory"))
+
+
 # ---- names -------------------------------------------------------------------
 
 def upload_name_generated(spark, sf):
@@ -588,6 +601,7 @@ _QUERY_FUNCTIONS: dict[str, Query] = {
     "stale_latest": stale_latest,
     "recomputed_latest": recomputed_latest,
     "inventory_align": inventory_align,
+    "inventory_csv_append": inventory_csv_append,
     "upload_name_generated": upload_name_generated,
     "upload_name_explicit": upload_name_explicit,
     "upload_collisions": upload_collisions,

@@ -555,3 +555,5 @@ SELECT upload_name, CASE WHEN k > 1 THEN 'duplicate_name' WHEN doc_id % 6 = 5 TH
 SELECT page_id, text, length(text) AS n_chars FROM (SELECT page_id, {html_text("coalesce(html, '')")} AS text FROM p)""",
     "streaming_dedup": "SELECT DISTINCT md5(text) AS md5_hash FROM documents",
 }
+# a round trip through CSV and two appends leave the same rows
+ORACLE["inventory_csv_append"] = ORACLE["inventory_align"]
