@@ -10,7 +10,7 @@ import __spark_entry__ as entry_module
 from conftest import SF_SMALL
 from vellum.plans.catalogue import QUERIES
 
-STREAMING = {"incremental_ingest", "streaming_dedup"}
+STREAMING = {"incremental_ingest", "ingest_in_batches", "streaming_dedup"}
 
 
 def _plan(df) -> str:

@@ -586,6 +586,11 @@ def streaming_dedup(spark, sf):
     return dedup_documents_stream(spark, sf)
 
 
+def ingest_in_batches(spark, sf):
+    from vellum.streaming.ingest import ingest_in_batches as run
+    return run(spark, sf).select("relative_path", "is_latest")
+
+
 _QUERY_FUNCTIONS: dict[str, Query] = {
     "inventory_scan": inventory_scan,
     "revision_parse": revision_parse,
@@ -635,6 +640,7 @@ _QUERY_FUNCTIONS: dict[str, Query] = {
     "reduce_job": reduce_job,
     "upload_run": upload_run,
     "incremental_ingest": incremental_ingest,
+    "ingest_in_batches": ingest_in_batches,
     "streaming_dedup": streaming_dedup,
 }
 

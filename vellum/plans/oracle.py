@@ -557,3 +557,5 @@ SELECT page_id, text, length(text) AS n_chars FROM (SELECT page_id, {html_text("
 }
 # a round trip through CSV and two appends leave the same rows
 ORACLE["inventory_csv_append"] = ORACLE["inventory_align"]
+# batches that arrive one after the other end as one scan of all does
+ORACLE["ingest_in_batches"] = ORACLE["recomputed_latest"]

@@ -23,29 +23,36 @@ from vellum.session import shared_path
 BATCH_COL = "ingest_batch"
 
 
+def _stored_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored table; one that does not exist yet is empty, one that cannot
+    be read is an error."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def ingest_stream(rows: DataFrame, inventory_path: str, checkpoint: str,
                   to_scan_rows: Callable[[DataFrame], DataFrame] = lambda d: d,
                   key: str = "relative_path", content: str = "md5_hash", available_now: bool = True):
     """Start the ingest query; returns the StreamingQuery. Flags are stored
     as they were on arrival; ``current_inventory`` works them out over all
-    stored rows."""
+    stored rows. The digests of all contents seen lie beside the inventory, a
+    part per batch, so a copy in a later batch adds nothing."""
+    seen_path = f"{inventory_path.rstrip('/')}-seen"
 
     def append_batch(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        scan = flag_latest(first_seen(to_scan_rows(batch)))
-        try:
-            table = spark.read.parquet(inventory_path)
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
-            table = spark.createDataFrame([], f"`{key}` string, `{content}` string, {BATCH_COL} bigint")  # nothing stored yet
-        new = unseen_by_probe(scan, table.select(key), key)
-        # contents that an earlier batch of this stream has stored: only those of this batch are looked up
-        if BATCH_COL in table.columns:
-            known = table.filter(F.col(BATCH_COL).isNotNull() & (F.col(BATCH_COL) != epoch_id)).select(content)
-            held = known.join(new.select(content).distinct(), content, "left_semi").distinct()
-            new = new.join(held, content, "left_anti").select(*new.columns)
-        new = new.withColumn(BATCH_COL, F.lit(epoch_id).cast("bigint"))
+        rows = first_seen(to_scan_rows(batch))
+        # contents that earlier batches brought, stored or not; a replayed batch rewrites its own part
+        known = _stored_or_empty(spark, seen_path, f"`{content}` string, batch bigint").filter(F.col("batch") != epoch_id)
+        held = known.select(content).join(rows.select(content).distinct(), content, "left_semi").distinct()
+        rows = rows.join(held, content, "left_anti").select(*rows.columns)
+        rows.select(content).write.mode("overwrite").parquet(f"{seen_path}/batch={epoch_id}")
+        stored = _stored_or_empty(spark, inventory_path, f"`{key}` string").select(key)
+        new = unseen_by_probe(flag_latest(rows), stored, key).withColumn(BATCH_COL, F.lit(epoch_id).cast("bigint"))
         new.write.mode("append").parquet(inventory_path)
 
     writer = (rows.writeStream.foreachBatch(append_batch)
@@ -76,6 +83,27 @@ def ingest_documents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(inventory_path).filter(F.col(BATCH_COL).isNotNull())
 
 
+def ingest_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents arrive as one file per language, in the order of their
+    paths, and are ingested one file a batch into the earlier inventory;
+    returns the stored inventory with its flags worked out over all rows."""
+    from vellum.operators.incremental import recompute_latest
+    from vellum.plans.catalogue import earlier_inventory
+    from vellum.sources.fixtures import doc_files_of, scan_listing_of
+
+    base = shared_path(spark, "ingest_batches", unique=True)
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    langs = [r["lang"] for r in docs.select("lang").distinct().orderBy("lang").limit(100).collect()]  # languages are few
+    for lang in langs:
+        docs.filter(F.col("lang") == lang).coalesce(1).write.mode("append").parquet(f"{base}/arrivals")
+    seed = earlier_inventory(spark, sf_dir).withColumn(BATCH_COL, F.lit(None).cast("bigint"))
+    seed.write.parquet(f"{base}/inventory")
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/arrivals")
+    ingest_stream(stream, f"{base}/inventory", f"{base}/checkpoint",
+                  to_scan_rows=lambda d: scan_listing_of(doc_files_of(d))).awaitTermination()
+    return recompute_latest(spark.read.parquet(f"{base}/inventory").drop(BATCH_COL))
+
+
 def dedup_stream(rows: DataFrame, key: str, out_path: str, checkpoint: str,
                  watermark_col: str | None = None, watermark: str = "1 day"):
     """Streaming first-seen dedup on ``key`` (I2). Without a watermark the
