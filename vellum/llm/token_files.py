@@ -2,7 +2,7 @@
 
 Documents are encoded where they are read (ids by the tokenizers library, an
 end id behind each), coded in blocks of at most ``simple8b.BLOCK`` ids that
-never span documents, dealt by ranges of the id and written to files of a
+never span documents, shuffled once by ranges of the id and written to files of a
 bounded size in the shared folder. A file holds, in this order and little
 endian: magic, numbers of documents, blocks, words and exceptions; per
 document its id, whether the id is null, its number of blocks and of
@@ -28,20 +28,42 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from vellum.llm import chunk_tokens, simple8b
+from vellum.llm import blocks, chunk_tokens, simple8b
 from vellum.session import shared_path
 
 MAGIC = b"VTOK8B01"
 FILE_BYTES = 16 << 20
-_CODED = "doc_id bigint, tie bigint, n_tokens bigint, sizes binary, word_counts binary, words binary, exceptions binary"
+RANGE_BYTES = 64 << 20  # text of one range of ids
+_CODED = "part int, doc_id bigint, tie bigint, n_tokens bigint, sizes binary, word_counts binary, words binary, exceptions binary"
 _MANIFEST = "path string, part int, file int, n_docs bigint, n_tokens bigint"
 
 
-def coded_documents(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: its ids as Simple-8b blocks."""
+class Ranges:
+    """Ranges of ids in ascending order, null ids first. Eight bytes a range
+    travel to the tasks. An id that fills several ranges, and null ids, are
+    spread over theirs in the order of the texts' hashes."""
+
+    def __init__(self, docs: DataFrame, doc_id: str, n: int):
+        ids = docs.select(F.col(doc_id).cast("bigint").alias("i"))
+        shares = [k / n for k in range(1, n)] or [0.5]
+        row = ids.agg(F.count(F.lit(1)).alias("rows"), F.count("i").alias("ids"),
+                      F.percentile_approx("i", shares, max(10_000, 20 * n)).alias("bounds")).first()
+        self.bounds = np.array(row["bounds"] if n > 1 and row["bounds"] else [], np.int64)
+        self.for_null = math.ceil(n * (row["rows"] - row["ids"]) / row["rows"]) if row["rows"] else 0
+        self.n = self.for_null + len(self.bounds) + 1
+
+    def part(self, ids: np.ndarray, null: np.ndarray, tie: np.ndarray) -> np.ndarray:
+        place = tie.astype(float) / 2.0**64 + 0.5  # ascends with the hash
+        low = np.searchsorted(self.bounds, ids)
+        same = np.searchsorted(self.bounds, ids, side="right") - low
+        own = self.for_null + low + np.minimum((place * (same + 1)).astype(np.int64), same)
+        return np.where(null, np.minimum((place * self.for_null).astype(np.int64), max(self.for_null - 1, 0)), own)
+
+
+def coded_documents(docs: DataFrame, vocabulary: str, ranges: Ranges, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: its range of ids, and its token ids as Simple-8b blocks."""
     def code(batches):
         encoder = chunk_tokens.word_encoder(vocabulary)
         for batch in batches:
@@ -56,12 +78,15 @@ def coded_documents(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", te
                 words, word_counts, _ = simple8b.encode(full, sizes)
                 block_at = np.concatenate([[0], np.cumsum(n_blocks)])
                 word_at = np.concatenate([[0], np.cumsum(word_counts)])[block_at]
+                own, tie = batch.column("doc_id").slice(first, n), batch.column("tie").slice(first, n)
+                null = np.asarray(own.is_null())
+                part = ranges.part(own.fill_null(0).to_numpy(), null, tie.to_numpy())
                 cut = lambda a, at, t: [a[at[d]:at[d + 1]].astype(t).tobytes() for d in range(n)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, n), batch.column("tie").slice(first, n), pa.array(length, pa.int64()),
+                    [pa.array(part, pa.int32()), own, tie, pa.array(length, pa.int64()),
                      pa.array(cut(sizes, block_at, "<u2"), pa.binary()), pa.array(cut(word_counts, block_at, "<u2"), pa.binary()),
                      pa.array(cut(words, word_at, "<u8"), pa.binary()), pa.array([b""] * n, pa.binary())],
-                    names=["doc_id", "tie", "n_tokens", "sizes", "word_counts", "words", "exceptions"])
+                    names=["part", "doc_id", "tie", "n_tokens", "sizes", "word_counts", "words", "exceptions"])
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return rows.withColumn("tie", F.xxhash64("text")).mapInArrow(code, _CODED)
@@ -127,17 +152,13 @@ def _filesystem(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + uri)
 
 
-def write_files(coded: DataFrame, folder: str, file_bytes: int = FILE_BYTES, partitions: int | None = None) -> DataFrame:
-    """Write coded documents (a stored table) in id order; returns the
-    manifest as a stored table. ``folder`` is a URI in the shared folder."""
+def write_files(coded: DataFrame, folder: str, n_ranges: int, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Write coded documents in id order; returns the manifest as a stored
+    table. ``folder`` is a URI in the shared folder."""
     spark = coded.sparkSession
-    if partitions is None:
-        size = coded.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-        partitions = max(1, math.ceil(size / (4 * file_bytes)), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    names = [c.split()[0] for c in _CODED.split(", ")]
 
     def write(batches):
-        part, number, pending, size = TaskContext.get().partitionId(), 0, [], 0
+        part, number, pending, size = -1, 0, [], 0
 
         def flush():
             nonlocal number, pending, size
@@ -153,6 +174,10 @@ def write_files(coded: DataFrame, folder: str, file_bytes: int = FILE_BYTES, par
         manifest_schema = pa.schema([("path", pa.string()), ("part", pa.int32()), ("file", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
         for batch in batches:
             for row in batch.to_pylist():
+                if row["part"] != part:
+                    if pending:
+                        yield flush()
+                    part, number = row["part"], 0
                 pending.append(row)
                 size += len(row["words"]) + 64
                 if size >= file_bytes:
@@ -160,8 +185,8 @@ def write_files(coded: DataFrame, folder: str, file_bytes: int = FILE_BYTES, par
         if pending:
             yield flush()
 
-    spread = coded.select(*names).repartitionByRange(partitions, F.col("doc_id").asc_nulls_first(), F.col("tie"))
-    manifest = spread.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("tie")).mapInArrow(write, _MANIFEST)
+    spread = coded.repartition(n_ranges, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "tie")
+    manifest = spread.mapInArrow(write, _MANIFEST)
     path = f"{folder.rstrip('/')}-manifest"
     manifest.write.parquet(path)
     return spark.read.parquet(path)
@@ -192,9 +217,12 @@ def read_files(manifest: DataFrame) -> DataFrame:
 
 
 def write_documents(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text",
-                    folder: str | None = None) -> DataFrame:
-    """Encode and write a table; returns the manifest."""
+                    folder: str | None = None, file_bytes: int = FILE_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Encode and write a table; returns the manifest. Texts are encoded in
+    the scan, and coded ids are shuffled once, by ranges of the document id."""
     spark = docs.sparkSession
-    path = shared_path(spark, "token_files", "coded", unique=True)
-    coded_documents(docs, vocabulary, doc_id, text).write.parquet(path)
-    return write_files(spark.read.parquet(path), folder or shared_path(spark, "token_files", "files", unique=True))
+    _, size = blocks.volume(docs, text)
+    n = max(math.ceil(size / range_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = Ranges(docs, doc_id, n)
+    folder = folder or shared_path(spark, "token_files", "files", unique=True)
+    return write_files(coded_documents(docs, vocabulary, ranges, doc_id, text), folder, ranges.n, file_bytes)
