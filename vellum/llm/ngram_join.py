@@ -12,12 +12,12 @@ Allocation goes by cost: merged counts tell each set how many others share
 every subset, and it spends its units on the cheapest; what nobody shares costs
 nothing and yields no candidate. Candidates are verified exactly.
 
-Equal sets are one class throughout. In a group of many sets that share a
-subset, not all pairs are made: all are first verified against the most
-connected member; then only pairs are left that are in different components
-and that the triangle inequality (Jaccard distance is a metric) does not rule
-out. So all links between different sets are found up to those that join two
-members of one component.
+Equal sets are one class throughout. Of a group of many sets that share a
+subset no pairs are made: all are first verified against the most connected
+member; the sets that such groups connect ("families") and that are not in one
+component by then are compared chunk by chunk, each two chunks in one group,
+through the shingles they share. So every link between different sets is
+found, up to those that join two members of one component.
 
 Stages: (A) one scan makes (doc_id, class, size); (B) documents are dealt to
 blocks once, and three grouped passes exchange compressed subset keys by hash
@@ -46,9 +46,10 @@ from vellum.session import shared_path
 SIZE = 5
 BLOCK_BYTES = 8 << 20
 KEY_BITS = 44
-SPARE = 1.2            # segments a band has, over the units a set must spend
+SPARE = 2.0            # segments a band has, over the units a set must spend
 DELETION_SIZES = 32    # bands up to this size index one-deletion neighbourhoods too
 ALL_PAIRS = 16         # groups with fewer pairs than this are verified pair by pair
+CHUNK = 128            # members of a family that are compared with as many others in one group
 SALT_ROWS = 512        # members verified against one centre in one group
 
 _U = np.uint64
@@ -425,43 +426,64 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 _LINKED = "100 * common >= 80 * (size_a + size_b - common)"
 
 
-def _later_pairs(groups: DataFrame, roots: DataFrame, distances: DataFrame) -> DataFrame:
-    """Pairs of large groups that are still open: a probe and a member in
-    different components whose distances to the group's centre differ by no
-    more than a link allows."""
+def _group_links(groups: DataFrame, able: DataFrame) -> DataFrame:
+    """(a, b): every member of a large group that can link at all, and the
+    least such member of the group."""
     def spread(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                codes = np.frombuffer(row["body"], np.int64)
-                n = row["shard"]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["gid"]] * len(codes), pa.int64()), pa.array([row["a"]] * len(codes), pa.int64()),
-                     pa.array(codes), pa.array(np.arange(len(codes)) < n)], names=["gid", "centre", "code", "probe"])
-    keyed = groups.select(F.xxhash64("a", "body").alias("gid"), "a", "shard", "body").distinct()
-    rows = keyed.mapInArrow(spread, "gid bigint, centre bigint, code bigint, probe boolean")
-    far = distances.select(F.col("a").alias("code"), F.col("b").alias("centre"),
-                           (1 - F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))).alias("far"))
-    rows = rows.join(roots.withColumnRenamed("node", "code"), "code", "left").join(far, ["code", "centre"], "left")
-    rows = rows.select("gid", "code", "probe", F.coalesce("root", "code").alias("root"),
-                       F.when(F.col("code") == F.col("centre"), 0.0).otherwise(F.col("far")).alias("far"))
-    # a group in one component, or without a probe outside it, needs nothing more
-    open_groups = rows.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("gid")
-    rows = rows.join(open_groups, "gid", "left_semi")
-
-    def cross(table: pa.Table) -> pa.Table:
-        code, root, probe = table["code"].to_numpy(), table["root"].to_numpy(), table["probe"].to_numpy(zero_copy_only=False)
-        far = table["far"].to_numpy(zero_copy_only=False).astype(float)
-        known = ~np.isnan(far)  # without a distance to the centre a set has no stored elements: it cannot link
-        members = np.flatnonzero(~probe & known)
+                codes = np.unique(np.frombuffer(row["body"], np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), row["gid"])), pa.array(codes)], names=["gid", "code"])
+    keyed = groups.select(F.xxhash64("a", "body").alias("gid"), "body").distinct()
+    rows = keyed.mapInArrow(spread, "gid bigint, code bigint").join(able, "code", "left_semi")
+    least = rows.groupBy("gid").agg(F.min("code").alias("b"))
+    return rows.join(least, "gid").where("code <> b").select(F.col("code").alias("a"), "b").distinct()
+
+
+def _family_links(families: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components within families, the sets that large groups
+    connect: (node, root of the family). A family is cut into chunks of
+    CHUNK members, and every two chunks meet in one group, which compares
+    their sets through the shingles they share and returns at most one link
+    for each two components: no pairs are made."""
+    members = families.join(sets, F.col("node") == F.col("code")).join(roots.withColumnRenamed("root", "component"), "node", "left")
+    members = members.select("code", F.col("root").alias("family"), F.coalesce("component", "code").alias("component"), "size", "body")
+    sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
+    sizes = sizes.where("x <> y").select("family", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
+    rows = members.join(sizes, "family").withColumn("own", F.pmod(F.xxhash64("code"), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    rows = rows.select("family", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "code", "component", "size", "body")
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by("code")
+        code, size = table["code"].to_numpy(), table["size"].to_numpy()
+        _, component = np.unique(table["component"].to_numpy(), return_inverse=True)
+        elements = [unpack_set(b) for b in table["body"].to_pylist()]
+        owner = np.repeat(np.arange(len(code)), [len(e) for e in elements])
+        _, shingle = np.unique(np.concatenate(elements), return_inverse=True)
+        order = np.argsort(shingle, kind="stable")
+        holders, first = owner[order], np.searchsorted(shingle[order], np.arange(int(shingle.max()) + 2))
+        ends = np.cumsum(size)
+        merged = list(range(int(component.max()) + 1))
+
+        def root(x: int) -> int:
+            while merged[x] != x:
+                merged[x] = merged[merged[x]]
+                x = merged[x]
+            return x
         a, b = [], []
-        for i in np.flatnonzero(probe & known).tolist():
-            near = members[(root[members] != root[i]) & (np.abs(far[members] - far[i]) <= 0.2 + 1e-9)]
-            a.append(np.minimum(code[near], code[i]))
-            b.append(np.maximum(code[near], code[i]))
-        cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-        both = np.unique(np.stack([cat(a), cat(b)], axis=1), axis=0)
-        return pa.table({"a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64())})
-    return rows.groupBy("gid").applyInArrow(cross, "a bigint, b bigint").distinct()
+        for i in range(1, len(code)):
+            own = shingle[ends[i] - size[i]:ends[i]]
+            n = first[own + 1] - first[own]
+            common = np.bincount(holders[np.repeat(first[own] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], minlength=len(code))[:i]
+            for j in np.flatnonzero(100 * common >= 80 * (size[:i] + size[i] - common)).tolist():
+                x, y = root(component[i]), root(component[j])
+                if x != y:
+                    merged[x] = y
+                    a.append(code[i])
+                    b.append(code[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return rows.groupBy("family", "low", "high").applyInArrow(compare, "a bigint, b bigint")
 
 
 # ---- the operator ----------------------------------------------------------
@@ -526,7 +548,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         keys, owner, _, places = held.entries()
         code = _answers(replies.filter(pc.is_valid(replies["body"])), keys)
         cost = (np.int64(1) << (code & 15).astype(np.int64)) - 1
+        able = held.can_link(code >= 16, places)
         chosen = np.unique(held.picks(cost, places))
+        chosen = chosen[able[owner[chosen]]]
         weight = np.bincount(owner, np.minimum(cost, 1 << 15), len(held.sizes)) if len(keys) else np.zeros(0)
         out = []
         order = chosen[np.argsort(keys[chosen], kind="stable")]
@@ -538,7 +562,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 w = np.minimum(weight[po[a:b]], 2**32 - 1).astype(np.uint32)
                 out.append((_PICKS, s, number, 0, 0, blocks.pack(np.diff(pk[a:b], prepend=_U(0)))
                             + blocks.pack(po[a:b].astype(np.uint32)) + blocks.pack(w)))
-        for i in np.flatnonzero(held.can_link(code >= 16, places)).tolist():
+        for i in np.flatnonzero(able).tolist():
             out.append((_SET, (number + i) % n_blocks, number, int(_code(number, i)), int(held.sizes[i]),
                         held.digests[i] + pack_set(held.elements[i])))
         return _rows(out)
@@ -561,9 +585,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     first = stored(verified(pairs, sets), "first")
     links = first.where(_LINKED).select("a", "b")
     roots = components(links)
-    groups = found.where(F.col("kind") == _GROUP)
-    later = stored(verified(_later_pairs(groups, roots, first), sets).where(_LINKED).select("a", "b"), "later")
-    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(later))
+    near = _group_links(found.where(F.col("kind") == _GROUP), sets.select("code"))
+    more = stored(_family_links(components(near), roots, sets), "more")
+    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
     least = described.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"))
     linked = names.join(roots, F.col("code") == F.col("node")).select("class", "root").join(least, "class")
