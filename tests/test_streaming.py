@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vellum.operators.dedup import first_seen
 from vellum.plans import catalogue
 from vellum.sources.fixtures import doc_files_of, scan_listing_of
-from vellum.streaming.ingest import BATCH_COL, dedup_stream, ingest_stream
+from vellum.streaming.ingest import BATCH_COL, dedup_stream, ingest_in_batches, ingest_stream
 
 from conftest import SF_SMALL
 
@@ -74,3 +74,14 @@ def test_first_batch_creates_the_inventory(spark, tmp_path):
                   lambda d: scan_listing_of(doc_files_of(d))).awaitTermination()
     stored = spark.read.parquet(inv)
     assert stored.count() == docs.select(F.md5("text")).distinct().count()
+
+
+def test_batches_take_every_language_and_rows_without_one(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    lang = F.when(F.col("doc_id") % 5 != 0, F.concat(F.lit("l"), (F.col("doc_id") % 150).cast("string")))
+    text = F.when(F.col("doc_id") % 23 != 0, F.col("text"))
+    docs.withColumn("lang", lang).withColumn("text", text).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = lambda df: sorted(map(repr, df.select("relative_path", "md5_hash").collect()))
+    got = ingest_in_batches(spark, str(tmp_path))
+    assert rows(got) == rows(catalogue.appended_inventory(spark, str(tmp_path)))
+    assert got.filter("relative_path IS NULL").count() > 0

@@ -21,6 +21,7 @@ from vellum.operators.latest import flag_latest
 from vellum.session import shared_path
 
 BATCH_COL = "ingest_batch"
+ARRIVALS = 4  # lots that ingest_in_batches takes in one after the other
 
 
 def _stored_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -48,8 +49,10 @@ def ingest_stream(rows: DataFrame, inventory_path: str, checkpoint: str,
         rows = first_seen(to_scan_rows(batch))
         # contents that earlier batches brought, stored or not; a replayed batch rewrites its own part
         known = _stored_or_empty(spark, seen_path, f"`{content}` string, batch bigint").filter(F.col("batch") != epoch_id)
-        held = known.select(content).join(rows.select(content).distinct(), content, "left_semi").distinct()
-        rows = rows.join(held, content, "left_anti").select(*rows.columns)
+        # a missing digest is one content, as in first_seen
+        known, came = known.select(F.col(content).alias("_held")), rows.select(F.col(content).alias("_came")).distinct()
+        held = known.join(came, F.col("_held").eqNullSafe(F.col("_came")), "left_semi").distinct()
+        rows = rows.join(held, F.col(content).eqNullSafe(F.col("_held")), "left_anti")
         rows.select(content).write.mode("overwrite").parquet(f"{seen_path}/batch={epoch_id}")
         stored = _stored_or_empty(spark, inventory_path, f"`{key}` string").select(key)
         new = unseen_by_probe(flag_latest(rows), stored, key).withColumn(BATCH_COL, F.lit(epoch_id).cast("bigint"))
@@ -83,24 +86,42 @@ def ingest_documents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(inventory_path).filter(F.col(BATCH_COL).isNotNull())
 
 
+def path_cuts(paths: DataFrame, parts: int, path: str = "relative_path") -> list[str]:
+    """At most ``parts - 1`` paths that cut the rows into ranges of similar
+    size. One pseudo-random path of each of 64 hash buckets is looked at, so
+    the driver holds 64 paths at any size; the cuts only say where a row
+    belongs, none is left out."""
+    number = F.xxhash64(path)
+    seen = (paths.filter(F.col(path).isNotNull()).groupBy(F.pmod(number, F.lit(64)).alias("bucket"))
+            .agg(F.min_by(F.col(path), number).alias("at")).collect())
+    at = sorted(r["at"] for r in seen)
+    return [at[k * len(at) // parts] for k in range(1, parts)] if at else []
+
+
 def ingest_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents arrive as one file per language, in the order of their
-    paths, and are ingested one file a batch into the earlier inventory;
-    returns the stored inventory with its flags worked out over all rows."""
+    """The documents arrive in ``ARRIVALS`` lots, in the order of their paths
+    (those without a path last); after each the ingest job is started again
+    from its checkpoint and takes the lot as one batch into the earlier
+    inventory. Returns the stored inventory with its flags worked out over
+    all rows."""
     from vellum.operators.incremental import recompute_latest
     from vellum.plans.catalogue import earlier_inventory
     from vellum.sources.fixtures import doc_files_of, scan_listing_of
 
     base = shared_path(spark, "ingest_batches", unique=True)
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    langs = [r["lang"] for r in docs.select("lang").distinct().orderBy("lang").limit(100).collect()]  # languages are few
-    for lang in langs:
-        docs.filter(F.col("lang") == lang).coalesce(1).write.mode("append").parquet(f"{base}/arrivals")
+    files = doc_files_of(spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"))
+    lot = F.lit(0)
+    for cut in path_cuts(files, ARRIVALS):
+        # a missing path sorts last, as in first_seen
+        lot = lot + F.coalesce(F.col("relative_path") >= F.lit(cut), F.lit(True)).cast("int")
+    docs = files.withColumn("lot", lot).select("doc_id", "lang", "source", "text", "lot")
     seed = earlier_inventory(spark, sf_dir).withColumn(BATCH_COL, F.lit(None).cast("bigint"))
     seed.write.parquet(f"{base}/inventory")
-    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/arrivals")
-    ingest_stream(stream, f"{base}/inventory", f"{base}/checkpoint",
-                  to_scan_rows=lambda d: scan_listing_of(doc_files_of(d))).awaitTermination()
+    for number in range(ARRIVALS):
+        docs.filter(F.col("lot") == number).drop("lot").write.mode("append").parquet(f"{base}/arrivals")
+        stream = spark.readStream.schema(docs.drop("lot").schema).parquet(f"{base}/arrivals")
+        ingest_stream(stream, f"{base}/inventory", f"{base}/checkpoint",
+                      to_scan_rows=lambda d: scan_listing_of(doc_files_of(d))).awaitTermination()
     return recompute_latest(spark.read.parquet(f"{base}/inventory").drop(BATCH_COL))
 
 
