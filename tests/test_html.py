@@ -27,3 +27,24 @@ CASES = [
 def test_html_to_text(spark, html, text):
     got = spark.createDataFrame([(html,)], "h string").select(html_to_text(F.col("h")).alias("t")).first().t
     assert got == text
+
+
+NESTED = [
+    ("a<!-- <script>x()</script> -->b", "ab"),
+    ("a<!--[if IE]><script>x()</script><style>p{}</style><![endif]-->b", "ab"),
+    ("<script>'<!--'; x()</script>b<!-- c -->d", "'<!--'; x()bd"),
+    ("<a title=don't>hello it's</a> end", "hello it's end"),
+    ("<a title='x>y' b=\"it's\">l</a>", "l"),
+    ("<a href=q?x=\"1>m</a>", "m"),
+    ("a<!-- never closed <p>b</p>", "a"),
+    ("a<script>never closed <p>b</p>", "a"),
+    ("a<style>p{} <script>x()</script>", "a"),
+    ("a<script src='s.js'/>b", "ab"),
+    ("<p title=\"<!--\">a</p>--><p>b", "a\n-->\nb"),
+]
+
+
+@pytest.mark.parametrize("html,text", NESTED)
+def test_markup_inside_markup(spark, html, text):
+    got = spark.createDataFrame([(html,)], "h string").select(html_to_text(F.col("h")).alias("t")).first().t
+    assert got == text

@@ -12,9 +12,9 @@ The rules follow an HTML parser that only collects character data:
 
 The named-reference table and the invalid numeric reference rules are
 taken from Python's ``html`` module at import time, so they are the same
-tables Python's parser uses. Malformed markup (an unclosed comment or
-``<script>``, a stray quote in a tag) may come out otherwise than from a
-parser.
+tables Python's parser uses. Comments, raw elements and tags that are not
+closed end with the text and leave nothing, as in a parser that is fed the
+text and not closed.
 """
 
 from __future__ import annotations
@@ -25,18 +25,30 @@ from pyspark.sql import Column, functions as F
 
 from vellum.functions.text import _col, py_strip
 
-# Raw-text elements (content up to their end tag is text).
+# Patterns of the SQL oracle, which removes one kind of markup after the other.
 RAW_ELEMENT_RE = (r"(?is)<script\b[^>]*>(.*?)</script(?:[\t\n\r\f /][^>]*)?>"
                   r"|<style\b[^>]*>(.*?)</style(?:[\t\n\r\f /][^>]*)?>")
 COMMENT_RE = "(?s)<!--.*?-->"
 CDATA_RE = "(?s)<!\\[CDATA\\[.*?\\]\\]>"
-# Attribute text of a tag: quoted values may contain '>'. Possessive
-# quantifiers keep the regex from backtracking (or recursing) on long tags.
-_ATTRS = "(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
+# An attribute value after its '=': only there a quote opens a value that may
+# hold '>'. Possessive quantifiers keep the regex from backtracking (or
+# recursing) on long tags.
+_VALUE = r"""=++\s*+(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^>\s"'][^>\s]*+)?+"""
+_TAG_REST = r"(?:[^>=]++|" + _VALUE + ")*+"
+# The same of a tag that is not closed by '/>'.
+_OPEN_REST = r"(?:[^>=/]++|/(?!>)|" + _VALUE + ")*+"
+# All markup in one left-to-right alternation: whatever starts first takes all
+# it holds, so a tag in a comment and a comment in a script stay what they are.
+# Each kind ends at its own end or with the text. Group RAW_GROUP is the
+# content of a closed raw-text element.
+MARKUP_RE = (r"(?is)<(script|style)(?=[\s/>])" + _OPEN_REST + r">(?:(.*?)</\1(?:[\t\n\r\f /][^>]*+)?>|.*+)"
+             r"|<!--.*?(?:--\s*>|\z)"
+             r"|<!\[CDATA\[.*?(?:\]\]>|\z)"
+             r"|<[!?/][^>]*+(?:>|\z)"
+             r"|<[a-z][^\s/>]*+" + _TAG_REST + r"(?:>|\z)")
+RAW_GROUP = 2
 # Start tags br p div li tr and end tags p div li tr break lines.
-BREAK_TAG_RE = "(?i)<(?:/(?:p|div|li|tr)|p|div|li|tr|br)(?:[\\s/]" + _ATTRS + ")?>"
-# A tag, declaration or processing instruction: '<' then a letter, '/', '!' or '?'.
-ANY_TAG_RE = "<[A-Za-z/!?]" + _ATTRS + ">"
+BREAK_TAG_RE = r"(?i)^<(?:/(?:p|div|li|tr)|p|div|li|tr|br)[\s/>]"
 BLANK_RUN_RE = "\n{3,}"
 # A character reference as Python's unescape finds them: decimal or hex
 # (';' optional), or up to 32 name characters (';' optional).
@@ -150,21 +162,12 @@ def decode_charrefs(text: Column) -> Column:
     return F.when(F.instr(text, "&") > 0, joined).otherwise(text)
 
 
-def _markup_text(segment: Column) -> Column:
-    """Text of a stretch of markup outside raw-text elements."""
-    x = F.regexp_replace(segment, COMMENT_RE, "")
-    x = F.regexp_replace(x, CDATA_RE, "")
-    x = F.regexp_replace(x, BREAK_TAG_RE, "\n")
-    x = F.regexp_replace(x, ANY_TAG_RE, "")
-    return decode_charrefs(x)
-
-
 def html_to_text(html) -> Column:
     x = F.coalesce(_col(html), F.lit(""))
-    outside = F.split(x, RAW_ELEMENT_RE)
-    raw1 = F.regexp_extract_all(x, F.lit(RAW_ELEMENT_RE), 1)
-    raw2 = F.regexp_extract_all(x, F.lit(RAW_ELEMENT_RE), 2)
-    raw = F.zip_with(raw1, raw2, lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))
-    joined = F.array_join(F.zip_with(F.transform(outside, _markup_text), raw,
-                                     lambda o, r: F.concat(o, F.coalesce(r, F.lit("")))), "")
+    texts = F.transform(F.split(x, MARKUP_RE), decode_charrefs)
+    breaks = F.transform(F.regexp_extract_all(x, F.lit(MARKUP_RE), 0),
+                         lambda m: F.when(m.rlike(BREAK_TAG_RE), F.lit("\n")).otherwise(F.lit("")))
+    raw = F.regexp_extract_all(x, F.lit(MARKUP_RE), RAW_GROUP)
+    between = F.zip_with(breaks, raw, lambda a, b: F.concat(a, b))
+    joined = F.array_join(F.zip_with(texts, between, lambda t, m: F.concat(t, F.coalesce(m, F.lit("")))), "")
     return py_strip(F.regexp_replace(joined, BLANK_RUN_RE, "\n\n"))
