@@ -71,6 +71,23 @@ def test_packing_over_shards(spark):
     assert len(fill) <= 1.02 * sum(r[4] for r in rows) / 1024 + 2
 
 
+@pytest.mark.parametrize("least,most", [(520, 1000), (600, 600)])
+def test_no_shard_grows_when_lengths_do_not_combine(spark, monkeypatch, least, most):
+    rng, groups, level_of = random.Random(3), [], packing._pack_level
+
+    def watched(items, level, capacity):
+        groups.extend(r["count"] for r in items.groupBy("shard").count().collect())
+        return level_of(items, level, capacity)
+
+    monkeypatch.setattr(packing, "_pack_level", watched)
+    rows = [(k, k, 0, 0, rng.randint(least, most), 0, None) for k in range(3000)]
+    pieces = spark.createDataFrame(rows, "doc_id bigint, item bigint, piece int, start bigint, length bigint, ids_crc32 bigint, own_sequence bigint")
+    packed = packing.pack_pieces(pieces, shard_items=200).collect()
+    assert max(groups) <= 2 * 200
+    assert sorted(r["item"] for r in packed) == list(range(3000))
+    assert len({r["sequence_id"] for r in packed}) == 3000
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.one_of(st.integers(0, 9), st.integers(0, 50_000), st.integers(0, 2**64 - 1)), max_size=150), max_size=6))
 def test_simple8b_round_trip(blocks):

@@ -8,8 +8,9 @@ grouping of the shard's items into bins; crossover injects whole well-filled
 bins of one parent into the other, removes the bins that hold duplicates, and
 best-fits the displaced documents; after each epoch an island's elite moves to
 the next island of its shard (one small exchange). Bins that stay poorly
-filled are taken apart, and their items are packed again with those of other
-shards, so that shards do not each leave a rest.
+filled are taken apart, and their items are dealt anew to as many shards as
+their number needs, so that shards do not each leave a rest and none grows
+with the input; when that no longer saves bins, they stay as they are.
 
 Defined results: a null or empty text is one piece, the end id; every piece
 of every row is placed once, also of repeated rows and null ids; an empty
@@ -39,7 +40,8 @@ EPOCHS = 2
 GENERATIONS = 3
 POPULATION = 4
 WELL_FILLED = 0.995
-_MERGED_SHARDS = 32  # shards whose poorly filled bins meet in the next level
+LEAST_SAVED = 0.01  # a level that saves a smaller share of the bins it took apart is the last
+MAX_LEVELS = 100  # the level is one byte of sequence_id
 
 PIECES = "doc_id {id}, item bigint, piece int, start bigint, length bigint, ids_crc32 bigint, own_sequence bigint"
 
@@ -265,30 +267,34 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_items: int =
     """Place the pieces of :func:`token_pieces` (a stored table): adds
     sequence_id and offset."""
     spark = pieces.sparkSession
-    n = pieces.where("piece = 0").count()
-    shards = max(1, math.ceil(n / shard_items))
     own = pieces.where(F.col("own_sequence").isNotNull()).select(
         "item", "piece", F.col("own_sequence").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
-    items = pieces.where(F.col("own_sequence").isNull()).select(
-        F.pmod(F.xxhash64("item"), F.lit(shards)).alias("shard"), "item", "length")
-    placed, level = None, 0
-    while True:
+    items = pieces.where(F.col("own_sequence").isNull()).select("item", "length")
+    n, bins, kept, placed = items.count(), None, None, own
+    for level in range(MAX_LEVELS):
+        shards = max(1, math.ceil(n / shard_items))
         path = shared_path(spark, "packing", f"level{level}", unique=True)
-        _pack_level(items, level, capacity).write.parquet(path)
+        # dealt anew at each level: a hash of the item mixes all lengths in every shard
+        dealt = items.select(F.pmod(F.xxhash64("item", F.lit(level)), F.lit(shards)).alias("shard"), "item", "length")
+        _pack_level(dealt, level, capacity).write.parquet(path)
         packed = spark.read.parquet(path)
-        last = shards == 1
-        stays = packed if last else packed.where(F.col("fill") >= F.lit(math.floor(WELL_FILLED * capacity)))
-        rows = stays.select("item", F.lit(0).alias("piece"),
-                            (F.lit(level) * F.lit(1 << 56) + F.col("shard") * F.lit(1 << 24) + F.col("bin")).alias("sequence_id"),
-                            F.col("at").alias("offset"))
-        placed = rows if placed is None else placed.unionByName(rows)
-        if last:
+        poor = F.col("fill") < F.lit(math.floor(WELL_FILLED * capacity))
+        total, left, left_bins = packed.agg(F.count_if(F.col("at") == 0), F.count_if(poor),
+                                            F.count_if(poor & (F.col("at") == 0))).first()
+        if bins is not None and total >= bins:
+            placed = placed.unionByName(kept)  # no bin saved: they stay as the level before made them
             break
-        items = packed.where(F.col("fill") < F.lit(math.floor(WELL_FILLED * capacity)))
-        shards = math.ceil(shards / _MERGED_SHARDS)
-        items = items.select(F.floor(F.col("shard") / F.lit(_MERGED_SHARDS)).cast("bigint").alias("shard"), "item", "length")
-        level += 1
-    return pieces.join(placed.unionByName(own), ["item", "piece"])
+        rows = packed.select("item", F.lit(0).alias("piece"),
+                             (F.lit(level) * F.lit(1 << 56) + F.col("shard") * F.lit(1 << 24) + F.col("bin")).alias("sequence_id"),
+                             F.col("at").alias("offset"), poor.alias("poor"))
+        saves = bins is None or bins - total >= LEAST_SAVED * bins
+        if shards == 1 or left == 0 or not saves or level == MAX_LEVELS - 1:
+            placed = placed.unionByName(rows.drop("poor"))
+            break
+        placed = placed.unionByName(rows.where(~F.col("poor")).drop("poor"))
+        kept = rows.where("poor").drop("poor")
+        items, n, bins = packed.where(poor).select("item", "length"), left, left_bins
+    return pieces.join(placed, ["item", "piece"])
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text",
