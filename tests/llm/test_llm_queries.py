@@ -17,11 +17,12 @@ from vellum.llm.queries import QUERIES
 def test_query(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    n = spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
-    assert len(rows) >= n
+    if name.split("_")[0] not in ("op11", "op13"):
+        assert len(rows) >= spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
     if name in ORACLE:
         con = duckdb.connect()
-        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_SMALL}/documents.parquet'")
+        for table in ("documents", "embeddings", "conversations"):
+            con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_SMALL}/{table}.parquet'")
         cur = con.execute(ORACLE[name])
         columns = [d[0] for d in cur.description]
         want = sorted(repr(tuple(r[columns.index(c)] for c in df.columns)) for r in cur.fetchall())
@@ -58,7 +59,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
 def test_registered():
     import __spark_entry__ as entry
     names = entry.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(names)
     assert [len(corpus_pipeline.STAGES), corpus_pipeline.ORACLE_SQL] == [5, None]
 

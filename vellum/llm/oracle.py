@@ -66,4 +66,72 @@ reach AS (
 SELECT s.doc_id, cast(len(s.s) AS BIGINT) AS n_shingles, r.component_id
 FROM sets s JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) r ON s.doc_id = r.x"""
 
-ORACLE = {"op1_substring_dedup": SUBSTRING, "op2_line_dedup": LINES, "op3_exact_dedup": EXACT, "op4_ngram_join": NEAR}
+# the same with a limit of 85 percent, and the documents that stay
+CLOSE = f"SELECT *, doc_id = component_id AS kept FROM ({NEAR.replace('>= 80 *', '>= 85 *')})"
+
+NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * cast(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         cast(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, cast(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id, positive_score,
+       score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY rank <= 3"""
+
+TRIE = """
+WITH crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT cast(unnest(generate_series(0, 255)) AS BIGINT) AS i)),
+turns AS (
+  SELECT conv_id, sha256(coalesce(role, '') || chr(10) || coalesce(text, '')) AS turn_hash, length(coalesce(text, '')) AS points,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(coalesce(role, '') || chr(10) || coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS donor,
+         xor(4294967295, list_reduce(
+           list_concat([4294967295], list_transform(string_split(cast(conv_id AS VARCHAR), ''), lambda c: cast(ascii(c) AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 6 AS h
+  FROM turns CROSS JOIN crc_table GROUP BY conv_id, t),
+planned AS (SELECT c.*, least(c.h, coalesce(d.n, 0)) AS taken FROM convs c LEFT JOIN convs d ON d.conv_id = c.donor),
+steps AS (
+  SELECT p.conv_id, t.pos + 1 AS depth, turn_hash, points FROM planned p JOIN turns t ON t.conv_id = p.donor AND t.pos < p.h
+  UNION ALL
+  SELECT p.conv_id, p.taken + t.pos - p.h + 1, turn_hash, points FROM planned p JOIN turns t ON t.conv_id = p.conv_id AND t.pos >= p.h
+  UNION ALL SELECT conv_id, 0, '', 0 FROM convs),
+keyed AS (
+  SELECT conv_id, depth, points, sha256(string_agg(turn_hash, ',') OVER (PARTITION BY conv_id ORDER BY depth)) AS key,
+         max(depth) OVER (PARTITION BY conv_id) AS size FROM steps),
+nodes AS (
+  SELECT key, depth, min(conv_id) AS rep, count(*) AS n_convs, max(points) AS points,
+         sha256(coalesce(string_agg(cast(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = size), '')) AS ends_sha256
+  FROM keyed GROUP BY key, depth),
+placed AS (SELECT k.conv_id, k.depth, n.rep FROM keyed k JOIN nodes n USING (key, depth)),
+parented AS (
+  SELECT n.*, p.rep AS parent_rep FROM nodes n LEFT JOIN placed p ON p.conv_id = n.rep AND p.depth = n.depth - 1),
+counted AS (
+  SELECT n.*, (SELECT count(*) FROM parented c WHERE c.parent_rep = n.rep AND c.depth = n.depth + 1) AS n_children
+  FROM parented n),
+rolled AS (
+  SELECT p.rep, p.depth, sum(CASE WHEN n.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+         sum((n.n_convs - 1) * n.points) AS saved_tokens
+  FROM counted n JOIN placed p ON p.conv_id = n.rep AND p.depth <= n.depth GROUP BY p.rep, p.depth)
+SELECT n.rep AS conv_id, cast(n.depth AS BIGINT) AS depth, n.parent_rep AS parent_conv_id, n.n_convs,
+       cast(n.n_children AS BIGINT) AS n_children, cast(r.n_leaves AS BIGINT) AS n_leaves,
+       cast(r.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM counted n JOIN rolled r ON r.rep = n.rep AND r.depth = n.depth"""
+
+ORACLE = {"op1_substring_dedup": SUBSTRING, "op2_line_dedup": LINES, "op3_exact_dedup": EXACT, "op4_ngram_join": NEAR,
+          "op11_hard_negatives": NEGATIVES, "op12_chosen_path": CLOSE, "op13_prefix_trie": TRIE}

@@ -6,8 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import (chunk_tokens, decontaminate, exact_dedup, line_dedup, ngram_join, packing, quality,
-                        secret_scan, substring_dedup, token_counts, token_files)
+from vellum.llm import (chosen_path, chunk_tokens, decontaminate, exact_dedup, hard_negatives, line_dedup, ngram_join,
+                        packing, prefix_trie, quality, secret_scan, substring_dedup, token_counts, token_files)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.summary(decontaminate.find_overlaps(_documents(spark, sf_dir), benchmark))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(_documents(spark, sf_dir))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_line_dedup, op3_exact_dedup, op4_ngram_join,
                                    op5_best_fit_packing, op6_secret_scan, op7_token_files, op8_token_counts, op9_quality,
-                                   op10_decontamination)}
+                                   op10_decontamination, op11_hard_negatives, op12_chosen_path, op13_prefix_trie)}
