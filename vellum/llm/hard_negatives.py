@@ -128,35 +128,43 @@ class Block:
         self.x = np.frombuffer(row["x"], np.int32).reshape(n, dim).astype(np.float64)
         self.which = np.frombuffer(row["which"], np.int32)
         self.means = np.frombuffer(row["means"], np.float64).reshape(-1, dim)
-        self.codes = np.frombuffer(row["codes"], np.uint64).reshape(CODES, n, -1)
+        self.codes = np.ascontiguousarray(np.frombuffer(row["codes"], np.uint64).reshape(CODES, n, -1).transpose(2, 0, 1))
         self.along = np.frombuffer(row["along"], np.float64).reshape(CODES, n)
         self.rest = np.frombuffer(row["rest"], np.float64)
-        self.ones = np.bitwise_count(self.codes).sum(2).astype(np.float64)
+        self.ones = np.bitwise_count(self.codes).sum(0, dtype=np.int32)
         self.length = np.sqrt((self.x ** 2).sum(1))
+        self.largest = np.abs(self.x).max(initial=0)
 
-    def intervals(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def labelled(self, label: int) -> slice:
+        """The rows of a label, which lie together."""
+        return slice(*np.searchsorted(self.label, [label, label + 1]))
+
+    def intervals(self, q: np.ndarray, at: slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
         """Least and greatest possible inner product of one anchor with each
-        row."""
+        of the rows ``at``."""
         root, size = np.sqrt(self.dim), np.sqrt(float(q @ q))
-        mid, wide = (self.means @ q)[self.which], size * self.rest
-        for k in range(CODES):
-            turned = q @ rotation(self.dim, k)
-            low = turned.min()
-            step = max((turned.max() - low) / (2 ** PLANES - 1), 1e-9)
-            levels = np.rint((turned - low) / step).astype(np.int64)
-            wrong = np.abs(turned - (low + step * levels)).sum() / root
-            planes = _bits((levels[None, :] >> np.arange(PLANES)[:, None] & 1).astype(bool))
-            hits = np.zeros(self.n)
-            for j, plane in enumerate(planes):
-                hits += float(1 << j) * np.bitwise_count(self.codes[k] & plane).sum(1)
-            mid = mid + self.along[k] * (2 * (low * self.ones[k] + step * hits) - (low * self.dim + step * levels.sum())) / root
-            wide = wide + self.along[k] * wrong
-        wide += 1e-9 * size * (self.length + 1) + 1e-6  # rounding of these sums
+        turned = np.stack([q @ rotation(self.dim, k) for k in range(CODES)])
+        low = turned.min(1, keepdims=True)
+        step = np.maximum((turned.max(1, keepdims=True) - low) / (2 ** PLANES - 1), 1e-9)
+        levels = np.rint((turned - low) / step).astype(np.int64)
+        wrong = np.abs(turned - (low + step * levels)).sum(1) / root
+        whole = (low * self.dim + step * levels.sum(1, keepdims=True))
+        codes = self.codes[:, :, at]
+        hits = np.zeros(codes.shape[1:], np.int32)
+        for j in range(PLANES):
+            planes = _bits((levels >> j & 1).astype(bool))
+            for w in range(len(codes)):
+                hits += np.left_shift(np.bitwise_count(codes[w] & planes[:, w, None]), j, dtype=np.int32)
+        along = self.along[:, at]
+        signed = (2 * (low * self.ones[:, at] + step * hits) - whole) / root
+        mid = (self.means @ q)[self.which[at]] + np.einsum("kn,kn->n", along, signed)
+        wide = size * self.rest[at] + wrong @ along
+        wide += 1e-9 * size * (self.length[at] + 1) + 1e-6  # rounding of these sums
         return mid - wide, mid + wide
 
     def score(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Exact integer inner products."""
-        if np.abs(q).max(initial=0) * np.abs(self.x).max(initial=0) * self.dim < 2 ** 53:
+        if np.abs(q).max(initial=0) * self.largest * self.dim < 2 ** 53:
             return (self.x[rows] @ q).astype(np.int64)
         return self.x[rows].astype(np.int64) @ q.astype(np.int64)
 
@@ -185,11 +193,13 @@ def positives_of(blocks: pa.Table, anchors: pa.Table, k: int = POSITIVES) -> pa.
     block, out = Block(blocks.to_pylist()[0]), []
     q = matrix(anchors["x"], block.dim)
     for i, (uid, vec_id, label) in enumerate(zip(*(anchors[c].to_pylist() for c in ("uid", "vec_id", "label")))):
-        same = np.flatnonzero((block.label == label) & (block.uid != uid))
-        if not len(same):
+        span = block.labelled(label)
+        same = np.arange(span.start, span.stop)
+        other = block.uid[same] != uid
+        if not other.any():
             continue
-        low, high = block.intervals(q[i])
-        rows = same[high[same] >= _kth(low[same], k)]
+        low, high = (a[other] for a in block.intervals(q[i], span))
+        rows = same[other][high >= _kth(low, k)]
         scores = block.score(rows, q[i])
         for j in block.first(rows, scores, k):
             out.append((uid, vec_id, int(block.uid[rows[j]]), None if block.no_id[rows[j]] else int(block.vec_id[rows[j]]), int(scores[j]), None, None, None))
