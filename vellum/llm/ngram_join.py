@@ -37,7 +37,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from vellum.llm import blocks, textscan
 from vellum.llm.components import components
@@ -45,6 +45,8 @@ from vellum.session import shared_path
 
 SIZE = 5
 BLOCK_BYTES = 8 << 20
+BLOCK_ENTRIES = 600_000  # entries (keys) a block sends, whatever its texts' length
+PAIR_ROWS = 1 << 20      # candidate pairs held before repeats are dropped
 KEY_BITS = 44
 SPARE = 2.0            # segments a band has, over the units a set must spend
 DELETION_SIZES = 32    # bands up to this size index one-deletion neighbourhoods too
@@ -117,6 +119,26 @@ def segments(low: int, high: int) -> int:
     return int(np.ceil(SPARE * (allowance(high, high * 5 // 4) + 1)))
 
 
+def entry_counts(sizes: np.ndarray) -> np.ndarray:
+    """Entries that sets of these sizes send: by segment, and by element in
+    bands that index deletions."""
+    out = np.zeros(len(sizes), np.int64)
+    if not len(sizes) or sizes.max() < 1:
+        return out
+    all_bands = bands(int(sizes.max()))
+    lows = np.array([b[0] for b in all_bands], np.int64)
+    m = np.array([segments(*b) for b in all_bands], np.int64)
+    small = np.array([b[1] <= DELETION_SIZES for b in all_bands])
+    own = np.searchsorted(lows, sizes, side="right") - 1
+    reach = np.searchsorted(lows, -(-sizes * 4 // 5), side="right") - 1
+    for step in range(int((own - reach).max()) + 1):
+        band = np.maximum(own - step, 0)
+        here = (own - step >= reach) & (sizes > 0)
+        extra = np.where(small[band], m[band] + sizes * (2 if step == 0 else 1), 0)
+        out += np.where(here, m[band] + extra, 0)
+    return out
+
+
 class Scheme:
     """The subsets of some sets in one band: sums of element hashes by
     (set, segment)."""
@@ -342,7 +364,7 @@ def unpack_set(body: bytes) -> np.ndarray:
     return np.cumsum(blocks.unpack(body, np.uint64)[0], dtype=np.uint64)
 
 
-def _pairs_of_shard(bodies, body_blocks, picks, pick_blocks) -> list[tuple]:
+def _pairs_of_shard(bodies, body_blocks, picks, pick_blocks) -> pa.Table:
     """Candidates of a key range: pairs to verify now, and groups of which
     more pairs may be needed later."""
     keys, code = [], []
@@ -351,7 +373,7 @@ def _pairs_of_shard(bodies, body_blocks, picks, pick_blocks) -> list[tuple]:
         keys.append(k[index])
         code.append(_code(block, owner))
     if not picks or not keys:
-        return []
+        return _rows([])
     ik, ic = np.concatenate(keys), np.concatenate(code)
     order = np.lexsort((ic, ik))
     ik, ic = ik[order], ic[order]
@@ -369,7 +391,7 @@ def _pairs_of_shard(bodies, body_blocks, picks, pick_blocks) -> list[tuple]:
     start = np.flatnonzero(np.concatenate([[True], pk[1:] != pk[:-1]]))
     stop = np.append(start[1:], len(pk))
     lo, hi = np.searchsorted(ik, pk[start]), np.searchsorted(ik, pk[start], side="right")
-    pairs, groups = [], {}
+    pairs, held, groups = [], 0, {}
     for s, e, a, b in zip(start.tolist(), stop.tolist(), lo.tolist(), hi.tolist()):
         probes, members = pc[s:e], ic[a:b]
         centre = probes[0]
@@ -381,13 +403,27 @@ def _pairs_of_shard(bodies, body_blocks, picks, pick_blocks) -> list[tuple]:
             if e - s > 1:
                 body = np.unique(probes).tobytes(), np.unique(members).tobytes()
                 groups[int(centre), body] = None
-        pairs.append(np.stack([left, right], axis=1))
-    both = np.unique(np.concatenate(pairs), axis=0)
-    both = both[both[:, 0] != both[:, 1]]
-    out = [(_PAIR, 0, 0, a, b, None) for a, b in both.tolist()]
-    for (centre, (probes, members)) in groups:
-        out.append((_GROUP, len(probes) // 8, 0, centre, 0, probes + members))
-    return out
+        pairs.append(np.stack([left, right])[:, left != right])
+        held += len(left)
+        if held > PAIR_ROWS:  # groups of one family repeat each other's pairs
+            pairs = [_distinct(pairs)]
+            held = pairs[0].shape[1]
+    both = _distinct(pairs)
+    n = both.shape[1]
+    zero = np.zeros(n, np.int32)
+    found = pa.table([pa.array(np.full(n, _PAIR, np.int32)), pa.array(zero), pa.array(zero), pa.array(both[0]), pa.array(both[1]),
+                      pa.nulls(n, pa.binary())], names=["kind", "shard", "block", "a", "b", "body"])
+    more = [(_GROUP, len(probes) // 8, 0, centre, 0, probes + members) for centre, (probes, members) in groups]
+    return pa.concat_tables([found, _rows(more)])
+
+
+def _distinct(pairs: list[np.ndarray]) -> np.ndarray:
+    """The distinct columns of (2, n) arrays."""
+    both = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
+    both = both[:, np.lexsort(both)]
+    new = np.ones(both.shape[1], bool)
+    new[1:] = (both[:, 1:] != both[:, :-1]).any(0)
+    return both[:, new]
 
 
 # ---- verification ----------------------------------------------------------
@@ -489,7 +525,7 @@ def _family_links(families: DataFrame, roots: DataFrame, sets: DataFrame) -> Dat
 # ---- the operator ----------------------------------------------------------
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE,
-                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                    block_bytes: int = BLOCK_BYTES, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     id_type = dict(docs.dtypes)[doc_id]
@@ -499,9 +535,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         df.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    rows, n_bytes = blocks.volume(docs, text)
-    n_blocks = blocks.block_count(n_bytes, rows, block_bytes)
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int").alias("block")
+    deal = F.xxhash64("doc_id", "text").alias("deal")
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def describe(batches):
@@ -512,12 +546,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 doc, h = shingles(column.slice(i, j - i), size)
                 n, digest = classes(doc, h, j - i)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("block").slice(i, j - i), batch.column("doc_id").slice(i, j - i), pa.array(n, pa.int64()),
-                     pa.array(digest, pa.binary())], names=["block", "doc_id", "n_shingles", "class"])
+                    [batch.column("deal").slice(i, j - i), batch.column("doc_id").slice(i, j - i), pa.array(n, pa.int64()),
+                     pa.array(entry_counts(n)), pa.array(digest, pa.binary())], names=["deal", "doc_id", "n_shingles", "entries", "class"])
 
-    described = stored(plain.select(block, "doc_id", "text").mapInArrow(
-        describe, f"block int, doc_id {id_type}, n_shingles bigint, class binary"), "documents")
-    owners = described.where("class is not null").groupBy("class").agg(F.min("block").alias("block"))
+    described = stored(plain.select(deal, "doc_id", "text").mapInArrow(
+        describe, f"deal bigint, doc_id {id_type}, n_shingles bigint, entries bigint, class binary"), "documents")
+    rows, n_bytes = blocks.volume(docs, text)
+    entries = described.where("class is not null").groupBy("class").agg(F.max("entries").alias("n")).agg(F.sum("n")).first()[0] or 0
+    n_blocks = max(blocks.block_count(n_bytes, rows, block_bytes), -(-entries // block_entries))
+    block = F.pmod(F.col("deal"), F.lit(n_blocks)).cast("int")
+    owners = described.where("class is not null").groupBy("class").agg(F.min(block).alias("block"))
     dealt = blocks.dealt(docs, doc_id, text, n_blocks)
     owned = owners.select("block", "class")
 
@@ -570,12 +608,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     picked = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(pick, _ROW).repartition(n_blocks, "shard")
 
     def match(entries: pa.Table, told: pa.Table) -> pa.Table:
-        out = [(r["kind"], 0, r["block"], r["a"], r["b"], r["body"]) for r in told.to_pylist() if r["kind"] == _SET]
-        picks = sorted(((r["block"], r["body"]) for r in told.to_pylist() if r["kind"] == _PICKS))
-        if entries.num_rows and picks:
-            entries = entries.sort_by("block")
-            out += _pairs_of_shard(entries["body"].to_pylist(), entries["block"].to_pylist(), [b for _, b in picks], [n for n, _ in picks])
-        return _rows(out)
+        import pyarrow.compute as pc
+        sets = told.filter(pc.equal(told["kind"], _SET))
+        picks = told.filter(pc.equal(told["kind"], _PICKS)).sort_by("block")
+        if not entries.num_rows or not picks.num_rows:
+            return sets
+        entries = entries.sort_by("block")
+        found = _pairs_of_shard(entries["body"].to_pylist(), entries["block"].to_pylist(), picks["body"].to_pylist(), picks["block"].to_pylist())
+        return pa.concat_tables([sets.cast(found.schema), found])
 
     found = stored(pieces.groupBy("shard").cogroup(picked.groupBy("shard")).applyInArrow(match, _ROW), "candidates")
     sets = found.where(F.col("kind") == _SET).select(F.col("a").alias("code"), F.col("b").alias("size"),
@@ -599,7 +639,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def first_of_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the least of its component, all
-    columns: one document of each group stays. Rows without an id stay."""
-    kept = near_duplicates(docs, doc_id, text).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs[doc_id] == F.col("__kept"), "left_semi").unionByName(docs.where(F.col(doc_id).isNull()))
+    """One row of ``docs`` for each id that is the least of its component, all
+    columns; of several rows with that id one stays. Rows without an id stay.
+    Documents without words are alone in their components."""
+    held = docs.withColumn("__text", F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
+    least = near_duplicates(docs, doc_id, text).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
+    kept = held.where(F.col(doc_id).isNotNull()).join(least, F.col(doc_id) == F.col("__kept"), "left_semi")
+    # ids are few rows each: the window is over one id's rows only
+    place = F.row_number().over(Window.partitionBy(doc_id).orderBy("__text"))
+    kept = kept.withColumn("__place", place).where("__place = 1").drop("__place", "__text")
+    return kept.unionByName(docs.where(F.col(doc_id).isNull()))
