@@ -15,7 +15,7 @@ def shingle_set(text, size=5):
     return frozenset(tuple(w[k:k + size]) for k in range(max(1, len(w) - size + 1)))
 
 
-def brute(rows, size=5):
+def brute(rows, size=5, percent=80):
     sets = [shingle_set(t, size) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -26,7 +26,7 @@ def brute(rows, size=5):
     for a in range(len(rows)):
         for b in range(a):
             common = len(sets[a] & sets[b])
-            if sets[a] and sets[b] and 100 * common >= 80 * len(sets[a] | sets[b]):
+            if sets[a] and sets[b] and 100 * common >= percent * len(sets[a] | sets[b]):
                 root[find(a)] = find(b)
     ids = defaultdict(list)
     for k, (i, _) in enumerate(rows):
@@ -106,3 +106,25 @@ def test_star_components(spark):
     links = [(k, k + 1) for k in range(30)] + [(100, k) for k in range(101, 120)] + [(5, 5)]
     got = components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
     assert {(r["node"], r["root"]) for r in got} == {(k, 0) for k in range(31)} | {(k, 100) for k in range(100, 120)}
+
+
+def test_entries_are_counted_as_sent():
+    """What cuts the blocks is the number of entries that Block.entries
+    makes, for texts of any length."""
+    rng = random.Random(2)
+    import pyarrow as pa
+    texts = [" ".join(rng.choices([f"w{k}" for k in range(500)], k=n)) for n in [0, 1, 3, 5, 6, 9, 12, 20, 25, 33, 34, 60, 200, 900]]
+    table = pa.table({"doc_id": list(range(len(texts))), "text": texts})
+    doc, h = ngram_join.shingles(table["text"], 5)
+    sizes, digests = ngram_join.classes(doc, h, len(texts))
+    keys, owner, _, _ = ngram_join.Block(table, {d for d in digests if d}, 5).entries()
+    held = ngram_join.Block(table, {d for d in digests if d}, 5)
+    assert len(keys) == ngram_join.entry_counts(held.sizes).sum()
+
+
+def test_first_of_components_keeps_one_row(spark):
+    rows = corpus(3) + EDGES
+    left = [r["doc_id"] for r in ngram_join.first_of_components(frame(spark, rows)).collect()]
+    named = [i for i in left if i is not None]
+    assert len(named) == len(set(named)) and set(named) == {c for _, _, c in brute(rows) if c is not None}
+    assert left.count(None) == sum(i is None for i, _ in rows)

@@ -50,6 +50,38 @@ def test_checksummed_tokens():
     assert [(secret_scan.KINDS[k], text[s:e]) for s, k, e in found] == [("github", good), ("npm", npm)]
 
 
+def brute_stretches(equal, penalty, first=0):
+    """The best-scoring stretch, the shortest of equals, and the same left
+    and right of it."""
+    n = len(equal)
+    score = lambda a, b: sum(1 if x else -penalty for x in equal[a:b])
+    best = max(((score(a, b), a - b, -a) for a in range(n) for b in range(a + 1, n + 1)), default=(0, 0, 0))
+    if best[0] <= 0:
+        return []
+    a, b = -best[2], -best[2] - best[1]
+    return brute_stretches(equal[:a], penalty, first) + [(first + a, first + b)] + brute_stretches(equal[b:], penalty, first + b)
+
+
+def test_all_maximal_stretches():
+    rng = random.Random(8)
+    for _ in range(400):
+        equal = [rng.random() < 0.6 for _ in range(rng.randint(0, 24))]
+        penalty = rng.randint(1, 3)
+        assert decontaminate.stretches(np.array(equal, bool), penalty) == brute_stretches(equal, penalty)
+
+
+def test_two_stretches_on_one_diagonal_and_text_ids(spark):
+    item = " ".join(f"q{k}" for k in range(60))
+    words = item.split()
+    words[11:30] = [f"other{k}" for k in range(19)]   # 11 equal, a changed middle
+    words[36] = "other"                                # then 13 tokens, one of them changed
+    words[43:] = [f"more{k}" for k in range(17)]
+    benchmark = spark.createDataFrame([("item-a", item), (None, "x"), ("item-a", item)], "item_id string, text string")
+    found = decontaminate.find_overlaps(frame(spark, [(1, " ".join(words))]), benchmark).collect()[0]["overlaps"]
+    assert [(o["item_id"], o["tokens"], o["first"], o["end"]) for o in found][0] == ("item-a", 12, 30, 43)
+    assert decontaminate.summary(decontaminate.find_overlaps(frame(spark, [(1, " ".join(words))]), benchmark)).first()["contaminated"]
+
+
 def brute_overlaps(text, item, masks, min_tokens, share, penalty):
     """All diagonals, token by token."""
     split = lambda t: re.findall(r"(?:[0-9A-Za-z]|[^\x00-\x7f])+", "".join(c.lower() if c < "\x80" else c for c in t or ""))
@@ -61,17 +93,12 @@ def brute_overlaps(text, item, masks, min_tokens, share, penalty):
                      for m in masks if len(m) >= 6 or len(m) == len(q) for p in range(len(q) - len(m) + 1))
         if not seeded:
             continue
-        best = (0, 0, 0)
+        need = max(1, min(min_tokens, int(np.ceil(share * len(q)))))
         inside = [p for p in range(len(q)) if 0 <= p + shift < len(d)]
-        for a in inside:
-            score = 0
-            for b in range(a, inside[-1] + 1):
-                score += 1 if b in equal else -penalty
-                if score > best[0]:
-                    best = (score, a, b + 1)
-        same = sum(p in equal for p in range(best[1], best[2]))
-        if same >= max(1, min(min_tokens, int(np.ceil(share * len(q))))):
-            out.append(same)
+        for a, b in brute_stretches([p in equal for p in inside], penalty):
+            same = sum(inside[k] in equal for k in range(a, b))
+            if same >= need:
+                out.append(same)
     return out
 
 

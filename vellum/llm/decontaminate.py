@@ -5,14 +5,16 @@ with A-Z lower-cased. A mask such as ``11011011`` hashes the tokens at its
 ones and ignores the others, so a seed survives substitutions there. Seeds of
 the test items are joined with those of every document position; each hit
 fixes an alignment of a document with an item, along which all tokens are then
-compared: the best-scoring stretch (+1 for an equal token, ``-penalty`` for a
-substitution) is an overlap if it has ``min_tokens`` equal tokens, or
-``min_share`` of the tokens of an item that is shorter. Items too short for the
-masks are hashed whole.
+compared: each maximal-scoring stretch (+1 for an equal token, ``-penalty`` for
+a substitution; the best one, then the best ones left and right of it, and so
+on) is an overlap if it has ``min_tokens`` equal tokens, or ``min_share`` of
+the tokens of an item that is shorter. Items too short for the masks are hashed
+whole.
 
-The test set travels to the tasks in slices of at most ``slice_tokens``
-tokens (about 50 bytes each), every slice in a pass of its own, so what is
-broadcast is bounded at any size of the test set.
+The test set goes through the driver in slices of at most ``slice_tokens``
+tokens, and all slices are broadcast (about 50 bytes a token in a worker, for
+at most nine slices at a time): this suits test sets of some million tokens, and grows
+with the test set, not with the documents.
 
 Defined results: null or empty texts have no tokens and no overlaps; items
 without tokens match nothing; every row gives one row; a repeated item is
@@ -115,25 +117,51 @@ class TestSet:
         rows = np.concatenate(out)
         return np.unique(rows, axis=0) if len(rows) else rows
 
-    def overlap(self, w: textscan.Words, doc: int, item: int, shift: int, min_tokens: int, min_share: float, penalty: int):
-        """(equal tokens, first, end) of the best stretch, or None."""
+    def overlaps(self, w: textscan.Words, doc: int, item: int, shift: int, min_tokens: int, min_share: float, penalty: int):
+        """(equal tokens, first, end) of every stretch that is long enough."""
         a, b = self.first[item], self.first[item + 1]
         lo, hi = max(shift, w.first[doc]), min(shift + b - a, w.first[doc + 1])
         equal = w.hashes[0][lo:hi] == self.hashes[a + lo - shift:a + hi - shift]
-        score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -penalty))])
-        gain = score - np.minimum.accumulate(score)
-        end = int(np.argmax(gain))
-        begin = int(np.argmin(score[:end + 1][::-1]))
-        begin = end - begin
-        same = int(equal[begin:end].sum())
-        need = min(min_tokens, int(np.ceil(min_share * (b - a))))
-        return (same, int(lo - w.first[doc]) + begin, int(lo - w.first[doc]) + end) if same >= max(1, need) else None
+        need = max(1, min(min_tokens, int(np.ceil(min_share * (b - a)))))
+        same = np.concatenate([[0], np.cumsum(equal)])
+        return [(int(same[end] - same[begin]), int(lo - w.first[doc]) + begin, int(lo - w.first[doc]) + end)
+                for begin, end in stretches(equal, penalty) if same[end] - same[begin] >= need]
+
+
+def stretches(equal: np.ndarray, penalty: int) -> list[tuple[int, int]]:
+    """All maximal-scoring stretches, in one pass over the runs of equal
+    tokens: a run joins the last stretch that began lower than it, if it ends
+    higher than that one."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], equal.astype(np.int8), [0]])))
+    out: list[tuple[int, int, int, int, int]] = []  # score before and after, begin, end, running score
+    for begin, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        if out:
+            low = out[-1][4] - penalty * (begin - out[-1][3])
+        else:
+            low = 0
+        high = low + end - begin
+        now = (low, high, begin, end, high)
+        while True:
+            j = len(out) - 1
+            while j >= 0 and out[j][0] >= now[0]:
+                j -= 1
+            if j < 0 or out[j][1] >= now[1]:
+                out.append(now)
+                break
+            now = (out[j][0], now[1], out[j][2], now[3], high)
+            del out[j:]
+    return [(begin, end) for _, _, begin, end, _ in out]
+
+
+def id_kind(benchmark: DataFrame, item_id: str) -> str:
+    """Item ids are long, or text if they are no integers."""
+    return "bigint" if dict(benchmark.dtypes)[item_id] in ("tinyint", "smallint", "int", "bigint") else "string"
 
 
 def test_slices(benchmark: DataFrame, item_id: str, text: str, slice_tokens: int):
     """The test set in bounded slices, fetched row by row."""
     held, size = [], 0
-    rows = benchmark.select(F.col(item_id).alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t")).toLocalIterator()
+    rows = benchmark.select(F.col(item_id).cast(id_kind(benchmark, item_id)).alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t")).toLocalIterator()
     for row in rows:
         n = len(row["t"]) // 2 + 1
         if held and size + n > slice_tokens:
@@ -155,7 +183,8 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     extra = [c for c in docs.columns if c not in (doc_id, text)] if with_text else []
     slices = test_slices(benchmark, item_id, item_text, slice_tokens)
     held = [(uuid.uuid4().hex, spark.sparkContext.broadcast(s)) for s in slices]
-    fields = pa.struct([("item_id", pa.int64()), ("tokens", pa.int64()), ("first", pa.int64()), ("end", pa.int64())])
+    kind = id_kind(benchmark, item_id)
+    fields = pa.struct([("item_id", pa.int64() if kind == "bigint" else pa.string()), ("tokens", pa.int64()), ("first", pa.int64()), ("end", pa.int64())])
 
     def run(batches):
         for batch in batches:
@@ -169,10 +198,10 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                 for name, part in held:
                     test = _test_set(name, part)
                     for doc, item, shift in test.hits(w).tolist():
-                        if got := test.overlap(w, doc, item, shift, min_tokens, min_share, penalty):
-                            found[i + doc].append({"item_id": test.ids[item], "tokens": got[0], "first": got[1], "end": got[2]})
+                        for same, first, end in test.overlaps(w, doc, item, shift, min_tokens, min_share, penalty):
+                            found[i + doc].append({"item_id": test.ids[item], "tokens": same, "first": first, "end": end})
             for rows in found:
-                rows.sort(key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["first"], r["end"]))
+                rows.sort(key=lambda r: (r["item_id"] is None, r["item_id"] if r["item_id"] is not None else 0, r["first"], r["end"]))
             cols = [batch.column("doc_id"), pa.array(counts), pa.array([bool(r) for r in found]), pa.array(found, pa.list_(fields))]
             names = ["doc_id", "n_tokens", "contaminated", "overlaps"]
             if with_text:
@@ -182,7 +211,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
     types = dict(docs.dtypes)
     schema = [f"doc_id {types[doc_id]}", "n_tokens bigint", "contaminated boolean",
-              "overlaps array<struct<item_id:bigint,tokens:bigint,first:bigint,end:bigint>>"]
+              f"overlaps array<struct<item_id:{kind},tokens:bigint,first:bigint,end:bigint>>"]
     if with_text:
         schema += [f"__text {types[text]}", *(f"__x{k} {types[c]}" for k, c in enumerate(extra))]
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"), *(F.col(f"`{c}`").alias(f"__x{k}") for k, c in enumerate(extra)))
@@ -195,7 +224,7 @@ _SETS: dict = {}
 def _test_set(name: str, part) -> TestSet:
     """One table a worker and slice."""
     if name not in _SETS:
-        if len(_SETS) > 1:
+        if len(_SETS) > 8:
             _SETS.clear()
         _SETS[name] = TestSet(part.value)
     return _SETS[name]

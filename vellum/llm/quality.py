@@ -260,11 +260,12 @@ def featured(docs: DataFrame, text: str, keep: dict[str, str]) -> DataFrame:
 
 def fit_model(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
               max_rows: int = MAX_FIT_ROWS) -> Model:
-    """Fit on at most ``max_rows`` labelled rows that are not held out."""
+    """Fit on at most ``max_rows`` labelled rows that are not held out: so
+    many ids are broadcast, and no text is shuffled to find them."""
     known = labels.select(F.col(doc_id).alias("__id"), F.col(label).cast("double").alias("__label"))
     known = known.where(F.col("__label").isNotNull() & F.col("__id").isNotNull()).where(~held_out("__id"))
     known = known.orderBy(F.xxhash64("__id"), "__id", "__label").limit(max_rows)
-    own = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(known, "__id")
+    own = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(known), "__id")
     rows = featured(own, "__text", {"__label": "y"}).limit(max_rows).toPandas()
     x = np.stack(rows["x"].to_list()) if len(rows) else np.zeros((0, len(FEATURES)))
     return fit(x, rows["y"].to_numpy(dtype=float))

@@ -35,6 +35,7 @@ from vellum.session import shared_path
 
 MAGIC = b"VTOK8B01"
 FILE_BYTES = 16 << 20
+READ_TOKENS = 4 << 20  # tokens a task reads back
 RANGE_BYTES = 64 << 20  # text of one range of ids
 _CODED = "part int, doc_id bigint, tie bigint, n_tokens bigint, sizes binary, word_counts binary, words binary, exceptions binary"
 _MANIFEST = "path string, part int, file int, n_docs bigint, n_tokens bigint"
@@ -198,7 +199,10 @@ def read_files(manifest: DataFrame) -> DataFrame:
     before = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)
     # a row per file, not per document: small at any size of corpus
     files = manifest.withColumn("file_start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
-    files = files.select("path", "file_start").repartition("path")
+    # a count of its own: by size, a table of paths would fill one task
+    n_files, n_tokens = manifest.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
+    tasks = max(1, min(n_files, max(math.ceil(n_tokens / READ_TOKENS), manifest.sparkSession.sparkContext.defaultParallelism)))
+    files = files.select("path", "file_start").repartition(tasks, "path")
 
     def read(batches):
         for batch in batches:
