@@ -1,5 +1,9 @@
 """HTML to text: literal expectations."""
 
+import random
+import re
+from html.parser import HTMLParser
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,3 +52,39 @@ NESTED = [
 def test_markup_inside_markup(spark, html, text):
     got = spark.createDataFrame([(html,)], "h string").select(html_to_text(F.col("h")).alias("t")).first().t
     assert got == text
+
+
+class Collector(HTMLParser):
+    """Character data, and a line break for each tag of the rule."""
+
+    def __init__(self):
+        super().__init__()
+        self.out = ""
+
+    def handle_data(self, data):
+        self.out += data
+
+    def handle_starttag(self, tag, attrs):
+        self.out += "\n" * (tag in ("br", "p", "div", "li", "tr"))
+
+    def handle_endtag(self, tag):
+        self.out += "\n" * (tag in ("p", "div", "li", "tr"))
+
+
+def parsed(html):
+    parser = Collector()
+    parser.feed(html)
+    return re.sub("\n{3,}", "\n\n", parser.out).strip()
+
+
+BITS = ["<p>", "</p>", "<p/>", "<div/>", "<li />", "<tr a='x'/>", "<p a=b/>", "<br>", "<br/>", "<p a='>'>", "</ p>", "</p >", "<b>", "</b>",
+        "<!-- c -->", "<!-- <p> -->", "<script>", "</script>", "<style/>", "a", "b c", " & ", "&lt", "&lt;", "&amp;", "&T", "<", " < ", ">",
+        "\n", "é", "<P/>", "<div class=x/>", "</div/>", "<p /a>", "<p/ >", "<x-p/>", "&#65", "&#65;", "<a title=don't>it's</a>", "\ufdd0", "\xa0"]
+
+
+def test_random_texts_against_the_parser(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choices(BITS, k=rng.randint(0, 9))) + rng.choice(["", "<br>"]) for _ in range(4000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, h string").select("k", html_to_text(F.col("h")).alias("t")).collect()
+    wrong = [(texts[r.k], r.t, parsed(texts[r.k])) for r in rows if r.t != parsed(texts[r.k])]
+    assert not wrong, wrong[:5]

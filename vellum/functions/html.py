@@ -5,16 +5,18 @@ The rules follow an HTML parser that only collects character data:
 * ``<script>`` and ``<style>`` contents are raw text: kept as they are,
   tags and entities inside them included;
 * elsewhere comments and tags are dropped, a newline is written for each
-  line-breaking tag (start tags br p div li tr, end tags p div li tr), and
-  character references are decoded: every HTML5 named reference written
-  with ``;`` and decimal/hex numeric references;
+  line-breaking tag (start tags br p div li tr, end tags p div li tr; a tag
+  closed by ``/>`` is a start and an end tag), and character references are
+  decoded: every HTML5 named reference written with ``;``, the old ones
+  without it too, and decimal/hex numeric references;
 * runs of 3+ newlines become 2 and the result is stripped.
 
 The named-reference table and the invalid numeric reference rules are
 taken from Python's ``html`` module at import time, so they are the same
-tables Python's parser uses. Comments, raw elements and tags that are not
-closed end with the text and leave nothing, as in a parser that is fed the
-text and not closed.
+tables Python's parser uses. As in a parser that is fed the text and not
+closed, what may go on is held back and leaves nothing: comments, raw elements
+and tags that are not closed, a last ``<``, and text after the last markup (or
+``<``) if a reference that is not finished stands at its end.
 """
 
 from __future__ import annotations
@@ -46,9 +48,19 @@ MARKUP_RE = (r"(?is)<(script|style)(?=[\s/>])" + _OPEN_REST + r">(?:(.*?)</\1(?:
              r"|<!\[CDATA\[.*?(?:\]\]>|\z)"
              r"|<[!?/][^>]*+(?:>|\z)"
              r"|<[a-z][^\s/>]*+" + _TAG_REST + r"(?:>|\z)")
+RAW_RE = r"(?is)^<(script|style)(?=[\s/>])" + _OPEN_REST + r">(?:(.*?)</\1(?:[\t\n\r\f /][^>]*+)?>|.*+)"
 RAW_GROUP = 2
 # Start tags br p div li tr and end tags p div li tr break lines.
-BREAK_TAG_RE = r"(?i)^<(?:/(?:p|div|li|tr)|p|div|li|tr|br)[\s/>]"
+BREAK_TAG_RE = r"(?i)^<(?:/(?:p|div|li|tr)[\s/>]|(?:p|div|li|tr|br)[\s/>]|/\s+(?:p|div|li|tr)\s*>)"
+# Of those, the tags that '/>' may close as well, when it does not.
+_STAYS_OPEN_RE = r"(?is)^<(?:p|div|li|tr)(?=[\s/>])" + _OPEN_REST + ">"
+_MAY_CLOSE_RE = r"(?i)^<(?:p|div|li|tr)[\s/]"
+# A reference that is not finished, in the last 34 characters; the whitespace
+# of Python's patterns.
+_SPACES = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_UNFINISHED_RE = "&[^<&;" + _SPACES + r"]{0,33}\z"
+# Stands between text and markup; texts that hold it take a slower way.
+_CUT = "\ufdd0"
 BLANK_RUN_RE = "\n{3,}"
 # A character reference as Python's unescape finds them: decimal or hex
 # (';' optional), or up to 32 name characters (';' optional).
@@ -162,12 +174,38 @@ def decode_charrefs(text: Column) -> Column:
     return F.when(F.instr(text, "&") > 0, joined).otherwise(text)
 
 
+def _markup_text(m: Column) -> Column:
+    """What one piece of markup leaves: line breaks or a raw element's text."""
+    raw = F.regexp_extract(m, RAW_RE, RAW_GROUP)
+    twice = F.endswith(m, F.lit("/>")) & m.rlike(_MAY_CLOSE_RE) & ~m.rlike(_STAYS_OPEN_RE)
+    breaks = F.when(twice, F.lit("\n\n")).when(m.rlike(BREAK_TAG_RE), F.lit("\n")).otherwise(F.lit(""))
+    return F.when(F.lower(F.substring(m, 1, 3)).isin("<sc", "<st"), raw).otherwise(breaks)
+
+
+def _not_held_back(last: Column) -> Column:
+    """The text after the last markup without what the parser waits with."""
+    after = F.instr(F.reverse(last), "<")  # counted from the end; 0 if none
+    kept = F.when(after > 0, F.substring(last, F.lit(1), F.length(last) - after + 1)).otherwise(F.lit(""))
+    return F.when(F.endswith(last, F.lit("<")), F.substring(last, F.lit(1), F.length(last) - 1)).when(
+        last.rlike(_UNFINISHED_RE), kept).otherwise(last)
+
+
+def _pieces_text(pieces: Column) -> Column:
+    """Text and markup in turns, text first and last."""
+    def joined(held: Column) -> Column:
+        last = F.size(held) - 1
+        return F.array_join(F.transform(held, lambda p, k: F.when(k % 2 == 1, _markup_text(p)).otherwise(
+            decode_charrefs(F.when(k == last, _not_held_back(p)).otherwise(p)))), "")
+    # bound in a lambda, so that the pieces are worked out once a row and not once an element
+    return F.element_at(F.transform(F.array(pieces), joined), 1)
+
+
 def html_to_text(html) -> Column:
     x = F.coalesce(_col(html), F.lit(""))
-    texts = F.transform(F.split(x, MARKUP_RE), decode_charrefs)
-    breaks = F.transform(F.regexp_extract_all(x, F.lit(MARKUP_RE), 0),
-                         lambda m: F.when(m.rlike(BREAK_TAG_RE), F.lit("\n")).otherwise(F.lit("")))
-    raw = F.regexp_extract_all(x, F.lit(MARKUP_RE), RAW_GROUP)
-    between = F.zip_with(breaks, raw, lambda a, b: F.concat(a, b))
-    joined = F.array_join(F.zip_with(texts, between, lambda t, m: F.concat(t, F.coalesce(m, F.lit("")))), "")
-    return py_strip(F.regexp_replace(joined, BLANK_RUN_RE, "\n\n"))
+    # the markup is searched once, and marked; a text that holds the mark is searched twice
+    marked = F.split(F.regexp_replace(x, MARKUP_RE, _CUT + "$0" + _CUT), _CUT)
+    texts = F.split(x, MARKUP_RE)
+    found = F.concat(F.regexp_extract_all(x, F.lit(MARKUP_RE), 0), F.array(F.lit("")))
+    turns = F.flatten(F.zip_with(texts, found, lambda t, m: F.array(t, m)))
+    pieces = F.when(F.instr(x, _CUT) > 0, F.slice(turns, 1, F.size(turns) - 1)).otherwise(marked)
+    return py_strip(F.regexp_replace(_pieces_text(pieces), BLANK_RUN_RE, "\n\n"))

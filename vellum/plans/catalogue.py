@@ -291,8 +291,10 @@ def html_text_native(spark, sf):
 
 
 def html_text_exact(spark, sf):
-    """Kept under its name: page texts with their sizes."""
-    return html_text_native(spark, sf).withColumn("n_chars", F.char_length("text").cast("bigint"))
+    """Text and size of pages with self-closed tags, spaced end tags and an
+    unfinished reference at the end."""
+    text = fx.awkward_pages(spark, sf).select("page_id", html_to_text(F.col("html")).alias("text"))
+    return text.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
 # ---- replies -------------------------------------------------------------------

@@ -284,3 +284,12 @@ def write_file_tree(spark: SparkSession, sf_dir: str, base_uri: str) -> int:
             yield pd.DataFrame({"n": [len(pdf)]})
 
     return files.mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0
+
+
+def awkward_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose writer closes list items, paragraphs and divisions in its
+    own ways, and breaks off within a reference."""
+    h = F.coalesce(F.col("html"), F.lit(""))
+    for old, new in (("</li>", "<li/>"), ("</h1>", "</h1><div />"), ("</div>", "</ div >"), ("<br>", "<tr/>")):
+        h = F.replace(h, F.lit(old), F.lit(new))
+    return table(spark, sf_dir, "pages").select("page_id", F.concat(h, F.lit(" R&D")).alias("html"))
