@@ -98,7 +98,7 @@ def _described(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
         for batch in batches:
             column = batch.column("text")
             lengths = np.diff(textscan.utf8(column)[1])
-            for i, j in textscan.slices(np.concatenate([[0], np.cumsum(lengths)]), 4 << 20):
+            for i, j in textscan.slices(np.concatenate([[0], np.cumsum(lengths)])):
                 doc, h = shingles(column.slice(i, j - i), size)
                 n, digest = classes(doc, h, j - i)
                 first = np.searchsorted(doc, np.arange(j - i + 1))

@@ -192,7 +192,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             counts = np.zeros(batch.num_rows, np.int64)
             sizes = np.diff(textscan.utf8(column)[1])
-            for i, j in textscan.slices(np.concatenate([[0], np.cumsum(sizes)]), 4 << 20):
+            for i, j in textscan.slices(np.concatenate([[0], np.cumsum(sizes)])):
                 w = tokens(column.slice(i, j - i))
                 counts[i:j] = np.diff(w.first)
                 for name, part in held:

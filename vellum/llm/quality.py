@@ -250,7 +250,7 @@ def featured(docs: DataFrame, text: str, keep: dict[str, str]) -> DataFrame:
         for batch in batches:
             column = batch.column("__text")
             sizes = np.diff(textscan.utf8(column)[1])
-            parts = [features(column.slice(i, j - i)) for i, j in textscan.slices(np.concatenate([[0], np.cumsum(sizes)]), 4 << 20)]
+            parts = [features(column.slice(i, j - i)) for i, j in textscan.slices(np.concatenate([[0], np.cumsum(sizes)]))]
             x = np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * len(FEATURES), pa.int32()), pa.array(x.reshape(-1)))
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep.values()), lists], names=[*keep.values(), "x"])
@@ -281,7 +281,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
             column = batch.column(names[text])
             sizes = np.diff(textscan.utf8(column)[1])
             parts = [model.score(features(column.slice(i, j - i)))
-                     for i, j in textscan.slices(np.concatenate([[0], np.cumsum(sizes)]), 4 << 20)]
+                     for i, j in textscan.slices(np.concatenate([[0], np.cumsum(sizes)]))]
             total = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total)], names=[*batch.schema.names, "__score"])
     rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
