@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from vellum.functions.naming import upload_name as upload_name_expr
 from vellum.sources import storage
+from vellum.sources.deal import deal
 
 
 def with_upload_name(rows: DataFrame, path: str = "relative_path",
@@ -90,15 +91,20 @@ UPLOAD_RESULT = T.StructType([
 
 def upload(manifest: DataFrame, put_factory: Callable[[], Callable[[str, bytes], None]],
            local: str = "full_path", name: str = "upload_name",
-           read: Callable[[str], bytes] = storage.read_bytes, concurrency: int | None = None) -> DataFrame:
+           read: Callable[[str], bytes] = storage.read_bytes, concurrency: int | None = None,
+           size: str = "file_size") -> DataFrame:
     """Push each row's file with the injected ``put(name, data)``.
 
     Runs inside ``mapInPandas``; one client per partition; a failure is a
     'failed' row and the run continues. Existing objects are overwritten.
+    Files are dealt to tasks by the bytes in column ``size``, if there is one,
+    to ``concurrency`` tasks at most.
     """
-    src = manifest.select(F.col(name).alias("upload_name"), F.col(local).alias("local_path"))
+    bytes_ = F.col(size).try_cast("long") if size in manifest.columns else F.lit(None).cast("long")
+    src = manifest.select(F.col(name).alias("upload_name"), F.col(local).alias("local_path"), bytes_.alias("bytes"))
+    src = deal(src, "upload_name", F.col("bytes")).drop("bytes")
     if concurrency:
-        src = src.repartition(concurrency)
+        src = src.coalesce(concurrency)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         put = put_factory()

@@ -33,18 +33,20 @@ def flag_latest(df: DataFrame, group: str = "group_key", number: str = "revision
                 flag: str = "is_latest") -> DataFrame:
     """Set ``flag`` on every row: True for exactly one row per group.
 
-    The winners are joined back on a hash of the whole row, not on the group
-    key, so the join has no hot key whatever the group sizes are, and rows
-    with a null path or one that occurs twice are told apart (only rows equal
-    in all columns share their flag). AQE broadcasts the winners only after
-    measuring them.
+    The winners are joined back on the group and a hash of the whole row, so
+    the join has no hot key whatever the group sizes are, two rows of
+    different groups never share a flag by their hash, and rows with a null
+    path or one that occurs twice are told apart (only rows equal in all
+    columns share their flag). AQE broadcasts the winners only after measuring
+    them.
     """
     base = df.drop(flag) if flag in df.columns else df
     base = base.withColumn("_row", F.xxhash64(*base.columns))
     order = F.struct(_order_key(number, time, path).alias("key"), F.col("_row"))
     winners = base.groupBy(group).agg(F.min_by(F.col("_row"), order).alias("_row"))
-    winners = winners.select("_row", F.lit(True).alias("_winner")).distinct()
-    out = base.join(winners, "_row", "left").withColumn(flag, F.coalesce(F.col("_winner"), F.lit(False)))
+    winners = winners.select(F.col(group).alias("_group"), F.col("_row").alias("_won"), F.lit(True).alias("_winner"))
+    same = (base["_row"] == winners["_won"]) & base[group].eqNullSafe(winners["_group"])
+    out = base.join(winners, same, "left").withColumn(flag, F.coalesce(F.col("_winner"), F.lit(False)))
     order = [c if c != flag else flag for c in df.columns] if flag in df.columns else df.columns + [flag]
     return out.select(*order)
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from vellum.functions.revision import file_name, file_stem, has_reduced_suffix
 from vellum.functions.text import is_truthy
 from vellum.sources import storage
+from vellum.sources.deal import deal
 
 MIB = 1024 ** 2
 GIB = 1024 ** 3
@@ -76,14 +77,17 @@ def staged_path(destination: str) -> str:
 
 def reduce_files(plan: DataFrame, reducer: Callable[[bytes], bytes],
                  read: Callable[[str], bytes] = storage.read_bytes,
-                 write: Callable[[str, bytes], None] = storage.write_bytes) -> DataFrame:
+                 write: Callable[[str, bytes], None] = storage.write_bytes, size: str = "file_size") -> DataFrame:
     """Stage 1 of a reduction: run ``reducer`` on every source of a 'reduce'
     row, once however many rows name it, inside ``mapInPandas`` (X2) and write
     the result to a temporary sibling of its destination (a path or a URI on
     a file system that all executors share). Sources are never touched here,
-    so a retried task redoes its files from the originals. Errors become
+    so a retried task redoes its files from the originals. Files are dealt to
+    tasks by the bytes in column ``size``, if the plan has it. Errors become
     rows."""
-    todo = plan.filter(F.col("action") == "reduce").groupBy("source_path").agg(F.min("destination").alias("destination"))
+    todo = plan.filter(F.col("action") == "reduce").groupBy("source_path").agg(
+        F.min("destination").alias("destination"), F.max(F.col(size) if size in plan.columns else F.lit(None).cast("long")).alias("bytes"))
+    todo = deal(todo, "source_path", F.col("bytes").try_cast("long")).drop("bytes")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -132,7 +136,7 @@ def commit_files(results: DataFrame, commit: Callable[[str, str, str], str | Non
                 errors.append(err)
             yield pdf.assign(error=errors)
 
-    return results.mapInPandas(run, REDUCE_RESULT)
+    return deal(results, "destination", F.col("reduced_size")).mapInPandas(run, REDUCE_RESULT)
 
 
 def reduction_accounting(results: DataFrame, by: list[str] | None = None) -> DataFrame:

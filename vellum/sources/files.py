@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vellum.functions.revision import (file_name, file_stem, revision_group_key, revision_label,
                                        revision_number)
 from vellum.session import shared_path
+from vellum.sources.deal import deal
 
 # Endings of the files that are listed.
 PDF_GLOB = "*.[pP][dD][fF]"
@@ -72,9 +73,10 @@ def list_files(spark: SparkSession, root: str, glob: str = PDF_GLOB, with_md5: b
     while True:
         _level(level).write.parquet(f"{base}/entries/depth={depth}")
         entries = spark.read.parquet(f"{base}/entries/depth={depth}")
-        level = entries.filter("folder").select("path").repartition("path")
+        level = entries.filter("folder").select("path")
         if level.isEmpty():
             break
+        level = deal(level, "path")
         depth += 1
     pattern = "(?s).*[.](?i:pdf)" if glob == PDF_GLOB else "(?s).*" + glob.lstrip("*").replace(".", "[.]")
     entries = spark.read.parquet(f"{base}/entries")
@@ -82,7 +84,7 @@ def list_files(spark: SparkSession, root: str, glob: str = PDF_GLOB, with_md5: b
     files = found.select("path", "length", "modificationTime", "error")
     if not with_md5:
         return files.filter(F.col("error").isNull()).drop("error")
-    return _hashed(files.repartition("path")).select("path", "length", "modificationTime", "md5_hash", "error")
+    return _hashed(deal(files, "path", F.col("length"))).select("path", "length", "modificationTime", "md5_hash", "error")
 
 
 def parent_of(root: str) -> str:
