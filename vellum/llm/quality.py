@@ -1,4 +1,4 @@
-"""Quality classifier: a generalised additive model with pairwise
+"""Quality model: a generalised additive model with pairwise
 interactions.
 
 Every feature is cut into bins at quantiles of the fit sample. Boosting goes
