@@ -24,7 +24,7 @@ def _ready(spark: SparkSession) -> None:
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go (operator 9). It learns from
+    """Documents that the quality model rejects go (operator 9). It learns from
     the labelled rows of ``docs`` that are not held out."""
     _ready(spark)
     model = quality.fit_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -61,7 +61,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality_filter", quality_filter), ("line_dedup", drop_lines), ("near_duplicates", drop_near_duplicates),
           ("decontamination", drop_contaminated), ("packing", pack)]
 
-# The classifier's sums, the merges of the vocabulary and the packing search
+# The quality model's sums, the merges of the vocabulary and the packing search
 # are no SQL; the tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
 
