@@ -142,3 +142,80 @@ def test_an_unreadable_results_table_is_an_error(spark, tmp_path):
     (tmp_path / "bad" / "part-0.parquet").write_bytes(b"no parquet")
     with pytest.raises(Exception):
         read_results(spark, str(tmp_path / "bad")).count()
+
+
+def _lookup(spark, tmp_path, rows, listed, pages, reply, **kw):
+    inv = spark.createDataFrame(rows, "full_path string, relative_path string, is_latest string")
+    return classify_latest(spark, inv, spark.createDataFrame(pages, "path string, page_no int, image binary"),
+                           _client_factory(reply), str(tmp_path / "r"), page_key="path", base_dir="/srv/inv",
+                           listing=spark.createDataFrame([(p,) for p in listed], "path string"), **kw)
+
+
+def test_documents_are_looked_up_before_they_are_scored(spark, tmp_path):
+    rows = [("/srv/a.pdf", "x/a.pdf", "True"),        # absolute, there
+            ("/old/b.pdf", "x/b.pdf", "True"),        # moved: found under the folder
+            ("", "c.pdf", "True"),                    # found under the folder's parent
+            ("/srv/d.pdf", " ", "True"),              # blank key
+            ("/gone/e.pdf", "e.pdf", "True"),         # nowhere
+            ("", None, "True"), ("", "", "True"),     # no path at all
+            ("/gone/f.pdf", "f.pdf", "False")]        # not latest
+    listed = ["/srv/a.pdf", "/srv/inv/x/a.pdf", "/srv/inv/x/b.pdf", "/srv/c.pdf", "/srv/d.pdf"]
+    pages = [(p, 1, p.encode()) for p in listed]
+
+    def reply(parts):
+        import base64
+        path = base64.b64decode(parts[1]["image_url"].split(",", 1)[1]).decode()
+        return json.dumps({"asset_type": "text", "confidence": 0.5, "reason": path})
+
+    res = _lookup(spark, tmp_path, rows, listed, pages, reply, waves=2)
+    got = {r.relative_path: r.llm_reason for r in res.scored.collect()}
+    assert got == {"x/a.pdf": "/srv/a.pdf", "x/b.pdf": "/srv/inv/x/b.pdf", "c.pdf": "/srv/c.pdf",
+                   "/srv/d.pdf": "/srv/d.pdf", "e.pdf": "file not found: e.pdf", "": "file not found: <empty>"}
+    assert res.inventory.count() == len(rows) and res.messages.count() == len(rows)
+    again = _lookup(spark, tmp_path, rows, listed, pages, lambda parts: 1 / 0, waves=2)
+    assert again.scored.count() == 0
+
+
+def test_rows_with_one_key_are_one_call_and_a_missing_file_represents_no_group(spark, tmp_path):
+    inv = spark.createDataFrame([("a.pdf", "h", "True"), ("b.pdf", "h", "True"), ("b.pdf", "h", "True")],
+                                "relative_path string, md5_hash string, is_latest string")
+    pages = spark.createDataFrame([("/s/b.pdf", 1, b"b")], "path string, page_no int, image binary")
+    res = classify_latest(spark, inv, pages, _client_factory(lambda p: '{"asset_type": "text"}'),
+                          str(tmp_path / "r"), share_by="md5_hash", page_key="path", base_dir="/s",
+                          listing=spark.createDataFrame([("/s/b.pdf",)], "path string"))
+    assert sorted((r.relative_path, r.llm_document_type) for r in res.scored.collect()) == [
+        ("a.pdf", "error"), ("b.pdf", "text")]
+
+
+def test_a_task_holds_several_calls_open_and_makes_failed_ones_again(spark):
+    from vellum.operators.scoring import call_model
+    keys = [f"d{i}" for i in range(12)]
+    requests = spark.createDataFrame([(k, [{"type": "input_text", "text": k, "image_url": None}]) for k in keys],
+                                     "id string, content array<struct<type:string,text:string,image_url:string>>")
+
+    def factory():
+        import threading
+        import time
+        state = call_model_state.setdefault("s", {"open": 0, "most": 0, "lock": threading.Lock(), "tries": {}})
+
+        def client(parts):
+            name = parts[0]["text"]
+            with state["lock"]:
+                state["open"] += 1
+                state["most"] = max(state["most"], state["open"])
+                state["tries"][name] = tries = state["tries"].get(name, 0) + 1
+            time.sleep(0.05)
+            with state["lock"]:
+                state["open"] -= 1
+            if name == "d3" or (name == "d5" and tries < 3):
+                raise RuntimeError("busy")
+            return f"{state['most']} {tries}"
+        return client
+
+    call_model_state: dict = {}
+    out = {r.id: r for r in call_model(requests.coalesce(1), factory, "id", in_flight=4, retries=2,
+                                       backoff=0.01).collect()}
+    assert sorted(out) == sorted(keys)
+    assert out["d3"].call_error == "RuntimeError: busy" and out["d5"].output_text.endswith(" 3")
+    assert max(int(r.output_text.split()[0]) for r in out.values() if r.output_text) == 4
+    assert call_model(requests.limit(0), factory, "id", in_flight=4).count() == 0

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import threading
+import time
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from typing import Any, Callable, Iterator
 
 import pandas as pd
@@ -87,18 +90,22 @@ def request_content(images: Column, prompt: str = DEFAULT_PROMPT) -> Column:
 
 def build_requests(candidates: DataFrame, pages: DataFrame, key: str, page_no: str = "page_no",
                    image: str = "image", max_pages: int = 2,
-                   prompt: str = DEFAULT_PROMPT) -> DataFrame:
+                   prompt: str = DEFAULT_PROMPT, page_key: str | None = None) -> DataFrame:
     """One request per candidate; zero pages -> an error row.
 
     Pages are cut to ``max_pages`` per document before they are gathered, so
-    each gathered array holds at most ``max_pages`` images.
+    each gathered array holds at most ``max_pages`` images. ``page_key`` is
+    the column that both sides share when pages go by another name than
+    ``key`` (a resolved path, which several candidates may have).
     """
-    top = first_pages(pages.join(candidates.select(key), key, "left_semi"), key, page_no, max_pages)
-    bundles = top.groupBy(key).agg(
+    by = page_key or key
+    wanted = candidates.select(*dict.fromkeys((key, by)))
+    top = first_pages(pages.join(wanted.select(by), by, "left_semi"), by, page_no, max_pages)
+    bundles = top.groupBy(by).agg(
         F.transform(F.sort_array(F.collect_list(F.struct(F.col(page_no).alias("n"),
                                                          F.col(image).alias("img")))),
                     lambda s: s["img"]).alias("images"))
-    req = candidates.select(key).join(bundles, key, "left")
+    req = wanted.join(bundles, by, "left")
     return req.select(
         key,
         F.when(F.col("images").isNotNull(), request_content(F.col("images"), prompt)).alias("content"),
@@ -106,36 +113,68 @@ def build_requests(candidates: DataFrame, pages: DataFrame, key: str, page_no: s
     )
 
 
+def _reply_row(client, key: str, parts: list[dict], retries: int, backoff: float) -> tuple:
+    """(key, output_text, output, call_error) of one document. A failed call
+    is made again after ``backoff`` seconds, doubled each time."""
+    for attempt in range(retries + 1):
+        try:
+            reply = client(parts)
+            if isinstance(reply, str) or reply is None:
+                return key, reply, None, None
+            return key, reply.get("output_text"), reply.get("output"), None
+        except Exception as exc:  # one bad document must not end the run
+            error = f"{type(exc).__name__}: {exc}"
+        if attempt < retries:
+            time.sleep(backoff * 2 ** attempt)
+    return key, None, None, error
+
+
 def call_model(requests: DataFrame, client_factory: Callable[[], Callable[[list], Any]],
-               key: str, concurrency: int | None = None) -> DataFrame:
+               key: str, concurrency: int | None = None, in_flight: int = 1, retries: int = 0,
+               backoff: float = 1.0) -> DataFrame:
     """Run the injected client once per request inside ``mapInPandas``.
 
-    ``client_factory`` is called once per partition on the executor; the
-    client gets the content parts (list of dicts) and returns either the
+    The client gets the content parts (list of dicts) and returns either the
     reply text or a response mapping with ``output_text`` / ``output``.
-    ``concurrency`` caps parallel calls by repartitioning first. Failures
-    become ``call_error`` rows instead of ending the job.
+    ``concurrency`` caps the number of tasks by repartitioning first, and a
+    task holds ``in_flight`` calls open at once: it waits for the first of
+    them to end before it reads on, so it never holds more requests than one
+    batch and those in flight. ``client_factory`` is called on the executor
+    once for each of these ``in_flight`` threads, so a client need not be
+    safe for threads. A call that fails is made ``retries`` times more, with
+    a pause of ``backoff`` seconds that doubles; failures that stay become
+    ``call_error`` rows instead of ending the job.
     """
+    if in_flight < 1 or retries < 0:
+        raise ValueError("in_flight must be at least 1 and retries at least 0")
     src = requests.filter(F.col("content").isNotNull()).select(F.col(key).cast("string").alias("key"),
                                                                "content")
     if concurrency:
         src = src.repartition(concurrency)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = client_factory()
-        for pdf in batches:
-            rows = []
-            for k, content in zip(pdf["key"], pdf["content"]):
-                parts = [dict(p) for p in content] if content is not None else []
-                try:
-                    reply = client(parts)
-                    if isinstance(reply, str) or reply is None:
-                        rows.append((k, reply, None, None))
-                    else:
-                        rows.append((k, reply.get("output_text"), reply.get("output"), None))
-                except Exception as exc:  # one bad document must not end the run
-                    rows.append((k, None, None, f"{type(exc).__name__}: {exc}"))
-            yield pd.DataFrame(rows, columns=["key", "output_text", "output", "call_error"])
+        own = threading.local()
+
+        def open_client():
+            own.client = client_factory()
+
+        def call(k, content):
+            return _reply_row(own.client, k, [dict(p) for p in content], retries, backoff)
+
+        def frame(done):
+            return pd.DataFrame([f.result() for f in done],
+                                columns=["key", "output_text", "output", "call_error"])
+
+        with ThreadPoolExecutor(in_flight, initializer=open_client) as pool:
+            open_calls: set = set()
+            for pdf in batches:
+                for k, content in zip(pdf["key"], pdf["content"]):
+                    if len(open_calls) == in_flight:
+                        done, open_calls = wait(open_calls, return_when=FIRST_COMPLETED)
+                        yield frame(done)
+                    open_calls.add(pool.submit(call, k, content))
+            if open_calls:
+                yield frame(wait(open_calls).done)
 
     out = src.mapInPandas(run, RESPONSE_SCHEMA)
     return out.withColumnRenamed("key", key)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vellum.functions.html import html_to_text
 from vellum.functions.naming import explicit_upload_name, generated_upload_name, upload_name
-from vellum.functions.replies import response_text, with_normalised_reply, with_parsed_reply
+from vellum.functions.replies import format_confidence, response_text, with_normalised_reply, with_parsed_reply
 from vellum.functions.revision import file_name, file_stem, format_epoch, revision_group_key, \
     revision_label, revision_number
 from vellum.functions.text import html_escape, is_truthy, strip_code_fences
@@ -356,10 +356,11 @@ def _stored_results(spark, sf):
         F.col("raw_json").alias("llm_raw_json"))
 
 
-def offline_scorer_factory():
+def offline_scorer_factory(pass_no: int = 1):
     """A deterministic stand-in for a model client (X1): it reads the page
     images of the request and answers with a JSON object in one of the
-    shapes real replies take (fenced, with prose, plain)."""
+    shapes real replies take (fenced, with prose, plain). ``pass_no`` goes
+    into its reason."""
     import base64
     import json
 
@@ -368,8 +369,8 @@ def offline_scorer_factory():
                   if p["type"] == "input_image"]
         total = sum(len(i) for i in images)
         label = "text-based" if total >= 1000 else "Image Document"
-        body = json.dumps({"reasoning": f"{len(images)} pages, {total} bytes", "asset_type": label,
-                           "confidence": min(1.0, total / 4000.0)})
+        body = json.dumps({"reasoning": f"pass {pass_no}: {len(images)} pages, {total} bytes",
+                           "asset_type": label, "confidence": min(1.0, total / 4000.0)})
         if total % 3 == 0:
             return "```json\n" + body + "\n```"
         if total % 3 == 1:
@@ -379,19 +380,19 @@ def offline_scorer_factory():
 
 
 def score_run(spark, sf):
-    """Score every conversation (its turns are its pages) with the offline
-    scorer through the whole classify job: candidates, first two pages,
-    request, mapInPandas call, native normalisation, append-only results."""
+    """The whole classify job, twice: path lookup, candidates, first two
+    pages, requests, calls in flight, native normalisation, append-only
+    results, write-back. The first pass holds two thirds of the inventory;
+    the second, over all of it, calls only for what is left. Rows are the
+    inventory after the second pass, the confidence as it is exported."""
     from vellum.plans.classify import classify_latest
-    conv = fx.table(spark, sf, "conversations")
-    key = F.concat(F.lit("conversations/"), F.col("conv_id").cast("string"), F.lit(".pdf"))
-    inventory = conv.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns")).select(
-        key.alias("relative_path"), F.lit(True).alias("is_latest"))
-    pages = conv.select(key.alias("relative_path"), F.col("turn").alias("page_no"),
-                        F.encode(F.col("text"), "UTF-8").alias("image"))
-    res = classify_latest(spark, inventory, pages, offline_scorer_factory,
-                          shared_path(spark, "score_run", unique=True))
-    return res.scored.select("relative_path", "llm_document_type", "llm_confidence", "llm_reason")
+    inventory, listed, pages = fx.scored_documents(spark, sf)
+    results = shared_path(spark, "score_run", unique=True)
+    for pass_no, rows in ((1, inventory.filter(F.pmod(F.col("conv_id"), F.lit(9)) < 6)), (2, inventory)):
+        res = classify_latest(spark, rows, pages, lambda: offline_scorer_factory(pass_no), results,  # noqa: B023
+                              listing=listed, base_dir=fx.INVENTORY_DIR, page_key="path", in_flight=4)
+    return res.inventory.select("conv_id", "relative_path", "llm_document_type",
+                                format_confidence(F.col("llm_confidence")).alias("llm_confidence"), "llm_reason")
 
 
 def cached_results(spark, sf):

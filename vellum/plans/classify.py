@@ -13,6 +13,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from vellum.functions.replies import format_confidence
 from vellum.functions.text import blank_to_null, is_truthy
 from vellum.operators import scoring
+from vellum.operators.dedup import first_seen
+from vellum.operators.resolve import resolve_paths
+from vellum.session import cut_lineage
+
+_PAGE = "_page_key"
 
 RESULT_TABLE_SCHEMA = T.StructType([
     T.StructField("relative_path", T.StringType()),
@@ -34,20 +39,63 @@ class ClassifyResult:
     messages: DataFrame    # key, message: one status line per inventory row (P35)
 
 
-def _score_wave(candidates: DataFrame, pages: DataFrame, client_factory, results_path: str, key: str,
-                page_no: str, image: str, max_pages: int, prompt: str, concurrency: int | None,
-                run_id: str) -> None:
-    requests = scoring.build_requests(candidates, pages, key=key, page_no=page_no, image=image,
-                                      max_pages=max_pages, prompt=prompt)
-    responses = scoring.call_model(requests, client_factory, key=key, concurrency=concurrency)
-    normalised = scoring.normalise_responses(responses, key)
-    no_pages = requests.filter(F.col("request_error").isNotNull()).select(
+@dataclass
+class Calls:
+    """How documents become calls: page columns, prompt, and call limits."""
+    page_no: str
+    image: str
+    max_pages: int
+    prompt: str
+    concurrency: int | None
+    in_flight: int
+    retries: int
+    backoff: float
+
+
+def _error_rows(failed: DataFrame, key: str, error: str) -> DataFrame:
+    """Result rows of documents that no call was made for."""
+    return failed.select(
         key, F.lit("error").alias("llm_document_type"), F.lit(0.0).alias("llm_confidence"),
-        F.col("request_error").alias("llm_reason"), F.lit(None).cast("string").alias("llm_raw_json"),
-        F.col("request_error").alias("error"))
-    run = normalised.unionByName(no_pages).withColumn("scored_at", F.current_timestamp()).withColumn(
-        "run_id", F.lit(run_id))
-    run.write.mode("append").parquet(results_path)
+        F.col(error).alias("llm_reason"), F.lit(None).cast("string").alias("llm_raw_json"),
+        F.col(error).alias("error"))
+
+
+def _append(rows: DataFrame, results_path: str, run_id: str) -> None:
+    rows.withColumn("scored_at", F.current_timestamp()).withColumn(
+        "run_id", F.lit(run_id)).write.mode("append").parquet(results_path)
+
+
+def _score_wave(candidates: DataFrame, pages: DataFrame, client_factory, results_path: str, key: str,
+                calls: Calls, run_id: str) -> None:
+    requests = scoring.build_requests(candidates, pages, key=key, page_no=calls.page_no, image=calls.image,
+                                      max_pages=calls.max_pages, prompt=calls.prompt, page_key=_PAGE)
+    responses = scoring.call_model(requests, client_factory, key=key, concurrency=calls.concurrency,
+                                   in_flight=calls.in_flight, retries=calls.retries, backoff=calls.backoff)
+    no_pages = requests.filter(F.col("request_error").isNotNull())
+    _append(scoring.normalise_responses(responses, key).unionByName(_error_rows(no_pages, key, "request_error")),
+            results_path, run_id)
+
+
+def _one_a_key(rows: DataFrame, listing: DataFrame | None, base_dir: str | None, listing_path: str,
+               key: str, share_by: str | None) -> DataFrame:
+    """The documents to score, one row a key: the name their pages go by
+    (null: no file found), and the raw path for the message of a missing file.
+
+    With a listing that name is the first of the row's candidate paths that
+    the listing holds (J2); of rows with one key the smallest such name is
+    taken. Without one it is the key.
+    """
+    raws = [c for c in ("full_path", key) if c in rows.columns]
+    if listing is None:
+        found = rows.withColumn(_PAGE, F.col(key))
+    else:
+        found = resolve_paths(rows, listing, base_dir, tuple(dict.fromkeys(raws)),
+                              listing_path=listing_path).withColumnRenamed("resolved_path", _PAGE)
+    carried = [F.col(_PAGE)] + ([F.col(share_by)] if share_by else [])
+    best = F.min(F.when(F.col(_PAGE).isNotNull(), F.struct(*carried)))
+    wanted = F.coalesce(*[blank_to_null(c) for c in reversed(raws)], F.lit("<empty>"))
+    return found.groupBy(key).agg(best.alias("_best"), F.min(wanted).alias("_wanted")).select(
+        key, "_best.*", "_wanted")
 
 
 def _fan_out(spark: SparkSession, candidates: DataFrame, called: DataFrame, results_path: str,
@@ -83,7 +131,9 @@ def classify_latest(spark: SparkSession, inventory: DataFrame, pages: DataFrame,
                     key: str = "relative_path", page_no: str = "page_no", image: str = "image",
                     max_pages: int = 2, prompt: str = scoring.DEFAULT_PROMPT,
                     concurrency: int | None = None, retry_errors: bool = False,
-                    waves: int = 1, share_by: str | None = None) -> ClassifyResult:
+                    waves: int = 1, share_by: str | None = None, listing: DataFrame | None = None,
+                    base_dir: str | None = None, listing_path: str = "path", page_key: str | None = None,
+                    in_flight: int = 1, retries: int = 0, backoff: float = 1.0) -> ClassifyResult:
     """One model call per latest document without a stored type.
 
     Results are appended to ``results_path`` before anything else reads
@@ -95,24 +145,40 @@ def classify_latest(spark: SparkSession, inventory: DataFrame, pages: DataFrame,
     ``share_by`` (e.g. ``"md5_hash"``) makes documents with the same value
     share one call: the smallest key per value is scored and its result is
     written for the others too.
+
+    With a ``listing`` of files (column ``listing_path``) every candidate is
+    looked up first: its full path, then its key, each as it is when absolute
+    and else under ``base_dir`` and then under its parent (J2). ``pages`` go
+    by the path found, in column ``page_key`` (default: ``key``); a document
+    without a file is an error row and no call. Rows with one key are one
+    document; rows without any path share the key ''. ``in_flight``,
+    ``retries`` and ``backoff`` are those of ``scoring.call_model``.
     """
+    if listing is not None and base_dir is None:
+        raise ValueError("a listing needs the base_dir that relative paths start from")
     run_id = uuid.uuid4().hex
     if "full_path" in inventory.columns and "full_path" != key:  # a row without the key goes by its full path
         inventory = inventory.withColumn(key, F.coalesce(blank_to_null(key), F.col("full_path"), F.col(key)))
     stored = read_results(spark, results_path, key)
     done = stored if not retry_errors else stored.filter(F.col("llm_document_type") != "error")
-    candidates = scoring.score_candidates(inventory, done, key=key)
+    todo = scoring.score_candidates(inventory.withColumn(key, F.coalesce(F.col(key), F.lit(""))), done, key=key)
+    # Read by every wave, and the results they are told from change meanwhile.
+    candidates = cut_lineage(_one_a_key(todo, listing, base_dir, listing_path, key, share_by), spark)
+    missing = candidates.filter(F.col(_PAGE).isNull()).withColumn(
+        "_error", F.concat(F.lit("file not found: "), F.col("_wanted")))
+    _append(_error_rows(missing, key, "_error"), results_path, run_id)
+    candidates = candidates.filter(F.col(_PAGE).isNotNull())
     to_call = candidates
     if share_by:
-        from vellum.operators.dedup import first_seen
         shared = candidates.filter(F.col(share_by).isNotNull())
         to_call = first_seen(shared, key=share_by, order=(key,)).unionByName(
             candidates.filter(F.col(share_by).isNull()))
+    pages = pages.withColumnRenamed(page_key or key, _PAGE)
+    calls = Calls(page_no, image, max_pages, prompt, concurrency, in_flight, retries, backoff)
     for wave in range(waves):
         part = to_call if waves == 1 else to_call.filter(
             F.pmod(F.xxhash64(F.col(key)), F.lit(waves)) == wave)
-        _score_wave(part, pages, client_factory, results_path, key, page_no, image, max_pages, prompt,
-                    concurrency, run_id)
+        _score_wave(part, pages, client_factory, results_path, key, calls, run_id)
     if share_by:
         _fan_out(spark, candidates, to_call, results_path, key, share_by, run_id)
     all_results = spark.read.parquet(results_path)
@@ -125,14 +191,14 @@ def classify_latest(spark: SparkSession, inventory: DataFrame, pages: DataFrame,
     merged = scoring.writeback(inventory, latest)
     summary = inventory.agg(F.count(F.lit(1)).alias("rows_loaded"),
                             F.count_if(F.coalesce(flag, F.lit(False))).alias("latest_rows"))
-    return ClassifyResult(scored, merged, summary, _messages(inventory, flag, candidates, merged, key))
+    return ClassifyResult(scored, merged, summary, _messages(inventory, flag, scored, merged, key))
 
 
-def _messages(inventory: DataFrame, flag, candidates: DataFrame, merged: DataFrame, key: str) -> DataFrame:
+def _messages(inventory: DataFrame, flag, scored: DataFrame, merged: DataFrame, key: str) -> DataFrame:
     """'<name>: skipped (not latest)', '<name>: skipped (already <type>)' or
     '<name>: <type> (<confidence to 4 places>)' for every inventory row."""
     name = scoring.display_name("filename" if "filename" in inventory.columns else key, key)
-    fresh = candidates.select(key).withColumn("_fresh", F.lit(True))
+    fresh = scored.select(key).distinct().withColumn("_fresh", F.lit(True))
     rows = merged.join(fresh, key, "left")
     latest = F.coalesce(flag, F.lit(False))
     msg = (F.when(~latest, F.concat(name, F.lit(": skipped (not latest)")))

@@ -516,12 +516,16 @@ SELECT CAST(count(*) AS BIGINT) AS files_seen, CAST(count(DISTINCT md5_hash) AS
     "existing_paths": f"""WITH {FLAGGED}
 SELECT DISTINCT replace(relative_path, '\\', '/') AS path_key FROM earlier WHERE replace(relative_path, '\\', '/') <> ''""",
     "score_run": f"""WITH {PAGES},
-s AS (SELECT conv_id, count(*) AS n, sum(strlen(text)) AS total FROM pg WHERE rk <= 2 GROUP BY conv_id)
-SELECT 'conversations/' || CAST(conv_id AS VARCHAR) || '.pdf' AS relative_path,
-       CASE WHEN total >= 1000 THEN 'text' ELSE 'image' END AS llm_document_type,
-       least(1.0, CAST(total AS DOUBLE) / 4000.0) AS llm_confidence,
-       CAST(n AS VARCHAR) || ' pages, ' || CAST(total AS VARCHAR) || ' bytes' AS llm_reason
-FROM s""",
+s AS (SELECT conv_id, count(*) AS n, sum(strlen(text)) AS total FROM pg WHERE rk <= 2 GROUP BY conv_id),
+k AS (SELECT *, 'conversations/' || CAST(conv_id AS VARCHAR) || '.pdf' AS rel, conv_id % 6 = 4 AS gone FROM s)
+SELECT conv_id, CASE WHEN conv_id % 6 = 5 THEN '/srv/' || rel ELSE rel END AS relative_path,
+       CASE WHEN gone THEN 'error' WHEN total >= 1000 THEN 'text' ELSE 'image' END AS llm_document_type,
+       CASE WHEN gone THEN '0.0000' ELSE printf('%.4f', least(1.0, CAST(total AS DOUBLE) / 4000.0)) END
+         AS llm_confidence,
+       CASE WHEN gone THEN 'file not found: ' || rel
+            ELSE 'pass ' || CASE WHEN conv_id % 9 < 6 THEN '1' ELSE '2' END || ': ' || CAST(n AS VARCHAR)
+                 || ' pages, ' || CAST(total AS VARCHAR) || ' bytes' END AS llm_reason
+FROM k""",
     "cached_results": f"""WITH {FLAGGED}, {NORM},
 r2 AS (SELECT f.relative_path, CASE WHEN n.document_type <> 'error' THEN n.document_type END AS t,
               printf('%.2f', n.confidence) AS c, n.reason AS r, n.raw_json AS j

@@ -183,6 +183,26 @@ def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.col("turn").alias("page_no"), F.encode(F.col("text"), "UTF-8").alias("image"))
 
 
+def scored_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(inventory, listing, pages): every conversation is a file with a page a
+    turn. A row names its file by an absolute path, by a path under the
+    inventory folder or its parent, by an absolute path that it was moved
+    away from, or by the full path alone; the files of some are gone."""
+    conv = table(spark, sf_dir, "conversations")
+    rel = F.concat(F.lit("conversations/"), _s(F.col("conv_id")), F.lit(".pdf"))
+    kind = F.pmod(F.col("conv_id"), F.lit(6))
+    place = F.concat(F.when(kind.isin(0, 2, 5), F.lit(SRV + "/")).otherwise(F.lit(INVENTORY_DIR + "/")), rel)
+    full = (F.when(kind == 0, place).when(kind == 3, F.concat(F.lit("/old/"), rel))
+            .when(kind == 4, F.concat(F.lit(SRV + "/"), rel)).when(kind == 5, place).otherwise(F.lit("")))
+    files = conv.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"))
+    inventory = files.select("conv_id", F.when(kind == 5, F.lit(" ")).otherwise(rel).alias("relative_path"),
+                             full.alias("full_path"), F.lit(True).alias("is_latest"))
+    listed = files.filter(kind != 4).select(place.alias("path"))
+    pages = conv.select(place.alias("path"), F.col("turn").alias("page_no"),
+                        F.encode(F.col("text"), "UTF-8").alias("image"))
+    return inventory, listed, pages
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model responses in the shapes a client returns: direct text, blank
     text with nested parts, nested parts only, nothing."""
