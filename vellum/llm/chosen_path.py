@@ -359,24 +359,25 @@ class Join:
         self._confirm(near.groupBy("a").agg(F.max(F.struct("same", "b")).alias("p")).select("a", F.col("p.b").alias("b")))
 
     def exhaustive(self, small: int, depth: int) -> None:
-        """All trees, to the end."""
+        """All trees, to the end; then the finished nodes of all levels are
+        compared together (nodes of different levels have different ids)."""
         rows = self._placed(self.top.select("code", "comp", "node"))
-        near, links = [], []
+        finished = []
         for level in range(1, depth + 1):
             rows = stored(rows, "chosen-path", "rows")
             by_comp = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("n"))
             nodes = by_comp.groupBy("node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("main"))
             nodes = nodes.where("n > main.n").select("node", (F.col("n") - F.col("main.n")).alias("outsiders"), "n", F.col("main.comp").alias("main"))
             placed = stored(rows.join(nodes, "node"), "chosen-path", "placed")
-            done = placed if level == depth else placed.where(F.col("outsiders") <= small)
-            near.append(stored(self._compared(done.where(F.col("n") <= PAIRS_OF)), "chosen-path", "near"))
-            links.append(stored(self._compared(done.where(F.col("n") > PAIRS_OF), full=True), "chosen-path", "links"))
+            finished.append(placed if level == depth else placed.where(F.col("outsiders") <= small))
             more = placed.where(F.col("outsiders") > small).select("code", "comp", "node")
             if level == depth or more.isEmpty():
                 break
             rows = more.join(self.store.select("code", "tokens"), "code").mapInArrow(branched(self.percent), _CHILD)
-        near = reduce(DataFrame.unionByName, near)
-        self._join(reduce(DataFrame.unionByName, links).distinct())
+        done = reduce(DataFrame.unionByName, finished)
+        near = stored(self._compared(done.where(F.col("n") <= PAIRS_OF)), "chosen-path", "near")
+        # joined with the next links: until then a set's best partner may be one it is joined with already
+        self.links = self.links.unionByName(stored(self._compared(done.where(F.col("n") > PAIRS_OF), full=True), "chosen-path", "links"))
         near = stored(self._apart(near).groupBy("a", "b").agg(F.max("same").alias("same")), "chosen-path", "pairs")
         self._confirm(self._best(near))
         self._confirm(self._apart(near))

@@ -1,5 +1,5 @@
 """Connected components of a link table, by alternating stars: every round is
-a few aggregates and joins; nothing is collected but two numbers."""
+a few aggregates and joins; nothing is collected but whether it was the last."""
 
 from __future__ import annotations
 
@@ -29,17 +29,21 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether every node is either a root only or links to one node only."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    sums = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return sums.where("up > 1 or (up > 0 and down > 0)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """links (a, b) -> (node, root): the least node of the component, for all
     nodes that have a link."""
-    now = _stored(links.where("a <> b").select("a", "b").distinct(), "links")
-    before = None
-    while True:
-        now = _stored(_small_star(_large_star(now).distinct()).distinct(), "stars")
-        state = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if state == before:
-            break
-        before = state
+    down = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now = _stored(down.distinct(), "links")
+    while not _settled(now):
+        now = _stored(_small_star(_large_star(now)).distinct(), "stars")
     # now every link points from a node to its root
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
