@@ -319,7 +319,7 @@ class Join:
         shared = stored(top.join(sizes, "node"), "chosen-path", "shared")
         weights = shared.groupBy("code").agg(F.sum("n").alias("weight"))
         self.top = stored(shared.drop("n").join(weights, "code"), "chosen-path", "top")
-        self.links, self.roots = None, None
+        self.roots = None
 
     def _placed(self, rows: DataFrame) -> DataFrame:
         """Rows with the component that the code is in by now."""
@@ -328,22 +328,28 @@ class Join:
         roots = self.roots.select(F.col("node").alias("code"), F.col("root").alias("now"))
         return rows.join(roots, "code", "left").withColumn("comp", F.coalesce("now", "comp")).drop("now")
 
-    def _confirm(self, pairs: DataFrame) -> None:
-        """Compare pairs (a, b) on the full sets; what links joins the
-        components. Sets b go into groups by their commonest partner a's
+    def _confirm(self, pairs: DataFrame, links: DataFrame | None = None) -> None:
+        """Compare pairs (a, b) on the full sets; what links, and stored
+        ``links`` found before, joins the components. Sets b go into groups by their commonest partner a's
         component, which those of one family share."""
         pairs = stored(pairs.select("a", "b"), "chosen-path", "to-confirm")
-        by_comp = self._placed(pairs.select(F.col("a").alias("code"), F.col("a").alias("comp"), "b")).groupBy("b", "comp").agg(F.count(F.lit(1)).alias("n"))
-        family = by_comp.groupBy("b").agg(F.max(F.struct("n", "comp")).alias("m")).select("b", F.col("m.comp").alias("family"))
-        sizes = family.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / CENTRES).alias("parts"))
-        gid = F.xxhash64("family", F.pmod(F.xxhash64("b"), F.col("parts")))
-        grouped = pairs.join(family.join(sizes, "family").select("b", gid.alias("gid")), "b")
+        grouped = pairs.withColumn("gid", F.col("b"))
+        if self.roots is not None:
+            by_comp = self._placed(pairs.select(F.col("a").alias("code"), F.col("a").alias("comp"), "b")).groupBy("b", "comp").agg(F.count(F.lit(1)).alias("n"))
+            family = by_comp.groupBy("b").agg(F.max(F.struct("n", "comp")).alias("m")).select("b", F.col("m.comp").alias("family"))
+            sizes = family.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / CENTRES).alias("parts"))
+            gid = F.xxhash64("family", F.pmod(F.xxhash64("b"), F.col("parts")))
+            grouped = pairs.join(family.join(sizes, "family").select("b", gid.alias("gid")), "b")
         found = _met(grouped, self.store, "body", Linked(self.percent), "linked").where("linked = 1").select("a", "b")
-        self._join(stored(found, "chosen-path", "links"))
+        found = stored(found, "chosen-path", "links")
+        self._join(found if links is None else found.unionByName(links))
 
     def _join(self, found: DataFrame) -> None:
-        self.links = found if self.links is None else self.links.unionByName(found)
-        self.roots = stored(components(self.links), "chosen-path", "roots")
+        """Join the components by stored links; those of before are known by
+        their roots."""
+        if self.roots is not None:
+            found = found.unionByName(self.roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
+        self.roots = stored(components(found, at_hand=True), "chosen-path", "roots")
 
     def _best(self, near: DataFrame) -> DataFrame:
         """Of each set's pairs the one that is most alike."""
@@ -376,10 +382,10 @@ class Join:
             rows = more.join(self.store.select("code", "tokens"), "code").mapInArrow(branched(self.percent), _CHILD)
         done = reduce(DataFrame.unionByName, finished)
         near = stored(self._compared(done.where(F.col("n") <= PAIRS_OF)), "chosen-path", "near")
-        # joined with the next links: until then a set's best partner may be one it is joined with already
-        self.links = self.links.unionByName(stored(self._compared(done.where(F.col("n") > PAIRS_OF), full=True), "chosen-path", "links"))
+        links = stored(self._compared(done.where(F.col("n") > PAIRS_OF), full=True), "chosen-path", "links")
         near = stored(self._apart(near).groupBy("a", "b").agg(F.max("same").alias("same")), "chosen-path", "pairs")
-        self._confirm(self._best(near))
+        # links join with the next ones: until then a set's best partner may be one it is joined with already
+        self._confirm(self._best(near), links)
         self._confirm(self._apart(near))
 
     def _apart(self, pairs: DataFrame) -> DataFrame:

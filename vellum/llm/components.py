@@ -37,11 +37,12 @@ def _settled(links: DataFrame) -> bool:
     return sums.where("up > 1 or (up > 0 and down > 0)").isEmpty()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, at_hand: bool = False) -> DataFrame:
     """links (a, b) -> (node, root): the least node of the component, for all
-    nodes that have a link."""
+    nodes that have a link. Links that are ``at_hand`` in a stored table are
+    read there."""
     down = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now = _stored(down.distinct(), "links")
+    now = down if at_hand else _stored(down.distinct(), "links")
     while not _settled(now):
         now = _stored(_small_star(_large_star(now)).distinct(), "stars")
     # now every link points from a node to its root
