@@ -594,6 +594,12 @@ def ingest_in_batches(spark, sf):
     return run(spark, sf).select("relative_path", "is_latest")
 
 
+def latest_by_events(spark, sf):
+    """Flags kept by the gained and lost events of a stateful stream."""
+    from vellum.streaming.latest import latest_by_events as run
+    return run(spark, sf).select("relative_path", "is_latest")
+
+
 _QUERY_FUNCTIONS: dict[str, Query] = {
     "inventory_scan": inventory_scan,
     "revision_parse": revision_parse,
@@ -644,6 +650,7 @@ _QUERY_FUNCTIONS: dict[str, Query] = {
     "upload_run": upload_run,
     "incremental_ingest": incremental_ingest,
     "ingest_in_batches": ingest_in_batches,
+    "latest_by_events": latest_by_events,
     "streaming_dedup": streaming_dedup,
 }
 

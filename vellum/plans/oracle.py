@@ -568,3 +568,4 @@ SELECT page_id, text, length(text) AS n_chars FROM (SELECT page_id, {html_text("
 ORACLE["inventory_csv_append"] = ORACLE["inventory_align"]
 # batches that arrive one after the other end as one scan of all does
 ORACLE["ingest_in_batches"] = ORACLE["recomputed_latest"]
+ORACLE["latest_by_events"] = ORACLE["recomputed_latest"]
