@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from vellum.operators.delivery import upload
 from vellum.operators.reduction import commit_files, reduce_files
 from vellum.sources.deal import deal
-from vellum.sources.files import _hashed
+from vellum.sources.files import hashed
 
 FILES = "path string, length bigint, modificationTime timestamp, error string"
 
@@ -27,7 +27,7 @@ def test_many_small_files_use_every_core(spark):
         named = listed.select(F.col("path").alias("full_path"), F.col("path").alias("upload_name"), F.col("length").alias("file_size"))
         plan = listed.select(F.col("path").alias("source_path"), F.col("path").alias("destination"), F.lit("reduce").alias("action"))
         staged = reduce_files(plan, lambda data: data, read=lambda p: b"", write=lambda p, data: None)
-        for work in (_hashed(deal(listed, "path", F.col("length"))), staged, commit_files(staged, commit=lambda a, b, c: None),
+        for work in (hashed(deal(listed, "path", F.col("length"))), staged, commit_files(staged, commit=lambda a, b, c: None),
                      upload(named, lambda: (lambda name, data: None), read=lambda p: b"")):
             found = tasks_with_rows(work)
             assert len(found) >= cores and sum(r["count"] for r in found) == 20000

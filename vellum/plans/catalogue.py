@@ -594,6 +594,29 @@ def ingest_in_batches(spark, sf):
     return run(spark, sf).select("relative_path", "is_latest")
 
 
+def file_stream_scan(spark, sf):
+    """Files that arrive in three lots, listed and hashed by a stream."""
+    from vellum.streaming.ingest import scan_in_lots
+    return scan_in_lots(spark, sf).select("relative_path", "group_key", "revision", "revision_number", "is_latest")
+
+
+def message_listing(spark, sf):
+    """The ``.msg`` files of a tree (S2), listed by the data source: every
+    third document is a message, the others have another ending. Rows have the
+    place of a file in path order and the bytes before it (S3, O1)."""
+    from vellum.operators.ordering import with_positions
+    from vellum.sources.files import relative_to
+    from vellum.sources.tree import list_tree
+    base = shared_path(spark, "message_tree", unique=True)
+    ending = F.when(F.col("doc_id") % 3 == 0, F.lit(".MSG")).otherwise(F.lit(".pdf"))
+    files = fx.doc_files(spark, sf).withColumn("relative_path", F.regexp_replace("relative_path", "[.]pdf$", ""))
+    fx.write_files(files.withColumn("relative_path", F.concat("relative_path", ending)), f"{base}/tree")
+    listed = list_tree(spark, f"{local_path(base)}/tree", ".msg")
+    rows = listed.select(relative_to(F.col("path"), f"{local_path(base)}/tree").alias("relative_path"),
+                         F.col("length").alias("file_size"))
+    return with_positions(cut_lineage(rows, spark), "relative_path", F.col("file_size"))
+
+
 def latest_by_events(spark, sf):
     """Flags kept by the gained and lost events of a stateful stream."""
     from vellum.streaming.latest import latest_by_events as run
@@ -650,6 +673,8 @@ _QUERY_FUNCTIONS: dict[str, Query] = {
     "upload_run": upload_run,
     "incremental_ingest": incremental_ingest,
     "ingest_in_batches": ingest_in_batches,
+    "file_stream_scan": file_stream_scan,
+    "message_listing": message_listing,
     "latest_by_events": latest_by_events,
     "streaming_dedup": streaming_dedup,
 }

@@ -562,10 +562,16 @@ SELECT upload_name, CASE WHEN k > 1 THEN 'duplicate_name' WHEN doc_id % 6 = 5 TH
                           '<br>', '<tr></tr>') AS html FROM pages),
 p AS (SELECT page_id, regexp_replace(html, '[^<>]*$', '') AS html, {REF_COLS} FROM raw)
 SELECT page_id, text, length(text) AS n_chars FROM (SELECT page_id, {html_text("html")} AS text FROM p)""",
+    "message_listing": f"""WITH {FILES}, m AS (
+  SELECT regexp_replace(relative_path, '[.]pdf$', '.MSG') AS relative_path, file_size FROM files WHERE doc_id % 3 = 0)
+SELECT relative_path, file_size, row_number() OVER (ORDER BY relative_path) - 1 AS position,
+       CAST(coalesce(sum(file_size) OVER (ORDER BY relative_path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            AS BIGINT) AS before FROM m""",
     "streaming_dedup": "SELECT DISTINCT md5(text) AS md5_hash FROM documents",
 }
 # a round trip through CSV and two appends leave the same rows
 ORACLE["inventory_csv_append"] = ORACLE["inventory_align"]
 # batches that arrive one after the other end as one scan of all does
 ORACLE["ingest_in_batches"] = ORACLE["recomputed_latest"]
+ORACLE["file_stream_scan"] = ORACLE["directory_scan"]
 ORACLE["latest_by_events"] = ORACLE["recomputed_latest"]

@@ -38,7 +38,7 @@ def _level(folders: DataFrame) -> DataFrame:
     return folders.mapInPandas(run, _ENTRY)
 
 
-def _hashed(files: DataFrame) -> DataFrame:
+def hashed(files: DataFrame) -> DataFrame:
     """MD5 of each file, read in chunks, so any size fits a task."""
     def run(batches):
         from vellum.sources.storage import md5_of
@@ -84,7 +84,7 @@ def list_files(spark: SparkSession, root: str, glob: str = PDF_GLOB, with_md5: b
     files = found.select("path", "length", "modificationTime", "error")
     if not with_md5:
         return files.filter(F.col("error").isNull()).drop("error")
-    return _hashed(deal(files, "path", F.col("length"))).select("path", "length", "modificationTime", "md5_hash", "error")
+    return hashed(deal(files, "path", F.col("length"))).select("path", "length", "modificationTime", "md5_hash", "error")
 
 
 def parent_of(root: str) -> str:

@@ -276,13 +276,18 @@ def label_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_file_tree(spark: SparkSession, sf_dir: str, base_uri: str) -> int:
     """Write every document as a file ``<base>/<relative_path>`` (its text
-    as UTF-8 bytes, its creation time as modification time). The executors
+    as UTF-8 bytes, its creation time as modification time)."""
+    return write_files(doc_files(spark, sf_dir), base_uri)
+
+
+def write_files(files: DataFrame, base_uri: str, set_times: bool = True) -> int:
+    """Write each row's text as a file. The executors
     write their own rows through ``pyarrow.fs``, so the base may be any
-    shared filesystem URI; times are set where the filesystem is local.
-    Returns the number of files written."""
+    shared filesystem URI; times are set where the filesystem is local and
+    ``set_times`` holds. Returns the number of files written."""
     import pandas as pd
 
-    files = doc_files(spark, sf_dir).select("relative_path", "text", "creation_epoch")
+    files = files.select("relative_path", "text", "creation_epoch")
 
     def write(batches):
         import os
@@ -296,7 +301,8 @@ def write_file_tree(spark: SparkSession, sf_dir: str, base_uri: str) -> int:
                     os.makedirs(target.rsplit("/", 1)[0], exist_ok=True)
                     with open(target, "wb") as out:
                         out.write(text.encode("utf-8"))
-                    os.utime(target, (int(epoch), int(epoch)))
+                    if set_times:
+                        os.utime(target, (int(epoch), int(epoch)))
                 else:
                     filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
                     with filesystem.open_output_stream(target) as out:

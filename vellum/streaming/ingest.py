@@ -125,6 +125,59 @@ def ingest_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompute_latest(spark.read.parquet(f"{base}/inventory").drop(BATCH_COL))
 
 
+def scan_stream(spark: SparkSession, root: str, rows_path: str, checkpoint: str, ending: str = ".pdf",
+                settle: float = 1.0, available_now: bool = True):
+    """Start the scan of files as they arrive below ``root``: each batch is
+    dealt to tasks by bytes, hashed and written as scan rows, a part per
+    batch that a replay writes anew. Files that cannot be read are rows with an ``error``
+    and no digest. Returns the StreamingQuery."""
+    from vellum.sources.deal import deal
+    from vellum.sources.files import hashed, scan_rows
+    from vellum.sources.tree import stream_tree
+
+    def scan_batch(batch: DataFrame, epoch_id: int) -> None:
+        listed = batch.withColumn("error", F.lit(None).cast("string"))
+        # the listing is stored first: dealing looks at it twice, and a hash must not repeat a walk of the tree
+        listed.write.mode("overwrite").parquet(f"{rows_path}-listed/batch={epoch_id}")
+        files = batch.sparkSession.read.parquet(f"{rows_path}-listed/batch={epoch_id}")
+        found = hashed(deal(files, "path", F.col("length")))
+        scan_rows(found, root).write.mode("overwrite").parquet(f"{rows_path}/batch={epoch_id}")
+
+    writer = (stream_tree(spark, root, ending, settle).writeStream.foreachBatch(scan_batch)
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
+def scanned_files(spark: SparkSession, rows_path: str, path: str = "full_path") -> DataFrame:
+    """The scan rows that the stream wrote; of a file that came several times
+    the row of its last batch."""
+    rows = spark.read.parquet(rows_path)
+    last = rows.groupBy(path).agg(F.max("batch").alias("batch"))
+    return rows.join(last, [path, "batch"], "left_semi").drop("batch")
+
+
+def scan_in_lots(spark: SparkSession, sf_dir: str, lots: int = 3) -> DataFrame:
+    """The documents arrive as files in three lots by a hash of their path,
+    and the file stream is started again after each from its checkpoint.
+    Returns the distinct contents with their latest flags, as the batch scan
+    gives them."""
+    from vellum.session import local_path
+    from vellum.sources import fixtures as fx
+
+    base = shared_path(spark, "file_stream", unique=True)
+    files = fx.doc_files(spark, sf_dir)
+    lot = F.pmod(F.xxhash64("relative_path"), F.lit(lots))
+    for k in range(lots):
+        fx.write_files(files.filter(lot == k), f"{base}/tree", set_times=False)
+        scan_stream(spark, f"{local_path(base)}/tree/docs", f"{base}/rows", f"{base}/checkpoint",
+                    settle=0.0).awaitTermination()
+    # arrival times are not the documents' own, which the latest flag goes by
+    own = files.select(F.col("relative_path"), F.timestamp_seconds("creation_epoch").alias("creation_time"))
+    rows = scanned_files(spark, f"{base}/rows").drop("creation_time").join(own, "relative_path", "left")
+    return flag_latest(first_seen(rows))
+
+
 def dedup_stream(rows: DataFrame, key: str, out_path: str, checkpoint: str,
                  watermark_col: str | None = None, watermark: str = "1 day"):
     """Streaming first-seen dedup on ``key`` (I2). Without a watermark the
