@@ -1,12 +1,20 @@
 """Model replies: text extraction, JSON recovery and normalisation.
 
-Everything is a native expression. The reply is parsed into a VARIANT, which
+By default everything is a native expression. The reply is parsed into a VARIANT, which
 keeps JSON types, so key *presence* (a present null hides the fallback key)
-and Python's per-type float conversion can both be followed exactly.
+and Python's per-type float conversion can both be followed exactly. What a
+VARIANT cannot hold (repeated keys, NaN, the order of keys and the spelling of
+numbers in the stored JSON) takes the exact form, an Arrow-batched function
+around the ``json`` module (``with_exact_reply``).
 """
 
 from __future__ import annotations
 
+import json
+import math
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vellum.functions.text import _col, blank_to_null, py_strip, safe_float, split_lines
@@ -163,7 +171,7 @@ def with_normalised_reply(df: DataFrame, raw: str, prefix: str = "reply") -> Dat
     """Reply text -> document_type, confidence, reason, raw_json, error
     (P25-P30). An unusable reply is an error row, not a failed job. raw_json
     is the JSON text that parsed. Repeated keys and NaN literals are no valid
-    JSON here."""
+    JSON here; ``with_exact_reply`` takes them."""
     df = with_parsed_reply(df, raw, prefix)
     value, err = F.col(f"{prefix}_value"), F.col(f"{prefix}_error")
     t = f"__{prefix}"
@@ -190,6 +198,71 @@ def with_normalised_reply(df: DataFrame, raw: str, prefix: str = "reply") -> Dat
                    f"{prefix}_error")
 
 
+_EXACT = "raw_json string, label string, confidence double, reason string, error string"
+
+
+def _whole_text(text: str) -> str:
+    """Text without halves of surrogate pairs, which no column can hold."""
+    return text.encode("utf-8", "replace").decode("utf-8")
+
+
+def _exact_fields(cleaned: str | None) -> tuple:
+    """The fields of one cleaned reply, by Python's own JSON: the last of
+    repeated keys counts, NaN and infinities are numbers."""
+    spans = [cleaned or ""]
+    spans += re.findall(r"(?s)\{.*\}", spans[0])[:1]
+    for span in spans:
+        try:
+            found = json.loads(span)
+            break
+        except (ValueError, RecursionError):
+            pass
+    else:
+        return None, None, None, None, "reply was not valid JSON"
+    if not isinstance(found, dict):
+        return None, None, None, None, "reply JSON must be an object"
+    label = next((found[k] for k in ("asset_type", "document_type") if k in found), None)
+    reason = next((found[k] for k in ("reasoning", "reason") if k in found), "")
+    try:
+        confidence = float(found.get("confidence", 0.0))
+    except (TypeError, ValueError, OverflowError):
+        confidence = 0.0
+    if math.isnan(confidence):  # a batch would hold it as null; it ends at 1.0, as in clamp01
+        confidence = 1.0
+    return (_whole_text(json.dumps(found, ensure_ascii=False)), _whole_text(label) if isinstance(label, str) else None,
+            confidence, _whole_text(str(reason)), None)
+
+
+def with_exact_reply(df: DataFrame, raw: str, prefix: str = "reply") -> DataFrame:
+    """As ``with_normalised_reply``, by Python's JSON (X4): the last of repeated
+    keys counts, NaN and infinities are numbers, and raw_json is the object
+    rendered anew with Python's spacing, escapes and numbers (P30). Replies are
+    one a model call, so a small function a batch costs next to nothing. A reply
+    that cannot be read (null, too deep, a number of over 4,300 digits) is an
+    error row; half a surrogate pair becomes a question mark; a confidence
+    beyond the doubles counts as 0."""
+    t = f"__{prefix}"
+
+    @F.pandas_udf(_EXACT)
+    def read(cleaned: pd.Series) -> pd.DataFrame:
+        rows = pd.DataFrame([_exact_fields(c) for c in cleaned],
+                            columns=["raw_json", "label", "confidence", "reason", "error"])
+        return rows.astype({"confidence": "object"})
+
+    df = with_fences_stripped(df, raw, f"{t}_clean").withColumn(f"{t}_read", read(F.col(f"{t}_clean")))
+    got = F.col(f"{t}_read")
+    ok = got["error"].isNull()
+    out = df.select(
+        "*",
+        F.when(ok, normalise_label(F.coalesce(got["label"], F.lit("")))).otherwise(F.lit(ERROR_TYPE)).alias("document_type"),
+        F.when(ok, clamp01(got["confidence"])).otherwise(F.lit(0.0)).alias("confidence"),
+        F.when(ok, F.coalesce(blank_to_null(got["reason"]), F.lit(NO_REASON))).otherwise(got["error"]).alias("reason"),
+        got["raw_json"].alias("raw_json"),
+        got["error"].alias("error"),
+    )
+    return out.drop(f"{t}_clean", f"{t}_read")
+
+
 def decode_stored_result(doc_type, confidence, reason, raw_json) -> Column:
     """Stored result columns with their defaults."""
     return F.struct(

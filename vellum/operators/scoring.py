@@ -10,7 +10,7 @@ from typing import Any, Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from vellum.functions.replies import response_text, with_normalised_reply
+from vellum.functions.replies import response_text, with_exact_reply
 from vellum.functions.text import blank_to_null, is_truthy, py_strip
 
 # Default instruction sent with the page images. Callers may pass their own.
@@ -186,7 +186,7 @@ def normalise_responses(responses: DataFrame, key: str) -> DataFrame:
     df = responses.withColumn("reply_text", response_text(F.col("output_text"), F.col("output")))
     df = df.withColumn("_failed", F.coalesce(F.col("call_error"), F.when(
         F.col("reply_text") == "", F.lit("model returned an empty response"))))
-    df = with_normalised_reply(df, "reply_text")
+    df = with_exact_reply(df, "reply_text")
     failed = F.col("_failed")
     return df.select(
         key,

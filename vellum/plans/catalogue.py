@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vellum.functions.html import html_to_text
 from vellum.functions.naming import explicit_upload_name, generated_upload_name, upload_name
-from vellum.functions.replies import format_confidence, response_text, with_normalised_reply, with_parsed_reply
+from vellum.functions.replies import (format_confidence, response_text, with_exact_reply, with_normalised_reply,
+                                      with_parsed_reply)
 from vellum.functions.revision import file_name, file_stem, format_epoch, revision_group_key, \
     revision_label, revision_number
 from vellum.functions.text import html_escape, is_truthy, strip_code_fences
@@ -326,6 +327,14 @@ def reply_normalise(spark, sf):
     return _normalised_labels(spark, sf).drop("raw_json")
 
 
+def reply_raw_json(spark, sf):
+    """Replies as Python's JSON reads them (P26): fields, the confidence as it
+    is exported (P31) and the object rendered anew (P30)."""
+    r = with_exact_reply(fx.odd_replies(spark, sf), "reply")
+    return r.select("doc_id", "document_type", format_confidence(F.col("confidence")).alias("confidence"),
+                    "reason", "raw_json", "error")
+
+
 # ---- scoring -------------------------------------------------------------------
 
 def request_payload(spark, sf):
@@ -656,6 +665,7 @@ _QUERY_FUNCTIONS: dict[str, Query] = {
     "fence_strip": fence_strip,
     "json_brace_slice": json_brace_slice,
     "reply_normalise": reply_normalise,
+    "reply_raw_json": reply_raw_json,
     "request_payload": request_payload,
     "first_pages": first_pages,
     "score_candidates": score_candidates,

@@ -476,6 +476,22 @@ SELECT conv_id, turn, err IS NULL AS json_ok, json_extract_string(j, '$.reasonin
        CAST(json_extract(j, '$.turn') AS BIGINT) AS turn_value
 FROM pp""",
     "reply_normalise": f"WITH {NORM} SELECT doc_id, document_type, confidence, reason, error FROM norm",
+    # DuckDB's JSON takes neither repeated keys nor NaN: what each shape must give is written out
+    "reply_raw_json": f"""WITH d AS (SELECT doc_id, doc_id % 7 AS k, CAST(doc_id AS VARCHAR) AS n, CAST(quality AS VARCHAR) AS q
+                     FROM labels)
+SELECT doc_id, CASE WHEN k IN (0, 1, 3) THEN 'text' WHEN k IN (2, 4) THEN 'image' ELSE 'error' END AS document_type,
+       CASE k WHEN 0 THEN '0.6250' WHEN 1 THEN '1.0000' WHEN 3 THEN '0.2500' WHEN 4 THEN '0.5000' ELSE '0.0000' END AS confidence,
+       CASE k WHEN 1 THEN 'row ' || n WHEN 3 THEN 'été/' || n
+              WHEN 4 THEN '{{''q'': ' || q || ', ''ok'': True, ''none'': None}}'
+              WHEN 5 THEN 'reply was not valid JSON' WHEN 6 THEN 'reply was not valid JSON'
+              ELSE {lit(NO_REASON)} END AS reason,
+       CASE k WHEN 0 THEN '{{"asset_type": "text", "confidence": 0.62505, "n": ' || n || '}}'
+              WHEN 1 THEN '{{"asset_type": "text", "confidence": NaN, "reasoning": "row ' || n || '"}}'
+              WHEN 2 THEN '{{"document_type": "image", "confidence": -Infinity, "id": ' || n || '}}'
+              WHEN 3 THEN '{{"reasoning": "été/' || n || '", "asset_type": "text", "confidence": 0.25, "x": [1, 2.5, 1000.0]}}'
+              WHEN 4 THEN '{{"asset_type": "image", "confidence": "0.5", "reasoning": {{"q": ' || q || ', "ok": true, "none": null}}}}'
+       END AS raw_json,
+       CASE WHEN k > 4 THEN 'reply was not valid JSON' END AS error FROM d""",
     "request_payload": f"""WITH {PAGES},
 parts AS (
   SELECT conv_id, 0 AS part_no, 'input_text' AS part_type, {lit(DEFAULT_PROMPT)} AS payload

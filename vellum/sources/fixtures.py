@@ -274,6 +274,30 @@ def label_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lab.select(doc, reply.alias("reply"))
 
 
+def odd_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One model reply per label row, seven shapes that only a full JSON
+    reader takes as the original does: repeated keys; NaN; an infinity; other
+    spellings of numbers, escapes and spaces; a nested reason; prose with
+    braces that do not fit; an unfinished object."""
+    lab = table(spark, sf_dir, "labels")
+    doc, q = _s(F.col("doc_id")), _s(F.col("quality"))
+    shapes = [
+        F.concat(F.lit('{"asset_type": "image", "confidence": 0.1, "asset_type": "text", "n": '), doc,
+                 F.lit(', "confidence": 0.62505}')),
+        F.concat(F.lit('{"asset_type":"text","confidence":NaN,"reasoning":"row '), doc, F.lit('"}')),
+        F.concat(F.lit('{"document_type": "image", "confidence": -Infinity, "id": '), doc, F.lit("}")),
+        F.concat(F.lit('```json\n{"reasoning":"\\u00e9t\\u00e9\\/'), doc, F.lit('",\n "asset_type" : "text", "confidence":25E-2,"x":[1,2.50,1e3]}\n```')),
+        F.concat(F.lit('So: {"asset_type": "image", "confidence": "0.5", "reasoning": {"q": '), q,
+                 F.lit(', "ok": true, "none": null}} done.')),
+        F.concat(F.lit('{x} then {"asset_type": "text", "id": '), doc, F.lit("}")),
+        F.concat(F.lit('{"asset_type": "text", "id": '), doc),
+    ]
+    kind, reply = F.col("doc_id") % len(shapes), F.lit(None).cast("string")
+    for k, shape in enumerate(shapes):
+        reply = F.when(kind == k, shape).otherwise(reply)
+    return lab.select("doc_id", reply.alias("reply"))
+
+
 def write_file_tree(spark: SparkSession, sf_dir: str, base_uri: str) -> int:
     """Write every document as a file ``<base>/<relative_path>`` (its text
     as UTF-8 bytes, its creation time as modification time)."""
