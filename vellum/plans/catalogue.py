@@ -544,6 +544,22 @@ def directory_scan(spark, sf):
     return res.scanned.select("relative_path", "group_key", "revision", "revision_number", "is_latest")
 
 
+def rescan(spark, sf):
+    """The scan job over real files, twice: after the first scan every fifth
+    document is changed and some are deleted; the second scan opens only what
+    changed."""
+    from vellum.plans.scan import scan_directory
+    base = shared_path(spark, "rescan", unique=True)
+    root, inventory, doc = local_path(base) + "/docs", local_path(base) + "/inventory", F.col("doc_id")
+    fx.write_file_tree(spark, sf, base)
+    scan_directory(spark, root, inventory)
+    files = fx.doc_files(spark, sf)
+    fx.write_files(files.filter(doc % 5 == 0).withColumn("text", F.concat("text", F.lit(" edited"))), base)
+    fx.remove_files(files.filter(doc % 7 == 3), base)
+    res = scan_directory(spark, root, inventory)
+    return res.scanned.select("relative_path", "file_size", "md5_hash", "is_latest")
+
+
 def reduce_job(spark, sf):
     """The reduce job over real files: every document's file is reduced in
     place by an injected Python reducer. Every seventh row has a blank
@@ -679,6 +695,7 @@ _QUERY_FUNCTIONS: dict[str, Query] = {
     "upload_manifest": upload_manifest,
     "upload_summary": upload_summary,
     "directory_scan": directory_scan,
+    "rescan": rescan,
     "reduce_job": reduce_job,
     "upload_run": upload_run,
     "incremental_ingest": incremental_ingest,

@@ -589,5 +589,10 @@ SELECT relative_path, file_size, row_number() OVER (ORDER BY relative_path) - 1
 ORACLE["inventory_csv_append"] = ORACLE["inventory_align"]
 # batches that arrive one after the other end as one scan of all does
 ORACLE["ingest_in_batches"] = ORACLE["recomputed_latest"]
+# the scan of what the files are after the changes
+ORACLE["rescan"] = "WITH " + FLAGGED.replace("FROM documents", """FROM (
+  SELECT * REPLACE (CASE WHEN doc_id % 5 = 0 THEN text || ' edited' ELSE text END AS text)
+  FROM documents WHERE doc_id % 7 <> 3)""") + """
+SELECT relative_path, file_size, md5_hash, is_latest FROM flagged"""
 ORACLE["file_stream_scan"] = ORACLE["directory_scan"]
 ORACLE["latest_by_events"] = ORACLE["recomputed_latest"]

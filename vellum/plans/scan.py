@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vellum.operators.dedup import first_seen
@@ -22,8 +23,20 @@ class ScanResult:
     errors: DataFrame    # files that could not be read 
 
 
+def _last_digests(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
+    """The digests of the last scan that stored some, and its number."""
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None, 0
+    last = stored.agg(F.max("scan")).first()[0]
+    return (None, 0) if last is None else (stored.filter(F.col("scan") == last).drop("scan"), last)
+
+
 def scan_directory(spark: SparkSession, root: str, inventory_path: str, glob: str = PDF_GLOB,
-                   write: bool = True) -> ScanResult:
+                   write: bool = True, reuse_digests: bool = True) -> ScanResult:
     """List, hash, dedup by content, flag the latest revision per group and
     append the paths not stored yet.
 
@@ -31,9 +44,18 @@ def scan_directory(spark: SparkSession, root: str, inventory_path: str, glob: st
     Parquet, and so are the flagged rows with a mark on those that are new,
     from which the append, the summary and the returned frames are read: the
     summary is fixed before the inventory changes.
+
+    Path, size, time and digest of the files found lie beside the inventory, a
+    part per scan, of which the last is read. With ``reuse_digests`` only files
+    that are new, or whose size or time changed, are opened; a file rewritten
+    with the size and time it had goes unseen, which ``reuse_digests=False``
+    finds. The part is written last, so a scan that dies is as if it had not
+    stored any; one scan of an inventory runs at a time.
     """
     base = shared_path(spark, "scan", unique=True)
-    list_files(spark, root, glob, with_md5=True).write.parquet(f"{base}/listing")
+    digests = f"{inventory_path.rstrip('/')}-digests"
+    known, number = _last_digests(spark, digests)
+    list_files(spark, root, glob, with_md5=True, known=known if reuse_digests else None).write.parquet(f"{base}/listing")
     listing = spark.read.parquet(f"{base}/listing")
     good = listing.filter(F.col("error").isNull())
     scan_rows(good, root).write.parquet(f"{base}/rows")
@@ -48,6 +70,8 @@ def scan_directory(spark: SparkSession, root: str, inventory_path: str, glob: st
                          F.count_if(~F.col("_new")).alias("skipped_files"))
     if write:
         append_inventory(added, inventory_path)
+        good.select("path", "length", "modificationTime", "md5_hash").write.mode("overwrite").parquet(
+            f"{digests}/scan={number + 1}")
     errors = listing.filter(F.col("error").isNotNull()).select("path", "length", "error")
     return ScanResult(stored.drop("_new"), added, summary, errors)
 

@@ -58,14 +58,17 @@ def hashed(files: DataFrame) -> DataFrame:
     return files.mapInPandas(run, "path string, length bigint, modificationTime timestamp, error string, md5_hash string")
 
 
-def list_files(spark: SparkSession, root: str, glob: str = PDF_GLOB, with_md5: bool = True) -> DataFrame:
+def list_files(spark: SparkSession, root: str, glob: str = PDF_GLOB, with_md5: bool = True,
+               known: DataFrame | None = None) -> DataFrame:
     """Recursive listing with size, modification time and MD5 of the content,
     of files of any name and size.
 
     Folders are read level by level, each level by a job over the folders
     that the last one found, and stored; the files are then dealt to tasks
     again and hashed there in chunks. Only path, size, time and digest move.
-    A folder or file that cannot be read is a row with an ``error``.
+    A folder or file that cannot be read is a row with an ``error``. ``known``
+    (path, length, modificationTime, md5_hash; a row a path) spares files whose
+    size and time are as they were: they keep that digest and are not opened.
     """
     base = shared_path(spark, "listing", unique=True)
     level = spark.createDataFrame([(root.rstrip("/") or "/",)], "path string")
@@ -84,7 +87,19 @@ def list_files(spark: SparkSession, root: str, glob: str = PDF_GLOB, with_md5: b
     files = found.select("path", "length", "modificationTime", "error")
     if not with_md5:
         return files.filter(F.col("error").isNull()).drop("error")
-    return hashed(deal(files, "path", F.col("length"))).select("path", "length", "modificationTime", "md5_hash", "error")
+    columns = ["path", "length", "modificationTime", "md5_hash", "error"]
+    if known is None:
+        return hashed(deal(files, "path", F.col("length"))).select(*columns)
+    held = known.select(F.col("path").alias("_path"), F.col("length").alias("_length"),
+                        F.col("modificationTime").alias("_time"), "md5_hash")
+    same = (F.col("path") == F.col("_path")) & (F.col("length") == F.col("_length")) & (
+        F.col("modificationTime") == F.col("_time")) & F.col("error").isNull()
+    # stored, since dealing looks at what is left twice
+    files.join(held, same, "left").select(*columns).write.parquet(f"{base}/compared")
+    compared = spark.read.parquet(f"{base}/compared")
+    changed = compared.filter(F.col("md5_hash").isNull()).drop("md5_hash")
+    anew = hashed(deal(changed, "path", F.col("length"))).select(*columns)
+    return compared.filter(F.col("md5_hash").isNotNull()).unionByName(anew)
 
 
 def parent_of(root: str) -> str:

@@ -336,6 +336,23 @@ def write_files(files: DataFrame, base_uri: str, set_times: bool = True) -> int:
     return files.mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0
 
 
+def remove_files(files: DataFrame, base_uri: str) -> int:
+    """Delete each row's file, if it is there; returns the number of rows."""
+    import pandas as pd
+
+    def remove(batches):
+        from pyarrow import fs as pafs
+        filesystem, root = pafs.FileSystem.from_uri(base_uri)
+        for pdf in batches:
+            for rel in pdf["relative_path"]:
+                target = f"{root.rstrip('/')}/{rel}"
+                if filesystem.get_file_info(target).type == pafs.FileType.File:  # a retried task finds it gone
+                    filesystem.delete_file(target)
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    return files.select("relative_path").mapInPandas(remove, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def awkward_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages whose writer closes list items, paragraphs and divisions in its
     own ways, and breaks off within a reference."""
