@@ -59,20 +59,22 @@ def plan(root: str, prefix: str = "", limit: int = PLAN_FOLDERS) -> list[_Share]
     """Shares that cover the tree once. Folders are opened breadth first until
     ``limit`` are known; each further one is a share with all below it. A
     folder with more than ``limit`` folders in it is cut by a hash of its
-    entries' names instead, so that the driver never holds more than
-    ``limit`` squared names whatever the tree is."""
+    entries' names instead, ``limit`` parts in all such folders together (two
+    each at least), so that the driver never holds more than ``limit`` squared
+    names whatever the tree is."""
     from pyarrow import fs
-    ready, waiting = [], [root.rstrip("/") or "/"]
-    while waiting and len(ready) + len(waiting) < limit:
+    ready, wide, waiting = [], [], [root.rstrip("/") or "/"]
+    while waiting and len(ready) + len(wide) + len(waiting) < limit:
         folder = waiting.pop(0)
         inner = (_below(folder, e.base_name) for e in _entries(folder) if e.type == fs.FileType.Directory)
         inner = list(islice((f for f in inner if _may_hold(f, prefix)), limit + 1))
         if len(inner) > limit:
-            ready += [_Share(folder, True, k, limit) for k in range(limit)]
+            wide.append(folder)
         else:
             ready.append(_Share(folder, False))
             waiting += inner
-    return ready + [_Share(f) for f in waiting]
+    parts = max(2, limit // max(1, len(wide)))
+    return ready + [_Share(f) for f in waiting] + [_Share(f, True, k, parts) for f in wide for k in range(parts)]
 
 
 def read_share(share: _Share, ending: str = "", prefix: str = "") -> Iterator[tuple]:
