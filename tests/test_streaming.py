@@ -1,13 +1,16 @@
 """Structured Streaming ingest equals the batch plan; restarts add nothing."""
 
+import hashlib
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from vellum.operators.dedup import first_seen
 from vellum.plans import catalogue
 from vellum.sources.fixtures import doc_files_of, scan_listing_of
-from vellum.streaming.ingest import BATCH_COL, dedup_stream, ingest_in_batches, ingest_stream
+from vellum.streaming.ingest import (BATCH_COL, dedup_documents_stream, dedup_stream, ingest_documents_stream,
+                                     ingest_in_batches, ingest_stream)
 
 from conftest import SF_SMALL
 
@@ -85,3 +88,17 @@ def test_batches_take_every_language_and_rows_without_one(spark, tmp_path):
     got = ingest_in_batches(spark, str(tmp_path))
     assert rows(got) == rows(catalogue.appended_inventory(spark, str(tmp_path)))
     assert got.filter("relative_path IS NULL").count() > 0
+
+
+@pytest.mark.parametrize("parts", [0, 3])
+def test_documents_stream_from_a_file_or_a_folder_of_parts(spark, tmp_path, parts):
+    rows = [(k, "en", "web", f"text {k % 7}") for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, source string, text string")
+    path = str(tmp_path / "documents.parquet")
+    docs.repartition(parts or 1).write.parquet(path if parts else f"{path}-written")
+    if not parts:
+        part = next(f for f in os.listdir(f"{path}-written") if f.endswith(".parquet"))
+        os.link(f"{path}-written/{part}", path)
+    got = dedup_documents_stream(spark, str(tmp_path))
+    assert sorted(r.md5_hash for r in got.collect()) == sorted(hashlib.md5(f"text {k}".encode()).hexdigest() for k in range(7))
+    assert _key(ingest_documents_stream(spark, str(tmp_path))) == _key(catalogue.new_files(spark, str(tmp_path)))

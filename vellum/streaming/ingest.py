@@ -65,9 +65,10 @@ def ingest_stream(rows: DataFrame, inventory_path: str, checkpoint: str,
 
 
 def _documents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-            .parquet(sf_dir))
+    """The documents as a stream, be they one file or a folder of part files."""
+    path = f"{sf_dir.rstrip('/')}/documents.parquet"
+    # as a glob: Spark takes a plain path of one file for the folder that partitions lie in, and refuses it
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def ingest_documents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
