@@ -28,6 +28,8 @@ SRV = "/srv"
 INVENTORY_DIR = "/srv/inv"
 REDUCED_DIR = "/srv/reduced"
 
+WRITTEN_AT = 256  # texts that a task writing files holds as strings at a time
+
 
 # Unique key of each driver table: used to spread a table that arrives in
 # fewer splits than the cluster has cores (one key per row, so no hot key).
@@ -308,32 +310,34 @@ def write_files(files: DataFrame, base_uri: str, set_times: bool = True) -> int:
     """Write each row's text as a file. The executors
     write their own rows through ``pyarrow.fs``, so the base may be any
     shared filesystem URI; times are set where the filesystem is local and
-    ``set_times`` holds. Returns the number of files written."""
-    import pandas as pd
-
+    ``set_times`` holds. Of a batch, WRITTEN_AT texts are held beside it at a
+    time. Returns the number of files written."""
     files = files.select("relative_path", "text", "creation_epoch")
 
     def write(batches):
         import os
+
+        import pyarrow as pa
         from pyarrow import fs as pafs
         filesystem, root = pafs.FileSystem.from_uri(base_uri)
         local = isinstance(filesystem, pafs.LocalFileSystem)
-        for pdf in batches:
-            for rel, text, epoch in zip(pdf["relative_path"], pdf["text"], pdf["creation_epoch"]):
-                target = f"{root.rstrip('/')}/{rel}"
-                if local:
-                    os.makedirs(target.rsplit("/", 1)[0], exist_ok=True)
-                    with open(target, "wb") as out:
-                        out.write(text.encode("utf-8"))
-                    if set_times:
-                        os.utime(target, (int(epoch), int(epoch)))
-                else:
-                    filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
-                    with filesystem.open_output_stream(target) as out:
-                        out.write(text.encode("utf-8"))
-            yield pd.DataFrame({"n": [len(pdf)]})
-
-    return files.mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0
+        for batch in batches:
+            for a in range(0, batch.num_rows, WRITTEN_AT):
+                for rel, text, epoch in zip(*(c.to_pylist() for c in batch.slice(a, WRITTEN_AT).columns)):
+                    target = f"{root.rstrip('/')}/{rel}"
+                    if local:
+                        os.makedirs(target.rsplit("/", 1)[0], exist_ok=True)
+                        with open(target, "wb") as out:
+                            out.write(text.encode("utf-8"))
+                        if set_times:
+                            os.utime(target, (int(epoch), int(epoch)))
+                    else:
+                        filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                        with filesystem.open_output_stream(target) as out:
+                            out.write(text.encode("utf-8"))
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    return files.mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0
 
 
 def remove_files(files: DataFrame, base_uri: str) -> int:
