@@ -176,3 +176,44 @@ def test_empty_tables(spark):
     assert packing.pack_documents(none, BYTES).count() == 0
     assert token_files.read_files(token_files.write_documents(none, WORDS)).count() == 0
     assert token_counts.count_tokens(none, BYTES).count() == 0
+
+
+def test_words_are_cut_to_pieces_that_the_library_parts_itself():
+    import pyarrow as pa
+    assert chunk_tokens.parts_pieces(WORDS) and not chunk_tokens.parts_pieces(BYTES)
+    rng = random.Random(9)
+    texts = ["".join(rng.choices([*"abSsTtDdLlVvRrEe.,;!-_019", *ODD], k=rng.randrange(30))) for _ in range(3000)]
+    texts += [f"ab{k}.cd,(ef)" for k in range(500)]
+    tokenizer, table, numbered = library(WORDS), chunk_tokens.word_encoder(WORDS), chunk_tokens.word_encoder.__wrapped__(WORDS)
+    got = [v[b[d]:b[d + 1]].tolist() for _, b, v in table.batches(pa.array(texts)) for d in range(len(b) - 1)]
+    assert got == [ids(tokenizer, t) for t in texts]
+    assert sum(len(b) - 1 for _, b, _ in numbered.batches(pa.array(texts[-500:]))) == 500
+    assert len(numbered.key) < 20  # not one a number
+
+
+def test_a_vocabulary_that_splits_otherwise_is_cut_at_white_space_only(tmp_path):
+    import json
+    with open(WORDS, encoding="utf-8") as src:
+        held = json.load(src)
+    held["added_tokens"][0]["content"] = "a1"
+    (tmp_path / "v.json").write_text(json.dumps(held), encoding="utf-8")
+    assert not chunk_tokens.parts_pieces(str(tmp_path / "v.json"))
+
+
+def test_selectors_hold_as_many_ids_as_the_block_has():
+    rng = np.random.default_rng(3)
+    for k in range(60):
+        sizes = rng.integers(0, 70, 5)
+        n = int(sizes.sum())
+        given_ids = rng.integers(0, 2, n).astype(np.uint64) << rng.integers(0, [2, 17, 64][k % 3], n).astype(np.uint64)
+        want = []
+        for block in np.split(given_ids, np.cumsum(sizes)[:-1]):
+            block, at = [int(x) for x in block], 0
+            while at < len(block):
+                fits = [j for j, (c, w) in enumerate(zip(simple8b.COUNTS.tolist(), simple8b.WIDTHS.tolist()))
+                        if all(x >> w == 0 for x in block[at:at + c])]
+                want.append(fits[0] if fits else simple8b.ESCAPE)
+                at += int(simple8b.COUNTS[fits[0]]) if fits else 1
+        words, _, escaped = simple8b.encode(given_ids, sizes)
+        assert (words >> np.uint64(60)).tolist() == want
+        assert len(escaped) == want.count(simple8b.ESCAPE)

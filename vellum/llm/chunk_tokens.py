@@ -3,8 +3,9 @@ encoded once a batch.
 
 A text is cut where its tokenizer never joins tokens: for a byte-level
 vocabulary before a single space between two characters that are no white
-space, for a word vocabulary at ASCII white space. Chunks are told apart by
-128-bit hashes; distinct ones that are new go to the library, and the ids of a
+space, for a word vocabulary at ASCII white space and, where its pattern is
+known to, between letters, digits and punctuation (``piece_chunks``). Chunks
+are told apart by 128-bit hashes; distinct ones that are new go to the library, and the ids of a
 text are gathered from those of its chunks. A bounded table of chunks is kept
 by each Python worker between batches.
 """
@@ -57,6 +58,54 @@ def word_chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+# the pattern by which piece_chunks may cut: runs of letters, single digits, runs of the rest, and English endings
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_KIND = np.zeros(128, np.uint8)  # 1 letters, 2 digits, 3 punctuation that begins no ending and no special token
+_KIND[[*range(65, 91), *range(97, 123)]] = 1
+_KIND[48:58] = 2
+_KIND[np.frombuffer(b'!"#$%&()*+,-./:;=?@[\\]^_`{}~', np.uint8)] = 3
+_KIND = np.concatenate([_KIND, np.zeros(128, np.uint8)])
+
+
+def piece_cuts(data: np.ndarray) -> np.ndarray:
+    """Positions between two ASCII characters that PIECES always parts: kinds
+    that differ, or two digits. What follows a cut is matched as it is alone,
+    since only an ending holds two kinds, and its apostrophe is of none."""
+    kind = _KIND[data]
+    before, after = kind[:-1], kind[1:]
+    return np.flatnonzero((before > 0) & (after > 0) & ((before != after) | (after == 2))) + 1
+
+
+def piece_chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    starts, ends = textscan.word_spans(data, offsets)
+    cuts = piece_cuts(data)
+    first, last = np.zeros(len(data) + 1, dtype=bool), np.zeros(len(data) + 1, dtype=bool)
+    first[starts] = first[cuts] = True
+    last[ends] = last[cuts] = True
+    starts = np.flatnonzero(first)
+    return starts, np.flatnonzero(last), np.searchsorted(starts, offsets)
+
+
+def parts_pieces(path: str) -> bool:
+    """Whether a vocabulary splits by PIECES, and so that no cut falls into a
+    special token or beside a character that its normaliser could change."""
+    import json
+    with open(path, encoding="utf-8") as src:
+        held = json.load(src)
+    steps = held.get("pre_tokenizer") or {}
+    steps = steps.get("pretokenizers", [steps])
+    split = [s for s in steps if s.get("type") == "Split"]
+    normal = held.get("normalizer") or {}
+    normal = normal.get("normalizers", [normal] if normal else [])
+    plain = all(n.get("type") in ("NFC", "Lowercase") or n.get("type") == "Replace" and n.get("pattern") == {"Regex": r"\s+"}
+                and n.get("content") == " " for n in normal)
+    only = all(s in split or s.get("type") == "ByteLevel" and not s.get("add_prefix_space") and not s.get("use_regex", True) for s in steps)
+    whole = all(not len(piece_cuts(np.frombuffer(t["content"].encode(), np.uint8))) and not (t["lstrip"] or t["rstrip"] or t["single_word"])
+                for t in held.get("added_tokens", []))
+    return (plain and only and whole and not held.get("post_processor") and len(split) == 1 and split[0] is steps[0]
+            and split[0].get("pattern") == {"Regex": PIECES} and split[0].get("behavior") == "Removed" and split[0].get("invert") is True)
+
+
 class ChunkTable:
     """Values of distinct chunks: ``value(list of str) -> (flat, lengths)``
     is called for chunks that are not in the table."""
@@ -164,4 +213,4 @@ def byte_encoder(path: str) -> ChunkTable:
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> ChunkTable:
     _single_threaded()
-    return ChunkTable(word_chunks, library_ids(path))
+    return ChunkTable(piece_chunks if parts_pieces(path) else word_chunks, library_ids(path))

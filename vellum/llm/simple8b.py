@@ -17,12 +17,35 @@ ESCAPE = 15
 BLOCK = 1024
 
 
-def _widths(ids: np.ndarray) -> np.ndarray:
-    """Bits of each id, 1 at least."""
-    out = np.ones(len(ids), np.int8)
-    for width in WIDTHS[:-1].tolist():
-        out[ids >> np.uint64(width) > 0] = WIDTHS[np.searchsorted(WIDTHS, width) + 1]
-    out[ids >> np.uint64(60) > 0] = 64
+_LIMITS = (np.uint64(1) << WIDTHS.astype(np.uint64)) - np.uint64(1)
+_PLACE = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64)).astype(np.int8)
+
+
+def _places(ids: np.ndarray) -> np.ndarray:
+    """The place in WIDTHS of each id's width; ``len(WIDTHS)`` for an escape."""
+    if int(ids.max()) < len(_PLACE):
+        return _PLACE[ids.astype(np.uint16)]
+    return np.searchsorted(_LIMITS, ids).astype(np.int8)
+
+
+def _choices(place: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The selector that holds most ids from each position on. Blocks are laid
+    out with gaps, so that no selector looks past the end of one."""
+    gap = int(COUNTS[0])
+    at = np.arange(len(place)) + np.repeat(np.arange(len(sizes)) * gap, sizes)
+    laid = np.zeros(len(place) + gap * len(sizes), np.int8)
+    laid[at] = place
+    choice = np.full(len(laid), len(COUNTS) - 1, np.int8)
+    for k in range(len(COUNTS) - 2, -1, -1):  # the selector with most ids comes last and wins
+        wide, seen = laid > k, 1  # a too wide id among the next ``seen``
+        while seen < COUNTS[k]:
+            step = min(seen, int(COUNTS[k]) - seen)
+            before = wide.copy()
+            wide[:-step] |= before[step:]
+            seen += step
+        choice[~wide] = k
+    out = choice[at]
+    out[place == len(WIDTHS)] = ESCAPE
     return out
 
 
@@ -35,26 +58,17 @@ def encode(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         return np.zeros(0, np.uint64), np.zeros(n_blocks, np.int64), np.zeros(0, np.uint64)
     ends = np.cumsum(sizes)
     total, block_end = len(ids), np.repeat(ends, sizes)
-    width, here = _widths(ids), np.arange(len(ids))
-    choice = np.full(total, len(COUNTS) - 1, np.int8)
-    for k in range(len(COUNTS) - 1, -1, -1):  # the selector with most ids comes last and wins
-        wide = np.append(np.where(width > WIDTHS[k], here, total), total)
-        stop = np.minimum.accumulate(wide[::-1])[::-1][:total]  # the next id that is too wide
-        fits = np.minimum(stop, block_end) - here >= np.minimum(COUNTS[k], block_end - here)
-        choice[fits] = k
-    choice[width == 64] = ESCAPE
+    here, choice = np.arange(total), _choices(_places(ids), np.asarray(sizes))
     step = np.where(choice == ESCAPE, 1, COUNTS[np.minimum(choice, len(COUNTS) - 1)])
     following = np.minimum(here + step, block_end)
-    at, live, starts, owners = ends - sizes, np.flatnonzero(sizes > 0), [], []
+    at, live, first = ends - sizes, np.flatnonzero(sizes > 0), np.zeros(total, bool)
     while len(live):  # all blocks advance by one word at a time
         p = at[live]
-        starts.append(p)
-        owners.append(live)
+        first[p] = True
         at[live] = following[p]
         live = live[at[live] < ends[live]]
-    start, owner = np.concatenate(starts), np.concatenate(owners)
-    order = np.argsort(start, kind="stable")
-    start, owner = start[order], owner[order]
+    start = np.flatnonzero(first)
+    owner = np.searchsorted(ends, start, side="right")
     selector = choice[start].astype(np.uint64)
     words = selector << np.uint64(60)
     padded = np.concatenate([ids, np.zeros(int(COUNTS[0]), np.uint64)])
