@@ -59,6 +59,20 @@ def test_lines_keep_all_columns(spark):
     assert {r["block"] for r in left.collect()} == {"b"}
 
 
+def test_lines_need_little_memory():
+    import numpy as np
+    import pyarrow as pa
+    import tracemalloc
+    texts = pa.array([f"line {k} of a text, which is longer than forty characters\n" * 50 for k in range(2500)])  # 7 MB
+    line_dedup.Lines(texts.slice(0, 100), 40)  # the hashers' powers stay
+    tracemalloc.start()
+    found = line_dedup.Lines(texts, 40)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 7 * len(found.data)
+    assert len(found.long) == 50 * 2500 and np.array_equal(np.diff(found.first), np.full(2500, 51))
+
+
 @pytest.mark.parametrize("share,tracked", [(1024, 8192), (2, 8)])
 def test_exact_groups(spark, share, tracked):
     rows = corpus(7) + EDGES + [(2000 + k, "Hot " + "copy") for k in range(80)] + [(None, "all null")] * 3

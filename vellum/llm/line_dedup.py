@@ -47,34 +47,42 @@ class Lines:
     numbers. Every document has one line at least."""
 
     def __init__(self, column, min_chars: int):
-        self.data, offsets = textscan.utf8(column)
-        data, n = self.data, len(offsets) - 1
+        self.data, self.offsets = textscan.utf8(column)
+        none = np.zeros(0, np.int64)
+        parts = [(none, none, none, none, none.view(np.uint64), none.view(np.uint64))]
+        count = 0
+        for i, j in textscan.slices(self.offsets):  # scratch arrays are several times the bytes they are made from
+            a, b = self.offsets[i], self.offsets[j]
+            starts, ends, doc, long, k1, k2 = self._of(self.data[a:b], self.offsets[i:j + 1] - a, min_chars)
+            parts.append((starts + a, ends + a, doc + i, long + count, k1, k2))
+            count += len(starts)
+        self.starts, self.ends, self.doc, self.long, self.k1, self.k2 = (np.concatenate(p) for p in zip(*parts))
+        self.first = np.searchsorted(self.doc, np.arange(len(self.offsets)))
+
+    @staticmethod
+    def _of(data: np.ndarray, offsets: np.ndarray, min_chars: int):
+        """Starts, ends and document numbers of the lines of some documents;
+        numbers and key hashes of the long ones."""
+        n = len(offsets) - 1
         breaks = np.flatnonzero(data == 0x0A)
         begin = np.concatenate([offsets[:-1], breaks + 1])
         end = np.concatenate([breaks, offsets[1:]])
-        doc = np.concatenate([np.arange(n), np.searchsorted(offsets, breaks, side="right") - 1])
+        holder = np.searchsorted(offsets, breaks, side="right") - 1
+        doc = np.concatenate([np.arange(n), holder])
         order = np.lexsort((begin, doc))
-        self.starts, self.doc = begin[order], doc[order]
-        order = np.lexsort((end, np.concatenate([np.searchsorted(offsets, breaks, side="right") - 1, np.arange(n)])))
-        self.ends = end[order]
-        self.first = np.searchsorted(self.doc, np.arange(n + 1))
+        starts, doc = begin[order], doc[order]
+        ends = end[np.lexsort((end, np.concatenate([holder, np.arange(n)])))]
         solid = np.flatnonzero(~textscan.SPACE[data])
-        lo = np.searchsorted(solid, self.starts)
-        hi = np.searchsorted(solid, self.ends)
+        lo = np.searchsorted(solid, starts)
+        hi = np.searchsorted(solid, ends)
         some = hi > lo
-        key_start, key_end = self.starts.copy(), self.starts.copy()
+        key_start, key_end = starts.copy(), starts.copy()
         key_start[some] = solid[lo[some]]
         key_end[some] = solid[hi[some] - 1] + 1
         letters = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-        self.long = np.flatnonzero(letters[key_end] - letters[key_start] >= min_chars)
-        s, e = key_start[self.long], key_end[self.long]
-        hashers = _hashers()
-        self.k1, self.k2 = np.zeros(len(s), np.uint64), np.zeros(len(s), np.uint64)
-        for i, j in textscan.slices(offsets):
-            a, b = offsets[i], offsets[j]
-            x, y = np.searchsorted(self.doc[self.long], [i, j])
-            for out, h in ((self.k1, hashers[0]), (self.k2, hashers[1])):
-                out[x:y] = h.byte_spans(data[a:b], s[x:y] - a, e[x:y] - a)
+        long = np.flatnonzero(letters[key_end] - letters[key_start] >= min_chars)
+        k1, k2 = (h.byte_spans(data, key_start[long], key_end[long]) for h in _hashers())
+        return starts, ends, doc, long, k1, k2
 
     def keys(self):
         """Distinct keys of the block: (k1, k2, documents, their last row)
@@ -178,7 +186,9 @@ def drop_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
             r1 = replies["k1"].to_numpy().view(np.uint64)
             r2 = replies["k2"].to_numpy().view(np.uint64)
             number = {k: i for i, k in enumerate(zip(r1.tolist(), r2.tolist()))}
-            verdict = np.array([number.get(k, -1) for k in zip(k1.tolist(), k2.tolist())], dtype=np.int64)
+            verdict = np.full(len(k1), -1, np.int64)
+            likely = np.flatnonzero(np.isin(k1, r1))
+            verdict[likely] = [number.get(k, -1) for k in zip(k1[likely].tolist(), k2[likely].tolist())]
             shared = verdict[inverse]
             lines = found.long[shared >= 0]
             import pyarrow.compute as pc
@@ -187,14 +197,20 @@ def drop_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
             same_id = pc.fill_null(pc.equal(own, keeper), False)
             both_null = pc.and_(own.is_null(), keeper.is_null())
             keep[lines] = np.asarray(pc.or_(same_id, both_null))
-        kept = textscan.joined(textscan.span_strings(found.data, found.starts, found.ends), keep, found.first, "\n")
+        digests, texts = [], []
+        for i, j in textscan.slices(found.offsets):
+            a, b, x, y = found.offsets[i], found.offsets[j], found.first[i], found.first[j]
+            lines = textscan.span_strings(found.data[a:b], found.starts[x:y] - a, found.ends[x:y] - a)
+            kept = textscan.joined(lines, keep[x:y], found.first[i:j + 1] - x, "\n")
+            digests += textscan.sha256_hex(kept)
+            if with_text:
+                texts.append(kept.cast(pa.string()))
         total = np.diff(found.first)
         left = np.diff(np.concatenate([[0], np.cumsum(keep)])[found.first])
         cols = {"doc_id": table["doc_id"], "n_lines": pa.array(total, pa.int64()),
-                "n_dropped": pa.array(total - left, pa.int64()),
-                "kept_sha256": pa.array(textscan.sha256_hex(kept), pa.string())}
+                "n_dropped": pa.array(total - left, pa.int64()), "kept_sha256": pa.array(digests, pa.string())}
         if with_text:
-            cols["kept_text"] = kept.cast(pa.string())
+            cols["kept_text"] = pa.chunked_array(texts, pa.string())
         return pa.table(cols | {f"__x{k}": table[f"__x{k}"] for k in range(len(carry))})
 
     return dealt.groupBy("block").cogroup(verdicts.groupBy("block")).applyInArrow(

@@ -280,10 +280,9 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
         for batch in batches:
             column = batch.column(names[text])
             sizes = np.diff(textscan.utf8(column)[1])
-            parts = [model.score(features(column.slice(i, j - i)))
-                     for i, j in textscan.slices(np.concatenate([[0], np.cumsum(sizes)]))]
-            total = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total)], names=[*batch.schema.names, "__score"])
+            for i, j in textscan.slices(np.concatenate([[0], np.cumsum(sizes)])):
+                total = model.score(features(column.slice(i, j - i)))
+                yield pa.RecordBatch.from_arrays([*batch.slice(i, j - i).columns, pa.array(total)], names=[*batch.schema.names, "__score"])
     rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
     scored = rows.mapInArrow(run, ", ".join([*(f"{n} {types[c]}" for c, n in names.items()), "__score double"]))
     return scored.select(*(F.col(n).alias(c) for c, n in names.items()), F.col("__score").alias("__score"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18  # workers keep a hasher's powers, 16 bytes a byte of the longest slice
 
 _U = np.uint64
 
